@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from .jsonfmt import python_json
 
 # SHA-512 of the text "False": the fingerprint of a path that is not a file.
-_NOT_A_FILE = F.sha2(F.lit("False"), 512)
+_NOT_A_FILE_TEXT = "False"
 
 
 def hash_text(c: Column | str) -> Column:
@@ -55,4 +55,4 @@ def hash_files(spark: SparkSession, manifest: DataFrame, path_col: str, roots: S
     keyed = manifest.withColumn("_uri", _file_uri(F.col(f"`{path_col}`")))
     joined = keyed.join(files, on="_uri", how="left")
     return joined.select(*[F.col(f"`{c}`") for c in manifest.columns],
-                         F.coalesce(F.col("_h"), _NOT_A_FILE).alias("sha512"))
+                         F.coalesce(F.col("_h"), F.sha2(F.lit(_NOT_A_FILE_TEXT), 512)).alias("sha512"))

@@ -78,42 +78,37 @@ def encode_list(c: Column | str) -> Column:
 
 # --- Python json.dumps layout ---------------------------------------------------
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (keeps generated code small)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def py_string(c: Column) -> Column:
     """JSON string literal as Python writes it with ensure_ascii=True."""
     s = F.replace(c, F.lit("\\"), F.lit("\\\\"))
     s = F.replace(s, F.lit('"'), F.lit('\\"'))
     for raw, esc in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f")):
         s = F.replace(s, F.lit(raw), F.lit(esc))
-    tokens = F.regexp_extract_all(s, F.lit(rf"([{_PRINTABLE}]+|[^{_PRINTABLE}])"), 1)
-    escaped = F.array_join(
-        F.transform(
-            tokens,
-            lambda t: F.when(t.rlike(rf"^[{_PRINTABLE}]"), t).otherwise(
-                F.regexp_replace(F.lower(F.hex(F.encode(t, "UTF-16BE"))), "(.{4})", r"\\\\u$1")
+
+    def escape_rest(v: Column) -> Column:
+        tokens = F.regexp_extract_all(v, F.lit(rf"([{_PRINTABLE}]+|[^{_PRINTABLE}])"), 1)
+        escaped = F.array_join(
+            F.transform(
+                tokens,
+                lambda t: F.when(t.rlike(rf"^[{_PRINTABLE}]"), t).otherwise(
+                    F.regexp_replace(F.lower(F.hex(F.encode(t, "UTF-16BE"))), "(.{4})", r"\\u$1")
+                ),
             ),
-        ),
-        "",
-    )
-    body = F.when(s.rlike(rf"[^{_PRINTABLE}]"), escaped).otherwise(s)
-    return F.concat(F.lit('"'), body, F.lit('"'))
+            "",
+        )
+        return F.concat(F.lit('"'), F.when(v.rlike(rf"[^{_PRINTABLE}]"), escaped).otherwise(v), F.lit('"'))
 
+    return _let(s, escape_rest)
 
-def py_float(c: Column) -> Column:
-    """Python ``repr`` of a double, from the shortest digits Java prints.
 
-    Positional when -4 <= exponent < 16, else ``d.ddde+XX``; NaN/Infinity as Python's json writes them.
-    """
-    s = c.cast("double").cast("string")
-    neg = s.startswith("-")
-    a = F.regexp_replace(s, "^-", "")
-    mant = F.regexp_extract(a, r"^([0-9.]+)", 1)
-    exp = F.coalesce(F.regexp_extract(a, r"E(-?[0-9]+)$", 1).cast("int"), F.lit(0))
-    ipart = F.substring_index(mant, ".", 1)
-    fpart = F.when(mant.contains("."), F.substring_index(mant, ".", -1)).otherwise(F.lit(""))
-    allds = F.concat(ipart, fpart)
-    lead = F.length(allds) - F.length(F.regexp_replace(allds, "^0+", ""))
-    digits = F.regexp_replace(F.regexp_replace(allds, "^0+", ""), "0+$", "")
-    point = F.length(ipart) + exp - lead  # digits d1d2.. = 0.d1d2.. x 10^point
+def _py_float_layout(d: Column) -> Column:
+    """``d`` = struct(neg, digits, point): value = 0.<digits> x 10^point, digits without outer zeros."""
+    digits, point = d["digits"], d["point"]
     n = F.length(digits)
     sci_e = point - 1
     positional = (
@@ -126,17 +121,57 @@ def py_float(c: Column) -> Column:
         F.when(n > 1, F.concat(F.lit("."), F.substring(digits, 2, 1 << 30))).otherwise(F.lit("")),
         F.lit("e"),
         F.when(sci_e < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.lpad(F.abs(sci_e).cast("string"), 2, "0"),
+        F.when(F.abs(sci_e) >= 10, F.abs(sci_e).cast("string")).otherwise(F.concat(F.lit("0"), F.abs(sci_e).cast("string"))),
     )
-    body = F.when((sci_e >= -4) & (sci_e < 16), positional).otherwise(sci)
-    body = F.when(n == 0, F.lit("0.0")).otherwise(body)
-    signed = F.concat(F.when(neg, F.lit("-")).otherwise(F.lit("")), body)
-    return (
-        F.when(s == "NaN", F.lit("NaN"))
-        .when(s == "Infinity", F.lit("Infinity"))
-        .when(s == "-Infinity", F.lit("-Infinity"))
-        .otherwise(signed)
+    body = F.when(n == 0, F.lit("0.0")).when((sci_e >= -4) & (sci_e < 16), positional).otherwise(sci)
+    return F.concat(F.when(d["neg"], F.lit("-")).otherwise(F.lit("")), body)
+
+
+def _py_float_parts(s: Column) -> Column:
+    """Split ``Double.toString`` or ``%e`` text into sign, significant digits and decimal point position."""
+    a = F.regexp_replace(s, "^-", "")
+    mant = F.regexp_extract(a, r"^([0-9.]+)", 1)
+    exp = F.coalesce(F.nullif(F.regexp_extract(a, r"[eE]([-+]?[0-9]+)$", 1), F.lit("")).cast("int"), F.lit(0))
+    ipart = F.substring_index(mant, ".", 1)
+    allds = F.regexp_replace(mant, r"\.", "")
+    stripped = F.regexp_replace(allds, "^0+", "")
+    lead = F.length(allds) - F.length(stripped)
+    parts = F.struct(
+        s.startswith("-").alias("neg"),
+        F.regexp_replace(stripped, "0+$", "").alias("digits"),
+        (F.length(ipart) + exp - lead).alias("point"),
     )
+    return _let(parts, _py_float_layout)
+
+
+def _significant(s: Column) -> Column:
+    mant = F.regexp_extract(s, r"^-?([0-9.]+)", 1)
+    return F.length(F.regexp_replace(F.regexp_replace(F.regexp_replace(mant, r"\.", ""), "^0+", ""), "0+$", ""))
+
+
+def py_float(c: Column) -> Column:
+    """Python ``repr`` of a double: the shortest digits that read back as the same double.
+
+    Java's ``Double.toString`` is shortest for nearly all values; when it
+    prints 16 or more significant digits, the shortest round-tripping
+    ``%.Ne`` form is searched instead.  Positional when -4 <= exponent < 16,
+    else ``d.ddde+XX``; NaN/Infinity as Python's json writes them.
+    """
+    def layout(p: Column) -> Column:
+        x, s = p["x"], p["s"]
+        candidates = [
+            _let(F.format_string(f"%.{k - 1}e", x), lambda t: F.when(t.cast("double") == x, t)) for k in range(1, 18)
+        ]
+        search = (_significant(s) >= 16) | ((F.abs(x) < 2.3e-308) & (x != 0))  # long output or subnormal
+        chosen = F.when(search, F.coalesce(*candidates, s)).otherwise(s)
+        return (
+            F.when(s == "NaN", F.lit("NaN"))
+            .when(s == "Infinity", F.lit("Infinity"))
+            .when(s == "-Infinity", F.lit("-Infinity"))
+            .otherwise(_py_float_parts(chosen))
+        )
+    x = c.cast("double")
+    return _let(F.struct(x.alias("x"), x.cast("string").alias("s")), layout)
 
 
 def python_json(c: Column, dtype: T.DataType) -> Column:

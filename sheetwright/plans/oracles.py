@@ -82,6 +82,31 @@ def _sheet_top_rows() -> str:
 
 _ = SHEET_TITLE  # line 0 is consumed by the reader and never appears in results
 
+def _camel(text_sql: str) -> str:
+    """camelCase in DuckDB SQL; exact where no letter follows a digit inside a word."""
+    words = (f"list_filter(string_split(regexp_replace({text_sql}, '[^0-9a-zA-Z\\s]+', ' ', 'g'), ' '), "
+             f"lambda x: x <> '')")
+    return (f"CASE WHEN len({words}) > 0 THEN lower({words}[1]) || array_to_string(list_transform({words}[2:], "
+            f"lambda x: upper(x[1]) || lower(x[2:])), '') END")
+
+
+_ISO = ("CASE WHEN epoch_us({c}) % 1000000 = 0 THEN strftime({c}, '%Y-%m-%dT%H:%M:%S+00:00') "
+        "ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S.%f+00:00') END")
+ORDERS_JSON = ("json_object('o_orderkey', o_orderkey, 'o_custkey', o_custkey, 'o_orderstatus', o_orderstatus, "
+               "'o_totalprice', o_totalprice, 'o_orderdate', " + _ISO.format(c="o_orderdate") +
+               ", 'o_orderpriority', o_orderpriority)::VARCHAR")
+_PY_SPACE = "\\t\\n\\x0b\\f\\r\\x1c-\\x1f "
+SLUG = ("array_to_string(list_transform(string_split(f, '.'), lambda p: regexp_replace(regexp_replace("
+        "regexp_replace(p, '[^0-9A-Za-z_" + _PY_SPACE + "-]', '', 'g'), '[" + _PY_SPACE + "-]+', '-', 'g'), "
+        "'^[-_]+|[-_]+$', '', 'g')), '.')")
+EVENTS_FLAT = """SELECT nullif(event_id, 0) AS event_id,
+  CASE WHEN event_type <> '' AND event_type <> 'None' THEN event_type END AS detail_type,
+  nullif(value, 0) AS detail_value, nullif(user_id, 0) AS detail_user_id,
+  nullif(json_extract(props, '$.k')::BIGINT, 0) AS props_k,
+  CASE WHEN event_type = 'view' THEN NULL ELSE '>' || event_type END AS tags,
+  to_json([user_id, event_id])::VARCHAR AS ids
+FROM events"""
+
 ORACLES: dict[str, str] = {
     "yes_no_flags": f"WITH raw AS ({RAW}) {_FLAGGED}",
     "drop_incomplete": (f"WITH raw AS ({RAW}), flagged AS ({_FLAGGED}) SELECT * FROM flagged "
@@ -105,6 +130,45 @@ FROM (SELECT {L}, list_sort(list(DISTINCT databaseTable)) AS t FROM mappings GRO
         f"SELECT {i} AS position, {_q(t)} AS headerText, {_q(n)} AS columnName, {HEADER_LINE} AS headerLine"
         for i, (t, n) in enumerate(zip(SHEET_HEADER, ["viewObject", "viewObjectAttribute", "databaseTable",
                                                       "databaseColumn", "primaryKeyColumn", "indexedColumn"]))),
+    "camel_case": f"SELECT o_orderkey, {_camel('o_orderpriority')} AS priorityName FROM orders",
+    "split_camel_case": (f"SELECT p_partkey, camel, string_split(regexp_replace(camel, '([a-z])([A-Z])', "
+                         f"'\\1~\\2', 'g'), '~') AS words FROM (SELECT p_partkey, "
+                         f"{_camel("concat_ws(' ', p_type, p_name, p_brand)")} AS camel FROM part)"),
+    "slugify": (f"SELECT doc_id, {SLUG} AS slug FROM (SELECT doc_id, "
+                f"regexp_replace(strip_accents(coalesce(text, 'None')), '[^\\x00-\\x7F]', '', 'g') AS f "
+                f"FROM documents)"),
+    "record_to_json": f"SELECT o_orderkey, {ORDERS_JSON} AS json FROM orders",
+    "join_list": ("SELECT p_partkey, CASE WHEN len(l) > 0 THEN array_to_string(l, '>') END AS joined, "
+                  "CASE WHEN len(a) > 0 THEN array_to_string(a, ', ') END AS commaText FROM ("
+                  "SELECT p_partkey, list_filter(string_split(p_name, ' '), lambda w: length(w) > 4) AS l, "
+                  "string_split(p_name, ' ') AS a FROM part)"),
+    "encode_list": ("SELECT o_orderkey, CASE WHEN len(k) > 0 THEN to_json(k)::VARCHAR END AS encoded FROM ("
+                    "SELECT o_orderkey, list_filter([o_orderkey, o_custkey], lambda x: x > 1000) AS k FROM orders)"),
+    "clean_empties": """SELECT nullif(event_id, 0) AS event_id, ts,
+  CASE WHEN event_type <> '' AND event_type <> 'None' THEN event_type END AS event_type,
+  nullif(value, 0) AS value, nullif(user_id % 3, 0) AS bucket,
+  CASE WHEN nullif(value, 0) IS NULL AND nullif(k, 0) IS NULL THEN NULL
+       ELSE to_json({'value': nullif(value, 0), 'k': nullif(k, 0)})::VARCHAR END AS detail
+FROM (SELECT *, json_extract(props, '$.k')::BIGINT AS k FROM events)""",
+    "flatten_records": EVENTS_FLAT,
+    "write_json": EVENTS_FLAT,
+    "drop_null_columns": f"SELECT * EXCLUDE (indexedColumn) FROM ({RAW})",
+    "read_json_records": ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+                          + _ISO.format(c="o_orderdate") + " AS o_orderdate, o_orderpriority FROM orders"),
+    "json_output_size": (f"SELECT count(*) AS records, CAST(sum(length(j)) AS BIGINT) AS chars, "
+                         f"CAST(sum(length(j)) AS DOUBLE) / 1000000.0 AS size_mb, "
+                         f"CAST(greatest(1, ceil(CAST(sum(length(j)) AS DOUBLE) / 100000000.0)) AS BIGINT) AS files "
+                         f"FROM (SELECT {ORDERS_JSON} AS j FROM orders)"),
+    "write_many": ("SELECT 'Sheet 1 of 4' AS dataset, count(*) AS rows FROM orders UNION ALL "
+                   "SELECT 'Sheet 2 of 4', count(*) FROM customer UNION ALL "
+                   "SELECT 'Sheet 3 of 4', count(*) FROM supplier"),
+    "dated_snapshot": "SELECT *, 'V2026.01.05__orders' AS snapshot FROM orders",
+    "save_table": _with_mappings() + "SELECT * FROM mappings",
+    "object_view": _with_mappings() + ROLLUP,
+    "sql_passthrough": _with_mappings() + (
+        f"SELECT {L}, colCnt, colCntPK, coalesce(viewObjectAttribute, '') AS viewObjectAttribute, "
+        f"coalesce(databaseTable, '') AS databaseTable, coalesce(databaseColumn, '') AS databaseColumn, rowIndex "
+        f"FROM ({PK_VIEW})"),
     "row_index": ("SELECT l_orderkey, l_partkey, l_linenumber, CAST(row_number() OVER () - 1 AS BIGINT) AS rowIndex "
                   "FROM lineitem"),
 }

@@ -13,15 +13,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import LEVELS, ROW_INDEX, TABLE
+import datetime as dt
+
+from ..constants import LEVELS, MAPPINGS_TABLE, OBJECT_VIEW, PK_VIEW, ROW_INDEX, TABLE
+from ..functions.hashing import hash_files, hash_record, hash_text
+from ..functions.jsonfmt import encode_list, join_list, record_json
+from ..functions.naming import camel_case, slugify, split_camel_case
+from ..operators.nulls import drop_null_columns
+from ..operators.records import clean_empties, flatten_records
+from ..operators.selection import run_sql
+from ..session import scratch_path
+from ..sinks.files import dated_path, json_output_size, write_json, write_many
+from ..sinks.tables import save_table
+from ..sources.json_records import read_json_records
 from ..operators.catalogue import distinct_collapse, object_rollup, pk_catalogue, pk_view
 from ..operators.flags import drop_incomplete, yes_no_flags
 from ..operators.nulls import fill_text
 from ..operators.paths import split_path
 from ..operators.selection import non_flag_columns, pk_rows, select_columns
-from ..sources.fixtures import SHEET_FLAGS, raw_mapping, table, write_mapping_sheet
+from ..sources.fixtures import SHEET_COLUMNS, SHEET_FLAGS, raw_mapping, table, write_mapping_sheet
 from ..sources.sheets import apply_header, discover_header, header_frame, open_sheet, read_with_row_index
-from .mapping import clean_mapping, load_mapping
+from .mapping import MappingLoad, clean_mapping, export_records, load_mapping, store_mapping
+
+# Snapshot day of the dated-snapshot query (a parameter, so results are reproducible).
+SNAPSHOT_DAY = dt.date(2026, 1, 5)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +104,160 @@ def q_discover_header(spark, sf_dir):
     return header_frame(open_sheet(spark, write_mapping_sheet(spark, sf_dir)))
 
 
+# --- scalar functions -----------------------------------------------------------
+
+def q_camel_case(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", camel_case("o_orderpriority").alias("priorityName"))
+
+
+def q_split_camel_case(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    name = camel_case(F.concat_ws(" ", "p_type", "p_name", "p_brand"))
+    return part.select("p_partkey", name.alias("camel"), split_camel_case(name).alias("words"))
+
+
+def q_slugify(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", slugify("text").alias("slug"))
+
+
+def q_hash_text(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", hash_text("text").alias("sha512"))
+
+
+def q_hash_record(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", hash_record(orders).alias("sha512"))
+
+
+def q_record_to_json(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", record_json(orders.columns, orders.schema).alias("json"))
+
+
+def q_join_list(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    long_words = F.filter(F.split("p_name", " ", -1), lambda w: F.length(w) > 4)
+    return part.select("p_partkey", join_list(long_words).alias("joined"),
+                       join_list(F.split("p_name", " ", -1), ", ").alias("commaText"))
+
+
+def q_encode_list(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    keys = F.filter(F.array("o_orderkey", "o_custkey"), lambda k: k > 1000)
+    return orders.select("o_orderkey", encode_list(keys).alias("encoded"))
+
+
+# --- records -----------------------------------------------------------------------
+
+def _event_records(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        F.struct(F.col("event_type").alias("type"), F.col("value"), F.col("user_id")).alias("detail"),
+        F.from_json("props", "k BIGINT").alias("props"),
+        F.when(F.col("event_type") == "view", F.array().cast("array<string>"))
+         .otherwise(F.array(F.lit(""), F.col("event_type"))).alias("tags"),
+        F.array("user_id", "event_id").alias("ids"),
+    )
+
+
+def q_clean_empties(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    rec = ev.select(
+        "event_id", "ts", "event_type", "value", (F.col("user_id") % 3).alias("bucket"),
+        F.struct(F.col("value"), F.from_json("props", "k BIGINT")["k"].alias("k")).alias("detail"),
+    )
+    cleaned = clean_empties(rec)
+    return cleaned.select("event_id", "ts", "event_type", "value", "bucket",
+                          F.to_json("detail", {"ignoreNullFields": "false"}).alias("detail"))
+
+
+def q_flatten_records(spark, sf_dir):
+    return flatten_records(_event_records(spark, sf_dir))
+
+
+def q_drop_null_columns(spark, sf_dir):
+    return drop_null_columns(raw_mapping(spark, sf_dir))
+
+
+# --- sources and sinks ------------------------------------------------------------
+
+def q_read_json_records(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "orders-json")
+    write_json(orders, path, simplify=False, layout="document")
+    schema = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate STRING, o_orderpriority STRING")
+    return read_json_records(spark, path, schema=schema, document=True)
+
+
+def q_write_json(spark, sf_dir):
+    path = scratch_path(spark, "events-json")
+    export_records(_event_records(spark, sf_dir), path)
+    schema = ("event_id BIGINT, detail_type STRING, detail_value DOUBLE, detail_user_id BIGINT, props_k BIGINT, "
+              "tags STRING, ids STRING")
+    return read_json_records(spark, path, schema=schema, document=False, fill=False)
+
+
+def q_json_output_size(spark, sf_dir):
+    return json_output_size(table(spark, sf_dir, "orders"))
+
+
+def q_write_many(spark, sf_dir):
+    target = scratch_path(spark, "datasets")
+    orders = table(spark, sf_dir, "orders")
+    sets = [orders, table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier"),
+            orders.filter(F.col("o_totalprice") < 0)]
+    written = write_many(sets, target, names=["orders", "customers"])  # wrong length: default names
+    parts = [spark.read.parquet(p).select(F.lit(name).alias("dataset")) for name, p in written.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_dated_snapshot(spark, sf_dir):
+    base = scratch_path(spark, "snapshots")
+    target = dated_path(f"{base}/orders", SNAPSHOT_DAY)
+    table(spark, sf_dir, "orders").write.mode("overwrite").parquet(target)
+    back = spark.read.parquet(target)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+    return back.select(*back.columns, folder.alias("snapshot"))
+
+
+def q_save_table(spark, sf_dir):
+    save_table(_mappings(spark, sf_dir), MAPPINGS_TABLE, scratch_path(spark, "table-mappings"))
+    return spark.table(MAPPINGS_TABLE)
+
+
+def _stored(spark, sf_dir):
+    load = MappingLoad(_mappings(spark, sf_dir), SHEET_COLUMNS, SHEET_FLAGS)
+    return store_mapping(load, MAPPINGS_TABLE, scratch_path(spark, "table-mappings"))
+
+
+def q_object_view(spark, sf_dir):
+    _stored(spark, sf_dir)
+    return spark.table(OBJECT_VIEW)
+
+
+def q_sql_passthrough(spark, sf_dir):
+    _stored(spark, sf_dir)
+    return run_sql(spark, f"SELECT * FROM {PK_VIEW}")
+
+
+def q_hash_files(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    root = scratch_path(spark, "doc-files")
+    docs.select("lang", "text").write.mode("overwrite").partitionBy("lang").text(root)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(
+        F.regexp_replace("path", "^file:", "").alias("path"))
+    folders = docs.select(F.concat(F.lit(root + "/lang="), F.col("lang")).alias("path")).distinct()
+    return hash_files(spark, listed.unionByName(folders), "path", [root])
+
+
 QUERIES: dict[str, Query] = {
     "yes_no_flags": q_yes_no_flags,
     "drop_incomplete": q_drop_incomplete,
@@ -104,6 +273,26 @@ QUERIES: dict[str, Query] = {
     "mapping_load": q_mapping_load,
     "read_sheet": q_read_sheet,
     "discover_header": q_discover_header,
+    "camel_case": q_camel_case,
+    "split_camel_case": q_split_camel_case,
+    "slugify": q_slugify,
+    "hash_text": q_hash_text,
+    "hash_record": q_hash_record,
+    "record_to_json": q_record_to_json,
+    "join_list": q_join_list,
+    "encode_list": q_encode_list,
+    "clean_empties": q_clean_empties,
+    "flatten_records": q_flatten_records,
+    "drop_null_columns": q_drop_null_columns,
+    "read_json_records": q_read_json_records,
+    "write_json": q_write_json,
+    "json_output_size": q_json_output_size,
+    "write_many": q_write_many,
+    "dated_snapshot": q_dated_snapshot,
+    "save_table": q_save_table,
+    "object_view": q_object_view,
+    "sql_passthrough": q_sql_passthrough,
+    "hash_files": q_hash_files,
 }
 
 
@@ -111,5 +300,3 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full chain on a sheet export: read -> header -> clean -> split -> rollup/join -> catalogue."""
     return pk_catalogue(q_mapping_load(spark, sf_dir))
 
-
-_ = F  # functions module kept for query bodies added below
