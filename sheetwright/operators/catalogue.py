@@ -61,12 +61,26 @@ def pk_view(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_
     return with_pk.select(*_cols(order)).unionByName(without.select(*_cols(order)))
 
 
-def _list_parts(pk: DataFrame, keys: list[str], max_list_len: int | None) -> DataFrame:
-    """Tag each PK row with the ordered part of its group's list it belongs to."""
+def table_counts(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG) -> DataFrame:
+    """Rows and PK rows per (object, table): one partial+final aggregate, small output."""
+    keys = list(levels) + [TABLE]
+    return mappings.groupBy(*_cols(keys)).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.col(f"`{flag}`")).cast("long").alias("_npk"),
+    )
+
+
+def _list_parts(pk: DataFrame, keys: list[str], counts: DataFrame, max_list_len: int | None) -> DataFrame:
+    """Tag each PK row with the ordered part of its group's list it belongs to.
+
+    Groups with at most ``max_list_len`` PK rows are one part (0).  Larger
+    ("hot") groups are cut at approximate ``rowIndex`` quantiles computed by
+    a distributed aggregate over only the hot groups' rows; when no group is
+    hot, AQE sees the empty side at runtime and drops these joins.
+    """
     if not max_list_len:
         return pk.withColumn(LIST_PART, F.lit(0))
-    sizes = pk.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > max_list_len).select(*_cols(keys))
+    hot = counts.filter(F.col("_npk") > max_list_len).select(*_cols(keys))
     probes = [j / _QUANTILE_PROBES for j in range(1, _QUANTILE_PROBES)]
     cuts = (
         pk.join(hot, on=keys, how="left_semi")
@@ -74,17 +88,22 @@ def _list_parts(pk: DataFrame, keys: list[str], max_list_len: int | None) -> Dat
         .agg(F.array_distinct(F.percentile_approx(F.col(ROW_INDEX), probes, 100_000)).alias("_cuts"))
     )
     tagged = pk.join(cuts, on=keys, how="left")
-    part = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(ROW_INDEX))), F.lit(0))
+    part = F.size(F.filter("_cuts", lambda c: c < F.col(ROW_INDEX)))
     part = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(part)
     return tagged.withColumn(LIST_PART, part.cast("int")).drop("_cuts")
 
 
 def pk_lists(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG,
-             max_list_len: int | None = DEFAULT_MAX_LIST_LEN) -> DataFrame:
-    """Ordered attribute/column lists of the PK rows per (object, table[, part]) (A2)."""
+             max_list_len: int | None = DEFAULT_MAX_LIST_LEN, counts: DataFrame | None = None) -> DataFrame:
+    """Ordered attribute/column lists of the PK rows per (object, table[, part]) (A2).
+
+    Lists are sorted by (rowIndex, attribute, column), so ties in rowIndex
+    cannot change the order.
+    """
     keys = list(levels) + [TABLE]
+    counts = counts if counts is not None else table_counts(mappings, levels, flag)
     pk = pk_rows(mappings, flag).select(*_cols(keys + [ROW_INDEX, ATTRIBUTE, COLUMN]))
-    tagged = _list_parts(pk, keys, max_list_len)
+    tagged = _list_parts(pk, keys, counts, max_list_len)
     entry = F.struct(F.col(ROW_INDEX).alias("i"), F.col(ATTRIBUTE).alias("a"), F.col(COLUMN).alias("c"))
     lists = tagged.groupBy(*_cols(keys + [LIST_PART])).agg(F.sort_array(F.collect_list(entry)).alias("_l"))
     return lists.select(
@@ -100,10 +119,16 @@ def pk_catalogue(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str
 
     Objects without any PK row give one record whose table and lists are
     null (A4); ``colCnt``/``colCntPK`` are always the object's totals.
+    Plan: one scan feeds the (object, table) counts, from which both the
+    object rollup and the hot-group check are derived; one scan feeds the
+    PK lists; the final join is between two aggregates.
     """
     levels = list(levels)
-    rollup = object_rollup(mappings, levels, flag)
-    lists = pk_lists(mappings, levels, flag, max_list_len)
+    counts = table_counts(mappings, levels, flag)
+    rollup = counts.groupBy(*_cols(levels)).agg(
+        F.sum("_n").alias(COL_CNT), F.sum("_npk").cast("long").alias(COL_CNT_PK)
+    )
+    lists = pk_lists(mappings, levels, flag, max_list_len, counts)
     joined = rollup.join(lists, on=levels, how="left")
     has_pk = F.coalesce(F.col(COL_CNT_PK), F.lit(0)) != 0
     return joined.select(

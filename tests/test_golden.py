@@ -1,0 +1,173 @@
+"""Golden edge rows (FIXTURES.md §6) for the row-level operators and functions."""
+
+import hashlib
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sheetwright.constants import LEVELS
+from sheetwright.functions.hashing import hash_files, hash_text
+from sheetwright.functions.naming import camel_case, camel_case_text, slugify, slugify_text, split_camel_case
+from sheetwright.operators.flags import yes_no
+from sheetwright.operators.paths import split_path
+from sheetwright.operators.records import clean_empties, flatten_records
+
+
+def test_path_levels(spark):
+    cases = {
+        "a": ["a", "a", "a", "a"],
+        "a.b": ["a", "b", "b", "b"],
+        "a.b.c": ["a", "b", "", "c"],
+        "a.b.c.d": ["a", "b", "c", "d"],
+        "a.b.c.d.e": ["a", "b", "c", "d"],
+        "": ["", "", "", ""],
+        "a..b": ["a", "", "", "b"],
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "viewObject string")
+    got = {r["viewObject"]: [r[lv] for lv in LEVELS] for r in split_path(df).collect()}
+    assert got == cases
+
+
+def test_null_path_gives_null_levels(spark):
+    df = spark.createDataFrame([(None,)], "viewObject string")
+    row = split_path(df).first()
+    assert [row[lv] for lv in LEVELS] == [None] * 4
+
+
+def test_yes_no(spark):
+    vals = ["Yes", "No", "yes", "Y", " Yes", "", None, "Primary Key Column"]
+    df = spark.createDataFrame([(v,) for v in vals], "f string")
+    got = [r[0] for r in df.select(yes_no("f")).collect()]
+    assert got == [1, 0, None, None, None, None, None, None]
+
+
+CAMEL = {
+    "Primary Key Column": "primaryKeyColumn",
+    "Is It?": "isIt",
+    "Top 2nd item": "top2NdItem",
+    "4-NOT SPECIFIED": "4NotSpecified",
+    "hello-world foo_bar": "helloWorldFooBar",
+    "a\tb c": "a\tbC",
+    "Été déjà vu": "tDJVu",
+    "???": None,
+    "": None,
+    None: None,
+}
+
+
+def test_camel_case_column_and_text(spark):
+    df = spark.createDataFrame([(k,) for k in CAMEL], "s string")
+    got = {r["s"]: r["c"] for r in df.select("s", camel_case("s").alias("c")).collect()}
+    for k, want in CAMEL.items():
+        assert got[k] == want, k
+        assert camel_case_text(k) == want, k
+
+
+def test_split_camel_case(spark):
+    cases = {"viewObjectModelTop": ["view", "Object", "Model", "Top"], "ABc": ["ABc"], "a~b": ["a", "b"],
+             "aBcD": ["a", "Bc", "D"]}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    got = {r["s"]: r["w"] for r in df.select("s", split_camel_case("s").alias("w")).collect()}
+    assert got == cases
+
+
+SLUGS = {
+    "Été  Report--1.final_.xlsx": "Ete-Report-1.final.xlsx",
+    "  spaced   out  ": "spaced-out",
+    "a/b\\c:d": "abcd",
+    "ﬁle №5": "file-No5",
+    "x\x1cy": "x-y",
+    "__init__.py": "init.py",
+}
+
+
+def test_slugify(spark):
+    df = spark.createDataFrame([(k,) for k in SLUGS] + [(None,)], "s string")
+    got = {r["s"]: r["g"] for r in df.select("s", slugify("s").alias("g")).collect()}
+    for k, want in SLUGS.items():
+        assert got[k] == want, k
+        assert slugify_text(k) == want
+    assert got[None] == "None"
+
+
+def test_slugify_unicode(spark):
+    df = spark.createDataFrame([("Été  Report--1.final_.xlsx",)], "s string")
+    assert df.select(slugify("s", allow_unicode=True)).first()[0] == "Été-Report-1.final.xlsx"
+
+
+def test_clean_empties_nested(spark):
+    schema = ("a int, b boolean, c string, d string, e array<int>, "
+              "f struct<g:string>, h struct<x:struct<y:array<struct<z:int>>>>, i string")
+    rows = [(0, False, "", "None", [], ("",), (([(0,)],),), "y")]
+    df = spark.createDataFrame(rows, schema)
+    got = json.loads(clean_empties(df).select(F.to_json(F.struct("*"))).first()[0])
+    assert got == {"b": False, "i": "y"}
+
+
+def test_clean_empties_lists_and_maps(spark):
+    df = spark.createDataFrame([([1, 0], ["", "x"], {"x": None, "y": "v"}, {"k": ""})],
+                               "a array<int>, b array<string>, m map<string,string>, n map<string,string>")
+    row = clean_empties(df).first()
+    assert row["a"] == [1] and row["b"] == ["x"] and row["m"] == {"y": "v"} and row["n"] is None
+
+
+def test_clean_empties_drops_empty_records(spark):
+    df = spark.createDataFrame([(0, ""), (1, "")], "a int, s string")
+    assert [r["a"] for r in clean_empties(df).collect()] == [1]
+
+
+def test_clean_keeps_nan_and_zero_option(spark):
+    df = spark.createDataFrame([(float("nan"), 0)], "x double, y int")
+    row = clean_empties(df, drop_zero=False).first()
+    assert row["y"] == 0
+    assert clean_empties(df).first()["y"] is None
+
+
+def test_flatten_records(spark):
+    schema = "a array<string>, b array<string>, c int, n struct<b:int, c:struct<d:string>>, l array<string>, k array<int>"
+    df = spark.createDataFrame([(["x", "y"], [], 3, (1, ("z",)), ["", "x"], [1, 2])], schema)
+    flat = flatten_records(df)
+    assert flat.columns == ["a", "b", "c", "n_b", "n_c_d", "l", "k"]
+    row = flat.first().asDict()
+    assert row == {"a": "x>y", "b": None, "c": 3, "n_b": 1, "n_c_d": "z", "l": ">x", "k": "[1,2]"}
+
+
+def test_flatten_keeps_values_inside_encoded_lists(spark):
+    df = spark.createDataFrame([(([(0,)],), "y")], "a struct<b:array<struct<c:int>>>, d string")
+    row = flatten_records(df).first().asDict()
+    assert row == {"a_b": '[{"c":0}]', "d": "y"}
+
+
+def test_hash_text_equals_hashlib(spark):
+    texts = ["", "abc", "Été ☃ 😀"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r[0] for r in df.select(hash_text("s")).collect()]
+    assert got == [hashlib.sha512(t.encode("utf-8")).hexdigest() for t in texts]
+
+
+def test_hash_files(spark, tmp_dir):
+    import os
+
+    p = os.path.join(tmp_dir, "f.bin")
+    with open(p, "wb") as fh:
+        fh.write(b"\x00\x01payload" * 1000)
+    manifest = spark.createDataFrame([(p,), (tmp_dir,), (os.path.join(tmp_dir, "missing"),)], "path string")
+    got = {r["path"]: r["sha512"] for r in hash_files(spark, manifest, "path", [tmp_dir]).collect()}
+    false_hash = hashlib.sha512(b"False").hexdigest()
+    assert got[p] == hashlib.sha512(b"\x00\x01payload" * 1000).hexdigest()
+    assert got[tmp_dir] == false_hash
+    assert got[os.path.join(tmp_dir, "missing")] == false_hash
+
+
+@pytest.mark.parametrize("text", ["Top 2nd item", "x1y2 z3w", "ÀB cD"])
+def test_camel_digit_rule_matches_python_title(spark, text):
+    df = spark.createDataFrame([(text,)], "s string")
+    assert df.select(camel_case("s")).first()[0] == camel_case_text(text)
+
+
+def test_struct_type_clean_all_null_struct(spark):
+    df = spark.createDataFrame([((None, 0),)], T.StructType([T.StructField(
+        "s", T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())]))]))
+    assert clean_empties(df).count() == 0
