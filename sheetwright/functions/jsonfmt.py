@@ -171,7 +171,12 @@ def py_float(c: Column) -> Column:
             .otherwise(_py_float_parts(chosen))
         )
     x = c.cast("double")
-    return _let(F.struct(x.alias("x"), x.cast("string").alias("s")), layout)
+    s = x.cast("string")
+    # Java and Python print the same text for plain positional numbers with
+    # at most 15 digits (|x| in [1e-3, 1e7) or zero): no parsing needed.
+    plain = (~s.contains("E")) & (F.length(s) <= 16) & (s != "NaN") & (~s.contains("Infinity"))
+    return F.when(x.isNull(), F.lit(None)).when(plain, s).otherwise(
+        _let(F.struct(x.alias("x"), s.alias("s")), layout))
 
 
 def python_json(c: Column, dtype: T.DataType) -> Column:
