@@ -80,7 +80,10 @@ def _list_parts(pk: DataFrame, keys: list[str], counts: DataFrame, max_list_len:
     """
     if not max_list_len:
         return pk.withColumn(LIST_PART, F.lit(0))
-    hot = counts.filter(F.col("_npk") > max_list_len).select(*_cols(keys))
+    # "_n >= _npk" always holds; it keeps "_n" in this branch so that column
+    # pruning leaves the counts aggregate identical to the rollup's and the
+    # shuffle is shared (ReusedExchange) instead of computed twice.
+    hot = counts.filter((F.col("_npk") > max_list_len) & (F.col("_n") >= F.col("_npk"))).select(*_cols(keys))
     probes = [j / _QUANTILE_PROBES for j in range(1, _QUANTILE_PROBES)]
     cuts = (
         pk.join(hot, on=keys, how="left_semi")
