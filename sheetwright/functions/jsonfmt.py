@@ -35,16 +35,21 @@ def walk(c: Column, dtype: T.DataType, leaf) -> Column:
     return leaf(c, dtype)
 
 
-def iso_timestamp(c: Column) -> Column:
-    """ISO-8601 with offset; fraction printed only when micro-seconds are non-zero."""
-    whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ssxxx")
-    frac = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
-    return F.when(F.unix_micros(c.cast("timestamp")) % 1_000_000 == 0, whole).otherwise(frac)
+def iso_timestamp(c: Column, naive: bool = False) -> Column:
+    """ISO-8601 with offset; fraction printed only when micro-seconds are non-zero.
+
+    An instant (TIMESTAMP) shows the session time zone's offset; a naive
+    value (TIMESTAMP_NTZ) is taken as UTC and always ends in ``+00:00``.
+    """
+    offset = "'+00:00'" if naive else "xxx"
+    whole = F.date_format(c, f"yyyy-MM-dd'T'HH:mm:ss{offset}")
+    frac = F.date_format(c, f"yyyy-MM-dd'T'HH:mm:ss.SSSSSS{offset}")
+    return F.when(F.date_format(c, "SSSSSS") == "000000", whole).otherwise(frac)
 
 
 def _encodable(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return iso_timestamp(c)
+        return iso_timestamp(c, naive=isinstance(dtype, T.TimestampNTZType))
     if isinstance(dtype, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")
     if isinstance(dtype, T.DayTimeIntervalType):

@@ -80,6 +80,9 @@ SLUGS = {
     "ﬁle №5": "file-No5",
     "x\x1cy": "x-y",
     "__init__.py": "init.py",
+    "a-.-b": "a.b",
+    ".-._x_": "..x",
+    "-_-": "",
 }
 
 
@@ -171,3 +174,16 @@ def test_struct_type_clean_all_null_struct(spark):
     df = spark.createDataFrame([((None, 0),)], T.StructType([T.StructField(
         "s", T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())]))]))
     assert clean_empties(df).count() == 0
+
+
+def test_naive_timestamps_are_utc_in_any_session_zone(spark):
+    from sheetwright.functions.jsonfmt import record_json
+
+    df = spark.sql("SELECT timestamp_ntz'2024-01-01 10:00:00' AS a, timestamp_ntz'2024-01-01 10:00:00.5' AS b")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = json.loads(df.select(record_json(df.columns, df.schema)).first()[0])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {"a": "2024-01-01T10:00:00+00:00", "b": "2024-01-01T10:00:00.500000+00:00"}
