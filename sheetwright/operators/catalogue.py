@@ -84,11 +84,13 @@ def _list_parts(pk: DataFrame, keys: list[str], counts: DataFrame, max_list_len:
     # pruning leaves the counts aggregate identical to the rollup's and the
     # shuffle is shared (ReusedExchange) instead of computed twice.
     hot = counts.filter((F.col("_npk") > max_list_len) & (F.col("_n") >= F.col("_npk"))).select(*_cols(keys))
-    probes = [j / _QUANTILE_PROBES for j in range(1, _QUANTILE_PROBES)]
+    # one SQL literal array (a Python list would cost one JVM call per element)
+    probes = ", ".join(f"{j / _QUANTILE_PROBES!r}D" for j in range(1, _QUANTILE_PROBES))
+    quantiles = F.expr(f"percentile_approx(`{ROW_INDEX}`, array({probes}), 100000)")
     cuts = (
         pk.join(hot, on=keys, how="left_semi")
         .groupBy(*_cols(keys))
-        .agg(F.array_distinct(F.percentile_approx(F.col(ROW_INDEX), probes, 100_000)).alias("_cuts"))
+        .agg(F.array_distinct(quantiles).alias("_cuts"))
     )
     tagged = pk.join(cuts, on=keys, how="left")
     part = F.size(F.filter("_cuts", lambda c: c < F.col(ROW_INDEX)))
