@@ -13,7 +13,7 @@ from ..operators.catalogue import DEFAULT_MAX_LIST_LEN, object_rollup, pk_catalo
 from ..operators.flags import drop_incomplete, yes_no_flags
 from ..operators.nulls import fill_text
 from ..operators.paths import split_path
-from ..sinks.files import dated_path, write_json
+from ..sinks.files import dated_path, export_path, write_json
 from ..sinks.tables import save_table, save_view
 from ..sources.sheets import read_sheet
 
@@ -34,12 +34,12 @@ def clean_mapping(raw: DataFrame, flags: Sequence[str], source: str = VIEW_OBJEC
 
 
 def load_mapping(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet",
-                 names: Sequence[str] | None = None) -> MappingLoad:
+                 names: Sequence[str] | None = None, nrows: int | None = None) -> MappingLoad:
     """Read a sheet export, find and apply its header, clean it (P1 without the store).
 
     Every column from the fifth on is a Yes/No flag.
     """
-    raw, names = read_sheet(spark, paths, fmt, names)
+    raw, names = read_sheet(spark, paths, fmt, names, nrows)
     flags = tuple(names[4:])
     if PK_FLAG not in flags:
         raise ValueError(f"'{PK_FLAG}' must be one of the flag columns (5th column on): {names}")

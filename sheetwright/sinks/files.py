@@ -94,6 +94,16 @@ def dated_path(path: str, on: dt.date | None = None) -> str:
     return f"{head}/{dated_name(leaf, on)}" if head else dated_name(leaf, on)
 
 
+def export_path(folder: str, name: str, dated: bool = False, on: dt.date | None = None) -> str:
+    """``folder/<slug(name)>``, with ``.json`` when the slug has no suffix, optionally date-prefixed."""
+    leaf = slugify_text(name)
+    if "." not in leaf.lstrip("."):
+        leaf = f"{leaf}.json"
+    if dated:
+        leaf = dated_name(leaf, on)
+    return f"{folder.rstrip('/')}/{leaf}"
+
+
 def dataset_names(n: int, names: Sequence[str] | None) -> list[str]:
     """Given names when there is one per dataset, else ``Sheet i of n`` for all of them."""
     if not names or len(names) != n:

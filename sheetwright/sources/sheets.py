@@ -229,9 +229,14 @@ def apply_header(lines: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def read_sheet(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet",
-               names: Sequence[str] | None = None) -> tuple[DataFrame, tuple[str, ...]]:
-    """Read a sheet export; names are discovered unless given (S2 + S3 + R14)."""
+               names: Sequence[str] | None = None, nrows: int | None = None) -> tuple[DataFrame, tuple[str, ...]]:
+    """Read a sheet export; names are discovered unless given (S2 + S3 + R14).
+
+    ``nrows`` caps the data lines read after line 0 (by position, so the
+    cap is a filter on the line number, not a sample).
+    """
     sheet = open_sheet(spark, paths, fmt)
     if names is None:
         names = discover_header(sheet).names
-    return apply_header(sheet.lines(), names), tuple(names)
+    lines = sheet.lines() if nrows is None else sheet.lines(sheet.head_files(nrows)).filter(F.col(LINE) <= nrows)
+    return apply_header(lines, names), tuple(names)

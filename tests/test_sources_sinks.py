@@ -128,6 +128,21 @@ def test_write_many_names_skip_and_overwrite(spark, tmp_dir):
     assert dataset_names(2, ["x", "y"]) == ["x", "y"]
 
 
+def test_row_cap_is_positional(spark, tmp_dir):
+    _write(f"{tmp_dir}/s.csv", SHEET_CSV)
+    df, _ = read_sheet(spark, f"{tmp_dir}/s.csv", fmt="csv", nrows=5)
+    assert sorted(r[ROW_INDEX] for r in df.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_export_path():
+    from sheetwright.sinks.files import export_path
+
+    day = dt.date(2026, 1, 5)
+    assert export_path("/out", "pk Cols") == "/out/pk-Cols.json"
+    assert export_path("/out", "Été report.yaml") == "/out/Ete-report.yaml"
+    assert export_path("/out", "pkCols", dated=True, on=day) == "/out/V2026.01.05__pkCols.json"
+
+
 def test_dated_names():
     day = dt.date(2026, 1, 5)
     assert dated_name("pkCols.json", day) == "V2026.01.05__pkCols.json"
