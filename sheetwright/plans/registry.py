@@ -209,6 +209,7 @@ def q_json_output_size(spark, sf_dir):
 def q_write_many(spark, sf_dir):
     target = scratch_path(spark, "datasets")
     orders = table(spark, sf_dir, "orders")
+    # the fourth dataset is empty (no order has a negative price): the sink must skip it
     sets = [orders, table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier"),
             orders.filter(F.col("o_totalprice") < 0)]
     written = write_many(sets, target, names=["orders", "customers"])  # wrong length: default names
