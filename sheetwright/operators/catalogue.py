@@ -11,15 +11,16 @@ Plan shape (see README "Scale"):
   preserved side's partner.
 * catalogue: PK rows are aggregated to ordered lists *before* any join; the
   only join is between two aggregates (objects x lists).  A group with more
-  than ``max_list_len`` PK rows is cut into ordered parts at approximate
-  ``rowIndex`` quantiles, so no task ever collects an unbounded list.
+  than ``max_list_len`` PK rows is cut into consecutive parts of exactly
+  ``max_list_len`` entries by an exact, distributed rank, so no task ever
+  collects an unbounded list.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import ATTRIBUTE, COL_CNT, COL_CNT_PK, COLUMN, LEVELS, PK_FLAG, ROW_INDEX, TABLE
@@ -27,7 +28,6 @@ from .selection import pk_rows
 
 LIST_PART = "listPart"
 DEFAULT_MAX_LIST_LEN = 1_000_000
-_QUANTILE_PROBES = 1024
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -70,32 +70,46 @@ def table_counts(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str
     )
 
 
+def _ranked_in_group(rows: DataFrame, keys: list[str], order: list[str], bucket_width: int) -> DataFrame:
+    """Exact 0-based rank of each row inside its group, in ``order`` — without one task per group.
+
+    Rows are bucketed by ``rowIndex // bucket_width``.  Per (group, bucket)
+    counts are a small aggregate; their running sum over the buckets of a
+    group (a window partitioned by the group keys) is each bucket's offset,
+    and ``row_number`` inside one (group, bucket) gives the rest.  Every
+    window partition holds at most one bucket of positions (rowIndex is a
+    sheet position), so no task sees a whole group.  All keys are data
+    values, so the result does not depend on partitioning or retries.
+    """
+    bucket = F.floor(F.col(ROW_INDEX) / bucket_width).cast("long").alias("_b")
+    with_b = rows.select("*", bucket)
+    counts = with_b.groupBy(*_cols(keys), "_b").agg(F.count(F.lit(1)).alias("_c"))
+    earlier = Window.partitionBy(*_cols(keys)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*_cols(keys), "_b", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_off"))
+    within = Window.partitionBy(*_cols(keys), "_b").orderBy(*_cols(order))
+    ranked = with_b.join(offsets, on=keys + ["_b"], how="inner")
+    return ranked.select(*_cols(rows.columns), (F.col("_off") + F.row_number().over(within) - 1).alias("_rank"))
+
+
 def _list_parts(pk: DataFrame, keys: list[str], counts: DataFrame, max_list_len: int | None) -> DataFrame:
     """Tag each PK row with the ordered part of its group's list it belongs to.
 
-    Groups with at most ``max_list_len`` PK rows are one part (0).  Larger
-    ("hot") groups are cut at approximate ``rowIndex`` quantiles computed by
-    a distributed aggregate over only the hot groups' rows; when no group is
-    hot, AQE sees the empty side at runtime and drops these joins.
+    Groups with at most ``max_list_len`` PK rows are one part (0).  The rows
+    of larger ("hot") groups get their exact rank in list order, and part =
+    rank // max_list_len, so every part holds exactly ``max_list_len``
+    entries except the last.  When no group is hot, AQE sees the empty side
+    at runtime and the extra branch costs nothing.
     """
     if not max_list_len:
         return pk.withColumn(LIST_PART, F.lit(0))
     # "_n >= _npk" always holds; it keeps "_n" in this branch so that column
-    # pruning leaves the counts aggregate identical to the rollup's and the
-    # shuffle is shared (ReusedExchange) instead of computed twice.
+    # pruning leaves the counts aggregate identical to the rollup's.
     hot = counts.filter((F.col("_npk") > max_list_len) & (F.col("_n") >= F.col("_npk"))).select(*_cols(keys))
-    # one SQL literal array (a Python list would cost one JVM call per element)
-    probes = ", ".join(f"{j / _QUANTILE_PROBES!r}D" for j in range(1, _QUANTILE_PROBES))
-    quantiles = F.expr(f"percentile_approx(`{ROW_INDEX}`, array({probes}), 100000)")
-    cuts = (
-        pk.join(hot, on=keys, how="left_semi")
-        .groupBy(*_cols(keys))
-        .agg(F.array_distinct(quantiles).alias("_cuts"))
-    )
-    tagged = pk.join(cuts, on=keys, how="left")
-    part = F.size(F.filter("_cuts", lambda c: c < F.col(ROW_INDEX)))
-    part = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(part)
-    return tagged.withColumn(LIST_PART, part.cast("int")).drop("_cuts")
+    cold = pk.join(hot, on=keys, how="left_anti").withColumn(LIST_PART, F.lit(0))
+    hot_rows = pk.join(hot, on=keys, how="left_semi")
+    ranked = _ranked_in_group(hot_rows, keys, [ROW_INDEX, ATTRIBUTE, COLUMN], max_list_len)
+    parts = ranked.select(*_cols(pk.columns), F.floor(F.col("_rank") / max_list_len).cast("int").alias(LIST_PART))
+    return cold.unionByName(parts)
 
 
 def pk_lists(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG,

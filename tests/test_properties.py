@@ -40,12 +40,30 @@ def test_hot_groups_are_split_into_ordered_parts(spark):
     m = _mappings(spark)
     whole = {tuple(r[:5]): r["cols"] for r in pk_lists(m, max_list_len=None).collect()}
     parts = pk_lists(m, max_list_len=3).collect()
-    assert max(len(r["cols"]) for r in parts) > 0
-    joined = {}
+    joined, sizes = {}, {}
     for r in sorted(parts, key=lambda r: (tuple(r[:5]), r["listPart"])):
         joined.setdefault(tuple(r[:5]), []).extend(r["cols"])
+        sizes.setdefault(tuple(r[:5]), []).append((r["listPart"], len(r["cols"])))
     assert joined == whole
-    assert any(r["listPart"] > 0 for r in parts)
+    for key, ps in sizes.items():
+        assert [p for p, _ in ps] == list(range(len(ps)))          # parts 0..k-1
+        assert all(n == 3 for _, n in ps[:-1]) and 1 <= ps[-1][1] <= 3, key
+    assert any(len(ps) > 1 for ps in sizes.values())
+
+
+def test_one_hot_object_holding_a_third_of_rows(spark):
+    """One object with a third of all rows: lists are split into bounded, ordered parts."""
+    m = _mappings(spark)
+    hot = m.withColumn("viewObjectModelTop", F.when(F.col("rowIndex") % 3 == 0, F.lit("HOT"))
+                       .otherwise(F.col("viewObjectModelTop")))
+    hot = hot.withColumns({c: F.when(F.col("viewObjectModelTop") == "HOT", F.lit("x")).otherwise(F.col(c))
+                           for c in LEVELS[1:]})
+    cat = pk_catalogue(hot, max_list_len=50)
+    rows = cat.filter(F.col("viewObjectModelTop") == "HOT").collect()
+    assert max(len(r["cols"]) for r in rows) <= 50
+    n_pk = hot.filter((F.col("viewObjectModelTop") == "HOT") & (F.col("primaryKeyColumn") == 1)).count()
+    assert sum(len(r["cols"]) for r in rows) == n_pk
+    assert len({r["colCntPK"] for r in rows}) == 1 and rows[0]["colCntPK"] == n_pk
 
 
 def test_clean_is_idempotent(spark):
