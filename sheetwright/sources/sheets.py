@@ -21,7 +21,7 @@ import io
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,20 +67,31 @@ def _csv_width(spark: SparkSession, paths: Sequence[str], probe_lines: int) -> i
 
 
 def _positioned_csv(spark: SparkSession, paths: Sequence[str], width: int | None = None) -> DataFrame:
-    """Each file is read whole (a sheet part is bounded), split into lines, parsed by ``from_csv``.
-
-    Quoted cells spanning several lines are not supported by this reader.
+    """CSV lines with their line number inside the file, read splittably, parsed by ``from_csv``.
+
+    The text source splits files into blocks; a line's number is the line
+    count of the earlier blocks of its file (per-block counts: one small row
+    per block, summed by a window partitioned by file) plus its order inside
+    its block (the row counter of ``monotonically_increasing_id``, which is
+    contiguous within a block).  Scan partitioning is deterministic, so both
+    uses of the scan see the same counters.  Empty lines are kept (as empty
+    rows); quoted cells spanning several lines are not supported.
     """
     width = width or _csv_width(spark, paths, 1 + HEADER_SEARCH_LINES + 64)
     names = _cell_names(width)
     schema = ", ".join(f"{n} STRING" for n in names)
-    text = spark.read.text(list(paths), wholetext=True).select(
-        F.col("_metadata.file_path").alias(FILE), F.col("value")
+    text = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_block_start").alias("_blk"),
+        F.monotonically_increasing_id().alias("_m"),
+        F.col("value").alias("_text"),
     )
-    # drop one trailing line terminator, then number the lines
-    body = F.regexp_replace("value", r"\r?\n\z", "")
-    lines = text.select(FILE, F.posexplode(F.split(body, r"\r?\n", -1)).alias(POS, "_text"))
-    parsed = lines.select(FILE, F.col(POS).cast("long").alias(POS), F.from_csv("_text", schema).alias("_r"))
+    blocks = text.groupBy(FILE, "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
+    earlier = Window.partitionBy(FILE).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select(FILE, "_blk", "_m0", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_b0"))
+    lines = text.join(F.broadcast(starts), on=[FILE, "_blk"], how="inner")  # one row per file block
+    parsed = lines.select(FILE, (F.col("_b0") + F.col("_m") - F.col("_m0")).alias(POS),
+                          F.from_csv(F.regexp_replace("_text", r"\r$", ""), schema).alias("_r"))
     blank = lambda c: F.when(F.col(c) != "", F.col(c))  # noqa: E731  empty CSV cell -> null
     return parsed.select(FILE, POS, *[blank(f"_r.{n}").alias(n) for n in names])
 

@@ -49,6 +49,24 @@ def test_csv_sheet_positions_and_header(spark, tmp_dir):
     assert rows["AttrA"]["viewObjectName"] == "Thing"
 
 
+def test_csv_positions_across_file_blocks(spark, tmp_dir):
+    """A CSV file read in many blocks (splits) keeps exact line numbers, blank lines included."""
+    from sheetwright.sources.sheets import POS, _positioned_csv
+
+    lines = [f"r{i},{'x' * (i % 50)},{i}" if i % 97 else "" for i in range(6000)]
+    _write(f"{tmp_dir}/big.csv", "\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+        df = _positioned_csv(spark, [f"{tmp_dir}/big.csv"], width=3)
+        got = {r[POS]: r["_c0"] for r in df.collect()}
+        n_parts = df.rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert n_parts > 4
+    assert got == {i: (f"r{i}" if i % 97 else None) for i in range(6000)}
+
+
 def test_header_needs_blank_second_cell_on_line_zero(spark, tmp_dir):
     _write(f"{tmp_dir}/bad.csv", "Title,Oops,,\n" + SHEET_CSV.split("\n", 1)[1])
     with pytest.raises(LookupError):
