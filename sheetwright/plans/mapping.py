@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..constants import LEVELS, MAPPINGS_TABLE, OBJECT_VIEW, PK_FLAG, PK_VIEW, VIEW_OBJECT
-from ..operators.catalogue import DEFAULT_MAX_LIST_LEN, object_rollup, pk_catalogue, pk_view
+from ..operators.catalogue import DEFAULT_MAX_LIST_LEN, object_rollup, pk_catalogue, pk_view, sort_catalogue
 from ..operators.flags import drop_incomplete, yes_no_flags
 from ..operators.nulls import fill_text
 from ..operators.paths import split_path
@@ -72,3 +72,17 @@ def export_records(df: DataFrame, path: str, dated: bool = False, on: dt.date |
     """Record export (P4): flatten + clean, JSON text, optional dated name, size-guarded files."""
     target = dated_path(path, on) if dated else path
     return write_json(df, target, simplify=simplify, layout=layout)
+
+
+def export_named(df: DataFrame, folder: str, name: str, dated: bool = False, on: dt.date | None = None,
+                 simplify: bool = True, layout: str = "document", keep_order: bool = False) -> str:
+    """Record export under ``folder`` with a slugged name (``.json`` added when it has no suffix)."""
+    return write_json(df, export_path(folder, name, dated, on), simplify=simplify, layout=layout,
+                      keep_order=keep_order)
+
+
+def write_catalogue(spark: SparkSession, folder: str, name: str = "pkCols", table: str = MAPPINGS_TABLE,
+                    dated: bool = False, on: dt.date | None = None) -> str:
+    """P3's output: the PK catalogue in group-key order (O3) as JSON documents, lists kept as lists."""
+    ordered = sort_catalogue(catalogue(spark, table))
+    return export_named(ordered, folder, name, dated, on, simplify=False, keep_order=True)

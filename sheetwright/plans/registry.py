@@ -29,7 +29,6 @@ from ..sources.json_records import read_json_records
 from ..operators.catalogue import distinct_collapse, object_rollup, pk_catalogue, pk_view
 from ..operators.flags import drop_incomplete, yes_no_flags
 from ..operators.nulls import fill_text
-from ..operators.paths import split_path
 from ..operators.selection import non_flag_columns, pk_rows, select_columns
 from ..sources.fixtures import SHEET_COLUMNS, SHEET_FLAGS, raw_mapping, table, write_mapping_sheet
 from ..sources.sheets import apply_header, discover_header, header_frame, open_sheet, read_with_row_index

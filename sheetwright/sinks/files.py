@@ -59,13 +59,15 @@ def _document_lines(batches):
 
 
 def write_json(df: DataFrame, path: str, simplify: bool = True, layout: str = "lines",
-               limit_mb: int | None = OUTPUT_MB_LIMIT) -> str:
+               limit_mb: int | None = OUTPUT_MB_LIMIT, keep_order: bool = False) -> str:
     """Write records as JSON (S6): flatten + clean first by default.
 
     ``layout='lines'``: JSON Lines (splittable, the scale form).
     ``layout='document'``: each part file is one JSON list document, as the
     original tool wrote; the number of files is chosen so that each holds
-    about ``limit_mb`` MB of text or less (S7).
+    about ``limit_mb`` MB of text or less (S7).  With ``keep_order`` the
+    documents follow the input's partitions instead (a range-sorted input,
+    e.g. after ``orderBy``, then gives files in order), so no repartition.
     """
     data = flatten_records(df) if simplify else df
     if layout == "lines":
@@ -74,7 +76,7 @@ def write_json(df: DataFrame, path: str, simplify: bool = True, layout: str = "l
     if layout != "document":
         raise ValueError(f"unknown layout: {layout}")
     texts = json_text(data)
-    if limit_mb:
+    if limit_mb and not keep_order:
         files = json_output_size(data, limit_mb).first()["files"]
         texts = texts.repartition(int(files))
     docs = texts.mapInPandas(_document_lines, "value string")

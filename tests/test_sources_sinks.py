@@ -185,3 +185,33 @@ def test_streaming_record_export(spark, tmp_dir):
     q.awaitTermination(120)
     out = spark.read.json(f"{tmp_dir}/out").collect()
     assert [r.asDict() for r in out] == [{"d_v": "z", "id": 1, "tags": "x>y"}]
+
+
+def test_write_catalogue_documents(spark, tmp_dir):
+    from sheetwright.constants import LEVELS
+    from sheetwright.plans.mapping import MappingLoad, store_mapping, write_catalogue
+    from sheetwright.plans.registry import _mappings
+    from sheetwright.sources.fixtures import SHEET_COLUMNS, SHEET_FLAGS
+
+    store_mapping(MappingLoad(_mappings(spark, SF_SMALL), SHEET_COLUMNS, SHEET_FLAGS), "mappings",
+                  f"{tmp_dir}/mappings")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")  # several ordered documents
+    try:
+        out = write_catalogue(spark, tmp_dir, dated=True, on=dt.date(2026, 1, 5))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out.endswith("/V2026.01.05__pkCols.json")
+    records = []
+    for f in sorted(os.listdir(out)):
+        if f.startswith("part-"):
+            with open(os.path.join(out, f)) as fh:
+                text = fh.read()
+            if text.strip():
+                records.extend(json.loads(text))
+    assert len(records) == spark.table("mappings").select(*LEVELS, "databaseTable").filter(
+        "primaryKeyColumn = 1").distinct().count() + spark.table("mappingsTables").filter("colCntPK = 0").count()
+    keys = [(r["viewObjectModelTop"], r["viewObjectModel"], r["viewObjectModelService"], r["viewObjectName"])
+            for r in records]
+    assert keys == sorted(keys)
+    assert all(isinstance(r["cols"], list) for r in records if r.get("colCntPK"))
