@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.nulls import fill_text
@@ -30,3 +31,20 @@ def read_json_records(spark: SparkSession, paths: str | Sequence[str], schema: T
         reader = reader.schema(schema)
     df = reader.json(paths)
     return fill_text(df) if fill else df
+
+
+def read_json_document_lines(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str,
+                             fill: bool = True) -> DataFrame:
+    """Records from JSON list documents that hold one record per line (as ``write_json`` writes them).
+
+    Such a document is read line by line, so Spark splits it across tasks:
+    the bracket lines are skipped and each record line loses its list
+    punctuation before ``from_json``.  Documents laid out otherwise (records
+    spanning lines) need ``read_json_records(document=True)``.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    lines = spark.read.text(paths).select(F.trim("value").alias("v"))
+    body = F.regexp_replace(F.regexp_replace("v", r"^\[\s*", ""), r"\s*[,\]]?\s*\]?$", "")
+    records = (lines.select(body.alias("v")).filter(F.col("v") != "")
+               .select(F.from_json("v", schema).alias("r")).select("r.*"))
+    return fill_text(records) if fill else records

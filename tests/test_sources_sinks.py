@@ -132,6 +132,18 @@ def test_write_json_document_layout_is_valid_json(spark, tmp_dir):
     assert records[0]["o_orderdate"].endswith("+00:00")
 
 
+def test_document_lines_round_trip(spark, tmp_dir):
+    from sheetwright.sources.json_records import read_json_document_lines
+
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").drop("o_orderdate")
+    out = write_json(orders, f"{tmp_dir}/docs", simplify=False, layout="document")
+    back = read_json_document_lines(spark, out, orders.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, orders.collect()))
+    _write(f"{tmp_dir}/one.json", '[\n{"o_orderkey": 1, "o_custkey": 2}\n]\n')
+    got = read_json_document_lines(spark, f"{tmp_dir}/one.json", "o_orderkey long, o_custkey long").collect()
+    assert [tuple(r) for r in got] == [(1, 2)]
+
+
 def test_write_many_names_skip_and_overwrite(spark, tmp_dir):
     a = spark.range(3)
     b = spark.range(2)
