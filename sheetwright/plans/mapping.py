@@ -15,7 +15,7 @@ from ..operators.nulls import fill_text
 from ..operators.paths import split_path
 from ..sinks.files import dated_path, export_path, write_json
 from ..sinks.tables import save_table, save_view
-from ..sources.sheets import read_sheet
+from ..sources.sheets import read_sheet, read_sheets
 
 
 @dataclass(frozen=True)
@@ -46,6 +46,19 @@ def load_mapping(spark: SparkSession, paths: str | Sequence[str], fmt: str = "pa
     return MappingLoad(clean_mapping(raw, flags), tuple(names), flags)
 
 
+def load_mappings(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet",
+                  names: Sequence[str] | None = None) -> MappingLoad:
+    """P1 over many sheets at once, each file its own sheet with its own preamble and header.
+
+    Rows keep their per-sheet ``rowIndex`` and a ``sheet`` column.
+    """
+    raw, names = read_sheets(spark, paths, fmt, names)
+    flags = tuple(names[4:])
+    if PK_FLAG not in flags:
+        raise ValueError(f"'{PK_FLAG}' must be one of the flag columns (5th column on): {names}")
+    return MappingLoad(clean_mapping(raw, flags), tuple(names), flags)
+
+
 def store_mapping(load: MappingLoad, table: str = MAPPINGS_TABLE, path: str | None = None) -> DataFrame:
     """Replace the mappings table (P1's store) and build the views over it."""
     spark = load.mappings.sparkSession

@@ -27,6 +27,11 @@ _SHEET_ROWINDEX = (f"row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_par
                    f"l_returnflag, l_linestatus, l_quantity) + {HEADER_LINE - 1}")
 SHEET_RAW = f"SELECT {_CELLS}, {_SHEET_ROWINDEX} AS rowIndex FROM lineitem"
 
+_SHEETS_ROWINDEX = (f"row_number() OVER (PARTITION BY l_suppkey % 4 ORDER BY l_orderkey, l_linenumber, l_partkey, "
+                    f"l_suppkey, l_returnflag, l_linestatus, l_quantity) + {HEADER_LINE - 1}")
+SHEETS_RAW = f"SELECT {_CELLS}, {_SHEETS_ROWINDEX} AS rowIndex FROM lineitem"
+_SHEETS = "(SELECT DISTINCT concat('TAB_', CAST(l_suppkey % 4 AS VARCHAR)) AS sheet FROM lineitem)"
+
 _FLAGGED = """SELECT viewObject, viewObjectAttribute, databaseTable, databaseColumn,
   CASE primaryKeyColumn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS primaryKeyColumn,
   CASE indexedColumn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS indexedColumn, rowIndex FROM raw"""
@@ -169,6 +174,12 @@ FROM (SELECT *, json_extract(props, '$.k')::BIGINT AS k FROM events)""",
         f"SELECT {L}, colCnt, colCntPK, coalesce(viewObjectAttribute, '') AS viewObjectAttribute, "
         f"coalesce(databaseTable, '') AS databaseTable, coalesce(databaseColumn, '') AS databaseColumn, rowIndex "
         f"FROM ({PK_VIEW})"),
+    "discover_sheet_headers": " UNION ALL ".join(
+        f"SELECT sheet, {i} AS position, {_q(t)} AS headerText, {_q(n)} AS columnName, {HEADER_LINE} AS headerLine "
+        f"FROM {_SHEETS}"
+        for i, (t, n) in enumerate(zip(SHEET_HEADER, ["viewObject", "viewObjectAttribute", "databaseTable",
+                                                      "databaseColumn", "primaryKeyColumn", "indexedColumn"]))),
+    "mapping_load_sheets": _with_mappings(SHEETS_RAW) + "SELECT *, databaseTable AS sheet FROM mappings",
     "row_index": ("SELECT l_orderkey, l_partkey, l_linenumber, CAST(row_number() OVER () - 1 AS BIGINT) AS rowIndex "
                   "FROM lineitem"),
 }

@@ -30,9 +30,11 @@ from ..operators.catalogue import distinct_collapse, object_rollup, pk_catalogue
 from ..operators.flags import drop_incomplete, yes_no_flags
 from ..operators.nulls import fill_text
 from ..operators.selection import non_flag_columns, pk_rows, select_columns
-from ..sources.fixtures import SHEET_COLUMNS, SHEET_FLAGS, raw_mapping, table, write_mapping_sheet
-from ..sources.sheets import apply_header, discover_header, header_frame, open_sheet, read_with_row_index
-from .mapping import MappingLoad, clean_mapping, export_records, load_mapping, store_mapping
+from ..sources.fixtures import (SHEET_COLUMNS, SHEET_FLAGS, raw_mapping, table, write_mapping_sheet,
+                                write_mapping_sheets)
+from ..sources.sheets import (apply_header, discover_header, header_frame, open_sheet, read_with_row_index,
+                              sheet_headers)
+from .mapping import MappingLoad, clean_mapping, export_records, load_mapping, load_mappings, store_mapping
 
 # Snapshot day of the dated-snapshot query (a parameter, so results are reproducible).
 SNAPSHOT_DAY = dt.date(2026, 1, 5)
@@ -103,6 +105,25 @@ def q_discover_header(spark, sf_dir):
     return header_frame(open_sheet(spark, write_mapping_sheet(spark, sf_dir)))
 
 
+def _sheet_name(c):
+    """The sheet's folder name (the table it lists) from its file path."""
+    return F.regexp_extract(c, r"/([^/]+)/[^/]+$", 1)
+
+
+def q_discover_sheet_headers(spark, sf_dir):
+    heads = sheet_headers(spark, f"{write_mapping_sheets(spark, sf_dir)}/*")
+    cells = heads.select(_sheet_name(F.col("sheet")).alias("sheet"), "headerLine",
+                         F.posexplode(F.array("hdr.*")).alias("position", "headerText"))
+    return cells.filter(F.col("headerText").isNotNull()).select(
+        "sheet", F.col("position").cast("int").alias("position"), "headerText",
+        camel_case(F.col("headerText")).alias("columnName"), F.col("headerLine").cast("int").alias("headerLine"))
+
+
+def q_mapping_load_sheets(spark, sf_dir):
+    load = load_mappings(spark, f"{write_mapping_sheets(spark, sf_dir)}/*")
+    return load.mappings.withColumn("sheet", _sheet_name(F.col("sheet")))
+
+
 # --- scalar functions -----------------------------------------------------------
 
 def q_camel_case(spark, sf_dir):
@@ -273,6 +294,8 @@ QUERIES: dict[str, Query] = {
     "mapping_load": q_mapping_load,
     "read_sheet": q_read_sheet,
     "discover_header": q_discover_header,
+    "discover_sheet_headers": q_discover_sheet_headers,
+    "mapping_load_sheets": q_mapping_load_sheets,
     "camel_case": q_camel_case,
     "split_camel_case": q_split_camel_case,
     "slugify": q_slugify,

@@ -100,3 +100,40 @@ def write_mapping_sheet(spark: SparkSession, sf_dir: str, path: str | None = Non
     ordered = head.unionByName(data).orderBy("_grp", "_ord", *SHEET_ORDER)
     ordered.select(*cells).write.mode("overwrite").parquet(path)
     return path
+
+
+def write_mapping_sheets(spark: SparkSession, sf_dir: str, path: str | None = None, reuse: bool = True) -> str:
+    """Write the fixture as several single-file sheets, one per database table, under ``path/<table>``.
+
+    Each sheet has its own title, preamble and header lines followed by its
+    data lines in ``SHEET_ORDER`` (a sorted write coalesced to one file).
+    Returns the folder whose sub-folders are the sheets.
+    """
+    if path is None:
+        key = "".join(ch if ch.isalnum() else "_" for ch in sf_dir.rstrip("/"))
+        path = scratch_path(spark, f"mapping-sheets{key}", unique=False)
+    sheets = f"{path}/sheets"
+    if reuse and path_exists(spark, f"{path}/_DONE"):
+        return sheets
+    li = table(spark, sf_dir, "lineitem")
+    cells = [f"_c{i}" for i in range(len(SHEET_COLUMNS))]
+    data = li.select(
+        F.lit(1).alias("_grp"), F.lit(0).alias("_ord"),
+        *[F.col(c) for c in SHEET_ORDER],
+        *[c.alias(n) for c, n in zip(_mapping_cells(li), cells)],
+    )
+    # one sheet per table name found in the data (a handful of names)
+    tables = sorted(r[0] for r in data.select("_c2").distinct().collect())
+    top_lines = [[SHEET_TITLE] + [None] * (len(cells) - 1)]
+    top_lines += [[p] + [None] * (len(cells) - 1) for p in SHEET_PREAMBLE]
+    top_lines += [[None] * len(cells)]
+    top_lines += [list(SHEET_HEADER)]
+    schema = "_ord int, " + ", ".join(f"{c} string" for c in cells)
+    head = spark.createDataFrame([[i] + line for i, line in enumerate(top_lines)], schema)
+    head = head.select(F.lit(0).alias("_grp"), "_ord",
+                       *[F.lit(None).cast(t).alias(c) for c, t in li.select(*SHEET_ORDER).dtypes], *cells)
+    for name in tables:
+        one = head.unionByName(data.filter(F.col("_c2") == name)).orderBy("_grp", "_ord", *SHEET_ORDER)
+        one.select(*cells).coalesce(1).write.mode("overwrite").parquet(f"{sheets}/{name}")
+    spark.createDataFrame([("done",)], "s string").coalesce(1).write.mode("overwrite").text(f"{path}/_DONE")
+    return sheets

@@ -251,3 +251,57 @@ def read_sheet(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parq
         names = discover_header(sheet).names
     lines = sheet.lines() if nrows is None else sheet.lines(sheet.head_files(nrows)).filter(F.col(LINE) <= nrows)
     return apply_header(lines, names), tuple(names)
+
+
+SHEET = "sheet"
+
+
+def sheet_headers(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet",
+                  search: int = HEADER_SEARCH_LINES) -> DataFrame:
+    """Every file is its own sheet: the header of each, found by one distributed aggregate (S3, many files).
+
+    One row per file: ``sheet`` (file path), ``headerLine``, the raw header
+    cells ``hdr`` (a struct), and ``line0Named`` (true when line 0's 2nd
+    cell is not blank, i.e. the file has no valid header).
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    raw = _positioned(spark, paths, fmt)
+    cells = sorted((c for c in raw.columns if c.startswith("_c")), key=lambda c: int(c[2:]))
+    candidate = (F.col(POS) >= 1) & (F.col(POS) <= search) & _truthy("_c1")
+    return raw.filter(F.col(POS) <= search).groupBy(FILE).agg(
+        F.max(F.when((F.col(POS) == 0) & _truthy("_c1"), True).otherwise(False)).alias("line0Named"),
+        F.min_by(F.struct(*cells), F.when(candidate, F.col(POS))).alias("hdr"),
+        F.min(F.when(candidate, F.col(POS))).alias("headerLine"),
+    ).withColumnRenamed(FILE, SHEET)
+
+
+def read_sheets(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet",
+                names: Sequence[str] | None = None) -> tuple[DataFrame, tuple[str, ...]]:
+    """Read many single-file sheets at once: rows named by the common header, ``rowIndex`` per sheet.
+
+    All files must carry the same header texts (one schema); only the
+    distinct headers reach the driver.  Adds the ``sheet`` column (file path).
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    raw = _positioned(spark, paths, fmt)
+    cells = sorted((c for c in raw.columns if c.startswith("_c")), key=lambda c: int(c[2:]))
+    if names is None:
+        heads = sheet_headers(spark, paths, fmt)
+        bad = heads.filter(F.col("line0Named") | F.col("hdr").isNull()).select(SHEET).limit(5).collect()
+        if bad:
+            raise LookupError(f"no header line found in: {[r[0] for r in bad]}")
+        distinct = heads.select("hdr").distinct().limit(2).collect()
+        if len(distinct) != 1:
+            raise ValueError("the sheets do not share one header")
+        raw_hdr = tuple(distinct[0]["hdr"][c] for c in cells)
+        while raw_hdr and raw_hdr[-1] in (None, ""):
+            raw_hdr = raw_hdr[:-1]
+        names = tuple(camel_case_text(v) for v in raw_hdr)
+        if not all(names) or len(set(names)) != len(names):
+            raise ValueError(f"header cells give empty or duplicate names: {names}")
+    out = raw.filter(F.col(POS) >= 1).select(
+        *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)],
+        (F.col(POS) - 1).alias(ROW_INDEX),
+        F.col(FILE).alias(SHEET),
+    )
+    return out, tuple(names)

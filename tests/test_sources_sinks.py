@@ -67,6 +67,20 @@ def test_csv_positions_across_file_blocks(spark, tmp_dir):
     assert got == {i: (f"r{i}" if i % 97 else None) for i in range(6000)}
 
 
+def test_many_single_file_sheets(spark, tmp_dir):
+    from sheetwright.plans.mapping import load_mappings
+
+    os.makedirs(f"{tmp_dir}/many")
+    _write(f"{tmp_dir}/many/a.csv", SHEET_CSV)
+    _write(f"{tmp_dir}/many/b.csv", "Other title,,,,,\n" + SHEET_CSV.split("\n", 3)[3].replace("AttrA", "AttrZ"))
+    load = load_mappings(spark, f"{tmp_dir}/many", fmt="csv")
+    rows = {(r["sheet"].rsplit("/", 1)[-1], r["viewObjectAttribute"]): r[ROW_INDEX] for r in load.mappings.collect()}
+    assert rows[("a.csv", "AttrA")] == 3 and rows[("b.csv", "AttrZ")] == 1   # rowIndex per sheet
+    _write(f"{tmp_dir}/many/c.csv", "T,,\nA,B,C\nx,y,z\n")
+    with pytest.raises(ValueError):
+        load_mappings(spark, f"{tmp_dir}/many", fmt="csv")
+
+
 def test_header_needs_blank_second_cell_on_line_zero(spark, tmp_dir):
     _write(f"{tmp_dir}/bad.csv", "Title,Oops,,\n" + SHEET_CSV.split("\n", 1)[1])
     with pytest.raises(LookupError):
