@@ -113,3 +113,16 @@ def test_python_json_matches_json_dumps(spark, rows):
     got = [r[0] for r in df.select(python_json(F.struct(*df.columns), schema)).collect()]
     want = [json.dumps(dict(zip(["i", "s", "f", "b", "l"], r))) for r in rows]
     assert got == want
+
+
+def test_hash_record_equals_python_json_dumps(spark):
+    import hashlib
+
+    from sheetwright.functions.hashing import hash_record
+
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").drop("o_orderdate")  # JSON-native fields
+    rows = orders.select("*", hash_record(orders).alias("h")).collect()
+    for r in rows:
+        d = r.asDict()
+        h = d.pop("h")
+        assert h == hashlib.sha512(json.dumps(d).encode("utf-8")).hexdigest(), d
