@@ -157,6 +157,7 @@ FROM (SELECT {L}, list_sort(list(DISTINCT databaseTable)) AS t FROM mappings GRO
 FROM (SELECT *, json_extract(props, '$.k')::BIGINT AS k FROM events)""",
     "flatten_records": EVENTS_FLAT,
     "write_json": EVENTS_FLAT,
+    "stream_record_export": EVENTS_FLAT,
     "drop_null_columns": f"SELECT * EXCLUDE (indexedColumn) FROM ({RAW})",
     "read_json_records": ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
                           + _ISO.format(c="o_orderdate") + " AS o_orderdate, o_orderpriority FROM orders"),

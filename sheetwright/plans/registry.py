@@ -26,6 +26,7 @@ from ..session import scratch_path
 from ..sinks.files import dated_path, json_output_size, write_json, write_many
 from ..sinks.tables import save_table
 from ..sources.json_records import read_json_records
+from ..streaming.records import stream_record_export
 from ..operators.catalogue import distinct_collapse, object_rollup, pk_catalogue, pk_view
 from ..operators.flags import drop_incomplete, yes_no_flags
 from ..operators.nulls import fill_text
@@ -222,6 +223,18 @@ def q_write_json(spark, sf_dir):
     return read_json_records(spark, path, schema=schema, document=False, fill=False)
 
 
+def q_stream_record_export(spark, sf_dir):
+    records = _event_records(spark, sf_dir)
+    source = scratch_path(spark, "events-stream-in")
+    records.write.mode("overwrite").json(source)          # the arriving files
+    target, ckpt = scratch_path(spark, "events-stream-out"), scratch_path(spark, "events-stream-ckpt")
+    query = stream_record_export(spark, source, records.schema, target, ckpt)
+    query.awaitTermination()
+    schema = ("event_id BIGINT, detail_type STRING, detail_value DOUBLE, detail_user_id BIGINT, props_k BIGINT, "
+              "tags STRING, ids STRING")
+    return read_json_records(spark, target, schema=schema, document=False, fill=False)
+
+
 def q_json_output_size(spark, sf_dir):
     return json_output_size(table(spark, sf_dir, "orders"))
 
@@ -309,6 +322,7 @@ QUERIES: dict[str, Query] = {
     "drop_null_columns": q_drop_null_columns,
     "read_json_records": q_read_json_records,
     "write_json": q_write_json,
+    "stream_record_export": q_stream_record_export,
     "json_output_size": q_json_output_size,
     "write_many": q_write_many,
     "dated_snapshot": q_dated_snapshot,
