@@ -112,6 +112,7 @@ class Sheet:
     fmt: str
     files: tuple[str, ...]
     offsets: tuple[int, ...]
+    head: tuple[tuple, ...] | None = None  # (line, cells...) of lines 0..HEADER_SEARCH_LINES, when collected
 
     def lines(self, files: Sequence[str] | None = None) -> DataFrame:
         """Lines with their sheet line number ``_line`` and cells ``_c0..`` (optionally only some files)."""
@@ -146,11 +147,40 @@ def _join_offsets(spark: SparkSession, raw: DataFrame, files: Sequence[str], off
     return raw.join(table, on=FILE, how="inner")
 
 
+def _listing_form(path: str) -> str:
+    """A listed file path in the form the scan reports it (local URIs: ``file:/`` not ``file:///``)."""
+    return "file:/" + path[len("file:///"):] if path.startswith("file:///") else path
+
+
 def open_sheet(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet") -> Sheet:
-    """List the part files and count their lines (one small row per file reaches the driver)."""
+    """Count the lines of each part file and fetch the sheet's first lines, in one job.
+
+    One small row per file reaches the driver (its line count); the first
+    ``HEADER_SEARCH_LINES + 1`` lines of the first few files (by name) ride
+    along, so the header can be found without another pass.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    files, offsets = _file_offsets(_positioned(spark, paths, fmt))
-    return Sheet(spark, fmt, files, offsets)
+    raw = _positioned(spark, paths, fmt)
+    cells = sorted((c for c in raw.columns if c.startswith("_c")), key=lambda c: int(c[2:]))
+    first = sorted(_listing_form(f) for f in raw.inputFiles())[: HEADER_SEARCH_LINES + 1]
+    # counts read no cells (pruned to the scan's metadata); the head rows come from the first files only
+    counts = raw.groupBy(FILE).agg((F.max(POS) + 1).alias("_n"))
+    head_rows = raw.filter(F.col(FILE).isin(first) & (F.col(POS) <= HEADER_SEARCH_LINES))
+    both = counts.select(FILE, "_n", F.lit(None).cast("long").alias(POS),
+                         *[F.lit(None).cast("string").alias(c) for c in cells]).unionByName(
+        head_rows.select(FILE, F.lit(None).cast("long").alias("_n"), POS, *cells))
+    rows = both.collect()
+    n_of = {r[FILE]: int(r["_n"]) for r in rows if r["_n"] is not None}
+    files, offsets, total = [], [], 0
+    for f in sorted(n_of):
+        files.append(f)
+        offsets.append(total)
+        total += n_of[f]
+    start = dict(zip(files, offsets))
+    head = sorted((start[r[FILE]] + r[POS],) + tuple(r[c] for c in cells) for r in rows if r["_n"] is None)
+    head = [h for h in head if h[0] <= HEADER_SEARCH_LINES]
+    complete = [h[0] for h in head] == list(range(min(total, HEADER_SEARCH_LINES + 1)))
+    return Sheet(spark, fmt, tuple(files), tuple(offsets), tuple(head) if complete else None)
 
 
 def read_with_row_index(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -184,12 +214,39 @@ def _truthy(c) -> F.Column:
     return F.col(c).isNotNull() & (F.col(c) != "")
 
 
+def _names(raw: tuple) -> tuple[tuple, tuple[str, ...]]:
+    """Header cells (without trailing blanks) and their camel-cased column names; errors on bad names."""
+    while raw and raw[-1] in (None, ""):  # trailing empty cells are not columns
+        raw = raw[:-1]
+    names = tuple(camel_case_text(v) for v in raw)
+    bad = [i for i, n in enumerate(names) if not n]
+    if bad:
+        raise ValueError(f"header cells without a usable name at positions {bad}: {[raw[i] for i in bad]}")
+    if len(set(names)) != len(names):
+        raise ValueError(f"duplicate column names after camel case: {names}")
+    return raw, names
+
+
+def _header_from_lines(head: Sequence[tuple], search: int) -> SheetHeader:
+    """The header rule over already collected lines ``(line, cell0, cell1, ...)``."""
+    truthy = lambda v: v is not None and v != ""
+    by_line = {h[0]: h[1:] for h in head}
+    found = next((n for n in range(1, search + 1) if n in by_line and truthy(by_line[n][1])), None)
+    if 0 not in by_line or truthy(by_line[0][1]) or found is None:
+        raise LookupError("no header line found: line 0 must have a blank 2nd cell and a header must "
+                          f"follow within {search} lines")
+    raw, names = _names(tuple(by_line[found]))
+    return SheetHeader(raw=raw, names=names, line=found)
+
+
 def discover_header(sheet: "Sheet | DataFrame", search: int = HEADER_SEARCH_LINES) -> SheetHeader:
     """Find the header line and camel-case its cells (S3, F1).
 
     Only lines 0..``search`` are inspected; one row (the header) reaches the
     driver.  Raises when line 0's second cell is not blank or no header is found.
     """
+    if isinstance(sheet, Sheet) and sheet.head is not None and search <= HEADER_SEARCH_LINES:
+        return _header_from_lines(sheet.head, search)
     lines = sheet.lines(sheet.head_files(search)) if isinstance(sheet, Sheet) else sheet
     cells = sorted((c for c in lines.columns if c.startswith("_c")), key=lambda c: int(c[2:]))
     if len(cells) < 2:
@@ -203,15 +260,7 @@ def discover_header(sheet: "Sheet | DataFrame", search: int = HEADER_SEARCH_LINE
     if found is None or found["line0_named"] or found["hdr"] is None or found["at"] is None:
         raise LookupError("no header line found: line 0 must have a blank 2nd cell and a header must "
                           f"follow within {search} lines")
-    raw = tuple(found["hdr"][c] for c in cells)
-    while raw and raw[-1] in (None, ""):  # trailing empty cells are not columns
-        raw = raw[:-1]
-    names = tuple(camel_case_text(v) for v in raw)
-    bad = [i for i, n in enumerate(names) if not n]
-    if bad:
-        raise ValueError(f"header cells without a usable name at positions {bad}: {[raw[i] for i in bad]}")
-    if len(set(names)) != len(names):
-        raise ValueError(f"duplicate column names after camel case: {names}")
+    raw, names = _names(tuple(found["hdr"][c] for c in cells))
     return SheetHeader(raw=raw, names=names, line=int(found["at"]))
 
 
