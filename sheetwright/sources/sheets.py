@@ -335,14 +335,17 @@ def read_sheets(spark: SparkSession, paths: str | Sequence[str], fmt: str = "par
     raw = _positioned(spark, paths, fmt)
     cells = sorted((c for c in raw.columns if c.startswith("_c")), key=lambda c: int(c[2:]))
     if names is None:
+        # one job: each distinct header variant (normally one) with an example sheet
         heads = sheet_headers(spark, paths, fmt)
-        bad = heads.filter(F.col("line0Named") | F.col("hdr").isNull()).select(SHEET).limit(5).collect()
+        valid = ~F.col("line0Named") & F.col("hdr").isNotNull()
+        variants = (heads.groupBy(valid.alias("ok"), F.when(valid, F.col("hdr")).alias("hdr"))
+                    .agg(F.min(SHEET).alias("example")).limit(50).collect())
+        bad = [v["example"] for v in variants if not v["ok"]]
         if bad:
-            raise LookupError(f"no header line found in: {[r[0] for r in bad]}")
-        distinct = heads.select("hdr").distinct().limit(2).collect()
-        if len(distinct) != 1:
-            raise ValueError("the sheets do not share one header")
-        raw_hdr = tuple(distinct[0]["hdr"][c] for c in cells)
+            raise LookupError(f"no header line found in (e.g.): {bad}")
+        if len(variants) != 1:
+            raise ValueError(f"the sheets do not share one header (e.g.): {[v['example'] for v in variants]}")
+        raw_hdr = tuple(variants[0]["hdr"][c] for c in cells)
         while raw_hdr and raw_hdr[-1] in (None, ""):
             raw_hdr = raw_hdr[:-1]
         names = tuple(camel_case_text(v) for v in raw_hdr)
