@@ -89,7 +89,8 @@ def _positioned_csv(spark: SparkSession, paths: Sequence[str], width: int | None
     blocks = text.groupBy(FILE, "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
     earlier = Window.partitionBy(FILE).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(FILE, "_blk", "_m0", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_b0"))
-    lines = text.join(F.broadcast(starts), on=[FILE, "_blk"], how="inner")  # one row per file block
+    # one row per file block: AQE broadcasts it when its measured size is small, else a shuffle join
+    lines = text.join(starts, on=[FILE, "_blk"], how="inner")
     parsed = lines.select(FILE, (F.col("_b0") + F.col("_m") - F.col("_m0")).alias(POS),
                           F.from_csv(F.regexp_replace("_text", r"\r$", ""), schema).alias("_r"))
     blank = lambda c: F.when(F.col(c) != "", F.col(c))  # noqa: E731  empty CSV cell -> null
