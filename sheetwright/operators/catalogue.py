@@ -44,21 +44,33 @@ def object_rollup(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str
 
 def pk_view(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG,
             keep_row_index: bool = True) -> DataFrame:
-    """Every object's rollup with each of its PK rows; one row with nulls when it has none."""
+    """Every object's rollup with each of its PK rows; one row with nulls when it has none.
+
+    The join uses null-safe equality plus a "key has a null" flag computed
+    by the aggregate: rows with a null level never match (as with ``=``),
+    Spark infers no not-null filters for one branch only, and so both
+    branches read the very same rollup (one shared exchange).
+    """
     levels = list(levels)
-    rollup = object_rollup(mappings, levels, flag)
+    null_key = F.lit(False)
+    for lv in levels:
+        null_key = null_key | F.col(f"`{lv}`").isNull()
+    rollup = mappings.groupBy(*_cols(levels)).agg(
+        F.count(F.lit(1)).alias(COL_CNT),
+        F.sum(F.col(f"`{flag}`")).cast("long").alias(COL_CNT_PK),
+        F.max(null_key).alias("_nullKey"),
+    )
     carried = [ATTRIBUTE, TABLE, COLUMN] + ([ROW_INDEX] if keep_row_index else [])
     pk = pk_rows(mappings, flag).select(*_cols(levels + carried))
-    with_pk = rollup.join(pk, on=levels, how="inner")
-    no_match = (F.coalesce(F.col(COL_CNT_PK), F.lit(0)) == 0)
-    for lv in levels:  # a null key never matches '=' in the outer join either
-        no_match = no_match | F.col(f"`{lv}`").isNull()
+    r, p = rollup.alias("r"), pk.alias("p")
+    cond = [F.col(f"r.`{lv}`").eqNullSafe(F.col(f"p.`{lv}`")) for lv in levels]
+    with_pk = r.filter(~F.col("r._nullKey")).join(p, on=cond, how="inner").select(
+        *[F.col(f"r.`{lv}`") for lv in levels], F.col(f"r.{COL_CNT}"), F.col(f"r.{COL_CNT_PK}"),
+        *[F.col(f"p.`{c}`") for c in carried])
     types = dict(pk.dtypes)
-    without = rollup.filter(no_match).select(
-        "*", *[F.lit(None).cast(types[c]).alias(c) for c in carried]
-    )
-    order = levels + [COL_CNT, COL_CNT_PK] + carried
-    return with_pk.select(*_cols(order)).unionByName(without.select(*_cols(order)))
+    without = rollup.filter((F.coalesce(F.col(COL_CNT_PK), F.lit(0)) == 0) | F.col("_nullKey")).select(
+        *_cols(levels + [COL_CNT, COL_CNT_PK]), *[F.lit(None).cast(types[c]).alias(c) for c in carried])
+    return with_pk.unionByName(without)
 
 
 def table_counts(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG) -> DataFrame:

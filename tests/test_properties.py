@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 from sheetwright.constants import COL_CNT, COL_CNT_PK, LEVELS
 from sheetwright.functions.jsonfmt import py_float, python_json
 from sheetwright.functions.naming import camel_case, camel_case_text, slugify
-from sheetwright.operators.catalogue import object_rollup, pk_catalogue, pk_lists
+from sheetwright.operators.catalogue import object_rollup, pk_catalogue, pk_lists, pk_view
 from sheetwright.operators.records import clean_empties
 from sheetwright.plans.mapping import clean_mapping
 from sheetwright.sources.fixtures import SHEET_FLAGS, raw_mapping
@@ -126,3 +126,22 @@ def test_hash_record_equals_python_json_dumps(spark):
         d = r.asDict()
         h = d.pop("h")
         assert h == hashlib.sha512(json.dumps(d).encode("utf-8")).hexdigest(), d
+
+
+def test_pk_view_equals_plain_left_join_with_null_keys(spark):
+    """The rewritten PK view equals rollup LEFT JOIN pk-rows ON '=' even when levels are null."""
+    rows = [("a", "b", "c", None, "A1", "T", "C1", 1, 1), ("a", "b", "c", None, "A2", "T", "C2", 0, 2),
+            ("a", "b", "c", "d", "A3", "T", "C3", 1, 3), ("x", "y", "z", "w", "A4", "T", "C4", 0, 4),
+            ("x", "y", "z", "w", "A5", "T", "C5", 1, 5), ("k", "k", "k", "k", "A6", "T", "C6", 0, 6)]
+    cols = list(LEVELS) + ["viewObjectAttribute", "databaseTable", "databaseColumn", "primaryKeyColumn", "rowIndex"]
+    m = spark.createDataFrame(rows, cols).withColumn("primaryKeyColumn", F.col("primaryKeyColumn").cast("int"))
+    m.createOrReplaceTempView("m_nulls")
+    lv = ", ".join(LEVELS)
+    on = " AND ".join(f"t.{x} = v.{x}" for x in LEVELS)
+    brute = spark.sql(f"""
+        SELECT t.*, v.viewObjectAttribute, v.databaseTable, v.databaseColumn, v.rowIndex
+        FROM (SELECT {lv}, COUNT(*) AS colCnt, CAST(SUM(primaryKeyColumn) AS BIGINT) AS colCntPK
+              FROM m_nulls GROUP BY {lv}) t
+        LEFT JOIN (SELECT * FROM m_nulls WHERE primaryKeyColumn = 1) v ON {on}""")
+    got = pk_view(m)
+    assert sorted(map(repr, got.select(*brute.columns).collect())) == sorted(map(repr, brute.collect()))
