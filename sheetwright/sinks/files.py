@@ -59,7 +59,7 @@ def _document_lines(batches):
 
 
 def write_json(df: DataFrame, path: str, simplify: bool = True, layout: str = "lines",
-               limit_mb: int | None = OUTPUT_MB_LIMIT, keep_order: bool = False) -> str:
+               limit_mb: int | None = OUTPUT_MB_LIMIT, keep_order: bool = False, pretty: bool = False) -> str:
     """Write records as JSON (S6): flatten + clean first by default.
 
     ``layout='lines'``: JSON Lines (splittable, the scale form).
@@ -68,6 +68,8 @@ def write_json(df: DataFrame, path: str, simplify: bool = True, layout: str = "l
     about ``limit_mb`` MB of text or less (S7).  With ``keep_order`` the
     documents follow the input's partitions instead (a range-sorted input,
     e.g. after ``orderBy``, then gives files in order), so no repartition.
+    ``pretty`` indents each record in a document (such documents are read
+    back with ``read_json_records(document=True)``).
     """
     data = flatten_records(df) if simplify else df
     if layout == "lines":
@@ -75,7 +77,7 @@ def write_json(df: DataFrame, path: str, simplify: bool = True, layout: str = "l
         return path
     if layout != "document":
         raise ValueError(f"unknown layout: {layout}")
-    texts = json_text(data)
+    texts = json_text(data, pretty)
     if limit_mb and not keep_order:
         files = json_output_size(data, limit_mb).first()["files"]
         texts = texts.repartition(int(files))

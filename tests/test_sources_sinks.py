@@ -158,6 +158,13 @@ def test_document_lines_round_trip(spark, tmp_dir):
     assert [tuple(r) for r in got] == [(1, 2)]
 
 
+def test_pretty_documents_read_back_whole(spark, tmp_dir):
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").drop("o_orderdate")
+    out = write_json(orders, f"{tmp_dir}/pretty", simplify=False, layout="document", pretty=True)
+    back = read_json_records(spark, out, schema=orders.schema, document=True)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, orders.collect()))
+
+
 def test_write_many_names_skip_and_overwrite(spark, tmp_dir):
     a = spark.range(3)
     b = spark.range(2)
