@@ -8,33 +8,30 @@ that has one.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import datetime as dt
-
 from ..constants import LEVELS, MAPPINGS_TABLE, OBJECT_VIEW, PK_VIEW, ROW_INDEX, TABLE
 from ..functions.hashing import hash_files, hash_record, hash_text
 from ..functions.jsonfmt import encode_list, join_list, record_json
 from ..functions.naming import camel_case, slugify, split_camel_case
-from ..operators.nulls import drop_null_columns
+from ..operators.catalogue import distinct_collapse, object_rollup, pk_catalogue, pk_view
+from ..operators.flags import drop_incomplete, yes_no_flags
+from ..operators.nulls import drop_null_columns, fill_text
 from ..operators.records import clean_empties, flatten_records
-from ..operators.selection import run_sql
+from ..operators.selection import non_flag_columns, pk_rows, run_sql, select_columns
 from ..session import scratch_path
 from ..sinks.files import dated_path, json_output_size, write_json, write_many
 from ..sinks.tables import save_table
-from ..sources.json_records import read_json_records
-from ..streaming.records import stream_record_export
-from ..operators.catalogue import distinct_collapse, object_rollup, pk_catalogue, pk_view
-from ..operators.flags import drop_incomplete, yes_no_flags
-from ..operators.nulls import fill_text
-from ..operators.selection import non_flag_columns, pk_rows, select_columns
 from ..sources.fixtures import (SHEET_COLUMNS, SHEET_FLAGS, raw_mapping, table, write_mapping_sheet,
                                 write_mapping_sheets)
+from ..sources.json_records import read_json_records
 from ..sources.sheets import (apply_header, discover_header, header_frame, open_sheet, read_with_row_index,
                               sheet_headers)
+from ..streaming.records import stream_record_export
 from .mapping import MappingLoad, clean_mapping, export_records, load_mapping, load_mappings, store_mapping
 
 # Snapshot day of the dated-snapshot query (a parameter, so results are reproducible).
