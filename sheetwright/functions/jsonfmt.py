@@ -89,26 +89,28 @@ def _let(value: Column, body) -> Column:
 
 
 def py_string(c: Column) -> Column:
-    """JSON string literal as Python writes it with ensure_ascii=True."""
+    """JSON string literal as Python writes it with ensure_ascii=True.
+
+    Short escapes first; any character outside printable ASCII then becomes
+    ``\\uXXXX`` (UTF-16 code units, so astral characters give surrogate
+    pairs).  Text that is printable ASCII after the short escapes takes the
+    cheap branch; whole-stage codegen evaluates the shared subexpression once.
+    """
     s = F.replace(c, F.lit("\\"), F.lit("\\\\"))
     s = F.replace(s, F.lit('"'), F.lit('\\"'))
     for raw, esc in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f")):
         s = F.replace(s, F.lit(raw), F.lit(esc))
-
-    def escape_rest(v: Column) -> Column:
-        tokens = F.regexp_extract_all(v, F.lit(rf"([{_PRINTABLE}]+|[^{_PRINTABLE}])"), 1)
-        escaped = F.array_join(
-            F.transform(
-                tokens,
-                lambda t: F.when(t.rlike(rf"^[{_PRINTABLE}]"), t).otherwise(
-                    F.regexp_replace(F.lower(F.hex(F.encode(t, "UTF-16BE"))), "(.{4})", r"\\u$1")
-                ),
+    tokens = F.regexp_extract_all(s, F.lit(rf"([{_PRINTABLE}]+|[^{_PRINTABLE}])"), 1)
+    escaped = F.array_join(
+        F.transform(
+            tokens,
+            lambda t: F.when(t.rlike(rf"^[{_PRINTABLE}]"), t).otherwise(
+                F.regexp_replace(F.lower(F.hex(F.encode(t, "UTF-16BE"))), "(.{4})", r"\\u$1")
             ),
-            "",
-        )
-        return F.concat(F.lit('"'), F.when(v.rlike(rf"[^{_PRINTABLE}]"), escaped).otherwise(v), F.lit('"'))
-
-    return _let(s, escape_rest)
+        ),
+        "",
+    )
+    return F.concat(F.lit('"'), F.when(s.rlike(rf"[^{_PRINTABLE}]"), escaped).otherwise(s), F.lit('"'))
 
 
 def _py_float_layout(d: Column) -> Column:
