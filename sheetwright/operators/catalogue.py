@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import ATTRIBUTE, COL_CNT, COL_CNT_PK, COLUMN, LEVELS, PK_FLAG, ROW_INDEX, TABLE
+from ..session import cut_lineage
 from .selection import pk_rows
 
 LIST_PART = "listPart"
@@ -109,14 +110,15 @@ def _list_parts(pk: DataFrame, keys: list[str], counts: DataFrame, max_list_len:
     Groups with at most ``max_list_len`` PK rows are one part (0).  The rows
     of larger ("hot") groups get their exact rank in list order, and part =
     rank // max_list_len, so every part holds exactly ``max_list_len``
-    entries except the last.  When no group is hot, AQE sees the empty side
-    at runtime and the extra branch costs nothing.
+    entries except the last.  ``counts`` is materialized, so finding out
+    that no group is hot is a cheap probe and the plan then has no extra
+    branch at all.
     """
     if not max_list_len:
         return pk.withColumn(LIST_PART, F.lit(0))
-    # "_n >= _npk" always holds; it keeps "_n" in this branch so that column
-    # pruning leaves the counts aggregate identical to the rollup's.
-    hot = counts.filter((F.col("_npk") > max_list_len) & (F.col("_n") >= F.col("_npk"))).select(*_cols(keys))
+    hot = counts.filter(F.col("_npk") > max_list_len).select(*_cols(keys))
+    if hot.isEmpty():  # counts are materialized (see pk_catalogue): a cheap probe, no rescan
+        return pk.withColumn(LIST_PART, F.lit(0))
     cold = pk.join(hot, on=keys, how="left_anti").withColumn(LIST_PART, F.lit(0))
     hot_rows = pk.join(hot, on=keys, how="left_semi")
     ranked = _ranked_in_group(hot_rows, keys, [ROW_INDEX, ATTRIBUTE, COLUMN], max_list_len)
@@ -132,7 +134,8 @@ def pk_lists(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK
     cannot change the order.
     """
     keys = list(levels) + [TABLE]
-    counts = counts if counts is not None else table_counts(mappings, levels, flag)
+    if counts is None and max_list_len:
+        counts = cut_lineage(table_counts(mappings, levels, flag))
     pk = pk_rows(mappings, flag).select(*_cols(keys + [ROW_INDEX, ATTRIBUTE, COLUMN]))
     tagged = _list_parts(pk, keys, counts, max_list_len)
     entry = F.struct(F.col(ROW_INDEX).alias("i"), F.col(ATTRIBUTE).alias("a"), F.col(COLUMN).alias("c"))
@@ -150,12 +153,14 @@ def pk_catalogue(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str
 
     Objects without any PK row give one record whose table and lists are
     null (A4); ``colCnt``/``colCntPK`` are always the object's totals.
-    Plan: one scan feeds the (object, table) counts, from which both the
-    object rollup and the hot-group check are derived; one scan feeds the
-    PK lists; the final join is between two aggregates.
+    Plan: one scan feeds the (object, table) counts, which are checkpointed
+    (small) and feed both the object rollup and the hot-group check; one
+    scan feeds the PK lists; the final join is between two aggregates.
     """
     levels = list(levels)
-    counts = table_counts(mappings, levels, flag)
+    # one row per (object, table): small, so it is materialized once in the shared checkpoint
+    # folder; the rollup and the hot-group check read it instead of rescanning the mappings
+    counts = cut_lineage(table_counts(mappings, levels, flag))
     rollup = counts.groupBy(*_cols(levels)).agg(
         F.sum("_n").alias(COL_CNT), F.sum("_npk").cast("long").alias(COL_CNT_PK)
     )
