@@ -8,12 +8,14 @@ Plan shape (see README "Scale"):
   exactly the outer join (an object has no PK row iff its PK sum is 0), but
   the inner form lets AQE broadcast the (aggregated) rollup or split a hot
   object's PK rows across tasks; a left outer join could not split the
-  preserved side's partner.
+  preserved side's partner.  The join is null-safe with a null-key flag
+  from the aggregate, so both branches share one rollup exchange.
 * catalogue: PK rows are aggregated to ordered lists *before* any join; the
-  only join is between two aggregates (objects x lists).  A group with more
-  than ``max_list_len`` PK rows is cut into consecutive parts of exactly
-  ``max_list_len`` entries by an exact, distributed rank, so no task ever
-  collects an unbounded list.
+  only join is between two aggregates (objects x lists).  The small
+  (object, table) counts are checkpointed once and feed the rollup and the
+  hot-group check.  A group with more than ``max_list_len`` PK rows is cut
+  into consecutive parts of exactly ``max_list_len`` entries by an exact,
+  distributed rank, so no task ever collects an unbounded list.
 """
 
 from __future__ import annotations
