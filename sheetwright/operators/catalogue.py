@@ -185,16 +185,30 @@ def sort_catalogue(catalogue: DataFrame, levels: Sequence[str] = LEVELS) -> Data
     return catalogue.orderBy(*_cols(list(levels) + [TABLE, LIST_PART]))
 
 
-def distinct_collapse(df: DataFrame, group: Sequence[str], value: str, alias: str | None = None) -> DataFrame:
+def distinct_collapse(df: DataFrame, group: Sequence[str], value: str, alias: str | None = None,
+                      max_list_len: int | None = DEFAULT_MAX_LIST_LEN) -> DataFrame:
     """Distinct values per group; one value stays a scalar, several become a sorted JSON list (A3).
 
-    Values are de-duplicated per (group, value) first (partial aggregation),
-    so the collected list is bounded by the number of distinct values.
+    Values are de-duplicated per (group, value) first (partial aggregation).
+    The original builds the list from a set, so its order is free: a group
+    with more than ``max_list_len`` distinct values is spread by value hash
+    over ``ceil(n / max_list_len)`` parts (``listPart``), each a sorted JSON
+    list of about ``max_list_len`` values, so no task collects an unbounded
+    list.
     """
     group = list(group)
     pairs = df.select(*_cols(group + [value])).distinct()
-    vals = pairs.groupBy(*_cols(group)).agg(F.array_sort(F.collect_list(F.col(f"`{value}`"))).alias("_v"))
+    n = pairs.groupBy(*_cols(group)).agg(F.count(F.lit(1)).alias("_n"))  # one row per group
+    parts = F.lit(0)
+    if max_list_len:
+        n_parts = F.ceil(F.col("_n") / F.lit(max_list_len))
+        parts = F.when(F.col("_n") > max_list_len,
+                       F.pmod(F.xxhash64(F.col(f"`{value}`")), n_parts)).otherwise(F.lit(0))
+    tagged = pairs.join(n, on=group, how="inner").withColumn(LIST_PART, parts.cast("int"))
+    vals = tagged.groupBy(*_cols(group + [LIST_PART])).agg(
+        F.array_sort(F.collect_list(F.col(f"`{value}`"))).alias("_v"))
     return vals.select(
         *_cols(group),
         F.when(F.size("_v") == 1, F.col("_v")[0]).otherwise(F.to_json("_v")).alias(alias or value),
+        F.col(LIST_PART),
     )

@@ -129,7 +129,7 @@ ORACLES: dict[str, str] = {
                   f"coalesce(primaryKeyColumn, '') AS primaryKeyColumn, coalesce(indexedColumn, '') AS indexedColumn, "
                   f"rowIndex FROM raw"),
     "distinct_collapse": _with_mappings() + f"""SELECT {L},
-  CASE WHEN len(t) = 1 THEN t[1] ELSE to_json(t)::VARCHAR END AS databaseTable
+  CASE WHEN len(t) = 1 THEN t[1] ELSE to_json(t)::VARCHAR END AS databaseTable, 0 AS listPart
 FROM (SELECT {L}, list_sort(list(DISTINCT databaseTable)) AS t FROM mappings GROUP BY {L})""",
     "discover_header": " UNION ALL ".join(
         f"SELECT {i} AS position, {_q(t)} AS headerText, {_q(n)} AS columnName, {HEADER_LINE} AS headerLine"

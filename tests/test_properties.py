@@ -145,3 +145,19 @@ def test_pk_view_equals_plain_left_join_with_null_keys(spark):
         LEFT JOIN (SELECT * FROM m_nulls WHERE primaryKeyColumn = 1) v ON {on}""")
     got = pk_view(m)
     assert sorted(map(repr, got.select(*brute.columns).collect())) == sorted(map(repr, brute.collect()))
+
+
+def test_distinct_collapse_splits_large_groups(spark):
+    from sheetwright.operators.catalogue import distinct_collapse
+
+    m = _mappings(spark)
+    whole = {r[0]: r[1] for r in distinct_collapse(m, ["viewObjectModelTop"], "databaseColumn",
+                                                   max_list_len=None).collect()}
+    parts = distinct_collapse(m, ["viewObjectModelTop"], "databaseColumn", max_list_len=2).collect()
+    merged = {}
+    for r in parts:
+        vals = json.loads(r[1]) if r[1].startswith("[") else [r[1]]
+        assert len(vals) <= 6  # about max_list_len per part (hash-balanced)
+        merged.setdefault(r[0], []).extend(vals)
+    assert {k: json.dumps(sorted(v), separators=(",", ":")) if len(v) > 1 else v[0]
+            for k, v in merged.items()} == whole
