@@ -161,3 +161,18 @@ def test_distinct_collapse_splits_large_groups(spark):
         merged.setdefault(r[0], []).extend(vals)
     assert {k: json.dumps(sorted(v), separators=(",", ":")) if len(v) > 1 else v[0]
             for k, v in merged.items()} == whole
+
+
+_SLUG_ALPHABET = list("aZ09_-.  \t\n\x0b\x0c\r\x1c\x1f!?#/\\") + ["é", "ﬁ", "№", "½", "ß", "Ω", " ", "　",
+                                                               "ǆ", "̈", "😀", "中", "​", "\x85"]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(_SLUG_ALPHABET), max_size=16), min_size=1, max_size=40),
+       st.booleans())
+def test_slugify_matches_python(spark, texts, allow_unicode):
+    from sheetwright.functions.naming import slugify_text
+
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r[0] for r in df.select(slugify("s", allow_unicode=allow_unicode)).collect()]
+    assert got == [slugify_text(t, allow_unicode) for t in texts]
