@@ -176,3 +176,47 @@ def test_slugify_matches_python(spark, texts, allow_unicode):
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     got = [r[0] for r in df.select(slugify("s", allow_unicode=allow_unicode)).collect()]
     assert got == [slugify_text(t, allow_unicode) for t in texts]
+
+
+def _py_clean(v):
+    """Independent statement of the cleaning rule: drop None, '', 'None', 0 and empty containers, keep bools."""
+    def keep(x):
+        return isinstance(x, bool) or (bool(x) and x != "None")
+    if isinstance(v, dict):
+        return {k: c for k, c in ((k, _py_clean(x)) for k, x in v.items()) if keep(c)}
+    if isinstance(v, list):
+        return [c for c in (_py_clean(x) for x in v) if keep(c)]
+    return v
+
+
+def _drop_nulls(v):
+    if isinstance(v, dict):
+        return {k: _drop_nulls(x) for k, x in v.items() if x is not None}
+    if isinstance(v, list):
+        return [_drop_nulls(x) for x in v]
+    return v
+
+
+_small_text = st.sampled_from(["", "None", "x", "y z"])
+_record = st.fixed_dictionaries({
+    "a": st.one_of(st.none(), st.integers(-2, 2)),
+    "s": st.one_of(st.none(), _small_text),
+    "b": st.one_of(st.none(), st.booleans()),
+    "l": st.one_of(st.none(), st.lists(st.one_of(st.none(), _small_text), max_size=3)),
+    "m": st.one_of(st.none(), st.dictionaries(st.sampled_from(["k1", "k2"]), st.one_of(st.none(), st.integers(0, 1)),
+                                              max_size=2)),
+    "n": st.one_of(st.none(), st.fixed_dictionaries({"x": st.one_of(st.none(), st.integers(0, 1)),
+                                                     "y": st.one_of(st.none(), _small_text)})),
+})
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(_record, min_size=1, max_size=12))
+def test_clean_empties_matches_python_rule(spark, records):
+    schema = "a int, s string, b boolean, l array<string>, m map<string,int>, n struct<x:int,y:string>"
+    df = spark.createDataFrame([(r["a"], r["s"], r["b"], r["l"], r["m"],
+                                 None if r["n"] is None else (r["n"]["x"], r["n"]["y"])) for r in records], schema)
+    canon = lambda d: json.dumps(d, sort_keys=True)
+    got = sorted((_drop_nulls(r.asDict(recursive=True)) for r in clean_empties(df).collect()), key=canon)
+    want = sorted((c for c in (_py_clean(r) for r in records) if c), key=canon)
+    assert got == want
