@@ -220,3 +220,51 @@ def test_clean_empties_matches_python_rule(spark, records):
     got = sorted((_drop_nulls(r.asDict(recursive=True)) for r in clean_empties(df).collect()), key=canon)
     want = sorted((c for c in (_py_clean(r) for r in records) if c), key=canon)
     assert got == want
+
+
+def _py_flatten(rec, prefix=""):
+    """Independent statement of flattening: nested records join names with '_', text lists join with '>',
+    other lists become compact JSON, empty lists become None."""
+    out = {}
+    for k, v in rec.items():
+        name = f"{prefix}_{k}" if prefix else k
+        if isinstance(v, dict):
+            out.update(_py_flatten(v, name))
+        elif isinstance(v, list):
+            if not v:
+                out[name] = None
+            elif all(isinstance(x, str) or x is None for x in v):
+                out[name] = ">".join(x for x in v if x is not None)
+            else:
+                out[name] = json.dumps(v, separators=(",", ":"))
+        else:
+            out[name] = v
+    return out
+
+
+_flat_record = st.fixed_dictionaries({
+    "a": st.one_of(st.none(), st.integers(0, 2)),
+    "t": st.one_of(st.none(), st.lists(_small_text, max_size=3)),
+    "k": st.one_of(st.none(), st.lists(st.integers(0, 3), max_size=3)),
+    "n": st.one_of(st.none(), st.fixed_dictionaries({"x": st.one_of(st.none(), st.integers(0, 1)),
+                                                     "d": st.one_of(st.none(), st.fixed_dictionaries(
+                                                         {"y": st.one_of(st.none(), _small_text)}))})),
+})
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(_flat_record, min_size=1, max_size=12))
+def test_flatten_records_matches_python_rule(spark, records):
+    from sheetwright.operators.records import flatten_records
+
+    schema = "a int, t array<string>, k array<int>, n struct<x:int, d:struct<y:string>>"
+    rows = [(r["a"], r["t"], r["k"],
+             None if r["n"] is None else (r["n"]["x"], None if r["n"]["d"] is None else (r["n"]["d"]["y"],)))
+            for r in records]
+    df = spark.createDataFrame(rows, schema)
+    canon = lambda d: json.dumps(d, sort_keys=True)
+    got = sorted((_drop_nulls(r.asDict()) for r in flatten_records(df).collect()), key=canon)
+    full = lambda r: {**r, "n": r["n"] if r["n"] is not None else {"x": None, "d": {"y": None}}}
+    with_d = lambda r: {**r, "n": {**r["n"], "d": r["n"]["d"] if r["n"]["d"] is not None else {"y": None}}}
+    want = sorted((c for c in (_py_clean(_py_flatten(with_d(full(r)))) for r in records) if c), key=canon)
+    assert got == want
