@@ -248,3 +248,24 @@ def test_write_catalogue_documents(spark, tmp_dir):
             for r in records]
     assert keys == sorted(keys)
     assert all(isinstance(r["cols"], list) for r in records if r.get("colCntPK"))
+
+
+def test_select_from_and_sql_views(spark, tmp_dir):
+    from sheetwright.operators.selection import run_sql, select_from
+    from sheetwright.plans.mapping import MappingLoad, store_mapping
+    from sheetwright.plans.registry import _mappings
+    from sheetwright.sinks.tables import save_sql_view
+    from sheetwright.sources.fixtures import SHEET_COLUMNS, SHEET_FLAGS
+
+    store_mapping(MappingLoad(_mappings(spark, SF_SMALL), SHEET_COLUMNS, SHEET_FLAGS), "mappings",
+                  f"{tmp_dir}/mappings")
+    one = select_from(spark, "mappingsPkCols", "viewObjectAttribute")
+    assert one.columns == ["viewObjectAttribute"]
+    assert one.filter("viewObjectAttribute IS NULL").count() == 0          # nulls shown as ''
+    assert select_from(spark, "mappingsTables").count() == spark.table("mappingsTables").count()
+    with pytest.raises(TypeError):
+        select_from(spark, "mappings", 3)
+    save_sql_view(spark, "top_objects", "SELECT viewObjectModelTop, SUM(colCnt) AS n FROM mappingsTables "
+                                        "GROUP BY viewObjectModelTop")
+    total = run_sql(spark, "SELECT SUM(n) AS t FROM top_objects").first()["t"]
+    assert total == spark.table("mappings").count()
