@@ -38,6 +38,19 @@ def test_query_matches_oracle(spark, duck, name):
     assert digest(df.columns, rows) == digest(list(rel.columns), o_rows)
 
 
+_DUCK_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
+              "timestamp_ntz": "TIMESTAMP", "array<string>": "VARCHAR[]", "date": "DATE"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_types_match_oracle(spark, duck, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    rel = duck.sql(ORACLES[name])
+    spark_types = {f.name: _DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+
+
 def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
