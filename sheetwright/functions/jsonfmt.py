@@ -218,7 +218,8 @@ def python_json(c: Column, dtype: T.DataType) -> Column:
         out = py_float(c)
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType, T.DayTimeIntervalType)):
         enc = _encodable(c, dtype)
-        out = py_float(enc) if isinstance(dtype, T.DayTimeIntervalType) else py_string(enc)
+        # ISO date/time text is printable ASCII: it needs quotes but no escaping
+        out = py_float(enc) if isinstance(dtype, T.DayTimeIntervalType) else F.concat(F.lit('"'), enc, F.lit('"'))
     else:
         raise TypeError(f"no JSON form for {dtype.simpleString()}")
     return F.when(c.isNull(), F.lit("null")).otherwise(out)

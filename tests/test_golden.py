@@ -187,3 +187,11 @@ def test_naive_timestamps_are_utc_in_any_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == {"a": "2024-01-01T10:00:00+00:00", "b": "2024-01-01T10:00:00.500000+00:00"}
+
+
+def test_python_json_renders_timestamps_as_iso_strings(spark):
+    from sheetwright.functions.jsonfmt import python_json
+
+    df = spark.sql("SELECT 7 AS k, timestamp_ntz'2024-01-01 10:00:00' AS a, timestamp_ntz'2024-01-01 10:00:00.25' AS b")
+    got = df.select(python_json(F.struct(*df.columns), df.schema)).first()[0]
+    assert got == json.dumps({"k": 7, "a": "2024-01-01T10:00:00+00:00", "b": "2024-01-01T10:00:00.250000+00:00"})
