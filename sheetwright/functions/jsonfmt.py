@@ -41,10 +41,11 @@ def iso_timestamp(c: Column, naive: bool = False) -> Column:
     An instant (TIMESTAMP) shows the session time zone's offset; a naive
     value (TIMESTAMP_NTZ) is taken as UTC and always ends in ``+00:00``.
     """
-    offset = "'+00:00'" if naive else "xxx"
-    whole = F.date_format(c, f"yyyy-MM-dd'T'HH:mm:ss{offset}")
-    frac = F.date_format(c, f"yyyy-MM-dd'T'HH:mm:ss.SSSSSS{offset}")
-    return F.when(F.date_format(c, "SSSSSS") == "000000", whole).otherwise(frac)
+    if naive:
+        text = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+        return F.replace(text, F.lit(".000000+"), F.lit("+"))  # one format call, then drop a zero fraction
+    text = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    return F.regexp_replace(text, r"\.000000(?=[+-])", "")
 
 
 def _encodable(c: Column, dtype: T.DataType) -> Column:
