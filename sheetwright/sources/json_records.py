@@ -11,6 +11,20 @@ from pyspark.sql import types as T
 from ..operators.nulls import fill_text
 
 
+def _check_json_path(spark: SparkSession, path: str) -> None:
+    """A missing path is an error; an existing file must be ``.json``; folders and globs pass."""
+    if any(ch in path for ch in "*?[{"):
+        return
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hp):
+        raise FileNotFoundError(path)
+    if fs.getFileStatus(hp).isFile() and not path.lower().endswith(".json"):
+        leaf = path.rstrip("/").rsplit("/", 1)[-1]
+        raise ValueError(f"Invalid File Extension : {'.' + leaf.rsplit('.', 1)[-1] if '.' in leaf else ''}")
+
+
 def read_json_records(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str | None = None,
                       document: bool = True, fill: bool = True) -> DataFrame:
     """Records from JSON files; text nulls become '' (S1).
@@ -19,13 +33,11 @@ def read_json_records(spark: SparkSession, paths: str | Sequence[str], schema: T
     (one row each) or a single record (one row); an empty list gives no
     rows.  Each document is parsed by one task.  ``document=False`` reads
     JSON Lines, which Spark splits across tasks (the scale form).
-    Paths must end in ``.json`` or be folders; missing paths raise.
+    Files must end in ``.json`` (folders and globs pass); missing paths raise.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     for p in paths:
-        leaf = p.rstrip("/").rsplit("/", 1)[-1]
-        if "." in leaf and not leaf.lower().endswith(".json") and "*" not in leaf:
-            raise ValueError(f"Invalid File Extension : .{leaf.rsplit('.', 1)[-1]}")
+        _check_json_path(spark, p)
     reader = spark.read.option("multiLine", "true" if document else "false")
     if schema is not None:
         reader = reader.schema(schema)

@@ -126,10 +126,14 @@ def test_json_documents_list_object_and_empty(spark, tmp_dir):
     assert [(r.a, r.b) for r in got] == [(1, ""), (2, "x")]
     assert read_json_records(spark, f"{tmp_dir}/one.json", schema="a long, b string").count() == 1
     assert read_json_records(spark, f"{tmp_dir}/empty.json", schema="a long, b string").count() == 0
+    _write(f"{tmp_dir}/data.xlsx", "not json")
     with pytest.raises(ValueError):
         read_json_records(spark, f"{tmp_dir}/data.xlsx")
-    with pytest.raises(Exception):
-        read_json_records(spark, f"{tmp_dir}/missing.json", schema="a long").collect()
+    with pytest.raises(FileNotFoundError):
+        read_json_records(spark, f"{tmp_dir}/missing.json", schema="a long")
+    os.makedirs(f"{tmp_dir}/records.v2")
+    _write(f"{tmp_dir}/records.v2/part.json", json.dumps([{"a": 5, "b": "z"}]))
+    assert read_json_records(spark, f"{tmp_dir}/records.v2", schema="a long, b string").count() == 1
 
 
 def test_write_json_document_layout_is_valid_json(spark, tmp_dir):
