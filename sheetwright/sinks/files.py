@@ -140,7 +140,10 @@ def write_many(datasets: Sequence[DataFrame | None], target: str, names: Sequenc
         out = drop_null_columns(df) if drop_null_cols else df
         out = fill_text(out)
         dest = f"{target.rstrip('/')}/{slugify_text(label)}"
-        out.write.mode("overwrite").format(fmt).save(dest)
+        writer = out.write.mode("overwrite").format(fmt)
+        if fmt == "csv":  # a sheet-like text export: header line first
+            writer = writer.option("header", "true")
+        writer.save(dest)
         written[label] = dest
     return written
 

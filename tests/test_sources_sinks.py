@@ -181,6 +181,9 @@ def test_write_many_names_skip_and_overwrite(spark, tmp_dir):
     write_many([b], f"{tmp_dir}/t", names=["extra"], overwrite=True)
     assert sorted(os.listdir(f"{tmp_dir}/t")) == ["extra"]
     assert dataset_names(2, ["x", "y"]) == ["x", "y"]
+    write_many([spark.createDataFrame([(1, None)], "a int, b string")], f"{tmp_dir}/csv", names=["m"], fmt="csv")
+    back = spark.read.option("header", "true").csv(f"{tmp_dir}/csv/m").collect()
+    assert [tuple(r) for r in back] == [("1", None)] or [tuple(r) for r in back] == [("1", "")]
 
 
 def test_row_cap_is_positional(spark, tmp_dir):
