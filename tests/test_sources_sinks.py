@@ -276,3 +276,35 @@ def test_select_from_and_sql_views(spark, tmp_dir):
                                         "GROUP BY viewObjectModelTop")
     total = run_sql(spark, "SELECT SUM(n) AS t FROM top_objects").first()["t"]
     assert total == spark.table("mappings").count()
+
+
+def test_partitioned_datasets_replace_only_present_partitions(spark, tmp_dir):
+    from sheetwright.sinks.files import write_partitioned_datasets
+
+    first = spark.createDataFrame([("a", 1), ("b", 2)], "dataset string, v int")
+    write_partitioned_datasets(first, f"{tmp_dir}/parts", "dataset")
+    write_partitioned_datasets(spark.createDataFrame([("b", 3)], "dataset string, v int"), f"{tmp_dir}/parts",
+                               "dataset")
+    back = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/parts").select("dataset", "v").collect())
+    assert back == [("a", 1), ("b", 3)]
+
+
+def test_dated_record_export(spark, tmp_dir):
+    from sheetwright.plans.mapping import export_records
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "event_type")
+    out = export_records(ev, f"{tmp_dir}/events", dated=True, on=dt.date(2026, 1, 5))
+    assert out.endswith("/V2026.01.05__events")
+    assert spark.read.json(out).count() == ev.filter("event_id <> 0 OR event_type NOT IN ('', 'None')").count()
+
+
+def test_hash_list_equals_hashlib(spark):
+    import hashlib
+
+    from pyspark.sql import types as T
+
+    from sheetwright.functions.hashing import hash_list
+
+    df = spark.createDataFrame([(["a", "é"],), ([],)], "l array<string>")
+    got = [r[0] for r in df.select(hash_list("l", T.ArrayType(T.StringType()))).collect()]
+    assert got == [hashlib.sha512(json.dumps(v).encode()).hexdigest() for v in (["a", "é"], [])]
