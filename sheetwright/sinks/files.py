@@ -98,6 +98,14 @@ def dated_path(path: str, on: dt.date | None = None) -> str:
     return f"{head}/{dated_name(leaf, on)}" if head else dated_name(leaf, on)
 
 
+def write_snapshot(df: DataFrame, target: str, on: dt.date | None = None, fmt: str = "parquet",
+                   column: str = "snapshot_date") -> str:
+    """Dated snapshot as a partition of one dataset (S9): only that day's partition is replaced."""
+    on = on or dt.date.today()
+    dated = df.withColumn(column, F.lit(on.isoformat()).cast("date"))
+    return write_partitioned_datasets(dated, target, column, fmt)
+
+
 def export_path(folder: str, name: str, dated: bool = False, on: dt.date | None = None) -> str:
     """``folder/<slug(name)>``, with ``.json`` when the slug has no suffix, optionally date-prefixed."""
     leaf = slugify_text(name)

@@ -308,3 +308,13 @@ def test_hash_list_equals_hashlib(spark):
     df = spark.createDataFrame([(["a", "é"],), ([],)], "l array<string>")
     got = [r[0] for r in df.select(hash_list("l", T.ArrayType(T.StringType()))).collect()]
     assert got == [hashlib.sha512(json.dumps(v).encode()).hexdigest() for v in (["a", "é"], [])]
+
+
+def test_snapshot_partitions(spark, tmp_dir):
+    from sheetwright.sinks.files import write_snapshot
+
+    write_snapshot(spark.range(3), f"{tmp_dir}/snap", on=dt.date(2026, 1, 5))
+    write_snapshot(spark.range(2), f"{tmp_dir}/snap", on=dt.date(2026, 1, 6))
+    write_snapshot(spark.range(4), f"{tmp_dir}/snap", on=dt.date(2026, 1, 5))   # same day: replaced
+    back = spark.read.parquet(f"{tmp_dir}/snap").groupBy("snapshot_date").count().collect()
+    assert sorted((str(r[0]), r[1]) for r in back) == [("2026-01-05", 4), ("2026-01-06", 2)]
