@@ -16,7 +16,7 @@ from .operators.records import clean_empties, flatten_records
 from .operators.selection import run_sql, select_from
 from .plans.mapping import (build_views, catalogue, clean_mapping, export_named, export_records, load_mapping,
                             load_mappings, store_mapping, write_catalogue)
-from .sinks.files import dated_path, json_output_size, write_json, write_many
+from .sinks.files import dated_path, json_output_size, write_json, write_many, write_snapshot
 from .sinks.tables import save_sql_view, save_table, save_view
 from .sources.json_records import read_json_document_lines, read_json_records
 from .sources.sheets import read_sheet, read_sheets, read_with_row_index
@@ -30,5 +30,5 @@ __all__ = [
     "load_mappings", "object_rollup", "pk_catalogue", "pk_view", "python_json", "read_json_document_lines",
     "read_json_records", "read_sheet", "read_sheets", "read_with_row_index", "record_json", "run_sql",
     "save_sql_view", "save_table", "save_view", "select_from", "slugify", "slugify_text", "sort_catalogue", "split_camel_case", "split_path", "store_mapping", "write_catalogue",
-    "write_json", "write_many", "yes_no_flags",
+    "write_json", "write_many", "write_snapshot", "yes_no_flags",
 ]
