@@ -46,7 +46,8 @@ def hash_files(spark: SparkSession, manifest: DataFrame, path_col: str, roots: S
     ``roots`` are the folders (or globs) the manifest points into; they are
     listed by the binary-file source, and the manifest joins to the listing,
     so each file is read by one task.  Each file is one value: files over
-    ~2 GB do not fit this operator.
+    ~2 GB do not fit this operator.  Manifest paths must be absolute paths
+    or URIs (a working directory means nothing on a cluster).
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(roots))
