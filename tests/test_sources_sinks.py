@@ -318,3 +318,17 @@ def test_snapshot_partitions(spark, tmp_dir):
     write_snapshot(spark.range(4), f"{tmp_dir}/snap", on=dt.date(2026, 1, 5))   # same day: replaced
     back = spark.read.parquet(f"{tmp_dir}/snap").groupBy("snapshot_date").count().collect()
     assert sorted((str(r[0]), r[1]) for r in back) == [("2026-01-05", 4), ("2026-01-06", 2)]
+
+
+def test_header_found_behind_many_empty_part_files(spark, tmp_dir):
+    """The first 16 listed files are empty: the collected head is incomplete and discovery falls back to Spark."""
+    os.makedirs(f"{tmp_dir}/gappy")
+    for i in range(18):
+        _write(f"{tmp_dir}/gappy/part-{i:05d}.csv", "")
+    _write(f"{tmp_dir}/gappy/part-00018.csv", SHEET_CSV)
+    sheet = open_sheet(spark, f"{tmp_dir}/gappy", fmt="csv")
+    assert sheet.head is None
+    hdr = discover_header(sheet)
+    assert hdr.line == 3 and hdr.names[-1] == "isIndexed"
+    load = load_mapping(spark, f"{tmp_dir}/gappy", fmt="csv")
+    assert load.mappings.count() == 3
