@@ -332,3 +332,13 @@ def test_header_found_behind_many_empty_part_files(spark, tmp_dir):
     assert hdr.line == 3 and hdr.names[-1] == "isIndexed"
     load = load_mapping(spark, f"{tmp_dir}/gappy", fmt="csv")
     assert load.mappings.count() == 3
+
+
+def test_parquet_sheet_nan_cells_are_null(spark, tmp_dir):
+    """Typed exports (names given): numbers become text cells, NaN becomes an empty (null) cell."""
+    rows = [("Title", None, None), ("x", float("nan"), "Yes"), ("y", 2.5, "No")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a string, b double, c string")
+    df.orderBy("i").drop("i").coalesce(1).write.parquet(f"{tmp_dir}/typed")
+    data, names = read_sheet(spark, f"{tmp_dir}/typed", names=["name", "weight", "flag"])
+    got = {r["name"]: (r["weight"], r["rowIndex"]) for r in data.collect()}
+    assert got == {"x": (None, 0), "y": ("2.5", 1)}
