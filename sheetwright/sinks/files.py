@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 from collections.abc import Sequence
 
 import pandas as pd
@@ -161,8 +160,3 @@ def write_partitioned_datasets(df: DataFrame, target: str, by: str, fmt: str = "
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(by).format(fmt).save(target))
     return target
-
-
-def files_for(total_chars: int, limit_mb: int = OUTPUT_MB_LIMIT) -> int:
-    """Number of files that keeps ``total_chars`` of text under ``limit_mb`` MB each."""
-    return max(1, math.ceil(total_chars / (limit_mb * 1_000_000)))
