@@ -1,0 +1,58 @@
+import random
+
+import pytest
+from brute import near_components
+from conftest import SF
+
+from sheetwright.llm import minhash as op
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.select("doc_id", "n_shingles", "component_id", "kept").collect())
+
+
+def test_query_matches_brute_force(spark, documents):
+    from sheetwright.llm.queries import QUERIES
+
+    got = rows(QUERIES["op9_minmax_near_dedup"](spark, SF))
+    assert got == sorted(near_components([(d, t) for d, t, *_ in documents]))
+
+
+def edited(words, share, rng):
+    words = list(words)
+    for i in rng.sample(range(len(words)), max(1, int(share * len(words)))):
+        words[i] = f"new{rng.random()}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("max_group", [4096, 16])
+def test_cluster_of_near_copies(spark, make_docs, max_group):
+    """Copies edited to different degrees: some link, some only through others, some not; small blocks lose nothing."""
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(150)]
+    docs = [(i, edited(base, rng.choice([0.007, 0.02, 0.03, 0.05]), rng)) for i in range(80)]
+    docs += [(100 + i, " ".join(rng.choices("abcdefgh", k=60))) for i in range(20)]
+    got = rows(op.near_duplicates(make_docs(docs), max_group=max_group))
+    assert got == sorted(near_components(docs))
+
+
+def test_odd_rows(spark, make_docs, odd_rows):
+    got = rows(op.near_duplicates(make_docs(odd_rows)))
+    assert got == sorted(near_components([(d, t) for d, t, *_ in odd_rows]))
+
+
+def test_null_ids_and_repeated_rows(spark, make_docs, odd_rows):
+    text = odd_rows[4][1]
+    docs = make_docs([(3, text), (None, text), (3, text), (9, text), (None, None), (None, "quite another text of its own")])
+    docs = docs.selectExpr("*", "0 AS _id", "1 AS key", "2 AS _key", "3 AS bands")
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in op.near_duplicates(docs).collect()}
+    assert got == {(3, 3, True), (None, 3, False), (9, 3, False), (None, None, True)}
+    kept = op.drop_near_duplicates(docs)
+    assert kept.schema == docs.schema
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == [
+        (0, ""), (0, "quite another text of its own"), (3, text)]
+
+
+def test_empty_table(spark, make_docs):
+    assert rows(op.near_duplicates(make_docs([]))) == []
+    assert op.drop_near_duplicates(make_docs([])).count() == 0
