@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetwright.llm import decontaminate, minhash, mixing, sharding
+from sheetwright.llm import decontaminate, language, minhash, mixing, sharding
 from sheetwright.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language.predicted(table(spark, sf_dir, "documents"))
+
+
 def op9_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), k=5, per_cent=85)
@@ -30,6 +35,6 @@ def op9_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_benchmark_decontamination, op4_stratified_sharding, op5_source_mixing, op9_minmax_near_dedup)}
+    op3_benchmark_decontamination, op4_stratified_sharding, op5_source_mixing, op7_language_id, op9_minmax_near_dedup)}
 
 ORACLES: dict[str, str] = {}
