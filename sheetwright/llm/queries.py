@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetwright.llm import decontaminate, language, minhash, mixing, sharding
+from sheetwright.llm import decontaminate, fingerprints, language, lines, minhash, mixing, secret_scan, sharding
 from sheetwright.llm.common import table
 
 
+def op1_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.fingerprinted(table(spark, sf_dir, "documents"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page without the boilerplate lines of its host."""
+    return lines.without_boilerplate(table(spark, sf_dir, "pages"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages found in every document, and whether it is contaminated."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -34,7 +44,12 @@ def op9_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_benchmark_decontamination, op4_stratified_sharding, op5_source_mixing, op7_language_id, op9_minmax_near_dedup)}
+    op1_winnowing_fingerprints, op2_line_dedup, op3_benchmark_decontamination, op4_stratified_sharding, op5_source_mixing, op7_language_id, op9_minmax_near_dedup, op10_secret_scan)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_line_dedup": lines.SQL}

@@ -1,0 +1,83 @@
+import re
+from zlib import crc32
+
+import numpy as np
+from conftest import SF
+
+from sheetwright.llm import language as op
+
+
+def test_query_learns_the_held_out_languages(spark, documents):
+    from sheetwright.llm.queries import QUERIES
+
+    got = {r["doc_id"]: r for r in QUERIES["op7_language_id"](spark, SF).collect()}
+    assert len(got) == len(documents)
+    right = total = 0
+    for d, text, lang, _ in documents:
+        r = got[d]
+        assert r["held_out"] == (crc32(str(d).encode()) % 4 == 2)
+        assert 0 <= r["score"] <= 1
+        has_letter = any(c.isalpha() for c in text or "")
+        assert (r["lang_pred"] == "und") == (not has_letter)
+        if r["held_out"] and has_letter:
+            right, total = right + (r["lang_pred"] == lang), total + 1
+    assert total > 100 and right / total > 0.97
+
+
+def tiny_model():
+    model = op.ByteGRU(["a", "b", "c"], seed=1, hidden=3)
+    model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    return model
+
+
+def loss(model, windows, label, weight):
+    p = model.position_probabilities(windows)
+    own = p[:, np.arange(len(label)), label]
+    return -(np.log(own) * weight).sum() / (len(windows) * weight.sum())
+
+
+def test_gradients_through_time_match_differences():
+    rng = np.random.default_rng(0)
+    model = tiny_model()
+    windows, label = rng.integers(97, 105, (6, 4)).astype(np.uint8), np.array([0, 1, 2, 1])
+    weight = np.array([1.0, 2.0, 0.5, 1.0])
+    grads = model.gradients(windows, label, weight)
+    for name, values in model.weights.items():
+        flat = values.reshape(-1)
+        for i in rng.choice(np.flatnonzero(grads[name].reshape(-1)), 5):
+            old = flat[i]
+            flat[i] = old + 1e-3
+            up = loss(model, windows, label, weight)
+            flat[i] = old - 1e-3
+            down = loss(model, windows, label, weight)
+            flat[i] = old
+            assert abs((up - down) / 2e-3 - grads[name].reshape(-1)[i]) < 2e-3
+
+
+def test_whole_text_is_pooled():
+    """The probabilities of a text are the mean over all its positions, whatever stands beside it in the batch."""
+    model = op.ByteGRU(["a", "b"], seed=2)
+    texts = [b"", b"abc", b"x" * op.WINDOW, bytes(range(65, 91)) * 20]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    together = op.document_probabilities(model, data, offsets)
+    for i, t in enumerate(texts):
+        alone = op.document_probabilities(model, np.frombuffer(t, np.uint8), np.array([0, len(t)]))
+        assert np.allclose(together[i], alone[0], atol=1e-6)
+        assert abs(together[i].sum() - (1 if t else 0)) < 1e-5
+
+
+def test_odd_rows(spark, make_docs, odd_rows):
+    docs = make_docs([*odd_rows, (None, "some words", None, "en"), (None, None, None, None)]).selectExpr(
+        "*", "1 AS row", "2 AS letters", "3 AS lang_pred", "4 AS score", "5 AS _rank", "6 AS parts")
+    got = op.predicted(docs).collect()
+    assert len(got) == docs.count()
+    und = {r["doc_id"] for r in got if r["lang_pred"] == "und"}
+    assert und == {d for d, t, *_ in odd_rows if not re.search(r"[^\W\d_]", t or "")} | {None}
+    kept = op.known_language(docs)
+    assert kept.schema == docs.schema
+    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(
+        [d for d, t, *_ in odd_rows if re.search(r"[^\W\d_]", t or "")] + [-1])
+    assert op.predicted(make_docs([])).collect() == []
+    unlabelled = make_docs([(1, "words", "s", None), (2, "more words", "s", None)])
+    assert {r["lang_pred"] for r in op.predicted(unlabelled).collect()} == {"und"}
