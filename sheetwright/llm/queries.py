@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetwright.llm import decontaminate, fingerprints, language, lines, minhash, mixing, secret_scan, sharding
+from sheetwright.llm import decontaminate, fingerprints, language, lines, minhash, mixing, secret_scan, sharding, suffix_dedup, toxicity
 from sheetwright.llm.common import table
 
 
@@ -33,11 +33,21 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     return language.predicted(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated byte strings removed from every document."""
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op9_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), k=5, per_cent=85)
@@ -50,6 +60,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_winnowing_fingerprints, op2_line_dedup, op3_benchmark_decontamination, op4_stratified_sharding, op5_source_mixing, op7_language_id, op9_minmax_near_dedup, op10_secret_scan)}
+    op1_winnowing_fingerprints, op2_line_dedup, op3_benchmark_decontamination, op4_stratified_sharding, op5_source_mixing, op6_toxicity_grammar, op7_language_id,
+    op8_suffix_array_dedup, op9_minmax_near_dedup, op10_secret_scan)}
 
 ORACLES: dict[str, str] = {"op2_line_dedup": lines.SQL}
