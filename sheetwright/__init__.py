@@ -7,8 +7,8 @@ The most used entry points are re-exported here; see README.md for the full map.
 
 from .functions.hashing import hash_files, hash_record, hash_text
 from .functions.jsonfmt import encode_list, join_list, python_json, record_json
-from .functions.naming import camel_case, camel_case_text, slugify, slugify_text, split_camel_case
-from .operators.catalogue import distinct_collapse, object_rollup, pk_catalogue, pk_view, sort_catalogue
+from .functions.naming import camel_case, slugify, split_camel_case
+from .operators.catalogue import distinct_collapse, object_rollup, pk_catalogue, pk_entries, pk_view, sort_catalogue
 from .operators.flags import drop_incomplete, yes_no_flags
 from .operators.nulls import drop_null_columns, fill_text
 from .operators.paths import split_path
@@ -24,11 +24,11 @@ from .sources.sheets import read_sheet, read_sheets, read_with_row_index
 __version__ = "0.1.0"
 
 __all__ = [
-    "build_views", "camel_case", "camel_case_text", "catalogue", "clean_empties", "clean_mapping", "dated_path", "distinct_collapse",
+    "build_views", "camel_case", "catalogue", "clean_empties", "clean_mapping", "dated_path", "distinct_collapse",
     "drop_incomplete", "drop_null_columns", "encode_list", "export_named", "export_records", "fill_text",
     "flatten_records", "hash_files", "hash_record", "hash_text", "join_list", "json_output_size", "load_mapping",
-    "load_mappings", "object_rollup", "pk_catalogue", "pk_view", "python_json", "read_json_document_lines",
+    "load_mappings", "object_rollup", "pk_catalogue", "pk_entries", "pk_view", "python_json", "read_json_document_lines",
     "read_json_records", "read_sheet", "read_sheets", "read_with_row_index", "record_json", "run_sql",
-    "save_sql_view", "save_table", "save_view", "select_from", "slugify", "slugify_text", "sort_catalogue", "split_camel_case", "split_path", "store_mapping", "write_catalogue",
+    "save_sql_view", "save_table", "save_view", "select_from", "slugify", "sort_catalogue", "split_camel_case", "split_path", "store_mapping", "write_catalogue",
     "write_json", "write_many", "write_snapshot", "yes_no_flags",
 ]

@@ -16,6 +16,7 @@ TABLE = "databaseTable"
 COLUMN = "databaseColumn"
 PK_FLAG = "primaryKeyColumn"
 ROW_INDEX = "rowIndex"
+SHEET = "sheet"
 
 # Flag words: exact, case-sensitive.
 YES = "Yes"

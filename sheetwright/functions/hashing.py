@@ -1,4 +1,4 @@
-"""SHA-512 fingerprints of text (F4), records (F5) and files (F6), hex encoded."""
+"""SHA-512 fingerprints of text (F4), records (F5) and files (F6), hex encoded; ``bits`` chooses a shorter SHA-2."""
 
 from __future__ import annotations
 
@@ -14,19 +14,19 @@ from .jsonfmt import python_json
 _NOT_A_FILE_TEXT = "False"
 
 
-def hash_text(c: Column | str) -> Column:
-    """SHA-512 hex of text (UTF-8) or bytes."""
+def hash_text(c: Column | str, bits: int = 512) -> Column:
+    """SHA-2 hex of text (UTF-8) or bytes."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.sha2(c, 512)
+    return F.sha2(c, bits)
 
 
-def hash_record(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
-    """SHA-512 hex of the row's JSON text in Python's ``json.dumps`` layout (field order kept)."""
+def hash_record(df: DataFrame, cols: Sequence[str] | None = None, bits: int = 512) -> Column:
+    """SHA-2 hex of the row's JSON text in Python's ``json.dumps`` layout (field order kept)."""
     names = list(cols or df.columns)
     fields = {f.name: f for f in df.schema.fields}
     schema = T.StructType([fields[n] for n in names])
     rec = F.struct(*[F.col(f"`{n}`") for n in names])
-    return F.sha2(python_json(rec, schema), 512)
+    return F.sha2(python_json(rec, schema), bits)
 
 
 def hash_list(c: Column | str, dtype: T.DataType) -> Column:

@@ -18,6 +18,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: ``to_json`` option: a key whose value is null stays, as ``null``.
+KEEP_NULLS = {"ignoreNullFields": "false"}
+
 _PRINTABLE = r"\x{20}-\x{7e}"
 
 
@@ -63,11 +66,11 @@ def encodable(c: Column, dtype: T.DataType) -> Column:
     return walk(c, dtype, _encodable)
 
 
-def record_json(df_cols: list[str], schema: T.StructType, pretty: bool = False) -> Column:
-    """JSON text of the row made of ``df_cols`` (F7); null fields are omitted, as ``to_json`` does."""
+def record_json(df_cols: list[str], schema: T.StructType, pretty: bool = False, drop_nulls: bool = False) -> Column:
+    """JSON text of the row made of ``df_cols`` (F7); null fields are kept unless ``drop_nulls``."""
     fields = {f.name: f.dataType for f in schema.fields}
     struct = F.struct(*[encodable(F.col(f"`{n}`"), fields[n]).alias(n) for n in df_cols])
-    return F.to_json(struct, {"pretty": "true"} if pretty else {})
+    return F.to_json(struct, ({} if drop_nulls else KEEP_NULLS) | ({"pretty": "true"} if pretty else {}))
 
 
 def join_list(c: Column | str, sep: str = ">") -> Column:
@@ -79,12 +82,12 @@ def join_list(c: Column | str, sep: str = ">") -> Column:
 def encode_list(c: Column | str) -> Column:
     """Non-text list as JSON text (F9); an empty list gives null."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(F.size(c) > 0, F.to_json(c))
+    return F.when(F.size(c) > 0, F.to_json(c, KEEP_NULLS))
 
 
 # --- Python json.dumps layout ---------------------------------------------------
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and pass it to ``body`` (keeps generated code small)."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
@@ -149,7 +152,7 @@ def _py_float_parts(s: Column) -> Column:
         F.regexp_replace(stripped, "0+$", "").alias("digits"),
         (F.length(ipart) + exp - lead).alias("point"),
     )
-    return _let(parts, _py_float_layout)
+    return let(parts, _py_float_layout)
 
 
 def _significant(s: Column) -> Column:
@@ -168,7 +171,7 @@ def py_float(c: Column) -> Column:
     def layout(p: Column) -> Column:
         x, s = p["x"], p["s"]
         candidates = [
-            _let(F.format_string(f"%.{k - 1}e", x), lambda t: F.when(t.cast("double") == x, t)) for k in range(1, 18)
+            let(F.format_string(f"%.{k - 1}e", x), lambda t: F.when(t.cast("double") == x, t)) for k in range(1, 18)
         ]
         search = (_significant(s) >= 16) | ((F.abs(x) < 2.3e-308) & (x != 0))  # long output or subnormal
         chosen = F.when(search, F.coalesce(*candidates, s)).otherwise(s)
@@ -184,7 +187,7 @@ def py_float(c: Column) -> Column:
     # at most 15 digits (|x| in [1e-3, 1e7) or zero): no parsing needed.
     plain = (~s.contains("E")) & (F.length(s) <= 16) & (s != "NaN") & (~s.contains("Infinity"))
     return F.when(x.isNull(), F.lit(None)).when(plain, s).otherwise(
-        _let(F.struct(x.alias("x"), s.alias("s")), layout))
+        let(F.struct(x.alias("x"), s.alias("s")), layout))
 
 
 def python_json(c: Column, dtype: T.DataType) -> Column:

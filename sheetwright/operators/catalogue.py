@@ -10,33 +10,39 @@ Plan shape (see README "Scale"):
   object's PK rows across tasks; a left outer join could not split the
   preserved side's partner.  The join is null-safe with a null-key flag
   from the aggregate, so both branches share one rollup exchange.
-* catalogue: PK rows are aggregated to ordered lists *before* any join; the
-  only join is between two aggregates (objects x lists).  The small
-  (object, table) counts are checkpointed once and feed the rollup and the
-  hot-group check.  A group with more than ``max_list_len`` PK rows is cut
-  into consecutive parts of exactly ``max_list_len`` entries by an exact,
-  distributed rank, so no task ever collects an unbounded list.
+* catalogue: one scan and one aggregate per (object, table) with its counts
+  and its PK entries; the object's totals are a window over that aggregate.
+  A list record is one value, so its list is as long as the group has PK
+  rows; ``pk_entries`` has the same entries as rows, each with its exact
+  position, for groups too large for one record.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import ATTRIBUTE, COL_CNT, COL_CNT_PK, COLUMN, LEVELS, PK_FLAG, ROW_INDEX, TABLE
-from ..session import cut_lineage
+from ..constants import ATTRIBUTE, CATALOGUE_ORDER, COL_CNT, COL_CNT_PK, COLUMN, LEVELS, PK_FLAG, ROW_INDEX, SHEET, TABLE
 from .selection import pk_rows
 
-LIST_PART = "listPart"
-DEFAULT_MAX_LIST_LEN = 1_000_000
-
 
 def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(f"`{n}`") for n in names]
 
 
+def _null_key(levels: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(f"`{lv}`").isNull() for lv in levels])
+
+
+def _position(mappings: DataFrame) -> list[str]:
+    """What orders the rows of a group: the sheet (where there are several), the position in it, and the texts."""
+    return [SHEET] * (SHEET in mappings.columns) + [ROW_INDEX, ATTRIBUTE, COLUMN]
+
+
 def object_rollup(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG) -> DataFrame:
     """COUNT(*) as colCnt and the 64-bit sum of the PK flag as colCntPK, per object (A1)."""
     return mappings.groupBy(*_cols(levels)).agg(
@@ -55,13 +61,10 @@ def pk_view(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_
     branches read the very same rollup (one shared exchange).
     """
     levels = list(levels)
-    null_key = F.lit(False)
-    for lv in levels:
-        null_key = null_key | F.col(f"`{lv}`").isNull()
     rollup = mappings.groupBy(*_cols(levels)).agg(
         F.count(F.lit(1)).alias(COL_CNT),
         F.sum(F.col(f"`{flag}`")).cast("long").alias(COL_CNT_PK),
-        F.max(null_key).alias("_nullKey"),
+        F.max(_null_key(levels)).alias("_nullKey"),
     )
     carried = [ATTRIBUTE, TABLE, COLUMN] + ([ROW_INDEX] if keep_row_index else [])
     pk = pk_rows(mappings, flag).select(*_cols(levels + carried))
@@ -76,139 +79,86 @@ def pk_view(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_
     return with_pk.unionByName(without)
 
 
-def table_counts(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG) -> DataFrame:
-    """Rows and PK rows per (object, table): one partial+final aggregate, small output."""
-    keys = list(levels) + [TABLE]
-    return mappings.groupBy(*_cols(keys)).agg(
+def pk_lists(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG) -> DataFrame:
+    """Rows, PK rows and the ordered attribute/column lists of the PK rows per (object, table) (A2).
+
+    Lists are sorted by sheet, rowIndex, attribute and column, so ties in
+    rowIndex cannot change the order; they are empty where no row is flagged.
+    """
+    is_pk = F.col(f"`{flag}`") == 1
+    entry = F.struct(*_cols(_position(mappings)))
+    grouped = mappings.groupBy(*_cols([*levels, TABLE])).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(F.col(f"`{flag}`")).cast("long").alias("_npk"),
+        F.sort_array(F.collect_list(F.when(is_pk, entry))).alias("_l"),
+    )
+    return grouped.select(
+        *_cols([*levels, TABLE, "_n", "_npk"]),
+        F.transform("_l", lambda e: e[ATTRIBUTE]).alias("cols"),
+        F.transform("_l", lambda e: e[COLUMN]).alias("colsDB"),
     )
 
 
-def _ranked_in_group(rows: DataFrame, keys: list[str], order: list[str], bucket_width: int) -> DataFrame:
-    """Exact 0-based rank of each row inside its group, in ``order`` — without one task per group.
+def pk_catalogue(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG) -> DataFrame:
+    """One record per (object, table) with its ordered PK attribute and column lists.
 
-    Rows are bucketed by ``rowIndex // bucket_width``.  Per (group, bucket)
-    counts are a small aggregate; their running sum over the buckets of a
-    group (a window partitioned by the group keys) is each bucket's offset,
-    and ``row_number`` inside one (group, bucket) gives the rest.  Every
-    window partition holds at most one bucket of positions (rowIndex is a
-    sheet position), so no task sees a whole group.  All keys are data
-    values, so the result does not depend on partitioning or retries.
+    Objects without any PK row (or with a null level, which joins nothing)
+    give one record whose table and lists are null (A4); ``colCnt`` and
+    ``colCntPK`` are always the object's totals.  Only tables with PK rows
+    are listed.
     """
-    bucket = F.floor(F.col(ROW_INDEX) / bucket_width).cast("long").alias("_b")
-    with_b = rows.select("*", bucket)
-    counts = with_b.groupBy(*_cols(keys), "_b").agg(F.count(F.lit(1)).alias("_c"))
-    earlier = Window.partitionBy(*_cols(keys)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*_cols(keys), "_b", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_off"))
-    within = Window.partitionBy(*_cols(keys), "_b").orderBy(*_cols(order))
-    ranked = with_b.join(offsets, on=keys + ["_b"], how="inner")
-    return ranked.select(*_cols(rows.columns), (F.col("_off") + F.row_number().over(within) - 1).alias("_rank"))
-
-
-def _list_parts(pk: DataFrame, keys: list[str], counts: DataFrame, max_list_len: int | None) -> DataFrame:
-    """Tag each PK row with the ordered part of its group's list it belongs to.
-
-    Groups with at most ``max_list_len`` PK rows are one part (0).  The rows
-    of larger ("hot") groups get their exact rank in list order, and part =
-    rank // max_list_len, so every part holds exactly ``max_list_len``
-    entries except the last.  ``counts`` is materialized, so finding out
-    that no group is hot is a cheap probe and the plan then has no extra
-    branch at all.
-    """
-    if not max_list_len:
-        return pk.withColumn(LIST_PART, F.lit(0))
-    hot = counts.filter(F.col("_npk") > max_list_len).select(*_cols(keys))
-    if hot.isEmpty():  # counts are materialized (see pk_catalogue): a cheap probe, no rescan
-        return pk.withColumn(LIST_PART, F.lit(0))
-    cold = pk.join(hot, on=keys, how="left_anti").withColumn(LIST_PART, F.lit(0))
-    hot_rows = pk.join(hot, on=keys, how="left_semi")
-    ranked = _ranked_in_group(hot_rows, keys, [ROW_INDEX, ATTRIBUTE, COLUMN], max_list_len)
-    parts = ranked.select(*_cols(pk.columns), F.floor(F.col("_rank") / max_list_len).cast("int").alias(LIST_PART))
-    return cold.unionByName(parts)
-
-
-def pk_lists(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG,
-             max_list_len: int | None = DEFAULT_MAX_LIST_LEN, counts: DataFrame | None = None) -> DataFrame:
-    """Ordered attribute/column lists of the PK rows per (object, table[, part]) (A2).
-
-    Lists are sorted by (rowIndex, attribute, column), so ties in rowIndex
-    cannot change the order.
-    """
-    keys = list(levels) + [TABLE]
-    if counts is None and max_list_len:
-        counts = cut_lineage(table_counts(mappings, levels, flag))
-    pk = pk_rows(mappings, flag).select(*_cols(keys + [ROW_INDEX, ATTRIBUTE, COLUMN]))
-    tagged = _list_parts(pk, keys, counts, max_list_len)
-    entry = F.struct(F.col(ROW_INDEX).alias("i"), F.col(ATTRIBUTE).alias("a"), F.col(COLUMN).alias("c"))
-    lists = tagged.groupBy(*_cols(keys + [LIST_PART])).agg(F.sort_array(F.collect_list(entry)).alias("_l"))
-    return lists.select(
-        *_cols(keys + [LIST_PART]),
-        F.transform("_l", lambda e: e["a"]).alias("cols"),
-        F.transform("_l", lambda e: e["c"]).alias("colsDB"),
+    levels = list(levels)
+    per_object = Window.partitionBy(*_cols(levels))
+    listed = (F.size("cols") > 0) & ~_null_key(levels)
+    totals = pk_lists(mappings, levels, flag).select(
+        "*", listed.alias("_listed"),
+        F.sum("_n").over(per_object).alias(COL_CNT),
+        F.sum("_npk").over(per_object).alias(COL_CNT_PK),
+        F.max(listed).over(per_object).alias("_any"),
+        F.row_number().over(per_object.orderBy(F.col(f"`{TABLE}`"))).alias("_no"),
     )
+    records = totals.filter(F.col("_listed") | (~F.col("_any") & (F.col("_no") == 1)))
+    has_pk = F.col("_listed") & (F.coalesce(F.col(COL_CNT_PK), F.lit(0)) != 0)
+    shown = {c: F.when(has_pk, F.col(f"`{c}`")).alias(c) for c in (TABLE, "cols", "colsDB")}
+    return records.select(*[shown.get(c, F.col(f"`{c}`")) for c in (*levels, *CATALOGUE_ORDER[len(LEVELS):])])
 
 
-def pk_catalogue(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG,
-                 max_list_len: int | None = DEFAULT_MAX_LIST_LEN) -> DataFrame:
-    """One record per (object, table) with its ordered PK attribute and column lists.
+def pk_entries(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG,
+               bucket_width: int = 100_000) -> DataFrame:
+    """The catalogue's lists as rows: one per PK entry with its exact 0-based position in its list.
 
-    Objects without any PK row give one record whose table and lists are
-    null (A4); ``colCnt``/``colCntPK`` are always the object's totals.
-    Plan: one scan feeds the (object, table) counts, which are checkpointed
-    (small) and feed both the object rollup and the hot-group check; one
-    scan feeds the PK lists; the final join is between two aggregates.
+    Rows are numbered inside buckets of ``bucket_width`` sheet positions, and
+    running totals over the (small) bucket counts of a group shift each
+    bucket, so no task sees a whole group.  All keys are data values: the
+    result does not depend on partitioning or retries.
     """
-    levels = list(levels)
-    # one row per (object, table): small, so it is materialized once in the shared checkpoint
-    # folder; the rollup and the hot-group check read it instead of rescanning the mappings
-    counts = cut_lineage(table_counts(mappings, levels, flag))
-    rollup = counts.groupBy(*_cols(levels)).agg(
-        F.sum("_n").alias(COL_CNT), F.sum("_npk").cast("long").alias(COL_CNT_PK)
-    )
-    lists = pk_lists(mappings, levels, flag, max_list_len, counts)
-    joined = rollup.join(lists, on=levels, how="left")
-    has_pk = F.coalesce(F.col(COL_CNT_PK), F.lit(0)) != 0
-    return joined.select(
-        *_cols(levels),
-        F.when(has_pk, F.col(TABLE)).alias(TABLE),
-        F.col(COL_CNT),
-        F.col(COL_CNT_PK),
-        F.when(has_pk, F.col("cols")).alias("cols"),
-        F.when(has_pk, F.col("colsDB")).alias("colsDB"),
-        F.coalesce(F.col(LIST_PART), F.lit(0)).alias(LIST_PART),
-    )
+    keys = [*levels, TABLE]
+    order = _position(mappings)
+    place = [c for c in order if c == SHEET] + ["_b"]
+    rows = pk_rows(mappings, flag).select(*_cols(keys + order)).withColumn("_b", F.floor(F.col(ROW_INDEX) / bucket_width))
+    counts = rows.groupBy(*_cols(keys + place)).agg(F.count(F.lit(1)).alias("_c"))
+    earlier = Window.partitionBy(*_cols(keys)).orderBy(*_cols(place)).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*_cols(keys + place), F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_off")).alias("o")
+    within = Window.partitionBy(*_cols(keys + place)).orderBy(*_cols(order))
+    ranked = rows.withColumn("_at", F.row_number().over(within) - 1).alias("r")
+    same = reduce(lambda x, y: x & y, [F.col(f"r.`{c}`").eqNullSafe(F.col(f"o.`{c}`")) for c in keys + place])
+    return ranked.join(offsets, same).select(
+        *[F.col(f"r.`{c}`") for c in keys], (F.col("_off") + F.col("_at")).alias("position"),
+        F.col(f"r.{ATTRIBUTE}").alias(ATTRIBUTE), F.col(f"r.{COLUMN}").alias(COLUMN))
 
 
 def sort_catalogue(catalogue: DataFrame, levels: Sequence[str] = LEVELS) -> DataFrame:
     """Output order by group key (O3) — use at the sink only; it is a range shuffle."""
-    return catalogue.orderBy(*_cols(list(levels) + [TABLE, LIST_PART]))
+    return catalogue.orderBy(*_cols([*levels, TABLE]))
 
 
-def distinct_collapse(df: DataFrame, group: Sequence[str], value: str, alias: str | None = None,
-                      max_list_len: int | None = DEFAULT_MAX_LIST_LEN) -> DataFrame:
+def distinct_collapse(df: DataFrame, group: Sequence[str], value: str, alias: str | None = None) -> DataFrame:
     """Distinct values per group; one value stays a scalar, several become a sorted JSON list (A3).
 
-    Values are de-duplicated per (group, value) first (partial aggregation).
-    The original builds the list from a set, so its order is free: a group
-    with more than ``max_list_len`` distinct values is spread by value hash
-    over ``ceil(n / max_list_len)`` parts (``listPart``), each a sorted JSON
-    list of about ``max_list_len`` values, so no task collects an unbounded
-    list.
+    Values are made distinct per (group, value) first (combined before the
+    shuffle), so repeated values never reach the list.
     """
-    group = list(group)
-    pairs = df.select(*_cols(group + [value])).distinct()
-    n = pairs.groupBy(*_cols(group)).agg(F.count(F.lit(1)).alias("_n"))  # one row per group
-    parts = F.lit(0)
-    if max_list_len:
-        n_parts = F.ceil(F.col("_n") / F.lit(max_list_len))
-        parts = F.when(F.col("_n") > max_list_len,
-                       F.pmod(F.xxhash64(F.col(f"`{value}`")), n_parts)).otherwise(F.lit(0))
-    tagged = pairs.join(n, on=group, how="inner").withColumn(LIST_PART, parts.cast("int"))
-    vals = tagged.groupBy(*_cols(group + [LIST_PART])).agg(
-        F.array_sort(F.collect_list(F.col(f"`{value}`"))).alias("_v"))
-    return vals.select(
-        *_cols(group),
-        F.when(F.size("_v") == 1, F.col("_v")[0]).otherwise(F.to_json("_v")).alias(alias or value),
-        F.col(LIST_PART),
-    )
+    pairs = df.select(*_cols([*group, value])).distinct()
+    values = pairs.groupBy(*_cols(group)).agg(F.array_sort(F.collect_list(F.col(f"`{value}`"))).alias("_v"))
+    return values.select(
+        *_cols(group), F.when(F.size("_v") == 1, F.col("_v")[0]).otherwise(F.to_json("_v")).alias(alias or value))

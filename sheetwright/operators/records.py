@@ -14,11 +14,14 @@ A Spark row has a fixed schema, so a removed key becomes null.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.jsonfmt import encodable
+from ..functions.jsonfmt import KEEP_NULLS, encodable, let
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -38,18 +41,17 @@ def clean_value(c: Column, dtype: T.DataType, drop_zero: bool = True) -> Column:
     if isinstance(dtype, T.ArrayType):
         kept = F.filter(F.transform(c, lambda x: clean_value(x, dtype.elementType, drop_zero)),
                         lambda x: x.isNotNull())
-        return F.when(F.size(kept) > 0, kept)
+        return let(kept, lambda k: F.when(F.size(k) > 0, k))
     if isinstance(dtype, T.MapType):
         kept = F.map_filter(F.transform_values(c, lambda _k, v: clean_value(v, dtype.valueType, drop_zero)),
                             lambda _k, v: v.isNotNull())
-        return F.when(F.size(kept) > 0, kept)
+        return let(kept, lambda k: F.when(F.size(k) > 0, k))
     if isinstance(dtype, T.StructType):
         if not dtype.fields:
             return F.lit(None).cast(dtype)
-        kids = [clean_value(c[f.name], f.dataType, drop_zero).alias(f.name) for f in dtype.fields]
-        any_kept = F.coalesce(*[F.when(k.isNotNull(), F.lit(1)) for k in
-                                [clean_value(c[f.name], f.dataType, drop_zero) for f in dtype.fields]])
-        return F.when(any_kept.isNotNull(), F.struct(*kids))
+        # each cleaned child is bound once, so the expression grows with the schema, not with its depth
+        kids = F.struct(*[clean_value(c[f.name], f.dataType, drop_zero).alias(f.name) for f in dtype.fields])
+        return let(kids, lambda k: F.when(reduce(or_, [k[f.name].isNotNull() for f in dtype.fields]), k))
     return c  # timestamps, dates and other objects are truthy
 
 
@@ -72,9 +74,9 @@ def _flat(c: Column, dtype: T.DataType, name: str) -> list[tuple[str, Column]]:
     if isinstance(dtype, T.ArrayType):
         if isinstance(dtype.elementType, T.StringType):
             return [(name, F.when(F.size(c) > 0, F.array_join(c, ">")))]
-        return [(name, F.when(F.size(c) > 0, F.to_json(encodable(c, dtype))))]
+        return [(name, F.when(F.size(c) > 0, F.to_json(encodable(c, dtype), KEEP_NULLS)))]
     if isinstance(dtype, T.MapType):  # dynamic keys cannot become columns: keep the dict as JSON text
-        return [(name, F.when(F.size(c) > 0, F.to_json(encodable(c, dtype))))]
+        return [(name, F.when(F.size(c) > 0, F.to_json(encodable(c, dtype), KEEP_NULLS)))]
     return [(name, c)]
 
 

@@ -8,13 +8,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..constants import LEVELS, MAPPINGS_TABLE, OBJECT_VIEW, PK_FLAG, PK_VIEW, VIEW_OBJECT
-from ..operators.catalogue import DEFAULT_MAX_LIST_LEN, object_rollup, pk_catalogue, pk_view, sort_catalogue
+from ..constants import (ATTRIBUTE, COL_CNT, COL_CNT_PK, COLUMN, LEVELS, MAPPINGS_TABLE, OBJECT_VIEW, PK_FLAG, PK_VIEW,
+                         ROW_INDEX, TABLE, VIEW_OBJECT)
+from ..operators.catalogue import pk_catalogue, sort_catalogue
 from ..operators.flags import drop_incomplete, yes_no_flags
 from ..operators.nulls import fill_text
 from ..operators.paths import split_path
 from ..sinks.files import dated_path, export_path, write_json
-from ..sinks.tables import save_table, save_view
+from ..sinks.tables import save_sql_view, save_table
 from ..sources.sheets import read_sheet, read_sheets
 
 
@@ -63,21 +64,43 @@ def store_mapping(load: MappingLoad, table: str = MAPPINGS_TABLE, path: str | No
     """Replace the mappings table (P1's store) and build the views over it."""
     spark = load.mappings.sparkSession
     save_table(load.mappings, table, path)
-    stored = spark.table(table)
-    build_views(stored)
-    return stored
+    build_views(spark, table)
+    return spark.table(table)
 
 
-def build_views(mappings: DataFrame, object_view: str = OBJECT_VIEW, pk_view_name: str = PK_VIEW) -> None:
-    """Object rollup view and PK view over the mappings table."""
-    save_view(object_rollup(mappings), object_view)
-    save_view(pk_view(mappings), pk_view_name)
+def object_view_sql(table: str) -> str:
+    """Rows and flagged rows of every object (A1) as SQL."""
+    levels = ", ".join(LEVELS)
+    return (f"SELECT {levels}, COUNT(*) AS {COL_CNT}, CAST(SUM({PK_FLAG}) AS BIGINT) AS {COL_CNT_PK} "
+            f"FROM `{table}` GROUP BY {levels}")
 
 
-def catalogue(spark: SparkSession, table: str = MAPPINGS_TABLE,
-              max_list_len: int | None = DEFAULT_MAX_LIST_LEN) -> DataFrame:
+def pk_view_sql(table: str, object_view: str) -> str:
+    """Every object with each of its PK rows, or once with nulls (J1), as SQL.
+
+    The outer join is written as its inner part plus the objects without a
+    partner, as ``pk_view`` does: a hot object's rows can then be split.
+    """
+    levels = ", ".join(f"t.{c}" for c in LEVELS)
+    carried = (ATTRIBUTE, TABLE, COLUMN, ROW_INDEX)
+    same = " AND ".join(f"t.{c} = v.{c}" for c in LEVELS)
+    no_level = " OR ".join(f"t.{c} IS NULL" for c in LEVELS)
+    return (f"SELECT {levels}, t.{COL_CNT}, t.{COL_CNT_PK}, {', '.join(f'v.{c}' for c in carried)} "
+            f"FROM `{object_view}` t JOIN (SELECT * FROM `{table}` WHERE {PK_FLAG} = 1) v ON {same} "
+            f"UNION ALL SELECT {levels}, t.{COL_CNT}, t.{COL_CNT_PK}, {', '.join(f'NULL AS {c}' for c in carried)} "
+            f"FROM `{object_view}` t WHERE COALESCE(t.{COL_CNT_PK}, 0) = 0 OR {no_level}")
+
+
+def build_views(spark: SparkSession, table: str = MAPPINGS_TABLE, object_view: str = OBJECT_VIEW,
+                pk_view_name: str = PK_VIEW) -> None:
+    """Object rollup view and PK view over the stored mappings table, kept in the catalog."""
+    save_sql_view(spark, object_view, object_view_sql(table), persistent=True)
+    save_sql_view(spark, pk_view_name, pk_view_sql(table, object_view), persistent=True)
+
+
+def catalogue(spark: SparkSession, table: str = MAPPINGS_TABLE) -> DataFrame:
     """PK catalogue over the stored mappings table."""
-    return pk_catalogue(spark.table(table), max_list_len=max_list_len)
+    return pk_catalogue(spark.table(table))
 
 
 def export_records(df: DataFrame, path: str, dated: bool = False, on: dt.date | None = None,

@@ -21,6 +21,9 @@ _CELLS = """
        WHEN l_quantity < 3 THEN 'yes' ELSE 'No' END AS primaryKeyColumn,
   CASE WHEN l_linestatus = 'O' THEN 'Yes' WHEN l_quantity > 48 THEN NULL ELSE 'No' END AS indexedColumn"""
 
+_ATTRIBUTE = "concat('Attr', CAST(l_orderkey AS VARCHAR), '_', CAST(l_linenumber AS VARCHAR)) AS viewObjectAttribute"
+_CSV_ATTRIBUTE = "concat('Attr \"', l_orderkey, '\", line', chr(10), l_linenumber) AS viewObjectAttribute"
+
 RAW = f"SELECT {_CELLS}, l_orderkey * 10 + l_linenumber AS rowIndex FROM lineitem"
 
 _SHEET_ROWINDEX = (f"row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, "
@@ -60,8 +63,7 @@ PK_VIEW = (f"SELECT t.*, v.viewObjectAttribute, v.databaseTable, v.databaseColum
 CATALOGUE = f"""SELECT {L},
   CASE WHEN r.colCntPK <> 0 THEN l.databaseTable END AS databaseTable, r.colCnt, r.colCntPK,
   CASE WHEN r.colCntPK <> 0 THEN l.cols END AS cols,
-  CASE WHEN r.colCntPK <> 0 THEN l.colsDB END AS colsDB,
-  0 AS listPart
+  CASE WHEN r.colCntPK <> 0 THEN l.colsDB END AS colsDB
 FROM ({ROLLUP}) r LEFT JOIN (
   SELECT {L}, databaseTable,
     list(viewObjectAttribute ORDER BY rowIndex, viewObjectAttribute, databaseColumn) AS cols,
@@ -100,6 +102,12 @@ _ISO = ("CASE WHEN epoch_us({c}) % 1000000 = 0 THEN strftime({c}, '%Y-%m-%dT%H:%
 ORDERS_JSON = ("json_object('o_orderkey', o_orderkey, 'o_custkey', o_custkey, 'o_orderstatus', o_orderstatus, "
                "'o_totalprice', o_totalprice, 'o_orderdate', " + _ISO.format(c="o_orderdate") +
                ", 'o_orderpriority', o_orderpriority)::VARCHAR")
+_ORDERS_WITH_NULLS = "(SELECT * REPLACE (nullif(o_orderstatus, 'P') AS o_orderstatus) FROM orders)"
+# the default layout of Python's json module; these texts are printable ASCII without quotes or backslashes
+ORDERS_PYTHON_JSON = ("concat('{\"o_orderkey\": ', o_orderkey, ', \"o_custkey\": ', o_custkey, ', \"o_orderstatus\": ', "
+                      "coalesce('\"' || o_orderstatus || '\"', 'null'), ', \"o_totalprice\": ', o_totalprice, "
+                      "', \"o_orderdate\": \"', " + _ISO.format(c="o_orderdate") + ", '\", \"o_orderpriority\": \"', "
+                      "o_orderpriority, '\"}')")
 _PY_SPACE = "\\t\\n\\x0b\\f\\r\\x1c-\\x1f "
 SLUG = ("array_to_string(list_transform(string_split(f, '.'), lambda p: regexp_replace(regexp_replace("
         "regexp_replace(p, '[^0-9A-Za-z_" + _PY_SPACE + "-]', '', 'g'), '[" + _PY_SPACE + "-]+', '-', 'g'), "
@@ -109,7 +117,8 @@ EVENTS_FLAT = """SELECT nullif(event_id, 0) AS event_id,
   nullif(value, 0) AS detail_value, nullif(user_id, 0) AS detail_user_id,
   nullif(json_extract(props, '$.k')::BIGINT, 0) AS props_k,
   CASE WHEN event_type = 'view' THEN NULL ELSE '>' || event_type END AS tags,
-  to_json([user_id, event_id])::VARCHAR AS ids
+  to_json([user_id, event_id])::VARCHAR AS ids,
+  to_json([{'id': event_id, 'odd': nullif(user_id % 2, 0)}])::VARCHAR AS parts
 FROM events"""
 
 ORACLES: dict[str, str] = {
@@ -125,11 +134,18 @@ ORACLES: dict[str, str] = {
                                           f"rowIndex, {L} FROM mappings"),
     "pk_view": _with_mappings() + PK_VIEW,
     "pk_catalogue": _with_mappings() + CATALOGUE,
+    "pk_entries": _with_mappings() + f"""SELECT {L}, databaseTable,
+  row_number() OVER (PARTITION BY {L}, databaseTable ORDER BY rowIndex, viewObjectAttribute, databaseColumn) - 1 AS position,
+  viewObjectAttribute, databaseColumn FROM mappings WHERE primaryKeyColumn = 1""",
+    "sorted_catalogue": _with_mappings() + (
+        f"SELECT *, row_number() OVER (ORDER BY {', '.join(f'{c} NULLS FIRST' for c in [*L.split(', '), 'databaseTable'])}) - 1 "
+        f"AS position FROM ({CATALOGUE})"),
+    "mapping_load_csv": _with_mappings(SHEET_RAW.replace(_ATTRIBUTE, _CSV_ATTRIBUTE)) + "SELECT * FROM mappings",
     "fill_text": (f"WITH raw AS ({RAW}) SELECT viewObject, viewObjectAttribute, databaseTable, databaseColumn, "
                   f"coalesce(primaryKeyColumn, '') AS primaryKeyColumn, coalesce(indexedColumn, '') AS indexedColumn, "
                   f"rowIndex FROM raw"),
     "distinct_collapse": _with_mappings() + f"""SELECT {L},
-  CASE WHEN len(t) = 1 THEN t[1] ELSE to_json(t)::VARCHAR END AS databaseTable, 0 AS listPart
+  CASE WHEN len(t) = 1 THEN t[1] ELSE to_json(t)::VARCHAR END AS databaseTable
 FROM (SELECT {L}, list_sort(list(DISTINCT databaseTable)) AS t FROM mappings GROUP BY {L})""",
     "discover_header": " UNION ALL ".join(
         f"SELECT {i} AS position, {_q(t)} AS headerText, {_q(n)} AS columnName, {HEADER_LINE} AS headerLine"
@@ -142,12 +158,16 @@ FROM (SELECT {L}, list_sort(list(DISTINCT databaseTable)) AS t FROM mappings GRO
     "slugify": (f"SELECT doc_id, {SLUG} AS slug FROM (SELECT doc_id, "
                 f"regexp_replace(strip_accents(coalesce(text, 'None')), '[^\\x00-\\x7F]', '', 'g') AS f "
                 f"FROM documents)"),
-    "record_to_json": f"SELECT o_orderkey, {ORDERS_JSON} AS json FROM orders",
+    "record_to_json": f"SELECT o_orderkey, {ORDERS_JSON} AS json FROM {_ORDERS_WITH_NULLS}",
+    "python_json": f"SELECT o_orderkey, {ORDERS_PYTHON_JSON} AS json FROM {_ORDERS_WITH_NULLS}",
+    "hash_text_256": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
+    "hash_record_256": f"SELECT o_orderkey, sha256({ORDERS_PYTHON_JSON}) AS sha256 FROM {_ORDERS_WITH_NULLS}",
     "join_list": ("SELECT p_partkey, CASE WHEN len(l) > 0 THEN array_to_string(l, '>') END AS joined, "
                   "CASE WHEN len(a) > 0 THEN array_to_string(a, ', ') END AS commaText FROM ("
                   "SELECT p_partkey, list_filter(string_split(p_name, ' '), lambda w: length(w) > 4) AS l, "
                   "string_split(p_name, ' ') AS a FROM part)"),
-    "encode_list": ("SELECT o_orderkey, CASE WHEN len(k) > 0 THEN to_json(k)::VARCHAR END AS encoded FROM ("
+    "encode_list": ("SELECT o_orderkey, CASE WHEN len(k) > 0 THEN to_json(list_transform(k, "
+                    "lambda x: {'key': x, 'rest': nullif(x % 3, 0)}))::VARCHAR END AS encoded FROM ("
                     "SELECT o_orderkey, list_filter([o_orderkey, o_custkey], lambda x: x > 1000) AS k FROM orders)"),
     "clean_empties": """SELECT nullif(event_id, 0) AS event_id, ts,
   CASE WHEN event_type <> '' AND event_type <> 'None' THEN event_type END AS event_type,
@@ -165,12 +185,15 @@ FROM (SELECT *, json_extract(props, '$.k')::BIGINT AS k FROM events)""",
                          f"CAST(sum(length(j)) AS DOUBLE) / 1000000.0 AS size_mb, "
                          f"CAST(greatest(1, ceil(CAST(sum(length(j)) AS DOUBLE) / 100000000.0)) AS BIGINT) AS files "
                          f"FROM (SELECT {ORDERS_JSON} AS j FROM orders)"),
-    "write_many": ("SELECT 'Sheet 1 of 4' AS dataset, count(*) AS rows FROM orders UNION ALL "
-                   "SELECT 'Sheet 2 of 4', count(*) FROM customer UNION ALL "
-                   "SELECT 'Sheet 3 of 4', count(*) FROM supplier"),
+    "write_many": " UNION ALL ".join(
+        f"SELECT 'Sheet {i} of 4' AS dataset, count(*) AS rows, CAST(sum({key}) AS BIGINT) AS keySum, "
+        f"count(DISTINCT {key}) AS keys FROM {name}"
+        for i, (name, key) in enumerate((("orders", "o_orderkey"), ("customer", "c_custkey"), ("supplier", "s_suppkey")), 1)),
     "dated_snapshot": "SELECT *, 'V2026.01.05__orders' AS snapshot FROM orders",
     "save_table": _with_mappings() + "SELECT * FROM mappings",
     "object_view": _with_mappings() + ROLLUP,
+    "select_from": _with_mappings() + (
+        f"SELECT {L}, coalesce(databaseTable, '') AS databaseTable, rowIndex FROM ({PK_VIEW})"),
     "sql_passthrough": _with_mappings() + (
         f"SELECT {L}, colCnt, colCntPK, coalesce(viewObjectAttribute, '') AS viewObjectAttribute, "
         f"coalesce(databaseTable, '') AS databaseTable, coalesce(databaseColumn, '') AS databaseColumn, rowIndex "

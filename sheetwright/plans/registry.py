@@ -16,18 +16,18 @@ from pyspark.sql import functions as F
 
 from ..constants import LEVELS, MAPPINGS_TABLE, OBJECT_VIEW, PK_VIEW, ROW_INDEX, TABLE
 from ..functions.hashing import hash_files, hash_record, hash_text
-from ..functions.jsonfmt import encode_list, join_list, record_json
+from ..functions.jsonfmt import encode_list, join_list, python_json, record_json
 from ..functions.naming import camel_case, slugify, split_camel_case
-from ..operators.catalogue import distinct_collapse, object_rollup, pk_catalogue, pk_view
+from ..operators.catalogue import distinct_collapse, object_rollup, pk_catalogue, pk_entries, pk_view, sort_catalogue
 from ..operators.flags import drop_incomplete, yes_no_flags
 from ..operators.nulls import drop_null_columns, fill_text
 from ..operators.records import clean_empties, flatten_records
-from ..operators.selection import non_flag_columns, pk_rows, run_sql, select_columns
+from ..operators.selection import non_flag_columns, pk_rows, run_sql, select_columns, select_from
 from ..session import scratch_path
 from ..sinks.files import dated_path, json_output_size, write_json, write_many
 from ..sinks.tables import save_table
-from ..sources.fixtures import (SHEET_COLUMNS, SHEET_FLAGS, raw_mapping, table, write_mapping_sheet,
-                                write_mapping_sheets)
+from ..sources.fixtures import (SHEET_COLUMNS, SHEET_FLAGS, raw_mapping, table, write_mapping_csv,
+                                write_mapping_sheet, write_mapping_sheets)
 from ..sources.json_records import read_json_records
 from ..sources.sheets import (apply_header, discover_header, header_frame, open_sheet, read_with_row_index,
                               sheet_headers)
@@ -81,6 +81,17 @@ def q_pk_catalogue(spark, sf_dir):
     return pk_catalogue(_mappings(spark, sf_dir))
 
 
+def q_pk_entries(spark, sf_dir):
+    return pk_entries(_mappings(spark, sf_dir))
+
+
+def q_sorted_catalogue(spark, sf_dir):
+    """The catalogue as a sink writes it in group-key order; ``position`` is where each record stands in the files."""
+    path = scratch_path(spark, "sorted-catalogue")
+    sort_catalogue(pk_catalogue(_mappings(spark, sf_dir))).write.parquet(path)
+    return read_with_row_index(spark, path).withColumnRenamed(ROW_INDEX, "position")
+
+
 def q_distinct_collapse(spark, sf_dir):
     return distinct_collapse(_mappings(spark, sf_dir), LEVELS, TABLE)
 
@@ -94,6 +105,10 @@ def q_mapping_load(spark, sf_dir):
     return load_mapping(spark, write_mapping_sheet(spark, sf_dir)).mappings
 
 
+def q_mapping_load_csv(spark, sf_dir):
+    return load_mapping(spark, write_mapping_csv(spark, sf_dir), fmt="csv").mappings
+
+
 def q_read_sheet(spark, sf_dir):
     sheet = open_sheet(spark, write_mapping_sheet(spark, sf_dir))
     return apply_header(sheet.lines(), discover_header(sheet).names)
@@ -105,7 +120,7 @@ def q_discover_header(spark, sf_dir):
 
 def _sheet_name(c):
     """The sheet's folder name (the table it lists) from its file path."""
-    return F.regexp_extract(c, r"/([^/]+)/[^/]+$", 1)
+    return F.regexp_extract(c, r"/(?:[^/=]*=)?([^/]+)/[^/]+$", 1)
 
 
 def q_discover_sheet_headers(spark, sf_dir):
@@ -150,8 +165,28 @@ def q_hash_record(spark, sf_dir):
     return orders.select("o_orderkey", hash_record(orders).alias("sha512"))
 
 
+def q_hash_text_256(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", hash_text("text", 256).alias("sha256"))
+
+
+def q_hash_record_256(spark, sf_dir):
+    orders = _orders_with_nulls(spark, sf_dir)
+    return orders.select("o_orderkey", hash_record(orders, bits=256).alias("sha256"))
+
+
+def q_python_json(spark, sf_dir):
+    """The text that record hashes are taken of."""
+    orders = _orders_with_nulls(spark, sf_dir)
+    record = F.struct(*[F.col(c) for c in orders.columns])
+    return orders.select("o_orderkey", python_json(record, orders.schema).alias("json"))
+
+
+def _orders_with_nulls(spark, sf_dir):
+    return table(spark, sf_dir, "orders").withColumn("o_orderstatus", F.nullif(F.col("o_orderstatus"), F.lit("P")))
+
+
 def q_record_to_json(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    orders = _orders_with_nulls(spark, sf_dir)
     return orders.select("o_orderkey", record_json(orders.columns, orders.schema).alias("json"))
 
 
@@ -165,7 +200,8 @@ def q_join_list(spark, sf_dir):
 def q_encode_list(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     keys = F.filter(F.array("o_orderkey", "o_custkey"), lambda k: k > 1000)
-    return orders.select("o_orderkey", encode_list(keys).alias("encoded"))
+    records = F.transform(keys, lambda k: F.struct(k.alias("key"), F.nullif(k % 3, F.lit(0)).alias("rest")))
+    return orders.select("o_orderkey", encode_list(records).alias("encoded"))
 
 
 # --- records -----------------------------------------------------------------------
@@ -179,6 +215,7 @@ def _event_records(spark, sf_dir):
         F.when(F.col("event_type") == "view", F.array().cast("array<string>"))
          .otherwise(F.array(F.lit(""), F.col("event_type"))).alias("tags"),
         F.array("user_id", "event_id").alias("ids"),
+        F.array(F.struct(F.col("event_id").alias("id"), F.nullif(F.col("user_id") % 2, F.lit(0)).alias("odd"))).alias("parts"),
     )
 
 
@@ -216,7 +253,7 @@ def q_write_json(spark, sf_dir):
     path = scratch_path(spark, "events-json")
     export_records(_event_records(spark, sf_dir), path)
     schema = ("event_id BIGINT, detail_type STRING, detail_value DOUBLE, detail_user_id BIGINT, props_k BIGINT, "
-              "tags STRING, ids STRING")
+              "tags STRING, ids STRING, parts STRING")
     return read_json_records(spark, path, schema=schema, document=False, fill=False)
 
 
@@ -228,7 +265,7 @@ def q_stream_record_export(spark, sf_dir):
     query = stream_record_export(spark, source, records.schema, target, ckpt)
     query.awaitTermination()
     schema = ("event_id BIGINT, detail_type STRING, detail_value DOUBLE, detail_user_id BIGINT, props_k BIGINT, "
-              "tags STRING, ids STRING")
+              "tags STRING, ids STRING, parts STRING")
     return read_json_records(spark, target, schema=schema, document=False, fill=False)
 
 
@@ -243,11 +280,13 @@ def q_write_many(spark, sf_dir):
     sets = [orders, table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier"),
             orders.filter(F.col("o_totalprice") < 0)]
     written = write_many(sets, target, names=["orders", "customers"])  # wrong length: default names
-    parts = [spark.read.parquet(p).select(F.lit(name).alias("dataset")) for name, p in written.items()]
+    parts = [(df := spark.read.parquet(p)).select(F.lit(name).alias("dataset"), F.col(df.columns[0]).alias("key"))
+             for name, p in written.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
+    return out.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"), F.sum("key").alias("keySum"),
+                                      F.countDistinct("key").alias("keys"))
 
 
 def q_dated_snapshot(spark, sf_dir):
@@ -274,6 +313,11 @@ def q_object_view(spark, sf_dir):
     return spark.table(OBJECT_VIEW)
 
 
+def q_select_from(spark, sf_dir):
+    _stored(spark, sf_dir)
+    return select_from(spark, PK_VIEW, [*LEVELS, TABLE, ROW_INDEX])
+
+
 def q_sql_passthrough(spark, sf_dir):
     _stored(spark, sf_dir)
     return run_sql(spark, f"SELECT * FROM {PK_VIEW}")
@@ -299,9 +343,12 @@ QUERIES: dict[str, Query] = {
     "object_rollup": q_object_rollup,
     "pk_view": q_pk_view,
     "pk_catalogue": q_pk_catalogue,
+    "pk_entries": q_pk_entries,
+    "sorted_catalogue": q_sorted_catalogue,
     "distinct_collapse": q_distinct_collapse,
     "row_index": q_row_index,
     "mapping_load": q_mapping_load,
+    "mapping_load_csv": q_mapping_load_csv,
     "read_sheet": q_read_sheet,
     "discover_header": q_discover_header,
     "discover_sheet_headers": q_discover_sheet_headers,
@@ -311,6 +358,9 @@ QUERIES: dict[str, Query] = {
     "slugify": q_slugify,
     "hash_text": q_hash_text,
     "hash_record": q_hash_record,
+    "hash_text_256": q_hash_text_256,
+    "hash_record_256": q_hash_record_256,
+    "python_json": q_python_json,
     "record_to_json": q_record_to_json,
     "join_list": q_join_list,
     "encode_list": q_encode_list,
@@ -325,6 +375,7 @@ QUERIES: dict[str, Query] = {
     "dated_snapshot": q_dated_snapshot,
     "save_table": q_save_table,
     "object_view": q_object_view,
+    "select_from": q_select_from,
     "sql_passthrough": q_sql_passthrough,
     "hash_files": q_hash_files,
 }

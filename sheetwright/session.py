@@ -39,8 +39,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
     Uses the folder the cluster names (``spark.checkpoint.dir`` or an
-    already set checkpoint dir); only when none is set, a folder of our own
-    is created and registered (tests, local runs).
+    already set checkpoint dir); only when none is set on a local master, a
+    folder of our own is created and registered (tests, local runs).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +48,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="sheetwright-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

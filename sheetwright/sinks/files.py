@@ -3,29 +3,30 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import DATASET_NAME_PATTERN, OUTPUT_MB_LIMIT, SNAPSHOT_PREFIX_FORMAT
 from ..functions.jsonfmt import record_json
-from ..functions.naming import slugify_text
+from ..functions.naming import slugify, text_values
 from ..operators.records import flatten_records
 
 
-def json_text(df: DataFrame, pretty: bool = False) -> DataFrame:
-    """One column ``json``: each record's JSON text (F7 rules)."""
-    return df.select(record_json(df.columns, df.schema, pretty).alias("json"))
+def json_text(df: DataFrame, pretty: bool = False, drop_nulls: bool = False) -> DataFrame:
+    """One column ``json``: each record's JSON text (F7 rules); ``drop_nulls`` leaves out null keys (cleaned records)."""
+    return df.select(record_json(df.columns, df.schema, pretty, drop_nulls).alias("json"))
 
 
-def json_output_size(df: DataFrame, limit_mb: int = OUTPUT_MB_LIMIT) -> DataFrame:
+def json_output_size(df: DataFrame, limit_mb: int = OUTPUT_MB_LIMIT, drop_nulls: bool = False) -> DataFrame:
     """Total JSON text size and the number of files that keeps each under ``limit_mb``.
 
     One aggregate over the data; the result is one row.
     """
-    sized = json_text(df).agg(
+    sized = json_text(df, drop_nulls=drop_nulls).agg(
         F.count(F.lit(1)).alias("records"),
         F.coalesce(F.sum(F.length("json")), F.lit(0)).cast("long").alias("chars"),
     )
@@ -72,14 +73,20 @@ def write_json(df: DataFrame, path: str, simplify: bool = True, layout: str = "l
     """
     data = flatten_records(df) if simplify else df
     if layout == "lines":
-        data.write.mode("overwrite").option("ignoreNullFields", "true").json(path)
+        # the cleaner's dropped keys are nulls here; without it a null is a value and stays
+        data.write.mode("overwrite").option("ignoreNullFields", str(simplify).lower()).json(path)
         return path
     if layout != "document":
         raise ValueError(f"unknown layout: {layout}")
-    texts = json_text(data, pretty)
+    texts = json_text(data, pretty, drop_nulls=simplify)
     if limit_mb and not keep_order:
-        files = json_output_size(data, limit_mb).first()["files"]
-        texts = texts.repartition(int(files))
+        size = json_output_size(data, limit_mb, drop_nulls=simplify).first()
+        records, texts = size["records"], texts.repartition(int(size["files"]))
+    else:
+        records = len(texts.take(1))
+    if not records:  # a document without records is an empty list
+        df.sparkSession.createDataFrame([("[]",)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        return path
     docs = texts.mapInPandas(_document_lines, "value string")
     docs.write.mode("overwrite").option("lineSep", "\n").text(path)
     return path
@@ -107,7 +114,7 @@ def write_snapshot(df: DataFrame, target: str, on: dt.date | None = None, fmt: s
 
 def export_path(folder: str, name: str, dated: bool = False, on: dt.date | None = None) -> str:
     """``folder/<slug(name)>``, with ``.json`` when the slug has no suffix, optionally date-prefixed."""
-    leaf = slugify_text(name)
+    leaf, = text_values(SparkSession.active(), slugify, [name])
     if "." not in leaf.lstrip("."):
         leaf = f"{leaf}.json"
     if dated:
@@ -122,37 +129,53 @@ def dataset_names(n: int, names: Sequence[str] | None) -> list[str]:
     return list(names)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, Path class) of ``path``."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
 def write_many(datasets: Sequence[DataFrame | None], target: str, names: Sequence[str] | None = None,
                overwrite: bool = True, drop_null_cols: bool = False, fmt: str = "parquet") -> dict[str, str]:
     """Write each dataset to ``target/<slug(name)>`` (S8); empty or missing datasets are skipped.
 
-    ``overwrite=True`` replaces the whole target first; ``False`` replaces
-    only the members being written.  Emptiness is checked with a one-row
-    probe per dataset, not a count.
+    ``overwrite=True`` replaces the whole target; ``False`` replaces only the
+    members being written.  All members are written beside the target first
+    and moved in at the end, so a dataset may read what it replaces and a
+    failed run changes nothing.  Names whose slugs are empty or equal raise.
+    Emptiness is checked with a one-row probe per dataset, not a count.
     """
     from ..operators.nulls import drop_null_columns, fill_text
 
-    spark = next((d.sparkSession for d in datasets if d is not None), None)
-    labels = dataset_names(len(datasets), names)
-    if overwrite and spark is not None:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(target)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(p):
-            fs.delete(p, True)
+    target = target.rstrip("/")
+    present = [(df, label) for df, label in zip(datasets, dataset_names(len(datasets), names)) if df is not None]
+    if not present:
+        return {}
+    spark = present[0][0].sparkSession
+    slugs = text_values(spark, slugify, [label for _, label in present])
+    if not all(s.strip(".") for s in slugs) or len(set(slugs)) != len(slugs):
+        raise ValueError(f"dataset names do not give distinct folder names: {[label for _, label in present]} -> {slugs}")
+    beside = f"{target}.new-{uuid.uuid4().hex[:12]}"
     written = {}
-    for df, label in zip(datasets, labels):
-        if df is None or df.isEmpty():
+    for (df, label), slug in zip(present, slugs):
+        if df.isEmpty():
             continue
-        out = drop_null_columns(df) if drop_null_cols else df
-        out = fill_text(out)
-        dest = f"{target.rstrip('/')}/{slugify_text(label)}"
-        writer = out.write.mode("overwrite").format(fmt)
+        out = fill_text(drop_null_columns(df) if drop_null_cols else df)
+        writer = out.write.format(fmt)
         if fmt == "csv":  # a sheet-like text export: header line first
             writer = writer.option("header", "true")
-        writer.save(dest)
-        written[label] = dest
-    return written
+        writer.save(f"{beside}/{slug}")
+        written[label] = slug
+    fs, path = _file_system(spark, target)
+    if overwrite:
+        fs.delete(path(target), True)
+    fs.mkdirs(path(target))
+    for slug in written.values():
+        fs.delete(path(f"{target}/{slug}"), True)
+        if not fs.rename(path(f"{beside}/{slug}"), path(f"{target}/{slug}")):
+            raise OSError(f"could not move {beside}/{slug} to {target}/{slug}")
+    fs.delete(path(beside), True)
+    return {label: f"{target}/{slug}" for label, slug in written.items()}
 
 
 def write_partitioned_datasets(df: DataFrame, target: str, by: str, fmt: str = "parquet") -> str:

@@ -2,31 +2,42 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_path
+
 
 def save_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet") -> str:
-    """Replace table ``name`` with ``df`` (S4): drop, then create as select.
+    """Replace table ``name`` with ``df`` (S4), which may itself read that table.
 
-    With ``path`` the table is external (data under ``path``), else managed
-    in the session's warehouse.
+    The new rows are written in full before the old table is touched.  With
+    ``path`` the table is external: each save writes a version folder below
+    ``path`` and the table then points to it.  Without, the rows are staged in
+    the shared checkpoint folder and the managed table is made from there.
     """
     spark = df.sparkSession
+    version = f"{path.rstrip('/')}/v-{uuid.uuid4().hex[:12]}" if path else scratch_path(spark, f"table-{name}")
+    df.write.format(fmt).save(version)
+    staged = spark.read.format(fmt).schema(df.schema).load(version)
     spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-    writer = df.write.mode("overwrite").format(fmt)
     if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+        spark.catalog.createTable(name, path=version, source=fmt, schema=staged.schema)
+    else:
+        staged.write.mode("overwrite").format(fmt).saveAsTable(name)
     return name
 
 
 def save_view(df: DataFrame, name: str) -> str:
-    """Replace the (session) view ``name`` (S5); views may be built over other views."""
+    """Replace the session view ``name`` (S5); views may be built over other views."""
     df.createOrReplaceTempView(name)
     return name
 
 
-def save_sql_view(spark: SparkSession, name: str, sql: str) -> str:
-    """Replace view ``name`` defined by SQL text."""
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{name}` AS {sql}")
+def save_sql_view(spark: SparkSession, name: str, sql: str, persistent: bool = False) -> str:
+    """Replace view ``name`` defined by SQL text (S5); a persistent one stays in the catalog for other sessions."""
+    if persistent:
+        spark.catalog.dropTempView(name)  # a session view of that name would hide it
+    spark.sql(f"CREATE OR REPLACE {'' if persistent else 'TEMPORARY '}VIEW `{name}` AS {sql}")
     return name

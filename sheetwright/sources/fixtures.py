@@ -70,70 +70,76 @@ def raw_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(*_mapping_cells(li), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias(ROW_INDEX))
 
 
+def _export_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder of an export of this ``lineitem`` table; a changed table gets another one."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+    key = "".join(ch if ch.isalnum() else "_" for ch in sf_dir.rstrip("/"))
+    return scratch_path(spark, f"{name}{key}-{status.getModificationTime()}-{status.getLen()}", unique=False)
+
+
+def _top_lines() -> list[list[str | None]]:
+    """Lines 0 to ``HEADER_LINE``: title, preamble, a blank line, the header."""
+    short = [[text] + [None] * (len(SHEET_COLUMNS) - 1) for text in (SHEET_TITLE, *SHEET_PREAMBLE)]
+    return [*short, [None] * len(SHEET_COLUMNS), list(SHEET_HEADER)]
+
+
+def _sheet_lines(spark: SparkSession, li: DataFrame, cells: list) -> DataFrame:
+    """Top lines (_grp 0, by _ord) and data lines (_grp 1, by SHEET_ORDER) with cells _c0.._c5."""
+    names = [f"_c{i}" for i in range(len(SHEET_COLUMNS))]
+    data = li.select(F.lit(1).alias("_grp"), F.lit(0).alias("_ord"), *[F.col(c) for c in SHEET_ORDER],
+                     *[c.alias(n) for c, n in zip(cells, names)])
+    head = spark.createDataFrame([[i, *line] for i, line in enumerate(_top_lines())],
+                                 "_ord int, " + ", ".join(f"{c} string" for c in names))
+    head = head.select(F.lit(0).alias("_grp"), "_ord",
+                       *[F.lit(None).cast(t).alias(c) for c, t in li.select(*SHEET_ORDER).dtypes], *names)
+    return head.unionByName(data)
+
+
 def write_mapping_sheet(spark: SparkSession, sf_dir: str, path: str | None = None, reuse: bool = True) -> str:
     """Write the fixture as a Parquet sheet export (all-text cells ``_c0.._c5``) and return its path.
 
-    Lines: 0 title, 1.. preamble, a blank line, the header at ``HEADER_LINE``,
-    then the data sorted by ``SHEET_ORDER``.  A global sort (range shuffle)
-    orders the part files; with ``reuse`` an existing export is kept.
+    The data lines are sorted by ``SHEET_ORDER``: a global sort (range
+    shuffle) orders the part files; with ``reuse`` an existing export is kept.
     """
-    if path is None:
-        key = "".join(ch if ch.isalnum() else "_" for ch in sf_dir.rstrip("/"))
-        path = scratch_path(spark, f"mapping-sheet{key}", unique=False)
+    path = path or _export_folder(spark, sf_dir, "mapping-sheet")
     if reuse and path_exists(spark, f"{path}/_SUCCESS"):
         return path
     li = table(spark, sf_dir, "lineitem")
-    cells = [f"_c{i}" for i in range(len(SHEET_COLUMNS))]
-    data = li.select(
-        F.lit(1).alias("_grp"), F.lit(0).alias("_ord"),
-        *[F.col(c) for c in SHEET_ORDER],
-        *[c.alias(n) for c, n in zip(_mapping_cells(li), cells)],
-    )
-    top_lines = [[SHEET_TITLE] + [None] * (len(cells) - 1)]
-    top_lines += [[p] + [None] * (len(cells) - 1) for p in SHEET_PREAMBLE]
-    top_lines += [[None] * len(cells)]
-    top_lines += [list(SHEET_HEADER)]
-    schema = "_ord int, " + ", ".join(f"{c} string" for c in cells)
-    head = spark.createDataFrame([[i] + line for i, line in enumerate(top_lines)], schema)
-    head = head.select(F.lit(0).alias("_grp"), "_ord",
-                       *[F.lit(None).cast(t).alias(c) for c, t in li.select(*SHEET_ORDER).dtypes], *cells)
-    ordered = head.unionByName(data).orderBy("_grp", "_ord", *SHEET_ORDER)
-    ordered.select(*cells).write.mode("overwrite").parquet(path)
+    ordered = _sheet_lines(spark, li, _mapping_cells(li)).orderBy("_grp", "_ord", *SHEET_ORDER)
+    ordered.select([f"_c{i}" for i in range(len(SHEET_COLUMNS))]).write.mode("overwrite").parquet(path)
+    return path
+
+
+def write_mapping_csv(spark: SparkSession, sf_dir: str, path: str | None = None, reuse: bool = True) -> str:
+    """The sheet as CSV over several files, its attribute cells with commas, quotes and line breaks."""
+    path = path or _export_folder(spark, sf_dir, "mapping csv")
+    if reuse and path_exists(spark, f"{path}/_SUCCESS"):
+        return path
+    li = table(spark, sf_dir, "lineitem")
+    cells = _mapping_cells(li)
+    cells[1] = F.format_string('Attr "%s", line\n%s', F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    ordered = _sheet_lines(spark, li, cells).repartitionByRange(4, "_grp", "_ord", *SHEET_ORDER).sortWithinPartitions("_grp", "_ord", *SHEET_ORDER)
+    ordered.select([f"_c{i}" for i in range(len(SHEET_COLUMNS))]).write.mode("overwrite").option("escape", '"').csv(path)
     return path
 
 
 def write_mapping_sheets(spark: SparkSession, sf_dir: str, path: str | None = None, reuse: bool = True) -> str:
-    """Write the fixture as several single-file sheets, one per database table, under ``path/<table>``.
+    """Write the fixture as several single-file sheets, one per database table, under ``path/sheetName=<table>``.
 
     Each sheet has its own title, preamble and header lines followed by its
-    data lines in ``SHEET_ORDER`` (a sorted write coalesced to one file).
-    Returns the folder whose sub-folders are the sheets.
+    data lines in ``SHEET_ORDER``; one pass writes all.  Returns the folder
+    whose sub-folders are the sheets.
     """
-    if path is None:
-        key = "".join(ch if ch.isalnum() else "_" for ch in sf_dir.rstrip("/"))
-        path = scratch_path(spark, f"mapping-sheets{key}", unique=False)
-    sheets = f"{path}/sheets"
-    if reuse and path_exists(spark, f"{path}/_DONE"):
-        return sheets
+    path = path or _export_folder(spark, sf_dir, "mapping-sheets")
+    if reuse and path_exists(spark, f"{path}/_SUCCESS"):
+        return path
     li = table(spark, sf_dir, "lineitem")
-    cells = [f"_c{i}" for i in range(len(SHEET_COLUMNS))]
-    data = li.select(
-        F.lit(1).alias("_grp"), F.lit(0).alias("_ord"),
-        *[F.col(c) for c in SHEET_ORDER],
-        *[c.alias(n) for c, n in zip(_mapping_cells(li), cells)],
-    )
-    # one sheet per table name found in the data (a handful of names)
-    tables = sorted(r[0] for r in data.select("_c2").distinct().collect())
-    top_lines = [[SHEET_TITLE] + [None] * (len(cells) - 1)]
-    top_lines += [[p] + [None] * (len(cells) - 1) for p in SHEET_PREAMBLE]
-    top_lines += [[None] * len(cells)]
-    top_lines += [list(SHEET_HEADER)]
-    schema = "_ord int, " + ", ".join(f"{c} string" for c in cells)
-    head = spark.createDataFrame([[i] + line for i, line in enumerate(top_lines)], schema)
-    head = head.select(F.lit(0).alias("_grp"), "_ord",
-                       *[F.lit(None).cast(t).alias(c) for c, t in li.select(*SHEET_ORDER).dtypes], *cells)
-    for name in tables:
-        one = head.unionByName(data.filter(F.col("_c2") == name)).orderBy("_grp", "_ord", *SHEET_ORDER)
-        one.select(*cells).coalesce(1).write.mode("overwrite").parquet(f"{sheets}/{name}")
-    spark.createDataFrame([("done",)], "s string").coalesce(1).write.mode("overwrite").text(f"{path}/_DONE")
-    return sheets
+    lines = _sheet_lines(spark, li, _mapping_cells(li))
+    names = lines.filter("_grp = 1").select(F.col("_c2").alias("sheetName")).distinct()
+    head = lines.filter("_grp = 0").agg(F.collect_list(F.struct(*lines.columns)).alias("top"))  # one row of a few lines
+    heads = names.join(F.broadcast(head)).select("sheetName", F.explode("top").alias("line")).select("sheetName", "line.*")
+    sheets = heads.unionByName(lines.filter("_grp = 1").withColumn("sheetName", F.col("_c2")))
+    ordered = sheets.repartition("sheetName").sortWithinPartitions("sheetName", "_grp", "_ord", *SHEET_ORDER)
+    ordered.select("sheetName", *[f"_c{i}" for i in range(len(SHEET_COLUMNS))]).write.mode("overwrite").partitionBy("sheetName").parquet(path)
+    return path

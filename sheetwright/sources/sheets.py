@@ -1,12 +1,12 @@
 """Mapping sheets exported as Parquet or CSV: positions (R3), header discovery (S3), naming.
 
 A *sheet* is one directory (or file list) of part files in sheet order, as
-``df.orderBy(...).write`` produces.  Every line gets its 0-based sheet line
-number: the row position inside its file (Parquet ``_metadata.row_index``;
-CSV line number) plus the number of lines in all earlier files.  The
-per-file line counts are one row per file (file-listing metadata), so the
-offsets table is broadcast with a bound the driver already knows: the
-number of input files.
+``df.orderBy(...).write`` produces: by part number, then by name.  Every line
+gets its 0-based sheet line number: the row position inside its file (Parquet
+``_metadata.row_index``; CSV line number) plus the number of lines in all
+earlier files.  The per-file offsets are a small staged table (one row per
+file, computed by Spark), broadcast when its row count is checked to be small
+and joined otherwise; cells are never shuffled for their position.
 
 Semantics kept from the original tool: line 0 is consumed as the sheet's
 first (title) line and its second cell must be blank; the header is the
@@ -16,28 +16,46 @@ camel-cased; ``rowIndex`` = line - 1, assigned before any row is dropped.
 
 from __future__ import annotations
 
-import csv
-import io
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import HEADER_SEARCH_LINES, ROW_INDEX
-from ..functions.naming import camel_case_text
+from ..constants import HEADER_SEARCH_LINES, ROW_INDEX, SHEET
+from ..functions.naming import camel_case, text_values
+from ..session import scratch_path
 
 FILE = "_file"
 POS = "_pos"
 LINE = "_line"
-MAX_BROADCAST_FILES = 200_000
+#: Rows of an offsets or block table up to which it is broadcast (some tens of MB); beyond, a shuffle join places the lines.
+MAX_BROADCAST_ROWS = 200_000
+PART_GROUP = 1024
+BLANK_CSV = {"quote": '"', "escape": '"'}
 
 
 def _cell_names(n: int) -> list[str]:
     return [f"_c{i}" for i in range(n)]
 
 
+def _cells(df: DataFrame) -> list[str]:
+    return sorted((c for c in df.columns if c.startswith("_c")), key=lambda c: int(c[2:]))
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _small_side(df: DataFrame) -> DataFrame:
+    """A staged table, marked for broadcast if its row count allows it."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
+
+
 def _positioned_parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     df = spark.read.parquet(*paths)
     cells = []
@@ -53,48 +71,73 @@ def _positioned_parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _csv_width(spark: SparkSession, paths: Sequence[str], probe_lines: int) -> int:
-    """Column count of a CSV sheet, from its first lines only (driver parses <= probe_lines lines)."""
-    head = (
-        spark.read.text(list(paths), lineSep="\n")
-        .limit(probe_lines)
-        .collect()
-    )
-    width = 0
-    for row in csv.reader(io.StringIO("\n".join(r.value for r in head))):
-        width = max(width, len(row))
-    return width
-
-
-def _positioned_csv(spark: SparkSession, paths: Sequence[str], width: int | None = None) -> DataFrame:
-    """CSV lines with their line number inside the file, read splittably, parsed by ``from_csv``.
-
-    The text source splits files into blocks; a line's number is the line
-    count of the earlier blocks of its file (per-block counts: one small row
-    per block, summed by a window partitioned by file) plus its order inside
-    its block (the row counter of ``monotonically_increasing_id``, which is
-    contiguous within a block).  Scan partitioning is deterministic, so both
-    uses of the scan see the same counters.  Empty lines are kept (as empty
-    rows); quoted cells spanning several lines are not supported.
-    """
-    width = width or _csv_width(spark, paths, 1 + HEADER_SEARCH_LINES + 64)
+def _split_cells(records: DataFrame, width: int) -> DataFrame:
+    """Rows (FILE, POS, text) with the text's cells; doubled quotes stand for one, an empty cell is null."""
     names = _cell_names(width)
-    schema = ", ".join(f"{n} STRING" for n in names)
-    text = spark.read.text(list(paths)).select(
+    options = BLANK_CSV | {"maxColumns": str(max(20480, width + 1))}
+    parsed = records.select(FILE, POS, F.from_csv("_text", ", ".join(f"{n} STRING" for n in names), options).alias("_r"))
+    return parsed.select(FILE, POS, *[F.when(F.col(f"_r.{n}") != "", F.col(f"_r.{n}")).alias(n) for n in names])
+
+
+def _text_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return spark.read.text(list(paths), lineSep="\n").select(
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias("_blk"),
         F.monotonically_increasing_id().alias("_m"),
-        F.col("value").alias("_text"),
+        F.regexp_replace("value", r"\r$", "").alias("_text"),
     )
-    blocks = text.groupBy(FILE, "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
+
+
+def _quotes(text: str | Column = "_text") -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit('"')))
+
+
+def _width(text: str = "_text") -> Column:
+    """Number of cells of a record: separators outside quoted parts, plus one."""
+    bare = F.regexp_replace(text, '"[^"]*+"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+
+
+def _positioned_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """CSV records with their number inside the file, read splittably, parsed by ``from_csv``.
+
+    One pass over all lines counts, per file block, the lines, the widest line
+    and the lines that leave a quoted cell open; its result (one row per block)
+    is staged.  A line's number is the line count of the earlier blocks of its
+    file plus its order inside its block (the row counter of the scan, which
+    is contiguous within a block); a scan laid out differently from the counting pass
+    raises.  Blank lines are kept (as empty rows).  Where quoted cells span
+    lines, records are put together per file first.  An unclosed quote raises.
+    """
+    text = _text_lines(spark, paths)
+    blocks = _staged(text.groupBy(FILE, "_blk").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"), F.max(_width()).alias("_width"),
+        F.sum(_quotes() % 2).alias("_open")), "csv-blocks")
+    found = blocks.agg(F.max("_width").alias("width"), F.sum("_open").alias("open")).first()
+    if found["open"]:
+        records = _records_over_lines(text)
+        width = records.agg(F.max(_width())).first()[0]
+        return _split_cells(records, width)
     earlier = Window.partitionBy(FILE).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(FILE, "_blk", "_m0", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_b0"))
-    # one row per file block: AQE broadcasts it when its measured size is small, else a shuffle join
-    lines = text.join(starts, on=[FILE, "_blk"], how="inner")
-    parsed = lines.select(FILE, (F.col("_b0") + F.col("_m") - F.col("_m0")).alias(POS),
-                          F.from_csv(F.regexp_replace("_text", r"\r$", ""), schema).alias("_r"))
-    blank = lambda c: F.when(F.col(c) != "", F.col(c))  # noqa: E731  empty CSV cell -> null
-    return parsed.select(FILE, POS, *[blank(f"_r.{n}").alias(n) for n in names])
+    starts = _staged(blocks.select(FILE, "_blk", "_m0", "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_b0")), "csv-starts")
+    lines = text.join(_small_side(starts), on=[FILE, "_blk"])
+    same_scan = F.col("_m").between(F.col("_m0"), F.col("_m0") + F.col("_n") - 1)
+    position = F.when(same_scan, F.col("_b0") + F.col("_m") - F.col("_m0")).otherwise(
+        F.raise_error(F.lit("the file scan changed between counting and reading")).cast("bigint"))
+    return _split_cells(lines.select(FILE, position.alias(POS), "_text"), found["width"] or 1)
+
+
+def _records_over_lines(text: DataFrame) -> DataFrame:
+    """Records (FILE, POS, _text) whose quoted cells may span lines, staged; one task per file, as such a file cannot be split."""
+    in_file = Window.partitionBy(FILE).orderBy("_blk", "_m")
+    before = F.coalesce(F.sum(_quotes()).over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marked = text.select(FILE, "_blk", "_m", "_text", (before % 2 == 0).cast("long").alias("_starts"))
+    numbered = marked.select("*", (F.sum("_starts").over(in_file) - 1).alias(POS))
+    ordered = F.sort_array(F.collect_list(F.struct("_blk", "_m", "_text")))
+    records = numbered.groupBy(FILE, POS).agg(F.array_join(F.transform(ordered, lambda x: x["_text"]), "\n").alias("_text"))
+    closed = F.when(_quotes() % 2 == 0, F.col("_text")).otherwise(
+        F.raise_error(F.concat(F.lit("a quoted cell is not closed in "), F.col(FILE))).cast("string"))
+    return _staged(records.select(FILE, POS, closed.alias("_text")), "csv-records")
 
 
 def _positioned(spark: SparkSession, paths: Sequence[str], fmt: str) -> DataFrame:
@@ -105,87 +148,68 @@ def _positioned(spark: SparkSession, paths: Sequence[str], fmt: str) -> DataFram
     raise ValueError(f"Invalid sheet format: {fmt}")
 
 
-@dataclass(frozen=True)
-class Sheet:
-    """A sheet export: its part files in sheet order and each file's first line number."""
-
-    spark: SparkSession
-    fmt: str
-    files: tuple[str, ...]
-    offsets: tuple[int, ...]
-    head: tuple[tuple, ...] | None = None  # (line, cells...) of lines 0..HEADER_SEARCH_LINES, when collected
-
-    def lines(self, files: Sequence[str] | None = None) -> DataFrame:
-        """Lines with their sheet line number ``_line`` and cells ``_c0..`` (optionally only some files)."""
-        files = list(files or self.files)
-        raw = _positioned(self.spark, files, self.fmt)
-        known = dict(zip(self.files, self.offsets))
-        cells = [c for c in raw.columns if c.startswith("_c")]
-        return _join_offsets(self.spark, raw, files, [known[f] for f in files]).select(
-            FILE, (F.col("_off") + F.col(POS)).alias(LINE), *cells
-        )
+def _file_offsets(raw: DataFrame) -> DataFrame:
+    """Staged rows (FILE, _n, _off): the lines of each file and of all files before it.
 
-    def head_files(self, last_line: int) -> list[str]:
-        """The files holding sheet lines 0..last_line."""
-        return [f for f, off in zip(self.files, self.offsets) if off <= last_line]
-
-
-def _file_offsets(raw: DataFrame) -> tuple[tuple[str, ...], tuple[int, ...]]:
-    """Files in name order and the sheet line each starts at (one row per file reaches the driver)."""
-    counts = sorted((r[0], r[1]) for r in raw.groupBy(FILE).agg((F.max(POS) + 1).alias("_n")).collect())
-    files, offsets, total = [], [], 0
-    for f, n in counts:
-        files.append(f)
-        offsets.append(total)
-        total += int(n)
-    return tuple(files), tuple(offsets)
+    Files are ordered by part number, then by name.  Running sums are taken
+    within groups of consecutive part numbers; the groups' totals (a
+    thousandth of the files) travel as one row.
+    """
+    name = F.element_at(F.split(FILE, "/"), -1)
+    part = F.coalesce(F.nullif(F.regexp_extract(name, r"^part-(\d+)", 1), F.lit("")).cast("long"), F.lit(0))
+    files = raw.groupBy(FILE).agg((F.max(POS) + 1).alias("_n")).select("*", part.alias("_part"), F.floor(part / PART_GROUP).alias("_group"))
+    files = _staged(files, "sheet-files")
+    totals = files.groupBy("_group").agg(F.sum("_n").alias("_sum")).agg(
+        F.collect_list(F.struct(F.col("_group").alias("g"), F.col("_sum").alias("n"))).alias("_totals"))
+    earlier = Window.partitionBy("_group").orderBy("_part", FILE).rowsBetween(Window.unboundedPreceding, -1)
+    placed = files.select("*", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_in")).join(F.broadcast(totals))  # one row
+    before = F.aggregate(F.filter("_totals", lambda t: t["g"] < F.col("_group")), F.lit(0).cast("long"), lambda x, t: x + t["n"])
+    return _staged(placed.select(FILE, "_n", (F.col("_in") + before).alias("_off")), "sheet-offsets")
 
 
-def _join_offsets(spark: SparkSession, raw: DataFrame, files: Sequence[str], offsets: Sequence[int]) -> DataFrame:
-    table = spark.createDataFrame(list(zip(files, offsets)), f"{FILE} string, _off long")
-    if len(files) <= MAX_BROADCAST_FILES:  # one row per file: bounded by the file listing
-        table = F.broadcast(table)
-    return raw.join(table, on=FILE, how="inner")
+@dataclass(frozen=True)
+class Sheet:
+    """A sheet export: its lines with their place in their file, each file's first line number, and the first lines."""
 
+    raw: DataFrame
+    offsets: DataFrame
+    head: tuple[tuple, ...]  # (line, cells...) of lines 0..HEADER_SEARCH_LINES
 
-def _listing_form(path: str) -> str:
-    """A listed file path in the form the scan reports it (local URIs: ``file:/`` not ``file:///``)."""
-    return "file:/" + path[len("file:///"):] if path.startswith("file:///") else path
+    def lines(self) -> DataFrame:
+        """Lines with their sheet line number ``_line`` and cells ``_c0..``."""
+        placed = self.raw.join(_small_side(self.offsets.select(FILE, "_off")), on=FILE)
+        return placed.select(FILE, (F.col("_off") + F.col(POS)).alias(LINE), *_cells(self.raw))
 
 
 def open_sheet(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet") -> Sheet:
-    """Count the lines of each part file and fetch the sheet's first lines, in one job.
+    """Count the lines of each part file and fetch the sheet's first ``HEADER_SEARCH_LINES + 1`` lines.
 
-    One small row per file reaches the driver (its line count); the first
-    ``HEADER_SEARCH_LINES + 1`` lines of the first few files (by name) ride
-    along, so the header can be found without another pass.
+    Only those lines, and the names of the (at most as many) files that hold
+    them, reach the driver.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = _positioned(spark, paths, fmt)
-    cells = sorted((c for c in raw.columns if c.startswith("_c")), key=lambda c: int(c[2:]))
-    first = sorted(_listing_form(f) for f in raw.inputFiles())[: HEADER_SEARCH_LINES + 1]
-    # counts read no cells (pruned to the scan's metadata); the head rows come from the first files only
-    counts = raw.groupBy(FILE).agg((F.max(POS) + 1).alias("_n"))
-    head_rows = raw.filter(F.col(FILE).isin(first) & (F.col(POS) <= HEADER_SEARCH_LINES))
-    both = counts.select(FILE, "_n", F.lit(None).cast("long").alias(POS),
-                         *[F.lit(None).cast("string").alias(c) for c in cells]).unionByName(
-        head_rows.select(FILE, F.lit(None).cast("long").alias("_n"), POS, *cells))
-    rows = both.collect()
-    n_of = {r[FILE]: int(r["_n"]) for r in rows if r["_n"] is not None}
-    files, offsets, total = [], [], 0
-    for f in sorted(n_of):
-        files.append(f)
-        offsets.append(total)
-        total += n_of[f]
-    start = dict(zip(files, offsets))
-    head = sorted((start[r[FILE]] + r[POS],) + tuple(r[c] for c in cells) for r in rows if r["_n"] is None)
-    head = [h for h in head if h[0] <= HEADER_SEARCH_LINES]
-    complete = [h[0] for h in head] == list(range(min(total, HEADER_SEARCH_LINES + 1)))
-    return Sheet(spark, fmt, tuple(files), tuple(offsets), tuple(head) if complete else None)
+    offsets = _file_offsets(raw)
+    first = offsets.filter((F.col("_n") > 0) & (F.col("_off") <= HEADER_SEARCH_LINES)).collect()
+    cells = _cells(raw)
+    head = []
+    if first:
+        lines = _head_lines(spark, raw, fmt, [r[FILE] for r in first])
+        start = {r[FILE]: r["_off"] for r in first}
+        head = sorted((start[r[FILE]] + r[POS], *(r[c] for c in cells)) for r in lines.select(FILE, POS, *cells).collect())
+    return Sheet(raw, offsets, tuple(h for h in head if h[0] <= HEADER_SEARCH_LINES))
+
+
+def _head_lines(spark: SparkSession, raw: DataFrame, fmt: str, files: list[str]) -> DataFrame:
+    """The first lines of ``files``; of Parquet only these files are opened."""
+    paths = [unquote(f) for f in files]
+    if fmt == "parquet" and not any(ch in p for p in paths for ch in "*?[]{}"):
+        raw = _positioned_parquet(spark, paths)
+    return raw.filter(F.col(FILE).isin(files) & (F.col(POS) <= HEADER_SEARCH_LINES))
 
 
 def read_with_row_index(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """A Parquet dataset with ``rowIndex``: the 0-based position over its files in name order.
+    """A Parquet dataset with ``rowIndex``: the 0-based position over its files in part order.
 
     No shuffle and no unpartitioned window: positions come from the scan
     (``_metadata.row_index``) plus a per-file offset.
@@ -194,8 +218,7 @@ def read_with_row_index(spark: SparkSession, paths: str | Sequence[str]) -> Data
     df = spark.read.parquet(*paths)
     cols = [F.col(f"`{c}`") for c in df.columns]
     raw = df.select(*cols, F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(POS))
-    files, offsets = _file_offsets(raw)
-    joined = _join_offsets(spark, raw, files, offsets)
+    joined = raw.join(_small_side(_file_offsets(raw).select(FILE, "_off")), on=FILE)
     return joined.select(*cols, (F.col("_off") + F.col(POS)).alias(ROW_INDEX))
 
 
@@ -215,11 +238,11 @@ def _truthy(c) -> F.Column:
     return F.col(c).isNotNull() & (F.col(c) != "")
 
 
-def _names(raw: tuple) -> tuple[tuple, tuple[str, ...]]:
+def _names(spark: SparkSession, raw: tuple) -> tuple[tuple, tuple[str, ...]]:
     """Header cells (without trailing blanks) and their camel-cased column names; errors on bad names."""
     while raw and raw[-1] in (None, ""):  # trailing empty cells are not columns
         raw = raw[:-1]
-    names = tuple(camel_case_text(v) for v in raw)
+    names = tuple(text_values(spark, camel_case, raw))
     bad = [i for i, n in enumerate(names) if not n]
     if bad:
         raise ValueError(f"header cells without a usable name at positions {bad}: {[raw[i] for i in bad]}")
@@ -228,49 +251,28 @@ def _names(raw: tuple) -> tuple[tuple, tuple[str, ...]]:
     return raw, names
 
 
-def _header_from_lines(head: Sequence[tuple], search: int) -> SheetHeader:
-    """The header rule over already collected lines ``(line, cell0, cell1, ...)``."""
-    truthy = lambda v: v is not None and v != ""
-    by_line = {h[0]: h[1:] for h in head}
-    found = next((n for n in range(1, search + 1) if n in by_line and truthy(by_line[n][1])), None)
-    if 0 not in by_line or truthy(by_line[0][1]) or found is None:
-        raise LookupError("no header line found: line 0 must have a blank 2nd cell and a header must "
-                          f"follow within {search} lines")
-    raw, names = _names(tuple(by_line[found]))
-    return SheetHeader(raw=raw, names=names, line=found)
-
-
-def discover_header(sheet: "Sheet | DataFrame", search: int = HEADER_SEARCH_LINES) -> SheetHeader:
+def discover_header(sheet: Sheet, search: int = HEADER_SEARCH_LINES) -> SheetHeader:
     """Find the header line and camel-case its cells (S3, F1).
 
-    Only lines 0..``search`` are inspected; one row (the header) reaches the
-    driver.  Raises when line 0's second cell is not blank or no header is found.
+    Only lines 0..``search`` are inspected.  Raises when line 0's second cell
+    is not blank or no header is found.
     """
-    if isinstance(sheet, Sheet) and sheet.head is not None and search <= HEADER_SEARCH_LINES:
-        return _header_from_lines(sheet.head, search)
-    lines = sheet.lines(sheet.head_files(search)) if isinstance(sheet, Sheet) else sheet
-    cells = sorted((c for c in lines.columns if c.startswith("_c")), key=lambda c: int(c[2:]))
-    if len(cells) < 2:
+    truthy = lambda v: v is not None and v != ""
+    if len(_cells(sheet.raw)) < 2:
         raise ValueError("a mapping sheet needs at least two columns")
-    first = lines.filter(F.col(LINE) <= search)
-    found = first.agg(
-        F.max(F.when((F.col(LINE) == 0) & _truthy("_c1"), 1).otherwise(0)).alias("line0_named"),
-        F.min_by(F.struct(*cells), F.when((F.col(LINE) >= 1) & _truthy("_c1"), F.col(LINE))).alias("hdr"),
-        F.min(F.when((F.col(LINE) >= 1) & _truthy("_c1"), F.col(LINE))).alias("at"),
-    ).first()
-    if found is None or found["line0_named"] or found["hdr"] is None or found["at"] is None:
+    by_line = {h[0]: h[1:] for h in sheet.head}
+    found = next((n for n in range(1, search + 1) if n in by_line and truthy(by_line[n][1])), None)
+    if 0 not in by_line or truthy(by_line[0][1]) or found is None:
         raise LookupError("no header line found: line 0 must have a blank 2nd cell and a header must "
                           f"follow within {search} lines")
-    raw, names = _names(tuple(found["hdr"][c] for c in cells))
-    return SheetHeader(raw=raw, names=names, line=int(found["at"]))
+    raw, names = _names(sheet.raw.sparkSession, tuple(by_line[found]))
+    return SheetHeader(raw=raw, names=names, line=found)
 
 
 def header_frame(sheet: Sheet, search: int = HEADER_SEARCH_LINES) -> DataFrame:
     """The discovered header as rows (position, headerText, columnName, headerLine), computed lazily."""
-    from ..functions.naming import camel_case
-
-    lines = sheet.lines(sheet.head_files(search)).filter(F.col(LINE) <= search)
-    cells = sorted((c for c in lines.columns if c.startswith("_c")), key=lambda c: int(c[2:]))
+    lines = sheet.lines().filter(F.col(LINE) <= search)
+    cells = _cells(lines)
     at = lines.filter((F.col(LINE) >= 1) & _truthy("_c1")).agg(F.min(LINE).alias("headerLine"))
     hdr = lines.join(F.broadcast(at), lines[LINE] == at["headerLine"], "inner")  # one-row aggregate
     arr = F.array(*cells)
@@ -299,13 +301,10 @@ def read_sheet(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parq
     sheet = open_sheet(spark, paths, fmt)
     if names is None:
         names = discover_header(sheet).names
-    lines = sheet.lines() if nrows is None else sheet.lines(sheet.head_files(nrows)).filter(F.col(LINE) <= nrows)
+    lines = sheet.lines() if nrows is None else sheet.lines().filter(F.col(LINE) <= nrows)
     return apply_header(lines, names), tuple(names)
 
 
-SHEET = "sheet"
-
-
 def sheet_headers(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet",
                   search: int = HEADER_SEARCH_LINES) -> DataFrame:
     """Every file is its own sheet: the header of each, found by one distributed aggregate (S3, many files).
@@ -316,7 +315,7 @@ def sheet_headers(spark: SparkSession, paths: str | Sequence[str], fmt: str = "p
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = _positioned(spark, paths, fmt)
-    cells = sorted((c for c in raw.columns if c.startswith("_c")), key=lambda c: int(c[2:]))
+    cells = _cells(raw)
     candidate = (F.col(POS) >= 1) & (F.col(POS) <= search) & _truthy("_c1")
     return raw.filter(F.col(POS) <= search).groupBy(FILE).agg(
         F.max(F.when((F.col(POS) == 0) & _truthy("_c1"), True).otherwise(False)).alias("line0Named"),
@@ -334,24 +333,19 @@ def read_sheets(spark: SparkSession, paths: str | Sequence[str], fmt: str = "par
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = _positioned(spark, paths, fmt)
-    cells = sorted((c for c in raw.columns if c.startswith("_c")), key=lambda c: int(c[2:]))
+    cells = _cells(raw)
     if names is None:
         # one job: each distinct header variant (normally one) with an example sheet
         heads = sheet_headers(spark, paths, fmt)
         valid = ~F.col("line0Named") & F.col("hdr").isNotNull()
         variants = (heads.groupBy(valid.alias("ok"), F.when(valid, F.col("hdr")).alias("hdr"))
-                    .agg(F.min(SHEET).alias("example")).limit(50).collect())
+                    .agg(F.min(SHEET).alias("example")).collect())  # one row per different header
         bad = [v["example"] for v in variants if not v["ok"]]
         if bad:
             raise LookupError(f"no header line found in (e.g.): {bad}")
         if len(variants) != 1:
             raise ValueError(f"the sheets do not share one header (e.g.): {[v['example'] for v in variants]}")
-        raw_hdr = tuple(variants[0]["hdr"][c] for c in cells)
-        while raw_hdr and raw_hdr[-1] in (None, ""):
-            raw_hdr = raw_hdr[:-1]
-        names = tuple(camel_case_text(v) for v in raw_hdr)
-        if not all(names) or len(set(names)) != len(names):
-            raise ValueError(f"header cells give empty or duplicate names: {names}")
+        _, names = _names(spark, tuple(variants[0]["hdr"][c] for c in cells))
     out = raw.filter(F.col(POS) >= 1).select(
         *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)],
         (F.col(POS) - 1).alias(ROW_INDEX),

@@ -21,7 +21,7 @@ def test_python_and_window_nodes(spark):
 
     for name, fn in R.QUERIES.items():
         plan = _plan(fn(spark, SF_SMALL))
-        python_nodes = ("ArrowEvalPython" in plan) or ("BatchEvalPython" in plan)
+        python_nodes = bool(re.search(r"EvalPython|MapInPandas|MapInArrow|InPandas", plan))
         assert python_nodes == (name == "slugify"), name
         for line in plan.splitlines():
             if re.search(r"\bWindow \[", line):

@@ -2,6 +2,7 @@
 
 import json
 import math
+import unicodedata
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -9,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF_SMALL
-from sheetwright.constants import COL_CNT, COL_CNT_PK, LEVELS
+from sheetwright.constants import CATALOGUE_ORDER, COL_CNT, COL_CNT_PK, LEVELS
 from sheetwright.functions.jsonfmt import py_float, python_json
-from sheetwright.functions.naming import camel_case, camel_case_text, slugify
-from sheetwright.operators.catalogue import object_rollup, pk_catalogue, pk_lists, pk_view
+from sheetwright.functions.naming import camel_case, slugify
+from sheetwright.operators.catalogue import distinct_collapse, object_rollup, pk_catalogue, pk_entries, pk_view
 from sheetwright.operators.records import clean_empties
 from sheetwright.plans.mapping import clean_mapping
 from sheetwright.sources.fixtures import SHEET_FLAGS, raw_mapping
@@ -36,34 +37,57 @@ def test_list_sizes_sum_to_pk_count(spark):
     assert bad == 0
 
 
-def test_hot_groups_are_split_into_ordered_parts(spark):
-    m = _mappings(spark)
-    whole = {tuple(r[:5]): r["cols"] for r in pk_lists(m, max_list_len=None).collect()}
-    parts = pk_lists(m, max_list_len=3).collect()
-    joined, sizes = {}, {}
-    for r in sorted(parts, key=lambda r: (tuple(r[:5]), r["listPart"])):
-        joined.setdefault(tuple(r[:5]), []).extend(r["cols"])
-        sizes.setdefault(tuple(r[:5]), []).append((r["listPart"], len(r["cols"])))
-    assert joined == whole
-    for key, ps in sizes.items():
-        assert [p for p, _ in ps] == list(range(len(ps)))          # parts 0..k-1
-        assert all(n == 3 for _, n in ps[:-1]) and 1 <= ps[-1][1] <= 3, key
-    assert any(len(ps) > 1 for ps in sizes.values())
-
-
-def test_one_hot_object_holding_a_third_of_rows(spark):
-    """One object with a third of all rows: lists are split into bounded, ordered parts."""
+def _hot(spark):
+    """One object with a third of all rows."""
     m = _mappings(spark)
     hot = m.withColumn("viewObjectModelTop", F.when(F.col("rowIndex") % 3 == 0, F.lit("HOT"))
                        .otherwise(F.col("viewObjectModelTop")))
-    hot = hot.withColumns({c: F.when(F.col("viewObjectModelTop") == "HOT", F.lit("x")).otherwise(F.col(c))
-                           for c in LEVELS[1:]})
-    cat = pk_catalogue(hot, max_list_len=50)
+    return hot.withColumns({c: F.when(F.col("viewObjectModelTop") == "HOT", F.lit("x")).otherwise(F.col(c))
+                            for c in LEVELS[1:]})
+
+
+def test_lists_are_whole_and_fields_are_the_contract(spark):
+    hot = _hot(spark)
+    cat = pk_catalogue(hot)
+    assert tuple(cat.columns) == CATALOGUE_ORDER
     rows = cat.filter(F.col("viewObjectModelTop") == "HOT").collect()
-    assert max(len(r["cols"]) for r in rows) <= 50
+    assert len({r["databaseTable"] for r in rows}) == len(rows)   # one record per table, however long its list
     n_pk = hot.filter((F.col("viewObjectModelTop") == "HOT") & (F.col("primaryKeyColumn") == 1)).count()
     assert sum(len(r["cols"]) for r in rows) == n_pk
-    assert len({r["colCntPK"] for r in rows}) == 1 and rows[0]["colCntPK"] == n_pk
+    assert {r["colCntPK"] for r in rows} == {n_pk}
+
+
+def test_entries_are_the_lists_as_rows(spark):
+    """Small buckets: positions are exact all the same."""
+    hot = _hot(spark)
+    lists = {tuple(r[:5]): list(zip(r["cols"], r["colsDB"])) for r in pk_catalogue(hot).collect() if r["cols"]}
+    got = {}
+    for r in pk_entries(hot, bucket_width=50).collect():
+        got.setdefault(tuple(r[:5]), {})[r["position"]] = (r["viewObjectAttribute"], r["databaseColumn"])
+    assert {k: [v[i] for i in range(len(v))] for k, v in got.items()} == lists
+
+
+def test_lists_of_several_sheets_do_not_interleave(spark):
+    row = dict.fromkeys(LEVELS, "o") | {"databaseTable": "T", "primaryKeyColumn": 1}
+    rows = [row | {"sheet": s, "rowIndex": i, "viewObjectAttribute": f"{s}{i}", "databaseColumn": "c"}
+            for i in range(3) for s in ("a", "b")]
+    m = spark.createDataFrame(rows)
+    want = ["a0", "a1", "a2", "b0", "b1", "b2"]
+    assert pk_catalogue(m).first()["cols"] == want
+    entries = {r["position"]: r["viewObjectAttribute"] for r in pk_entries(m, bucket_width=2).collect()}
+    assert [entries[i] for i in range(6)] == want
+
+
+def test_catalogue_reads_the_mappings_once_and_runs_no_job(spark):
+    m = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").selectExpr(
+        "l_returnflag AS a", "l_linestatus AS databaseTable", "1 AS primaryKeyColumn", "l_orderkey AS rowIndex",
+        "'x' AS viewObjectAttribute", "'y' AS databaseColumn")
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    cat = pk_catalogue(m, levels=["a"])
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    plan = cat._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
 
 
 def test_clean_is_idempotent(spark):
@@ -84,13 +108,22 @@ def test_slugify_is_idempotent(spark):
 def test_camel_case_matches_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     got = [r[0] for r in df.select(camel_case("s")).collect()]
-    want = []
-    for t in texts:
-        try:
-            want.append(camel_case_text(t))
-        except IndexError:
-            want.append(None)
-    assert got == want
+    assert got == [_camel(t) for t in texts]
+
+
+def _camel(text):
+    """The naming rule character by character: a word is a run without other characters; white space but ' ' stays in it."""
+    words, word = [], ""
+    for ch in text + " ":
+        if (ch.isascii() and ch.isalnum()) or (ch.isspace() and ch != " "):
+            if ch.isalpha():
+                after_letter = word[-1:].isalpha()
+                ch = ch.lower() if after_letter or not words else ch.upper()
+            word += ch
+        elif word:
+            words.append(word)
+            word = ""
+    return "".join(words) or None
 
 
 @settings(max_examples=20, deadline=None)
@@ -147,20 +180,9 @@ def test_pk_view_equals_plain_left_join_with_null_keys(spark):
     assert sorted(map(repr, got.select(*brute.columns).collect())) == sorted(map(repr, brute.collect()))
 
 
-def test_distinct_collapse_splits_large_groups(spark):
-    from sheetwright.operators.catalogue import distinct_collapse
-
-    m = _mappings(spark)
-    whole = {r[0]: r[1] for r in distinct_collapse(m, ["viewObjectModelTop"], "databaseColumn",
-                                                   max_list_len=None).collect()}
-    parts = distinct_collapse(m, ["viewObjectModelTop"], "databaseColumn", max_list_len=2).collect()
-    merged = {}
-    for r in parts:
-        vals = json.loads(r[1]) if r[1].startswith("[") else [r[1]]
-        assert len(vals) <= 6  # about max_list_len per part (hash-balanced)
-        merged.setdefault(r[0], []).extend(vals)
-    assert {k: json.dumps(sorted(v), separators=(",", ":")) if len(v) > 1 else v[0]
-            for k, v in merged.items()} == whole
+def test_distinct_collapse_keeps_the_form_of_the_group(spark):
+    df = spark.createDataFrame([("g", v) for v in ["b", "a", "c", "a"]] + [("h", "x"), ("h", "x"), ("n", None)], "k string, v string")
+    assert {r["k"]: r["v"] for r in distinct_collapse(df, ["k"], "v").collect()} == {"g": '["a","b","c"]', "h": "x", "n": "[]"}
 
 
 _SLUG_ALPHABET = list("aZ09_-.  \t\n\x0b\x0c\r\x1c\x1f!?#/\\") + ["é", "ﬁ", "№", "½", "ß", "Ω", " ", "　",
@@ -171,11 +193,48 @@ _SLUG_ALPHABET = list("aZ09_-.  \t\n\x0b\x0c\r\x1c\x1f!?#/\\") + ["é", "ﬁ", "
 @given(st.lists(st.text(alphabet=st.sampled_from(_SLUG_ALPHABET), max_size=16), min_size=1, max_size=40),
        st.booleans())
 def test_slugify_matches_python(spark, texts, allow_unicode):
-    from sheetwright.functions.naming import slugify_text
-
     df = spark.createDataFrame([(t,) for t in texts], "s string")
     got = [r[0] for r in df.select(slugify("s", allow_unicode=allow_unicode)).collect()]
-    assert got == [slugify_text(t, allow_unicode) for t in texts]
+    assert got == [_slug(t, allow_unicode) for t in texts]
+
+
+def _slug(text, allow_unicode):
+    """The slug rule character by character, per part between dots."""
+    parts = []
+    for part in text.split("."):
+        folded = unicodedata.normalize("NFKC" if allow_unicode else "NFKD", part)
+        out = ""
+        for ch in folded:
+            if ch == "-" or ch.isspace():
+                out += "" if out.endswith("-") else "-"
+            elif (ch.isalnum() or ch == "_") and (allow_unicode or ch.isascii()):
+                out += ch
+        parts.append(out.strip("-_"))
+    return ".".join(parts)
+
+
+def test_ascii_text_never_reaches_the_fold(spark):
+    """The Python fold sees null for ASCII rows."""
+    from sheetwright.functions import naming
+
+    plan = spark.range(1).select(slugify(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" in plan and "CASE WHEN" in plan[plan.index("_fold_ascii"):]
+    assert naming.text_values(spark, slugify, ["plain ascii", None]) == ["plain-ascii", "None"]
+
+
+def _nested(depth):
+    kind = T.StructType([T.StructField("v", T.LongType())])
+    for _ in range(depth - 1):
+        kind = T.StructType([T.StructField("v", T.LongType()), T.StructField("s", kind), T.StructField("l", T.ArrayType(T.StringType()))])
+    return kind
+
+
+def test_clean_plan_grows_linearly_with_depth(spark):
+    sizes = []
+    for depth in (3, 6, 12):
+        df = spark.createDataFrame([], T.StructType([T.StructField("r", _nested(depth))]))
+        sizes.append(len(clean_empties(df)._jdf.queryExecution().analyzed().toString()))
+    assert sizes[2] < 14 * sizes[0]
 
 
 def _py_clean(v):

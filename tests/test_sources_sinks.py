@@ -58,7 +58,7 @@ def test_csv_positions_across_file_blocks(spark, tmp_dir):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
-        df = _positioned_csv(spark, [f"{tmp_dir}/big.csv"], width=3)
+        df = _positioned_csv(spark, [f"{tmp_dir}/big.csv"])
         got = {r[POS]: r["_c0"] for r in df.collect()}
         n_parts = df.rdd.getNumPartitions()
     finally:
@@ -192,7 +192,7 @@ def test_row_cap_is_positional(spark, tmp_dir):
     assert sorted(r[ROW_INDEX] for r in df.collect()) == [0, 1, 2, 3, 4]
 
 
-def test_export_path():
+def test_export_path(spark):
     from sheetwright.sinks.files import export_path
 
     day = dt.date(2026, 1, 5)
@@ -270,8 +270,6 @@ def test_select_from_and_sql_views(spark, tmp_dir):
     assert one.columns == ["viewObjectAttribute"]
     assert one.filter("viewObjectAttribute IS NULL").count() == 0          # nulls shown as ''
     assert select_from(spark, "mappingsTables").count() == spark.table("mappingsTables").count()
-    with pytest.raises(TypeError):
-        select_from(spark, "mappings", 3)
     save_sql_view(spark, "top_objects", "SELECT viewObjectModelTop, SUM(colCnt) AS n FROM mappingsTables "
                                         "GROUP BY viewObjectModelTop")
     total = run_sql(spark, "SELECT SUM(n) AS t FROM top_objects").first()["t"]
@@ -321,19 +319,131 @@ def test_snapshot_partitions(spark, tmp_dir):
 
 
 def test_header_found_behind_many_empty_part_files(spark, tmp_dir):
-    """The first 16 listed files are empty: the collected head is incomplete and discovery falls back to Spark."""
+    """Empty files do not hide the header."""
     os.makedirs(f"{tmp_dir}/gappy")
     for i in range(18):
         _write(f"{tmp_dir}/gappy/part-{i:05d}.csv", "")
     _write(f"{tmp_dir}/gappy/part-00018.csv", SHEET_CSV)
-    sheet = open_sheet(spark, f"{tmp_dir}/gappy", fmt="csv")
-    assert sheet.head is None
-    hdr = discover_header(sheet)
+    hdr = discover_header(open_sheet(spark, f"{tmp_dir}/gappy", fmt="csv"))
     assert hdr.line == 3 and hdr.names[-1] == "isIndexed"
     load = load_mapping(spark, f"{tmp_dir}/gappy", fmt="csv")
     assert load.mappings.count() == 3
 
 
+def test_csv_width_counts_all_lines(spark, tmp_dir):
+    """A cell far down and a header in a smaller file keep their columns."""
+    from sheetwright.sources.sheets import positioned_lines
+
+    os.makedirs(f"{tmp_dir}/wide")
+    _write(f"{tmp_dir}/wide/part-00000.csv", SHEET_CSV)
+    _write(f"{tmp_dir}/wide/part-00001.csv", "a,b\n" * 500 + '1,2,3,4,5,"x,7",7\n')
+    lines = positioned_lines(spark, f"{tmp_dir}/wide", "csv")
+    assert [c for c in lines.columns if c.startswith("_c")] == [f"_c{i}" for i in range(7)]
+    last = lines.orderBy(F.desc("_line")).first()
+    assert (last["_line"], last["_c5"], last["_c6"]) == (508, "x,7", "7")
+
+
+def test_csv_quotes_line_breaks_and_folder_names(spark, tmp_dir):
+    folder = f"{tmp_dir}/my sheet 100%"
+    os.makedirs(folder)
+    _write(f"{folder}/part-00000.csv", SHEET_CSV.replace("AttrA", '"say ""hi"", you"').replace("AttrB", '"two\nlines"'))
+    rows = {r["viewObjectAttribute"]: r[ROW_INDEX] for r in load_mapping(spark, folder, fmt="csv").mappings.collect()}
+    assert rows == {'say "hi", you': 3, "two\nlines": 4, "AttrD": 6}
+    one_line = SHEET_CSV.replace("AttrA", '"say ""hi"", you"')
+    _write(f"{folder}/part-00000.csv", one_line)
+    rows = {r["viewObjectAttribute"]: r[ROW_INDEX] for r in load_mapping(spark, folder, fmt="csv").mappings.collect()}
+    assert rows == {'say "hi", you': 3, "AttrB": 4, "AttrD": 6}
+    _write(f"{folder}/part-00000.csv", SHEET_CSV.replace("AttrD", '"never closed'))
+    with pytest.raises(Exception, match="not closed"):
+        load_mapping(spark, folder, fmt="csv").mappings.collect()
+
+
+def test_parts_are_ordered_by_number(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/parts")
+    for number, text in ((99999, SHEET_CSV), (100000, "App,AttrZ,T9,C9,Yes,No\n")):
+        _write(f"{tmp_dir}/parts/part-{number:05d}.csv", text)
+    rows = {r["viewObjectAttribute"]: r[ROW_INDEX] for r in load_mapping(spark, f"{tmp_dir}/parts", fmt="csv").mappings.collect()}
+    assert rows["AttrA"] == 3 and rows["AttrZ"] == 7
+
+
+def test_csv_reading_never_exchanges_text(spark, tmp_dir):
+    _write(f"{tmp_dir}/plain.csv", SHEET_CSV)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = load_mapping(spark, f"{tmp_dir}/plain.csv", fmt="csv").mappings._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_save_table_over_itself(spark, tmp_dir):
+    from sheetwright.sinks.tables import save_table
+
+    for path in (None, f"{tmp_dir}/own"):
+        save_table(spark.range(10).toDF("v"), "own_rows", path)
+        save_table(spark.table("own_rows").filter("v < 4"), "own_rows", path)
+        assert spark.table("own_rows").count() == 4
+    with pytest.raises(Exception):  # a failing write leaves the table as it was
+        save_table(spark.table("own_rows").select(F.raise_error(F.lit("no")).alias("v")), "own_rows", f"{tmp_dir}/own")
+    assert spark.table("own_rows").count() == 4
+    spark.sql("DROP TABLE own_rows")
+
+
+def test_views_outlive_the_session(spark, tmp_dir):
+    from sheetwright.plans.mapping import MappingLoad, store_mapping
+    from sheetwright.plans.registry import _mappings
+    from sheetwright.sources.fixtures import SHEET_COLUMNS, SHEET_FLAGS
+
+    store_mapping(MappingLoad(_mappings(spark, SF_SMALL), SHEET_COLUMNS, SHEET_FLAGS), "mappings", f"{tmp_dir}/m")
+    other = spark.newSession()
+    assert other.table("mappingsTables").count() == spark.table("mappingsTables").count() > 0
+    assert other.table("mappingsPkCols").filter("colCntPK = 0 AND rowIndex IS NULL").count() > 0
+
+
+def test_write_many_refuses_clashing_names_and_reads_its_target(spark, tmp_dir):
+    a, b = spark.range(3), spark.range(2)
+    for names in (["Q1/A", "Q1A"], ["???", "x"], [".", "x"]):
+        with pytest.raises(ValueError):
+            write_many([a, b], f"{tmp_dir}/clash", names=names)
+    assert not os.path.exists(f"{tmp_dir}/clash")
+    write_many([a, b], f"{tmp_dir}/self", names=["a", "b"])
+    old = spark.read.parquet(f"{tmp_dir}/self/a").filter("id > 0")
+    assert set(write_many([old, b], f"{tmp_dir}/self", names=["b", "c"])) == {"b", "c"}
+    assert sorted(os.listdir(f"{tmp_dir}/self")) == ["b", "c"]
+    assert spark.read.parquet(f"{tmp_dir}/self/b").count() == 2
+    assert os.listdir(tmp_dir) == ["self"]
+
+
+def test_malformed_json_raises(spark, tmp_dir):
+    from sheetwright.sources.json_records import read_json_document_lines
+
+    schema = "a long, b string"
+    _write(f"{tmp_dir}/cut.json", '[{"a": 1, "b": "x"}, {"a": 2, "b"')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_json_records(spark, f"{tmp_dir}/cut.json", schema=schema).collect()
+    _write(f"{tmp_dir}/pretty.json", json.dumps([{"a": 1, "b": "x"}, {"a": 2, "b": "y"}], indent=1))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_json_document_lines(spark, f"{tmp_dir}/pretty.json", schema).collect()
+    assert read_json_records(spark, f"{tmp_dir}/pretty.json", schema=schema).count() == 2
+
+
+def test_null_keys_stay_in_json(spark, tmp_dir):
+    from sheetwright.functions.jsonfmt import record_json
+    from sheetwright.operators.records import flatten_records
+
+    df = spark.createDataFrame([(1, None, [(None, 1)])], "a int, b string, k array<struct<x:int,y:int>>")
+    assert df.select(record_json(df.columns, df.schema)).first()[0] == '{"a":1,"b":null,"k":[{"x":null,"y":1}]}'
+    assert flatten_records(df).first()["k"] == '[{"x":null,"y":1}]'
+    write_json(df, f"{tmp_dir}/kept", simplify=False)
+    write_json(df, f"{tmp_dir}/simple")
+    texts = [spark.read.text(f"{tmp_dir}/{n}").first()[0] for n in ("kept", "simple")]
+    assert texts == ['{"a":1,"b":null,"k":[{"x":null,"y":1}]}', '{"a":1,"k":"[{\\"x\\":null,\\"y\\":1}]"}']
+    for keep_order in (True, False):
+        write_json(df.filter("a > 1"), f"{tmp_dir}/none.json", layout="document", keep_order=keep_order)
+        assert spark.read.text(f"{tmp_dir}/none.json").collect() == [("[]",)]
+
+
 def test_parquet_sheet_nan_cells_are_null(spark, tmp_dir):
     """Typed exports (names given): numbers become text cells, NaN becomes an empty (null) cell."""
     rows = [("Title", None, None), ("x", float("nan"), "Yes"), ("y", 2.5, "No")]
