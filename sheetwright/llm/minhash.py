@@ -285,3 +285,21 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     keyed = docs.withColumns({one: F.col("doc_id").cast("bigint"), two: text_key()})
     same = keyed[one].eqNullSafe(kept[one]) & keyed[two].eqNullSafe(kept[two])
     return keyed.join(kept, same, "left_semi").dropDuplicates([one, two]).drop(one, two)
+
+
+#: The query's result in DuckDB SQL over ``documents`` (distinct doc_ids), by all pairs that share a shingle.
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0),
+sets AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs p JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * p.n >= 85 * (a.n + b.n - p.n)),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(y, d.doc_id) AS kept
+FROM d LEFT JOIN sizes ON sizes.doc_id = d.doc_id LEFT JOIN least ON x = d.doc_id
+"""

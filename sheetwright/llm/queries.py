@@ -63,4 +63,5 @@ QUERIES = {f.__name__: f for f in (
     op1_winnowing_fingerprints, op2_line_dedup, op3_benchmark_decontamination, op4_stratified_sharding, op5_source_mixing, op6_toxicity_grammar, op7_language_id,
     op8_suffix_array_dedup, op9_minmax_near_dedup, op10_secret_scan)}
 
-ORACLES: dict[str, str] = {"op2_line_dedup": lines.SQL}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": lines.SQL, "op3_benchmark_decontamination": decontaminate.SQL, "op9_minmax_near_dedup": minhash.SQL}

@@ -1,0 +1,61 @@
+from collections import Counter
+
+import duckdb
+import corpus_pipeline as pipeline
+from brute import PLAIN_WORD, contamination, mixing_targets, near_components
+from conftest import SF
+
+
+def test_stages_on_the_small_table(spark):
+    """Every stage against a brute-force version over all its predecessor kept; the last against run()."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    steps = dict(pipeline.STAGES)
+    assert list(steps) == ["language_id", "near_dedup", "decontamination", "mix", "shard"]
+
+    def texts(df):
+        return {r["doc_id"]: r["text"] for r in df.collect()}
+
+    before = texts(docs)
+    kept = pipeline.staged(steps["language_id"](spark, docs, SF), "test")
+    assert kept.columns == columns
+    assert texts(kept) == {d: t for d, t in before.items() if any(c.isalpha() for c in t or "")}
+
+    before = texts(kept)
+    unique = pipeline.staged(steps["near_dedup"](spark, kept, SF), "test")
+    assert unique.columns == columns
+    assert texts(unique) == {d: before[d] for d, _, _, stays in near_components(sorted(before.items())) if stays}
+
+    before = texts(unique)
+    items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
+    clean = pipeline.staged(steps["decontamination"](spark, unique, SF), "test")
+    assert clean.columns == columns
+    bad = {r[0] for r in contamination(sorted(before.items()), items) if r[5]}
+    assert bad and texts(clean) == {d: t for d, t in before.items() if d not in bad}
+
+    size, source = Counter(), {}
+    for r in clean.collect():
+        size[r["source"]] += len(PLAIN_WORD.findall(r["text"] or ""))
+        source[r["doc_id"]] = r["source"]
+    mixed = pipeline.staged(steps["mix"](spark, clean, SF), "test")
+    assert mixed.columns == columns
+    taken = Counter()
+    for r in mixed.collect():
+        assert source[r["doc_id"]] == r["source"]
+        taken[r["source"]] += len(PLAIN_WORD.findall(r["text"]))
+    want = mixing_targets(size)
+    assert all(abs(taken[s] - want[s]) <= 100 for s in want)
+
+    placed = steps["shard"](spark, mixed, SF)
+    assert placed.columns == [*columns, "shard", "slot"]
+    counts = Counter(r["shard"] for r in placed.collect())
+    assert sum(counts.values()) == mixed.count() and max(counts.values()) - min(counts.values()) <= 1
+    assert sorted(map(tuple, placed.collect())) == sorted(map(tuple, pipeline.run(spark, SF).collect()))
+
+
+def test_stages_on_an_empty_and_an_odd_table(spark, make_docs, odd_rows):
+    for rows in ([], [*odd_rows, (None, None, None, None), (None, "words of a row without id", None, None), odd_rows[4], odd_rows[4]]):
+        docs = make_docs(rows).selectExpr("*", "1 AS shard", "2 AS key", "3 AS _row", "4 AS row", "5 AS size", "6 AS unit")
+        for name, stage in pipeline.STAGES:
+            docs = pipeline.staged(stage(spark, docs, SF), "test-odd")
+        assert docs.count() >= (len(rows) > 0)
