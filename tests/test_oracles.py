@@ -5,12 +5,11 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SF_SMALL
+from sheetwright.plans.oracles import ORACLES
+from sheetwright.plans.registry import QUERIES
 
 from scripts.oracle_check import TABLES, digest  # noqa: E402
 
-QUERIES = queries()
-ORACLES = oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -21,7 +20,8 @@ def duck():
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
