@@ -40,20 +40,20 @@ def _file_uri(c: Column) -> Column:
     return F.when(c.startswith("/"), F.concat(F.lit("file:"), c)).otherwise(c)
 
 
-def hash_files(spark: SparkSession, manifest: DataFrame, path_col: str, roots: Sequence[str]) -> DataFrame:
-    """Fingerprint every manifest path: SHA-512 of the file bytes, or of the text 'False' (F6).
+def hash_files(spark: SparkSession, manifest: DataFrame, path_col: str, roots: Sequence[str], bits: int = 512) -> DataFrame:
+    """Fingerprint every manifest path: SHA-2 of the file bytes, or of the text 'False' (F6), in column ``sha<bits>``.
 
     ``roots`` are the folders (or globs) the manifest points into; they are
     listed by the binary-file source, and the manifest joins to the listing,
-    so each file is read by one task.  Each file is one value: files over
-    ~2 GB do not fit this operator.  Manifest paths must be absolute paths
+    so each file is read by one task.  Each file is one value: the source
+    raises for files over 2 GB.  Manifest paths must be absolute paths
     or URIs (a working directory means nothing on a cluster).
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(roots))
-        .select(F.col("path").alias("_uri"), F.sha2(F.col("content"), 512).alias("_h"))
+        .select(F.col("path").alias("_uri"), F.sha2(F.col("content"), bits).alias("_h"))
     )
     keyed = manifest.withColumn("_uri", _file_uri(F.col(f"`{path_col}`")))
     joined = keyed.join(files, on="_uri", how="left")
     return joined.select(*[F.col(f"`{c}`") for c in manifest.columns],
-                         F.coalesce(F.col("_h"), F.sha2(F.lit(_NOT_A_FILE_TEXT), 512)).alias("sha512"))
+                         F.coalesce(F.col("_h"), F.sha2(F.lit(_NOT_A_FILE_TEXT), bits)).alias(f"sha{bits}"))

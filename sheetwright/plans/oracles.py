@@ -160,6 +160,9 @@ FROM (SELECT {L}, list_sort(list(DISTINCT databaseTable)) AS t FROM mappings GRO
                 f"FROM documents)"),
     "record_to_json": f"SELECT o_orderkey, {ORDERS_JSON} AS json FROM {_ORDERS_WITH_NULLS}",
     "python_json": f"SELECT o_orderkey, {ORDERS_PYTHON_JSON} AS json FROM {_ORDERS_WITH_NULLS}",
+    "hash_files": ("SELECT concat('lang=', lang, '/part=', doc_id // 1000) AS name, "
+                   "sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS sha256 FROM documents GROUP BY lang, doc_id // 1000 "
+                   "UNION ALL SELECT DISTINCT concat('lang=', lang), sha256('False') FROM documents"),
     "hash_text_256": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
     "hash_record_256": f"SELECT o_orderkey, sha256({ORDERS_PYTHON_JSON}) AS sha256 FROM {_ORDERS_WITH_NULLS}",
     "join_list": ("SELECT p_partkey, CASE WHEN len(l) > 0 THEN array_to_string(l, '>') END AS joined, "
@@ -175,6 +178,13 @@ FROM (SELECT {L}, list_sort(list(DISTINCT databaseTable)) AS t FROM mappings GRO
   CASE WHEN nullif(value, 0) IS NULL AND nullif(k, 0) IS NULL THEN NULL
        ELSE to_json({'value': nullif(value, 0), 'k': nullif(k, 0)})::VARCHAR END AS detail
 FROM (SELECT *, json_extract(props, '$.k')::BIGINT AS k FROM events)""",
+    "clean_nested": """SELECT event_id, CASE WHEN kind IS NOT NULL OR inner_ IS NOT NULL
+  THEN to_json({'kind': kind, 'inner': inner_})::VARCHAR END AS record
+FROM (SELECT *, CASE WHEN v IS NOT NULL OR items IS NOT NULL THEN {'value': v, 'items': items} END AS inner_
+  FROM (SELECT *, CASE WHEN odd IS NOT NULL OR kind IS NOT NULL THEN [{'odd': odd, 'kind': kind}] END AS items
+    FROM (SELECT nullif(event_id, 0) AS event_id, nullif(value, 0) AS v, nullif(user_id % 2, 0) AS odd,
+      nullif(nullif(nullif(event_type, 'view'), ''), 'None') AS kind FROM events)))
+WHERE event_id IS NOT NULL OR kind IS NOT NULL OR inner_ IS NOT NULL""",
     "flatten_records": EVENTS_FLAT,
     "write_json": EVENTS_FLAT,
     "stream_record_export": EVENTS_FLAT,

@@ -230,6 +230,16 @@ def q_clean_empties(spark, sf_dir):
                           F.to_json("detail", {"ignoreNullFields": "false"}).alias("detail"))
 
 
+def q_clean_nested(spark, sf_dir):
+    """Cleaning over records three levels deep with a list of records."""
+    ev = table(spark, sf_dir, "events")
+    kind = F.when(F.col("event_type") == "view", "").otherwise(F.col("event_type"))
+    items = F.array(F.struct((F.col("user_id") % 2).alias("odd"), kind.alias("kind")))
+    inner = F.struct(F.col("value"), items.alias("items"))
+    rec = ev.select("event_id", F.struct(kind.alias("kind"), inner.alias("inner")).alias("record"))
+    return clean_empties(rec).select("event_id", F.to_json("record", {"ignoreNullFields": "false"}).alias("record"))
+
+
 def q_flatten_records(spark, sf_dir):
     return flatten_records(_event_records(spark, sf_dir))
 
@@ -324,13 +334,16 @@ def q_sql_passthrough(spark, sf_dir):
 
 
 def q_hash_files(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    """Texts written as files of at most 1,000 documents, in order; the files' hashes, and that of a folder, which is no file."""
+    docs = table(spark, sf_dir, "documents").select("lang", F.expr("doc_id div 1000").alias("part"), "doc_id", "text")
     root = scratch_path(spark, "doc-files")
-    docs.select("lang", "text").write.mode("overwrite").partitionBy("lang").text(root)
+    ordered = docs.repartition("lang", "part").sortWithinPartitions("lang", "part", "doc_id")
+    ordered.select("lang", "part", "text").write.partitionBy("lang", "part").text(root)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(
         F.regexp_replace("path", "^file:", "").alias("path"))
-    folders = docs.select(F.concat(F.lit(root + "/lang="), F.col("lang")).alias("path")).distinct()
-    return hash_files(spark, listed.unionByName(folders), "path", [root])
+    folders = docs.select(F.concat_ws("/", F.lit(root), F.concat(F.lit("lang="), F.col("lang"))).alias("path")).distinct()
+    found = hash_files(spark, listed.unionByName(folders), "path", [root], bits=256)
+    return found.select(F.regexp_extract("path", "lang=[^/]+(/part=[^/]+)?", 0).alias("name"), "sha256")
 
 
 QUERIES: dict[str, Query] = {
@@ -365,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "join_list": q_join_list,
     "encode_list": q_encode_list,
     "clean_empties": q_clean_empties,
+    "clean_nested": q_clean_nested,
     "flatten_records": q_flatten_records,
     "drop_null_columns": q_drop_null_columns,
     "read_json_records": q_read_json_records,
