@@ -6,7 +6,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF = "/root/testdata/sf0.01"
+from odd import PASSAGE, SF  # noqa: E402
+
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -29,9 +30,6 @@ def make_docs(spark):
     return make
 
 
-PASSAGE = " ".join(f"word{i}x" for i in range(300))
-
-
 @pytest.fixture(scope="session")
 def odd_rows():
     """Nulls in any column, empty and very long texts, ties, repeated rows, text without spaces."""

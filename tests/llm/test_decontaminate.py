@@ -1,6 +1,6 @@
 import duckdb
 from brute import contamination
-from conftest import SF
+from odd import SF
 
 from sheetwright.llm import decontaminate as op
 
@@ -32,7 +32,7 @@ def odd_items(passage):
 
 
 def test_odd_rows(spark, make_docs, odd_rows):
-    from conftest import PASSAGE
+    from odd import PASSAGE
 
     odd_rows = [*odd_rows, (None, PASSAGE, None, None), (5, PASSAGE, "b", "en"), (90, " ".join(["one"] * 60), "x", "en")]
     items = odd_items(PASSAGE)

@@ -2,7 +2,7 @@ import hashlib
 import re
 
 import pytest
-from conftest import SF
+from odd import SF
 from pyspark.sql import functions as F
 
 from sheetwright.llm import fingerprints as op

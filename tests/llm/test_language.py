@@ -2,7 +2,7 @@ import re
 from zlib import crc32
 
 import numpy as np
-from conftest import SF
+from odd import SF
 
 from sheetwright.llm import language as op
 

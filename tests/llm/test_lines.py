@@ -2,7 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
-from conftest import SF
+from odd import SF
 
 from sheetwright.llm import lines as op
 

@@ -2,7 +2,7 @@ import random
 
 import pytest
 from brute import near_components
-from conftest import SF
+from odd import SF
 
 from sheetwright.llm import minhash as op
 

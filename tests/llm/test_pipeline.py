@@ -3,7 +3,7 @@ from collections import Counter
 import duckdb
 import corpus_pipeline as pipeline
 from brute import PLAIN_WORD, contamination, mixing_targets, near_components
-from conftest import SF
+from odd import SF
 
 
 def test_stages_on_the_small_table(spark):

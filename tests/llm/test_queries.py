@@ -1,6 +1,6 @@
 import duckdb
 import pytest
-from conftest import SF
+from odd import SF
 
 from sheetwright.llm.queries import ORACLES, QUERIES
 

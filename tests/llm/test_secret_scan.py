@@ -2,7 +2,7 @@ import hashlib
 import re
 
 import pytest
-from conftest import SF
+from odd import SF
 
 from sheetwright.llm import secret_scan as op
 

@@ -4,7 +4,7 @@ from zlib import crc32
 import numpy as np
 import pytest
 from brute import PLAIN_WORD, mixing_targets
-from conftest import SF
+from odd import SF
 
 from sheetwright.llm import mixing, sharding
 

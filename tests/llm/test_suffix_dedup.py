@@ -2,7 +2,7 @@ import random
 
 import pytest
 from brute import repeated_bytes
-from conftest import SF
+from odd import SF
 
 from sheetwright.llm import suffix_dedup as op
 

@@ -2,7 +2,7 @@ from zlib import crc32
 
 import duckdb
 import pytest
-from conftest import SF
+from odd import SF
 
 from sheetwright.llm import toxicity as op
 
