@@ -12,7 +12,8 @@ values with probability 1.4e-9.
 
 Scale: exact copies are folded inside each task before anything is shuffled,
 and everything after the first pass works on distinct texts.  Band groups
-with the same members (copies meet in many bands) are kept once.  A group's
+with the same members (copies meet in many bands) are kept once, and
+overlapping ones are merged, so a text rarely moves twice.  A group's
 texts are compared in one task up to ``max_group`` texts; a larger group is
 dealt out as pairs of blocks, each its own task, so no task holds more than
 ``2 * max_group`` texts and no pair is lost.  A group yields a spanning
@@ -158,6 +159,23 @@ def band_groups(signed: DataFrame, max_group: int) -> DataFrame:
     return spread.mapInArrow(run, "unit bigint, key binary").distinct()
 
 
+def merged_units(units: DataFrame, max_group: int) -> DataFrame:
+    """Rows (unit, key): units that overlap brought together, so that a text moves to fewer places.
+
+    A unit joins the cluster named by the smallest key met within two steps
+    from its members; all its members go there, so every pair stays together.
+    Units of a cluster of more than ``max_group`` texts stay as they are.
+    """
+    units = staged(units, "minhash-units")
+    label = units.groupBy("unit").agg(F.min("key").alias("label"))
+    near = units.join(label, "unit").groupBy("key").agg(F.min("label").alias("label"))
+    cluster = units.join(near, "key").groupBy("unit").agg(F.min("label").alias("cluster"))
+    placed = staged(units.join(cluster, "unit"), "minhash-clusters")
+    sizes = placed.select("cluster", "key").distinct().groupBy("cluster").agg(F.count("*").alias("n"))
+    name = F.when(F.col("n") <= max_group, F.xxhash64("cluster")).otherwise(F.col("unit"))
+    return placed.join(sizes, "cluster").select(name.alias("unit"), "key").distinct()
+
+
 def first_texts(docs: DataFrame) -> DataFrame:
     """Rows (key, text): every distinct text once; copies are folded in each task before the shuffle."""
 
@@ -257,7 +275,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, per_cent: int = 85, permutation
     that carry it; ``key`` is the text's content key.
     """
     signed = staged(signatures(docs, k, permutations, rows), "minhash-signatures")
-    units = band_groups(signed, max_group)
+    units = merged_units(band_groups(signed, max_group), max_group)
     links = confirmed_links(units, first_texts(docs), k, per_cent)
     roots = connected_components(links)
     texts = signed.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
