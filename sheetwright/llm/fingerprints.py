@@ -38,7 +38,7 @@ K, W = 4, 4
 UNIT = r"\S{1,8}"
 TOP_HALF = -(1 << 32)
 LAST = (1 << 31) - 1
-BUCKET_ROWS, MAX_BUCKETS, FAN = 500, 4096, 64
+BUCKET_ROWS, MAX_BUCKETS, FAN = 500, 65_536, 256
 
 
 def gram_hashes(text: Column, k: int = K) -> Column:
