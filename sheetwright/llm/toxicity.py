@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetwright.llm.common import staged
+from sheetwright.llm.common import lowest, staged
 from sheetwright.llm.textbytes import prefix_hash, random_words, slices, spans_hash, text_bytes, words
 
 # Closed classes of the grammar (English, German, French, Spanish).
@@ -201,8 +201,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample: int, seed: int)
     usable = labels.select("doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(fold("doc_id") != 0)
     n = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    chosen = usable.where("toxic = 1").orderBy(order, "doc_id").limit(sample).unionByName(
-        usable.where("toxic = 0").orderBy(order, "doc_id").limit(sample))
+    picked = [usable.where((F.col("toxic") == label) & lowest(order, F.lit(n.get(label, 0)), sample)).orderBy(order, "doc_id").limit(sample)
+              for label in (0, 1)]
+    chosen = picked[0].unionByName(picked[1])
     chosen = F.broadcast(chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic")))  # bounded: twice the sample
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").where("text is not null").groupBy("text").agg(F.max("toxic").alias("toxic"))
     return rows, {label: max(1.0, n.get(label, 0) / sample) for label in (0, 1)}
