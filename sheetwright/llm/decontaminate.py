@@ -24,6 +24,7 @@ their ids are equal.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheetwright.llm.common import each
 from sheetwright.llm.textbytes import NOT_WORDS, slices, text_bytes, word_table, words
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 MATCH = "array<struct<item_id:string,item_start:int,doc_start:int,n_words:int>>"
 _MATCH = pa.list_(pa.struct([("item_id", pa.string()), ("item_start", pa.int32()), ("doc_start", pa.int32()),
                              ("n_words", pa.int32())]))
@@ -193,35 +195,31 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, b
     """
     docs = docs.select(F.struct("*").alias("row"), F.lit(0).cast("bigint").alias("n_words"), F.array().cast(MATCH).alias("matches"))
     schema = docs.schema
-    for ids, texts in list(benchmark_blocks(benchmark, block_bytes)) or [([], [])]:
+    blocks = benchmark_blocks(benchmark, block_bytes)
+    for ids, texts in chain([next(blocks, ([], []))], blocks):  # an empty benchmark is one empty block
         block = docs.sparkSession.sparkContext.broadcast((ids, texts))
 
         def run(batches, block=block):
             queries = Queries(*block.value, window)
             lut = word_table(NOT_WORDS)
-            for batch in batches:
+            for batch in each(batches):
                 data, offsets = text_bytes(pc.struct_field(batch.column("row"), "text"))
-                counts, rows, items, starts, item_starts, sizes = [], [], [], [], [], []
                 for a, b in slices(offsets, SHARD_BYTES):
                     own = offsets[a : b + 1] - offsets[a]
                     _, _, row, hashes = words(data[offsets[a] : offsets[b]], own, lut)
-                    counts.append(np.bincount(row, minlength=b - a))
+                    counts = np.bincount(row, minlength=b - a)
                     row, item, start, item_start, size = merged(queries, *shard_matches(queries, row, hashes, b - a))
-                    for to, add in ((rows, row + a), (items, item), (starts, start), (item_starts, item_start), (sizes, size)):
-                        to.append(add)
-                row = np.concatenate(rows)
-                new = pa.StructArray.from_arrays(
-                    [pa.array(queries.ids, pa.string()).take(pa.array(np.concatenate(items))) if queries.ids else pa.array([], pa.string()),
-                     *(pa.array(np.concatenate(x).astype(np.int32)) for x in (item_starts, starts, sizes))],
-                    fields=list(_MATCH.value_type))
-                per_row = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=batch.num_rows))))
-                earlier = batch.column("matches")
-                found = pa.ListArray.from_arrays(pa.array(per_row.astype(np.int32)), new)
-                if len(earlier.flatten()):
-                    found = pa.array([[*x, *y] for x, y in zip(earlier.to_pylist(), found.to_pylist())], _MATCH)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row"), pa.array(np.concatenate(counts).astype(np.int64)), found.cast(_MATCH)],
-                    names=batch.schema.names)
+                    ids = pa.array(queries.ids, pa.string()).take(pa.array(item))
+                    new = pa.StructArray.from_arrays(
+                        [ids, *(pa.array(x.astype(np.int32)) for x in (item_start, start, size))], fields=list(_MATCH.value_type))
+                    ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=b - a)))).astype(np.int32)
+                    found = pa.ListArray.from_arrays(pa.array(ends), new)
+                    part = batch.slice(a, b - a)
+                    earlier = part.column("matches")
+                    if len(earlier.flatten()):
+                        found = pa.array([[*x, *y] for x, y in zip(earlier.to_pylist(), found.to_pylist())], _MATCH)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("row"), pa.array(counts.astype(np.int64)), found.cast(_MATCH)], names=batch.schema.names)
 
         docs = docs.mapInArrow(run, schema)
     return docs

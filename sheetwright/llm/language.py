@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheetwright.llm.common import each
 from sheetwright.llm.textbytes import slices, text_bytes
 
 WINDOW = 64
@@ -215,7 +216,7 @@ def labelled(docs: DataFrame, **options) -> DataFrame:
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         names = np.array(model.labels, dtype=object)
-        for batch in batches:
+        for batch in each(batches):
             data, offsets = text_bytes(pc.struct_field(batch.column("row"), "text"))
             letters = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool) & known
             best, score = np.zeros(len(letters), np.int64), np.zeros(len(letters))

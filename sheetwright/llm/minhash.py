@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetwright.llm.common import connected_components, fresh, staged
+from sheetwright.llm.common import connected_components, each, fresh, staged
 from sheetwright.llm.textbytes import (
     SPACES, U64, mix, random_words, shingles, slices, text_bytes, word_table, words)
 
@@ -80,7 +80,7 @@ def signatures(docs: DataFrame, k: int, permutations: int, rows: int) -> DataFra
 
     def run(batches):
         seen: set[bytes] = set()
-        for batch in batches:
+        for batch in each(batches):
             keys = batch.column("key").to_pylist()
             sizes, bands = [], []
             for key, values in zip(keys, shingle_sets(batch.column("text"), k)):
@@ -108,7 +108,7 @@ def band_groups(signed: DataFrame, max_group: int) -> DataFrame:
 
     def run(batches):
         tail = None  # rows of the band that may go on in the next batch
-        for batch in batches:
+        for batch in each(batches):
             frame = np.rec.fromarrays(
                 [batch.column("band").to_numpy(), np.array(batch.column("key").to_pylist(), dtype="S16")],
                 names="band,key")
@@ -181,7 +181,7 @@ def first_texts(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         seen: set[bytes] = set()
-        for batch in batches:
+        for batch in each(batches):
             fresh = []
             for key in batch.column("key").to_pylist():
                 fresh.append(key is not None and key not in seen)
@@ -236,7 +236,7 @@ def confirmed_links(units: DataFrame, texts: DataFrame, k: int, per_cent: int) -
 
     def run(batches):
         unit, keys, sets = None, [], []
-        for batch in batches:
+        for batch in each(batches):
             units_in = batch.column("unit").to_pylist()
             keys_in = batch.column("key").to_pylist()
             a, b = [], []

@@ -8,7 +8,7 @@ targets; only their spread over the shards is random).  The t-th slot of a
 source with n blocks takes block P(t mod n), P being a pseudorandom
 permutation of 0..n-1 (a Feistel network, walked until it falls into range) of
 the source and of the round t div n.  Slots and blocks meet in a join by block
-index; no block list is shuffled or kept anywhere.
+index; no shuffled list of blocks is ever drawn up.
 
 Targets: sources by code point, null last, weigh ``weights`` in turn and share
 ``share`` times all words; a target stops at ``most`` times its source's
@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheetwright.llm.common import key_range, staged
+from sheetwright.llm.common import each, key_range, staged
 from sheetwright.llm.sharding import source_key
 from sheetwright.llm.textbytes import SPACES, U64, mix, random_words, slices, text_bytes, word_table, words
 
@@ -121,7 +121,7 @@ def mix_slots(spark, totals: list[int], blocks: list[int], shard_slots: int = 10
 
     def run(batches):
         whole = np.array(totals, np.int64)
-        for batch in batches:
+        for batch in each(batches):
             for shard in batch.column("id").to_pylist():
                 before, counts = shard_counts(whole, shard, shards, shard_slots, seed)
                 source = np.repeat(np.arange(len(counts)), counts)
@@ -239,18 +239,18 @@ def cut_words(taken: DataFrame) -> DataFrame:
 
     def run(batches):
         lut = word_table(SPACES)
-        for batch in batches:
+        for batch in each(batches):
             column = pc.struct_field(batch.column("_row"), "text")
             data, offsets = text_bytes(column)
             pieces = batch.column("pieces")
             bounds = pieces.offsets.to_numpy()
             flat = pieces.values
             first, count = (pc.struct_field(flat, n).to_numpy(zero_copy_only=False) for n in ("first", "words"))
-            out = []
             for a, b in slices(offsets, 1 << 20):
                 own = offsets[a : b + 1] - offsets[a]
                 start, end, row, _ = words(data[offsets[a] : offsets[b]], own, lut)
                 begins = np.searchsorted(row, np.arange(b - a + 1))
+                out = []
                 for i in range(b - a):
                     f, n = first[bounds[a + i] : bounds[a + i + 1]], count[bounds[a + i] : bounds[a + i + 1]]
                     total = begins[i + 1] - begins[i]
@@ -262,6 +262,6 @@ def cut_words(taken: DataFrame) -> DataFrame:
                         text = b"\n".join(
                             text[start[base + f[x]] - own[i] : end[base + f[y] + n[y] - 1] - own[i]] for x, y in zip(cuts, stops))
                     out.append(text.decode())
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(out, pa.string())], names=["_row", "text"])
+                yield pa.RecordBatch.from_arrays([batch.column("_row").slice(a, b - a), pa.array(out, pa.string())], names=["_row", "text"])
 
     return taken.mapInArrow(run, schema)

@@ -16,7 +16,7 @@ _powers = {"pow": np.ones(1, U64), "inv": np.ones(1, U64)}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n-1 of the fingerprint base and of its inverse, modulo 2**64."""
     if len(_powers["pow"]) < n:
-        size = max(n, 2 * len(_powers["pow"]))
+        size = -(-n // (1 << 18)) << 18  # kept as long as the worker lives, so no larger than needed
         for name, base in (("pow", _BASE), ("inv", _BASE_INV)):
             steps = np.full(size, base, U64)
             steps[0] = 1
