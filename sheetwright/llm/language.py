@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheetwright.llm.common import each
+from sheetwright.llm.common import each, lowest
 from sheetwright.llm.textbytes import slices, text_bytes
 
 WINDOW = 64
@@ -187,6 +187,8 @@ def fit(docs: DataFrame, sample_docs: int = 400, windows_per_doc: int = 6, seed:
     labelled = docs.select("text", "lang", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "text").alias("_order"),
                            fold("doc_id").alias("_fold")).where("lang is not null and text is not null")
     labelled = labelled.where("_fold is null or _fold <> 2").where(F.regexp_like("text", F.lit(LETTER)))
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("_rows"))  # one row a language
+    labelled = labelled.join(F.broadcast(counts), "lang").where(lowest(F.col("_order"), F.col("_rows"), sample_docs))
     ranked = labelled.withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("_order")))
     size = WINDOW * 2  # characters: enough for a window of bytes
     step = F.greatest(F.lit(1), F.floor(F.char_length("text") / windows_per_doc)).cast("int")
