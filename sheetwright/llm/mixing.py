@@ -189,7 +189,8 @@ class Mix:
         parts = parts.select("_source", "_bucket", "_at", "source_no", "block",
                              (first - F.col("_start")).alias("first"), (last - first).alias("words"))
         times = self.slots().groupBy("source_no", "block").agg(F.count("*").alias("times"))
-        return parts.join(times, ["source_no", "block"]).select("_source", "_bucket", "_at", "first", "words", "times")
+        # a slot stands for few bytes in the planner's estimate, but there are as many as blocks: never broadcast
+        return parts.join(times.hint("merge"), ["source_no", "block"]).select("_source", "_bucket", "_at", "first", "words", "times")
 
 
 def mix_rows(docs: DataFrame, seed: int, *more: Column) -> DataFrame:
