@@ -261,7 +261,8 @@ def confirmed_links(units: DataFrame, texts: DataFrame, k: int, per_cent: int) -
     def out(a, b):
         return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    together = texts.join(units, "key").select("unit", "key", "text")
+    # the units grow with the corpus, so they are never broadcast, however small the planner takes them for
+    together = texts.join(units.hint("merge"), "key").select("unit", "key", "text")
     together = together.repartition("unit").sortWithinPartitions("unit", "key")
     return together.mapInArrow(run, "a binary, b binary")
 
