@@ -14,8 +14,9 @@ Scale: exact copies are folded inside each task before anything is shuffled,
 and everything after the first pass works on distinct texts.  Band groups
 with the same members (copies meet in many bands) are kept once, and
 overlapping ones are merged, so a text rarely moves twice.  A group's
-texts are compared in one task up to ``max_group`` texts; a larger group is
-dealt out as pairs of blocks, each its own task, so no task holds more than
+texts are compared in one task up to ``max_group`` texts.  Larger groups are
+found by counting each band's texts and dealt out by Spark as pairs of blocks,
+once for all bands that hold the same texts, so no task holds more than about
 ``2 * max_group`` texts and no pair is lost.  A group yields a spanning
 forest of its confirmed links, at most one row per member, never all pairs.
 
@@ -39,6 +40,7 @@ from sheetwright.llm.textbytes import (
 
 PIECE = 1 << 20
 COLUMNS = 4096
+SALTS = 64
 
 
 def text_key(text="text"):
@@ -100,10 +102,31 @@ def signatures(docs: DataFrame, k: int, permutations: int, rows: int) -> DataFra
 def band_groups(signed: DataFrame, max_group: int) -> DataFrame:
     """Rows (unit, key): the texts that are compared together.
 
-    The rows arrive sorted by band and key, so a group is a run of rows.
-    A run of at most ``max_group`` texts is named by its members, and the same
-    members met in another band fall together.  The rows of a longer run are
-    dealt to blocks, and each pair of blocks is a unit.
+    Bands of at most ``max_group`` texts are grouped by ``short_units``, longer
+    ones by ``long_units``; Spark counts them first, so no task ever holds a
+    longer one.
+    """
+    given = signed.where("bands is not null").select("key", "bands").dropDuplicates(["key"])
+    spread = staged(given, "minhash-bands").select("key", F.explode(F.array_distinct("bands")).alias("band"))
+    sizes = spread.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("least"))
+    long = staged(sizes.where(F.col("n") > max_group), "minhash-long")
+    if long.isEmpty():
+        return merged_units(short_units(spread), max_group)
+    # salted, so that the rows of a long band meet its size in many tasks
+    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int").alias("salt")
+    salted = spread.select("band", "key", salt)
+    sized = long.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
+    short = salted.join(sized.select("band", "salt"), ["band", "salt"], "left_anti").select("key", "band")
+    wide = salted.join(sized, ["band", "salt"]).select("band", "key", "n", "least")
+    return merged_units(short_units(short), max_group).unionByName(long_units(wide, max_group))
+
+
+def short_units(spread: DataFrame) -> DataFrame:
+    """Rows (unit, key) of bands that fit one task.
+
+    The rows arrive sorted by band and key, so a group is a run of rows.  A
+    group is named by its members, and the same members met in another band
+    fall together.
     """
 
     def run(batches):
@@ -124,9 +147,6 @@ def band_groups(signed: DataFrame, max_group: int) -> DataFrame:
     def units(frame):
         if len(frame) < 2:
             return
-        same = frame["band"][1:] == frame["band"][:-1]
-        keep = np.concatenate(([True], ~(same & (frame["key"][1:] == frame["key"][:-1]))))
-        frame = frame[keep]
         starts = np.flatnonzero(np.concatenate(([True], frame["band"][1:] != frame["band"][:-1])))
         ends = np.concatenate((starts[1:], [len(frame)]))
         names, keys = [], []
@@ -135,18 +155,9 @@ def band_groups(signed: DataFrame, max_group: int) -> DataFrame:
         finger = mix((raw.astype(U64) * half).sum(1, dtype=U64))
         for a, b in zip(starts[ends - starts > 1], ends[ends - starts > 1]):
             n = b - a
-            if n <= max_group:
-                name = int(mix(np.array([finger[a:b].sum(dtype=U64)], U64) + U64(n))[0])
-                names.append(np.full(n, name, U64))
-                keys.append(raw[a:b])
-                continue
-            blocks = -(-n // max_group)
-            of = (finger[a:b] % U64(blocks)).astype(np.int64)
-            band = U64(frame["band"][a].view(U64) if hasattr(frame["band"][a], "view") else frame["band"][a])
-            for other in range(blocks):
-                pair = np.minimum(of, other).astype(U64) * U64(blocks) + np.maximum(of, other).astype(U64)
-                names.append(mix(pair + band))
-                keys.append(raw[a:b])
+            name = int(mix(np.array([finger[a:b].sum(dtype=U64)], U64) + U64(n))[0])
+            names.append(np.full(n, name, U64))
+            keys.append(raw[a:b])
         if names:
             keys = np.ascontiguousarray(np.concatenate(keys))
             yield pa.RecordBatch.from_arrays(
@@ -154,9 +165,41 @@ def band_groups(signed: DataFrame, max_group: int) -> DataFrame:
                  pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(keys), [None, pa.py_buffer(keys.tobytes())]).cast(pa.binary())],
                 names=["unit", "key"])
 
-    spread = signed.where("bands is not null").select("key", F.explode("bands").alias("band"))
-    spread = spread.repartition("band").sortWithinPartitions("band", "key")
-    return spread.mapInArrow(run, "unit bigint, key binary").distinct()
+    rows = spread.repartition("band").sortWithinPartitions("band", "key")
+    return rows.mapInArrow(run, "unit bigint, key binary").distinct()
+
+
+def long_units(wide: DataFrame, max_group: int) -> DataFrame:
+    """Rows (unit, key) of the bands of more than ``max_group`` texts: pairs of blocks of texts.
+
+    Bands that share a text within two steps are one cluster where that costs
+    no more pairs than its bands apart, so a pair of blocks is one unit however
+    many bands its texts share.  The texts are dealt to blocks by their hash,
+    and Spark makes the pairs of blocks row by row.
+    """
+    wide = staged(wide, "minhash-wide")
+    near = wide.groupBy("key").agg(F.min("least").alias("label"))
+    cluster = wide.join(near, "key").groupBy("band").agg(F.min("label").alias("cluster"), F.first("n").alias("n"))
+    cluster = staged(cluster, "minhash-long-clusters")
+    # one side has a row for every text of a long band: salted like above
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salt = F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")
+    placed = wide.select("band", "key", salt.alias("salt")).join(
+        cluster.select("band", "cluster", "n", salts.alias("salt")).hint("merge"), ["band", "salt"])
+    placed = staged(placed.select("band", "cluster", "key", "n"), "minhash-long-placed")
+    together = placed.select("cluster", "key").distinct().groupBy("cluster").agg(F.count("*").alias("whole"))
+    apart = cluster.groupBy("cluster").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("cost"))
+    both = together.join(apart, "cluster").withColumn("merge", F.col("whole").cast("double") * F.col("whole") <= F.col("cost"))
+    both = both.withColumn("salt", salts).hint("merge")
+    placed = placed.withColumn("salt", salt).join(both, ["cluster", "salt"])
+    group = F.when(F.col("merge"), F.xxhash64(F.lit(1), "cluster")).otherwise(F.xxhash64(F.lit(2), "band"))
+    size = F.when(F.col("merge"), F.col("whole")).otherwise(F.col("n"))
+    members = placed.select(group.alias("group"), "key", F.ceil(size / F.lit(max_group)).cast("int").alias("blocks")).distinct()
+    block = F.pmod(F.xxhash64(F.lit(3), "key"), F.col("blocks")).cast("int").alias("block")
+    pairs = members.select("group", "key", "blocks", block)
+    pairs = pairs.select("group", "key", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pairs = pairs.where("block <> other")  # two or more blocks: the pairs within one are in each of its units
+    return pairs.select(F.xxhash64("group", F.least("block", "other"), F.greatest("block", "other")).alias("unit"), "key")
 
 
 def merged_units(units: DataFrame, max_group: int) -> DataFrame:
@@ -276,7 +319,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, per_cent: int = 85, permutation
     that carry it; ``key`` is the text's content key.
     """
     signed = staged(signatures(docs, k, permutations, rows), "minhash-signatures")
-    units = merged_units(band_groups(signed, max_group), max_group)
+    units = band_groups(signed, max_group)
     links = confirmed_links(units, first_texts(docs), k, per_cent)
     roots = connected_components(links)
     texts = signed.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))

@@ -56,3 +56,25 @@ def test_null_ids_and_repeated_rows(spark, make_docs, odd_rows):
 def test_empty_table(spark, make_docs):
     assert rows(op.near_duplicates(make_docs([]))) == []
     assert op.drop_near_duplicates(make_docs([])).count() == 0
+
+
+def test_long_bands_are_dealt_once(spark):
+    """Long bands: every pair meets, no unit is far above two blocks, and the same texts in another band add none."""
+    import hashlib
+    from collections import defaultdict
+    from itertools import combinations
+
+    keys = [hashlib.md5(str(i).encode()).digest() for i in range(300)]
+    shared, other = set(keys[:200]), set(keys[200:290])
+    rows = [(k, [band for band, of in ((1, shared), (2, shared), (3, shared - {keys[7]}), (4, other), (5, set(keys[288:]))) if k in of]) for k in keys]
+    rows += rows[:40]  # copies from another task
+    signed = spark.createDataFrame(rows, "key binary, bands array<bigint>")
+    units = defaultdict(list)
+    for unit, key in op.band_groups(signed, 20).collect():
+        units[unit].append(bytes(key))
+    met = {p for members in units.values() for p in combinations(sorted(members), 2)}
+    for group in (shared, other, set(keys[288:])):
+        assert set(combinations(sorted(group), 2)) <= met
+    assert all(len(m) == len(set(m)) <= 80 for m in units.values())
+    assert len({frozenset(m) for m in units.values()}) == len(units)
+    assert sum(map(len, units.values())) <= 200 * 9 + 90 * 4 + 12
