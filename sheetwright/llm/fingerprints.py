@@ -7,6 +7,16 @@ consecutive hashes the smallest is selected, the rightmost of equal ones, and
 kept with its position.  So two texts that share ``K + W - 1`` units in a row
 share a selected hash, and no match shorter than ``K`` units is reported.
 
+The cuts inside a run longer than a unit depend on where the run begins, so
+such runs are read a second time by rolling grams: every ``RUN`` consecutive
+characters of a run of that length or more (``K`` full units) have a hash, at
+every offset, and from each window of ``RUN_W`` of them the smallest is
+selected in the same way.  Two texts that share ``RUN + RUN_W - 1`` characters
+without white space (as many as ``K + W - 1`` full units) share a selected
+hash, wherever they stand.  In a shorter run the next white space, where the
+units fall into step again, is less than ``RUN`` characters away.  The hashes
+of both readings, with their positions, are the fingerprint.
+
 The order of hashes is that of their upper 32 bits, which leaves the lower
 half of a 64-bit word for the position (descending): one minimum gives both.
 
@@ -36,6 +46,8 @@ from sheetwright.llm.common import let
 
 K, W = 4, 4
 UNIT = r"\S{1,8}"
+STEP = 5
+RUN, RUN_W = 8 * K, STEP * STEP
 TOP_HALF = -(1 << 32)
 LAST = (1 << 31) - 1
 BUCKET_ROWS, MAX_BUCKETS, FAN = 500, 65_536, 256
@@ -54,25 +66,62 @@ def gram_hashes(text: Column, k: int = K) -> Column:
     return let(F.transform(units, lambda u: F.xxhash64(u)), grams)
 
 
-def winnowed(text: Column, k: int = K, w: int = W) -> Column:
-    """Selected hashes of ``text`` with their positions: array<struct<hash bigint, pos int>>, by position."""
+def rolling_hashes(text: Column) -> Column:
+    """Hashes (bigint) of all runs of ``RUN`` characters of ``text`` without white space, at every offset."""
+    runs = F.regexp_extract_all(text, F.lit(rf"\S{{{RUN},}}"), F.lit(0))
+
+    def grams(run: Column) -> Column:
+        # four bytes a character, so that a gram is cut out in constant time
+        return let(F.encode(run, "UTF-32"), lambda b: F.transform(
+            F.sequence(F.lit(0), (F.octet_length(b) / 4).cast("int") - RUN), lambda i: F.xxhash64(F.substring(b, i * 4 + 1, F.lit(4 * RUN)))))
+
+    return F.flatten(F.transform(runs, grams))
+
+
+def minima(hashes: Column, width: int) -> Column:
+    """The least of each ``width`` neighbours of an array (an empty array if it is shorter)."""
+    n = F.size(hashes) - (width - 1)
+    return F.transform(F.slice(hashes, F.lit(1), F.greatest(n, F.lit(0))),
+                       lambda x, i: F.least(x, *(F.get(hashes, i + j) for j in range(1, width))))
+
+
+def run_minima(hashes: Column) -> Column:
+    """The least of each ``RUN_W`` neighbours: the least of ``STEP`` least ones that are ``STEP`` apart."""
+
+    def outer(m: Column) -> Column:
+        return F.transform(F.slice(m, F.lit(1), F.greatest(F.size(m) - (RUN_W - STEP), F.lit(0))),
+                           lambda x, i: F.least(x, *(F.get(m, i + STEP * j) for j in range(1, STEP))))
 
-    def selected(g: Column) -> Column:
-        ordered = F.transform(g, lambda x, i: x.bitwiseAND(F.lit(TOP_HALF)).bitwiseOR((F.lit(LAST) - i).cast("bigint")))
+    return let(minima(hashes, STEP), outer)
+
+
+def selected(hashes: Column, width: int, windows) -> Column:
+    """The least hash of each window of ``width`` (by ``windows``) with its position, the rightmost of equal ones."""
+    ordered = F.transform(hashes, lambda x, i: x.bitwiseAND(F.lit(TOP_HALF)).bitwiseOR((F.lit(LAST) - i).cast("bigint")))
+
+    def least(p: Column) -> Column:
+        return F.when(F.size(p) >= width, windows(p)).when(F.size(p) > 0, F.array(F.array_min(p))).otherwise(p)
+
+    def placed(q: Column) -> Column:
+        at = (F.lit(LAST) - q.bitwiseAND(F.lit((1 << 32) - 1))).cast("int")
+        return F.struct(F.get(hashes, at).alias("hash"), at.alias("pos"))
+
+    return F.transform(F.array_distinct(let(ordered, least)), placed)
+
+
+def winnowed(text: Column, k: int = K, w: int = W) -> Column:
+    """Selected hashes of the units of ``text`` with their positions: array<struct<hash bigint, pos int>>, by position."""
+    return let(gram_hashes(F.coalesce(text, F.lit("")), k), lambda g: selected(g, w, lambda p: minima(p, w)))
 
-        def minima(p: Column) -> Column:
-            n = F.size(p) - (w - 1)
-            full = F.transform(F.slice(p, F.lit(1), F.greatest(n, F.lit(0))),
-                               lambda x, i: F.least(x, *(F.get(p, i + j) for j in range(1, w))))
-            return F.when(n > 0, full).when(F.size(p) > 0, F.array(F.array_min(p))).otherwise(p)
 
-        def placed(q: Column) -> Column:
-            at = (F.lit(LAST) - q.bitwiseAND(F.lit((1 << 32) - 1))).cast("int")
-            return F.struct(F.get(g, at).alias("hash"), at.alias("pos"))
+def rolling(text: Column) -> Column:
+    """Selected hashes of the rolling grams of ``text`` with their positions, like ``winnowed``."""
+    return let(rolling_hashes(F.coalesce(text, F.lit(""))), lambda g: selected(g, RUN_W, run_minima))
 
-        return F.transform(F.array_distinct(let(ordered, minima)), placed)
 
-    return let(gram_hashes(F.coalesce(text, F.lit("")), k), selected)
+def fingerprint(text: Column) -> Column:
+    """Selected hashes of ``text`` by units, then by rolling grams."""
+    return F.concat(winnowed(text), rolling(text))
 
 
 def digest(prints: Column) -> Column:
@@ -132,7 +181,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("_order"))
-    own = own.withColumn("prints", winnowed(F.col("text")))
+    own = own.withColumn("prints", fingerprint(F.col("text")))
     own = own.select("doc_id", "text", "_order", digest(F.col("prints")).alias("fingerprint"), sketch(F.col("prints")).alias("sketch"))
     pairs = with_next(own, ["text", "sketch"])
     n = F.char_length("text")
@@ -140,7 +189,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     pairs = pairs.select(
         "doc_id", n.cast("bigint").alias("n_chars"), "fingerprint", "sketch", "next_sketch",
         F.concat(F.substring("text", F.lit(1), n - part), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), part)).alias("edited"))
-    pairs = pairs.withColumn("prints", winnowed(F.col("edited")))
+    pairs = pairs.withColumn("prints", fingerprint(F.col("edited")))
     return pairs.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
         digest(F.col("prints")).alias("edited_fingerprint"),

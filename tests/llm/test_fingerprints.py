@@ -105,3 +105,37 @@ def test_null_and_repeated_ids(spark, make_docs, monkeypatch):
 def test_main_path_is_native(spark, make_docs):
     plan = op.fingerprinted(make_docs([(1, "a"), (2, "b")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def roll(text):
+    """Positions of the rolling grams of a text without white space, selected by the definition."""
+    return text and [text[i : i + op.RUN] for i in range(len(text) - op.RUN + 1)]
+
+
+@pytest.mark.parametrize("signs", ["abcdefghijklmnopqrstuvwxyz0123456789+/", "日本語中文字漢仮名交文章検索学習言語模型資料去重複数値計算機科学"])
+def test_a_passage_without_spaces_is_found_at_every_offset(spark, make_docs, signs):
+    """RUN + RUN_W - 1 shared characters share a selected hash whatever stands before them, in runs without white space."""
+    import random
+
+    rng = random.Random(4)
+
+    def noise(n):
+        return "".join(rng.choices(signs, k=n))
+
+    passage = noise(op.RUN + op.RUN_W - 1)
+    docs = [(i, noise(i) + passage + noise(40)) for i in range(18)] + [(50, noise(200)), (51, "a " + passage + "\U0001F600" + noise(9))]
+    got = {r["doc_id"]: {p["hash"] for p in r["p"]} for r in make_docs(docs).select("doc_id", op.fingerprint(F.col("text")).alias("p")).collect()}
+    assert all(got[0] & got[i] for i in (*range(18), 51)) and not got[0] & got[50]
+    same = [(0, noise(2000))]
+    same.append((1, same[0][1][:3] + "#" + same[0][1][3:]))  # one character more, early
+    first = op.fingerprinted(make_docs(same)).orderBy("doc_id").first()
+    assert first["near_next"] > 0.3
+
+
+def test_rolling_selection_by_definition(spark, make_docs, odd_rows):
+    texts = [t for _, t, *_ in odd_rows if t and len(t) < 5000] + ["x" * 100, "é日" * 40 + " " + "ab" * 30, "y" * op.RUN, "z" * (op.RUN - 1)]
+    rows = make_docs(list(enumerate(texts))).select("text", op.rolling_hashes(F.col("text")).alias("g"), op.rolling(F.col("text")).alias("p"))
+    for r in rows.collect():
+        grams = [x for run in re.findall(r"[^ \t\n\x0b\f\r]+", r["text"]) for x in roll(run)]
+        assert len(r["g"]) == len(grams) and len(set(r["g"])) == len(set(grams))
+        assert [(p["pos"], p["hash"]) for p in r["p"]] == [(i, r["g"][i]) for i in winnow(r["g"], op.RUN_W)]
