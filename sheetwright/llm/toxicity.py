@@ -57,7 +57,9 @@ FEATURES = (*KINDS, "more")
 PIECE = 1 << 20
 
 _LETTERS = random_words(256, 41)
-_LETTERS[[b for b in range(128) if not chr(b).isalpha() and chr(b) != "'"]] = 0
+_LETTERS[[b for b in range(128) if not chr(b).isalpha()]] = 0
+# A word is a run of letters, when learning and when scoring; what is no letter beyond ASCII becomes a space, a typographic apostrophe a plain one.
+OTHER_SIGNS = r"[^\x00-\x7F\p{L}]"
 
 
 class Transducer:
@@ -153,13 +155,39 @@ def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-WORD_CUT = str.maketrans({chr(c): " " for c in range(128) if not chr(c).isalpha() and chr(c) != "'"})
+class _Cut(dict):
+    """Translation that keeps letters and apostrophes and turns every other character into a space."""
+
+    def __missing__(self, c: int) -> int:
+        self[c] = kept = c if chr(c).isalpha() or c == 0x27 else 0x27 if c == 0x2019 else 0x20
+        return kept
+
+
+WORD_CUT = _Cut()
+
+
+def clause_symbols(lexicon: Lexicon, clause: str) -> list[tuple[str, float]]:
+    """The symbols of a clause's words.
+
+    A form with apostrophes (isn't) that is a word of a closed class is one
+    symbol; of any other (l'idiot, 'idiot') the parts that have a symbol count,
+    or one other word where none has.
+    """
+    symbols = []
+    for form in clause.translate(WORD_CUT).split():
+        parts = [w for w in form.split("'") if w]
+        if len(parts) > 1 and (kind := lexicon.classes.get(form.strip("'"))) is not None:
+            symbols.append((kind, 1.0))
+        elif parts:
+            found = [lexicon.symbol(w) for w in parts]
+            symbols += [f for f in found if f[0] != "other"] or [("other", 1.0)]
+    return symbols
 
 
 def clause_features(lexicon: Lexicon, clause: str) -> dict[str, float]:
     """Weights of the symbols in which a clause ends, and their number."""
     found: dict[str, float] = {}
-    for kind, weight in composed([lexicon.symbol(w) for w in clause.translate(WORD_CUT).split()]):
+    for kind, weight in composed(clause_symbols(lexicon, clause)):
         if kind in KINDS:
             found[kind] = found.get(kind, 0.0) + weight
             found["more"] = found.get("more", 0.0) + 1.0
@@ -168,7 +196,8 @@ def clause_features(lexicon: Lexicon, clause: str) -> dict[str, float]:
 
 def text_features(lexicon: Lexicon, column: pa.Array) -> np.ndarray:
     """Features of each text (rows, FEATURES)."""
-    data, offsets = text_bytes(pc.utf8_lower(column.cast(pa.string())))
+    lower = pc.replace_substring(pc.utf8_lower(column.cast(pa.string())), "\u2019", "'")
+    data, offsets = text_bytes(pc.replace_substring_regex(lower, OTHER_SIGNS, " "))
     out = np.zeros((len(offsets) - 1, len(FEATURES)))
     ends_clause = np.zeros(256, bool)
     ends_clause[list(CLAUSE_END)] = True

@@ -60,3 +60,17 @@ def test_learning_and_odd_rows(spark, make_docs, odd_rows):
     assert op.scored(make_docs([]), labels).collect() == []
     none = op.scored(docs, labels.limit(0)).collect()
     assert {r["predicted"] for r in none} == {0}
+
+
+@pytest.mark.parametrize("clause, found", [
+    ("c'est l'idiot", {"plain": 2.0}), ("c'est l\u2019idiot", {"plain": 2.0}), ("d'idiot", {"plain": 2.0}), ("qu'idiot", {"plain": 2.0}),
+    ("'idiot'", {"plain": 2.0}), ("\u2018idiot\u2019 \u201cmoron\u201d", {"plain": 5.0}), ("\u00a1idiot", {"plain": 2.0}),
+    ("\u00abidiot\u00bb", {"plain": 2.0}), ("so\u2013idiot\u2026", {"plain": 2.0}), ("that isn't an idiot", {"negated": 2.0}),
+    ("that isn\u2019t an idiot", {"negated": 2.0}), ("tu es l'idiot", {"targeted": 2.0}), ("l'idiotie", {})])
+def test_words_are_cut_as_they_were_learned(clause, found):
+    """Signs and elisions beside a learned word do not hide it, in the grammar and in the search for its clause."""
+    import pyarrow as pa
+
+    assert features(clause) == found
+    row = op.text_features(op.Lexicon({"idiot": 2.0, "moro*": 3.0}), pa.array(["first. " + clause.upper()]))[0]
+    assert dict(zip(op.KINDS, row)) == dict.fromkeys(op.KINDS, 0.0) | found
