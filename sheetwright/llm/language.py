@@ -15,6 +15,10 @@ where they are scanned, without a shuffle.
 
 Defined results: a null text, or one without a letter, is ``und`` with score
 0; without any labelled row every text is ``und``.
+
+``known_language`` drops texts without a letter and those whose best pooled
+probability is below a threshold fitted to the labelled windows; without any
+labelled row there is no threshold, and every text with a letter stays.
 """
 
 from __future__ import annotations
@@ -46,6 +50,7 @@ class ByteGRU:
     def __init__(self, labels: list[str], seed: int = 3, hidden: int = HIDDEN):
         rng = np.random.default_rng(seed)
         self.labels, self.hidden = labels, hidden
+        self.floor = 0.0  # least probability of a text in a known language
         self.weights = {"out": rng.normal(0, 0.3, (2 * hidden, len(labels))), "bias": np.zeros(len(labels))}
         for d in "fb":
             self.weights |= {f"in_{d}": rng.normal(0, 0.5, (256, 3 * hidden)), f"rec_{d}": rng.normal(0, 0.3, (hidden, 3 * hidden))}
@@ -201,17 +206,29 @@ def fit(docs: DataFrame, sample_docs: int = 400, windows_per_doc: int = 6, seed:
     if texts:
         windows = np.stack([np.frombuffer(t.ljust(WINDOW, b"\n"), np.uint8) for _, t in texts], axis=1)
         model.train(windows, np.array([label for label, _ in texts]))
+        model.floor = fitted_floor(model, [t for _, t in texts])
     return model
 
 
+def fitted_floor(model: ByteGRU, texts: list[bytes]) -> float:
+    """Half way from chance to the least best probability of any labelled window.
+
+    A whole text is pooled over all its windows, so a clean one lies above its
+    worst window; the half keeps texts that are shorter or odder than those.
+    """
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    least = document_probabilities(model, np.frombuffer(b"".join(texts), np.uint8), offsets).max(1).min()
+    chance = 1 / len(model.labels)
+    return float(chance + max(0.0, least - chance) / 2) if len(model.labels) > 1 else 0.0
+
+
 def fold(doc_id: str):
     """Fold 0 to 3 of a document: CRC-32 of its id as text, modulo 4; null for a null id."""
     return F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % 4
 
 
-def labelled(docs: DataFrame, **options) -> DataFrame:
+def labelled(docs: DataFrame, model: ByteGRU) -> DataFrame:
     """Rows (row, lang_pred, score): each row of ``docs`` as a struct, its predicted language and that language's probability."""
-    model = fit(docs, **options)
     known = model.labels != ["und"]
     rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.regexp_like("text", F.lit(LETTER)), F.lit(False)).alias("letters"))
     schema = rows.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
@@ -237,10 +254,17 @@ def labelled(docs: DataFrame, **options) -> DataFrame:
 def predicted(docs: DataFrame, **options) -> DataFrame:
     """Rows (doc_id, held_out, lang_pred, score): one per row of ``docs``."""
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
-    found = labelled(narrow, **options)
+    found = labelled(narrow, fit(narrow, **options))
     return found.select("row.doc_id", F.coalesce(fold("row.doc_id") == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def known_language(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose text has a language; rows without a letter go.  Columns unchanged."""
-    return labelled(docs, **options).where("lang_pred <> 'und'").select("row.*")
+    """The rows of ``docs`` whose text is in a known language.  Columns unchanged.
+
+    Rows without a letter go, and rows whose best probability is below the
+    model's floor; without any labelled row only those without a letter go.
+    """
+    model = fit(docs, **options)
+    if model.labels == ["und"]:
+        return docs.where(F.coalesce(F.regexp_like("text", F.lit(LETTER)), F.lit(False)))
+    return labelled(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= model.floor)).select("row.*")

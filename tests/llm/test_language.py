@@ -81,3 +81,13 @@ def test_odd_rows(spark, make_docs, odd_rows):
     assert op.predicted(make_docs([])).collect() == []
     unlabelled = make_docs([(1, "words", "s", None), (2, "more words", "s", None)])
     assert {r["lang_pred"] for r in op.predicted(unlabelled).collect()} == {"und"}
+
+
+def test_known_language_rejects_by_the_network_and_keeps_unlabelled_tables(spark, make_docs):
+    """A text that the network finds in no learned language goes; without labels every text with a letter stays."""
+    docs = [(i, ("abcab " if i % 2 else "xyzyx ") * 40, "s", "ab"[i % 2]) for i in range(60)]
+    docs += [(100, "abcab " * 64 + "xyzyx " * 64, "s", None), (101, "abcab " * 64, "s", None), (102, "12 34", "s", "a")]
+    kept = {r["doc_id"] for r in op.known_language(make_docs(docs)).collect()}
+    assert kept == set(range(60)) | {101}
+    unlabelled = make_docs([(1, "words", "s", None), (2, "more words", "s", None), (3, "12", "s", None), (4, None, "s", None)])
+    assert {r["doc_id"] for r in op.known_language(unlabelled).collect()} == {1, 2}
