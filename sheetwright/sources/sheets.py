@@ -283,9 +283,30 @@ def header_frame(sheet: Sheet, search: int = HEADER_SEARCH_LINES) -> DataFrame:
                           camel_case(F.col("headerText")).alias("columnName"), F.col("headerLine").cast("int"))
 
 
-def apply_header(lines: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Name the cells by position; line 0 is consumed, ``rowIndex`` = line - 1."""
-    return lines.filter(F.col(LINE) >= 1).select(
+def _checked(lines: DataFrame, number: str, header: Column, width: int) -> DataFrame:
+    """``lines`` after line 0; one after line ``header`` with a cell past the ``width`` names that is not blank raises."""
+    after_title = F.col(number) >= 1
+    extra = _cells(lines)[width:]
+    if not extra:
+        return lines.filter(after_title)
+    wide = (F.col(number) > header) & F.greatest(*[_truthy(c).cast("int") for c in [extra[0], *extra]]).cast("boolean")
+    error = F.raise_error(F.concat(F.lit(f"a line has more cells than the header's {width} names: line "), F.col(number), F.lit(" of "), F.col(FILE)))
+    # in the cells too: the optimizer may move a later filter on them (the flags) before this one
+    cells = {c: F.when(wide, error.cast("string")).otherwise(F.col(c)) for c in _cells(lines)[:width]}
+    return lines.filter(F.when(wide, error.cast("boolean")).otherwise(after_title)).withColumns(cells)
+
+
+def apply_header(lines: DataFrame, names: Sequence[str], header_line: int | None = None) -> DataFrame:
+    """Name the cells by position; line 0 is consumed, ``rowIndex`` = line - 1.
+
+    A line after ``header_line`` (by default the first of lines 1 to
+    ``HEADER_SEARCH_LINES`` with a 2nd cell, or line 0 if there is none) with a
+    cell past the names raises: no cell is dropped unseen.
+    """
+    if header_line is None and len(_cells(lines)) > len(names):
+        searched = lines.filter(F.col(LINE).between(1, HEADER_SEARCH_LINES) & _truthy("_c1"))
+        header_line = searched.agg(F.min(LINE)).first()[0]
+    return _checked(lines, LINE, F.lit(header_line or 0), len(names)).select(
         *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)],
         (F.col(LINE) - 1).alias(ROW_INDEX),
     )
@@ -299,10 +320,12 @@ def read_sheet(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parq
     cap is a filter on the line number, not a sample).
     """
     sheet = open_sheet(spark, paths, fmt)
+    header_line = 0  # with names given, every line after line 0 counts
     if names is None:
-        names = discover_header(sheet).names
+        header = discover_header(sheet)
+        names, header_line = header.names, header.line
     lines = sheet.lines() if nrows is None else sheet.lines().filter(F.col(LINE) <= nrows)
-    return apply_header(lines, names), tuple(names)
+    return apply_header(lines, names, header_line), tuple(names)
 
 
 def sheet_headers(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet",
@@ -334,7 +357,8 @@ def read_sheets(spark: SparkSession, paths: str | Sequence[str], fmt: str = "par
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = _positioned(spark, paths, fmt)
     cells = _cells(raw)
-    if names is None:
+    given = names is not None
+    if not given:
         # one job: each distinct header variant (normally one) with an example sheet
         heads = sheet_headers(spark, paths, fmt)
         valid = ~F.col("line0Named") & F.col("hdr").isNotNull()
@@ -346,7 +370,12 @@ def read_sheets(spark: SparkSession, paths: str | Sequence[str], fmt: str = "par
         if len(variants) != 1:
             raise ValueError(f"the sheets do not share one header (e.g.): {[v['example'] for v in variants]}")
         _, names = _names(spark, tuple(variants[0]["hdr"][c] for c in cells))
-    out = raw.filter(F.col(POS) >= 1).select(
+    if given or len(cells) <= len(names):
+        lines = _checked(raw, POS, F.lit(0), len(names))
+    else:  # each sheet has its own header line; one staged row a sheet
+        at = _staged(heads.select(F.col(SHEET).alias(FILE), "headerLine"), "sheet-header-lines")
+        lines = _checked(raw.join(_small_side(at), on=FILE), POS, F.col("headerLine"), len(names))
+    out = lines.select(
         *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)],
         (F.col(POS) - 1).alias(ROW_INDEX),
         F.col(FILE).alias(SHEET),

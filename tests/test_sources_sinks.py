@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from sheetwright.constants import ROW_INDEX
-from sheetwright.plans.mapping import load_mapping
+from sheetwright.plans.mapping import load_mapping, load_mappings
 from sheetwright.sinks.files import dataset_names, dated_name, dated_path, write_json, write_many
 from sheetwright.sinks.tables import save_table, save_view
 from sheetwright.sources.fixtures import HEADER_LINE, write_mapping_sheet
@@ -343,6 +343,28 @@ def test_csv_width_counts_all_lines(spark, tmp_dir):
     assert (last["_line"], last["_c5"], last["_c6"]) == (508, "x,7", "7")
 
 
+def test_cells_past_the_header_raise(spark, tmp_dir):
+    """A cell past the header's names is no column: it raises on a data line, also where the line's flags would drop it."""
+    lines = SHEET_CSV.rstrip("\n").split("\n")
+    width = max(line.count(",") for line in lines) + 1
+    for name, extra, message in (("wide", "x" + ",x" * width, "more cells than the header"), ("blank", "," * (width + 3), None)):
+        os.makedirs(f"{tmp_dir}/{name}")
+        _write(f"{tmp_dir}/{name}/part-00000.csv", SHEET_CSV + lines[-1] + "\n" + extra + "\n")
+        for load in (load_mapping, load_mappings):
+            rows = load(spark, f"{tmp_dir}/{name}", fmt="csv").mappings
+            if message is None:
+                assert rows.count() == 4
+            else:
+                with pytest.raises(Exception, match=message):
+                    rows.count()
+    preamble = SHEET_CSV.split("\n")
+    os.makedirs(f"{tmp_dir}/preamble")
+    preamble.insert(1, "note" + "," * (width + 1) + "wide preamble")
+    _write(f"{tmp_dir}/preamble/part-00000.csv", "\n".join(preamble))
+    for load in (load_mapping, load_mappings):
+        assert load(spark, f"{tmp_dir}/preamble", fmt="csv").mappings.count() == 3
+
+
 def test_csv_quotes_line_breaks_and_folder_names(spark, tmp_dir):
     folder = f"{tmp_dir}/my sheet 100%"
     os.makedirs(folder)
