@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetwright.llm import decontaminate, fingerprints, language, lines, minhash, mixing, secret_scan, sharding, suffix_dedup, toxicity
+from sheetwright.llm import (bpe, decontaminate, fingerprints, hard_negatives, language, lines, minhash, mixing, secret_scan, sharding,
+                             suffix_dedup, toxicity, whitening)
 from sheetwright.llm.common import table
 
 
@@ -59,9 +61,30 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer file."""
+    return public_tokenizers.path(name)
+
+
+def op11_polarised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding."""
+    return whitening.report(table(spark, sf_dir, "embeddings"), components=32)
+
+
+def op12_bpe_rank_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text they decode to."""
+    return bpe.report(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    return hard_negatives.mined(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_winnowing_fingerprints, op2_line_dedup, op3_benchmark_decontamination, op4_stratified_sharding, op5_source_mixing, op6_toxicity_grammar, op7_language_id,
-    op8_suffix_array_dedup, op9_minmax_near_dedup, op10_secret_scan)}
+    op8_suffix_array_dedup, op9_minmax_near_dedup, op10_secret_scan, op11_polarised_whitening, op12_bpe_rank_array, op13_hard_negatives)}
 
 ORACLES: dict[str, str] = {
-    "op2_line_dedup": lines.SQL, "op3_benchmark_decontamination": decontaminate.SQL, "op9_minmax_near_dedup": minhash.SQL}
+    "op2_line_dedup": lines.SQL, "op3_benchmark_decontamination": decontaminate.SQL, "op9_minmax_near_dedup": minhash.SQL,
+    "op13_hard_negatives": hard_negatives.SQL}
