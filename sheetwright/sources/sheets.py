@@ -27,9 +27,8 @@ from pyspark.sql import types as T
 from ..constants import HEADER_SEARCH_LINES, ROW_INDEX, SHEET
 from ..functions.naming import camel_case, text_values
 from ..session import scratch_path
+from .csv_records import FILE, POS, block_counts, block_records, block_starts, stitched
 
-FILE = "_file"
-POS = "_pos"
 LINE = "_line"
 #: Rows of an offsets or block table up to which it is broadcast (some tens of MB); beyond, a shuffle join places the lines.
 MAX_BROADCAST_ROWS = 200_000
@@ -107,7 +106,8 @@ def _positioned_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     file plus its order inside its block (the row counter of the scan, which
     is contiguous within a block); a scan laid out differently from the counting pass
     raises.  Blank lines are kept (as empty rows).  Where quoted cells span
-    lines, records are put together per file first.  An unclosed quote raises.
+    lines, records are cut block by block first (``csv_records``).  An unclosed
+    quote raises.
     """
     text = _text_lines(spark, paths)
     blocks = _staged(text.groupBy(FILE, "_blk").agg(
@@ -128,16 +128,19 @@ def _positioned_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def _records_over_lines(text: DataFrame) -> DataFrame:
-    """Records (FILE, POS, _text) whose quoted cells may span lines, staged; one task per file, as such a file cannot be split."""
-    in_file = Window.partitionBy(FILE).orderBy("_blk", "_m")
-    before = F.coalesce(F.sum(_quotes()).over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    marked = text.select(FILE, "_blk", "_m", "_text", (before % 2 == 0).cast("long").alias("_starts"))
-    numbered = marked.select("*", (F.sum("_starts").over(in_file) - 1).alias(POS))
-    ordered = F.sort_array(F.collect_list(F.struct("_blk", "_m", "_text")))
-    records = numbered.groupBy(FILE, POS).agg(F.array_join(F.transform(ordered, lambda x: x["_text"]), "\n").alias("_text"))
-    closed = F.when(_quotes() % 2 == 0, F.col("_text")).otherwise(
-        F.raise_error(F.concat(F.lit("a quoted cell is not closed in "), F.col(FILE))).cast("string"))
-    return _staged(records.select(FILE, POS, closed.alias("_text")), "csv-records")
+    """Records (FILE, POS, _text) whose quoted cells may span lines, staged; every block of a file is read by its own task."""
+    counts = _staged(block_counts(text), "csv-block-counts")
+    unclosed = counts.groupBy(FILE).agg((F.sum("_quotes") % 2).alias("odd")).where("odd = 1").first()
+    if unclosed:
+        raise ValueError(f"a quoted cell is not closed in {unclosed[FILE]}")
+    starts = _staged(block_starts(counts), "csv-block-starts")
+    if starts.count() <= MAX_BROADCAST_ROWS:
+        lines = text.join(F.broadcast(starts), on=[FILE, "_blk"])
+    else:  # a shuffle deals whole blocks but not in order
+        lines = text.join(starts, on=[FILE, "_blk"]).sortWithinPartitions(FILE, "_blk", "_m")
+    pieces = _staged(block_records(lines), "csv-pieces")
+    across = _staged(stitched(pieces), "csv-across")
+    return pieces.where("_whole").select(FILE, POS, "_text").unionByName(across)
 
 
 def _positioned(spark: SparkSession, paths: Sequence[str], fmt: str) -> DataFrame:

@@ -1,0 +1,122 @@
+"""CSV records over lines and file blocks, against Python's csv module."""
+
+import csv
+import io
+import random
+
+import pytest
+
+from sheetwright.sources import csv_records
+from sheetwright.sources.sheets import FILE, POS, _positioned_csv, open_sheet
+
+
+def _write(path, text):
+    with open(path, "w", newline="") as f:
+        f.write(text)
+
+
+@pytest.fixture()
+def small_blocks(spark):
+    """Files are read in splits of 4 KB."""
+    keys = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def _random_rows(rng, n, long_every=200):
+    def cell(i, j):
+        kind = rng.random()
+        if i % long_every == 3 and j == 1:
+            return "\n".join(f"line {k} of a long, cell" for k in range(rng.randint(300, 900)))  # spans several blocks
+        if kind < 0.2:
+            return f"two\nlines {i}"
+        if kind < 0.3:
+            return f'say "hi", {i}\n\n"'
+        return f"r{i}c{j}" if kind < 0.9 else ""
+
+    return [[f"row{i}", cell(i, 1), cell(i, 2)] for i in range(n)]
+
+
+def _text(rows, end="\n"):
+    out = io.StringIO()
+    csv.writer(out, lineterminator=end).writerows(rows)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_records_over_many_blocks_equal_python(spark, tmp_dir, small_blocks, seed):
+    rng = random.Random(seed)
+    rows = _random_rows(rng, 1500)
+    _write(f"{tmp_dir}/big.csv", _text(rows))
+    df = _positioned_csv(spark, [f"{tmp_dir}/big.csv"])
+    got = {r[POS]: [r["_c0"], r["_c1"], r["_c2"]] for r in df.collect()}
+    assert len(got) == df.count()
+    assert got == {i: [c or None for c in row] for i, row in enumerate(rows)}
+
+
+def test_blocks_are_read_by_many_tasks_and_only_border_records_move(spark, tmp_dir, small_blocks):
+    rows = _random_rows(random.Random(7), 1500)
+    _write(f"{tmp_dir}/big.csv", _text(rows))
+    from sheetwright.sources.sheets import _text_lines
+
+    text = _text_lines(spark, [f"{tmp_dir}/big.csv"])
+    counts = csv_records.block_counts(text)
+    assert counts.rdd.getNumPartitions() > 20 and counts.count() > 20
+    starts = csv_records.block_starts(counts)
+    pieces = csv_records.block_records(text.join(starts.hint("broadcast"), [FILE, "_blk"]))
+    found = pieces.groupBy("_whole").count().collect()
+    n = {r["_whole"]: r["count"] for r in found}
+    assert n[False] <= 2 * counts.count() < n[True] and n[True] + csv_records.stitched(pieces).count() == len(rows)
+
+
+def test_a_cell_over_whole_blocks(spark, tmp_dir, small_blocks):
+    """Blocks without any record start, and a file that ends inside the block of such a cell."""
+    rows = [["a", "x"], ["b", "y\n" * 9000], ["c", ""], ["d", "z\n" * 5000 + '"end"']]
+    _write(f"{tmp_dir}/long.csv", _text(rows))
+    got = {r[POS]: [r["_c0"], r["_c1"]] for r in _positioned_csv(spark, [f"{tmp_dir}/long.csv"]).collect()}
+    assert got == {i: [c or None for c in row] for i, row in enumerate(rows)}
+
+
+def test_several_files_windows_line_ends_and_blank_lines(spark, tmp_dir, small_blocks):
+    import os
+
+    os.makedirs(f"{tmp_dir}/s")
+    parts = [_random_rows(random.Random(i), 150, long_every=70) for i in range(3)]
+    for i, rows in enumerate(parts):
+        _write(f"{tmp_dir}/s/part-{i:05d}.csv", _text(rows) + ("" if i else "\n\n"))
+    _write(f"{tmp_dir}/s/part-00003.csv", 'x,"1\r\n2",\r\ny,"",\r\n')
+    want = [[c or None for c in row] for row in parts[0]] + [[None] * 3] * 2 + [[c or None for c in row] for p in parts[1:] for row in p]
+    want += [["x", "1\n2", None], ["y", None, None]]
+    sheet = open_sheet(spark, f"{tmp_dir}/s", "csv")
+    lines = sheet.lines().collect()
+    assert [[r["_c0"], r["_c1"], r["_c2"]] for r in sorted(lines, key=lambda r: r["_line"])] == want
+
+
+def test_more_blocks_than_are_broadcast(spark, tmp_dir, small_blocks, monkeypatch):
+    from sheetwright.sources import sheets
+
+    monkeypatch.setattr(sheets, "MAX_BROADCAST_ROWS", 3)
+    rows = _random_rows(random.Random(5), 800)
+    _write(f"{tmp_dir}/big.csv", _text(rows))
+    got = {r[POS]: [r["_c0"], r["_c1"], r["_c2"]] for r in _positioned_csv(spark, [f"{tmp_dir}/big.csv"]).collect()}
+    assert got == {i: [c or None for c in row] for i, row in enumerate(rows)}
+
+
+def test_an_unclosed_cell_is_named(spark, tmp_dir, small_blocks):
+    _write(f"{tmp_dir}/open.csv", _text(_random_rows(random.Random(1), 300)) + 'x,"never closed\n')
+    with pytest.raises(ValueError, match="not closed in .*open.csv"):
+        _positioned_csv(spark, [f"{tmp_dir}/open.csv"])
+
+
+def test_a_scan_that_changes_raises(spark, tmp_dir, small_blocks):
+    _write(f"{tmp_dir}/big.csv", _text(_random_rows(random.Random(1), 300)))
+    from sheetwright.sources.sheets import _text_lines
+
+    text = _text_lines(spark, [f"{tmp_dir}/big.csv"])
+    starts = csv_records.block_starts(csv_records.block_counts(text)).selectExpr(FILE, "_blk", "_n + 1 AS _n", "_inside", "_base")
+    with pytest.raises(Exception, match="scan changed"):
+        csv_records.block_records(text.join(starts.hint("broadcast"), [FILE, "_blk"])).count()
