@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetwright.session import scratch_path
 
+#: Rows of a staged table up to which it is broadcast (some tens of MB).
+MAX_BROADCAST_ROWS = 200_000
+#: Rows that a bucket of a uniform key holds on average.
+BUCKET_ROWS = 100_000
+
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back (a lineage cut that survives lost executors)."""
@@ -18,6 +24,41 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def placed(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with two more columns, and their names: they name each row however often the table is read again.
+
+    A table read from files has the file's hash and the row's place in it;
+    any other is written below the shared checkpoint folder first, so that
+    later reads agree.
+    """
+    names = [fresh("_file", df), fresh("_line", df)]
+    place = [F.xxhash64("_metadata.file_path").alias(names[0]), F.col("_metadata.row_index").alias(names[1])]
+    try:
+        if "_metadata" in {c.lower() for c in df.columns}:
+            raise AnalysisException("a column of its own hides the place")
+        return df.select("*", *place), names
+    except AnalysisException:
+        own = [f"_c{i}" for i in range(len(df.columns))]
+        kept = staged(df.toDF(*own), "placed").select(*own, *place)
+        return kept.toDF(*df.columns, *names), names
+
+
+def attached(df: DataFrame, small: DataFrame, key: str, salts: int = 64) -> DataFrame:
+    """``df`` joined to ``small``, one row for each value of ``key``, which may be very uneven in ``df``.
+
+    ``small`` is staged and counted: up to ``MAX_BROADCAST_ROWS`` rows it is
+    broadcast; beyond, it is repeated under ``salts`` salts and joined by
+    shuffle, so the rows of one value go to that many tasks.
+    """
+    small = staged(small, "attached")
+    if small.count() <= MAX_BROADCAST_ROWS:
+        return df.join(F.broadcast(small), key)
+    salt = fresh("_salt", df)
+    many = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = df.withColumn(salt, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int"))
+    return dealt.join(many.hint("merge"), [key, salt]).drop(salt)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -55,6 +96,11 @@ def lowest(order: Column, rows: Column, wanted: int) -> Column:
     return (order / F.lit(2.0**64) + F.lit(0.5)) <= share
 
 
+def bucket_count(rows: int) -> int:
+    """Buckets of a uniform key that hold about ``BUCKET_ROWS`` rows each."""
+    return max(1, -(-rows // BUCKET_ROWS))
+
+
 def key_range(key: Column, buckets: int) -> Column:
     """Bucket 0..buckets-1 of a uniformly spread bigint key, in the key's order."""
     return F.least(F.lit(buckets - 1), F.floor((key / F.lit(2.0**64) + F.lit(0.5)) * F.lit(buckets))).cast("int")

@@ -32,12 +32,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheetwright.llm.common import each, key_range, staged
+from sheetwright.llm.common import bucket_count, each, key_range, placed, staged
 from sheetwright.llm.sharding import source_key
 from sheetwright.llm.textbytes import SPACES, U64, mix, random_words, slices, text_bytes, word_table, words
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROUNDS = 4
+GROUP_SLOTS = 1 << 29
 
 
 def targets(sizes: list[tuple[str | None, int]], weights=(5, 2, 1), share: float = 1.5, most: float = 2.0) -> dict:
@@ -86,25 +87,41 @@ def split_counts(rng: np.random.Generator, counts: np.ndarray, draw: int) -> np.
     out, rest = np.zeros_like(counts), int(counts.sum())
     for s, own in enumerate(counts.tolist()):
         rest -= own
-        least, largest = max(0, draw - rest), min(own, draw)
-        if own + rest < 900_000_000:
-            take = int(rng.hypergeometric(own, rest, draw)) if own and draw else 0
-        else:  # beyond the sampler's range the distribution is normal
-            share = own / (own + rest)
-            spread = (draw * share * (1 - share) * rest / max(1, own + rest - 1)) ** 0.5 if rest else 0.0
-            take = round(rng.normal(draw * share, spread))
-        out[s] = min(max(take, least), largest)
+        out[s] = int(rng.hypergeometric(own, rest, draw)) if own and draw else 0
         draw -= int(out[s])
     return out
 
 
-def shard_counts(totals: np.ndarray, shard: int, shards: int, slots: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def group_counts(totals: np.ndarray, group: int, group_slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """(slots of each source before this group of shards, slots of each source in it).
+
+    Every group takes of each source the group's share of what is left, whole
+    slots first, then the largest remainders (of equal ones the earlier source).
+    """
+    left, before = totals.tolist(), [0] * len(totals)
+    for g in range(group + 1):
+        whole = sum(left)
+        slots = min(group_slots, whole)
+        own = [n * slots // max(1, whole) for n in left]
+        for s in sorted(range(len(left)), key=lambda s: (-(left[s] * slots % max(1, whole)), s))[: slots - sum(own)]:
+            own[s] += 1
+        if g < group:
+            left, before = [n - o for n, o in zip(left, own)], [n + o for n, o in zip(before, own)]
+    return np.array(before, np.int64), np.array(own, np.int64)
+
+
+def shard_counts(totals: np.ndarray, shard: int, shards: int, slots: int, seed: int, group_shards: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(slots of each source before this shard, slots of each source in it).
 
-    The shards form a binary tree; each node splits its totals between its
-    halves with a seed of its own, so any shard is drawn alone and all agree.
+    Groups of at most ``GROUP_SLOTS`` slots (a bound of the exact sampler)
+    share the totals evenly.  The shards of a group form a binary tree; each
+    node splits its totals between its halves with a seed of its own, so any
+    shard is drawn alone and all agree.
     """
-    low, high, counts, before = 0, shards, totals.copy(), np.zeros_like(totals)
+    group_shards = group_shards or max(1, GROUP_SLOTS // slots)
+    group = shard // group_shards
+    before, counts = group_counts(totals, group, group_shards * slots)
+    low, high = group * group_shards, min(shards, (group + 1) * group_shards)
     while high - low > 1:
         mid = (low + high) // 2
         left = split_counts(np.random.default_rng([seed, low, high]), counts, min(int(counts.sum()), (mid - low) * slots))
@@ -142,8 +159,8 @@ def mix_slots(spark, totals: list[int], blocks: list[int], shard_slots: int = 10
     return spark.range(shards).mapInArrow(run, "shard bigint, slot bigint, source_no bigint, draw bigint, block bigint")
 
 
-def streamed(rows: DataFrame, order: list[str], buckets: int = 1024) -> DataFrame:
-    """``rows`` (_source, _key, size) with _bucket, _at (which name a row within its source) and _start, its first word's place in the source."""
+def streamed(rows: DataFrame, order: list[str], buckets: int) -> DataFrame:
+    """``rows`` (narrow, with _source, _key, size) with _bucket, _at (which name a row within its source) and _start, its first word's place in the source."""
     rows = rows.withColumn("_bucket", key_range(F.col("_key"), buckets))
     sums = rows.groupBy("_source", "_bucket").agg(F.sum("size").alias("_n"))
     earlier = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -177,20 +194,20 @@ class Mix:
         """Rows (shard, slot, source_no, draw, block): the mix itself."""
         return mix_slots(self.spark, self.totals, self.blocks, seed=self.seed)
 
-    def pieces(self, streams: DataFrame) -> DataFrame:
-        """Rows (_source, _bucket, _at, first, words, times): the parts of documents that the mix takes, joined by block index."""
+    def pieces(self, streams: DataFrame, row: list[str]) -> DataFrame:
+        """Rows (*row, first, words, times): the parts of documents (named by the columns ``row``) that the mix takes, joined by block index."""
         width = self.block_words
         numbers = self.table().select("_source", "source_no")
         parts = streams.where("size > 0").join(F.broadcast(numbers), "_source").select(
-            "_source", "_bucket", "_at", "_start", "size", "source_no",
+            *row, "_start", "size", "source_no",
             F.explode(F.expr(f"sequence(_start div {width}, (_start + size - 1) div {width})")).alias("block"))
         first = F.greatest(F.col("block") * width, F.col("_start"))
         last = F.least((F.col("block") + 1) * width, F.col("_start") + F.col("size"))
-        parts = parts.select("_source", "_bucket", "_at", "source_no", "block",
+        parts = parts.select(*row, "source_no", "block",
                              (first - F.col("_start")).alias("first"), (last - first).alias("words"))
         times = self.slots().groupBy("source_no", "block").agg(F.count("*").alias("times"))
         # a slot stands for few bytes in the planner's estimate, but there are as many as blocks: never broadcast
-        return parts.join(times.hint("merge"), ["source_no", "block"]).select("_source", "_bucket", "_at", "first", "words", "times")
+        return parts.join(times.hint("merge"), ["source_no", "block"]).select(*row, "first", "words", "times")
 
 
 def mix_rows(docs: DataFrame, seed: int, *more: Column) -> DataFrame:
@@ -205,9 +222,10 @@ def mixed(docs: DataFrame, seed: int = 42, **options) -> DataFrame:
     """Rows (doc_id, size, source_size, target, taken): what the mix takes of each row of ``docs``."""
     rows = staged(mix_rows(docs, seed), "mix-rows")
     mix = Mix(rows, seed=seed, **options)
-    streams = staged(streamed(rows, ["doc_id", "size"]), "mix-streams")
-    taken = mix.pieces(streams).groupBy("_source", "_bucket", "_at").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    out = streams.join(taken, ["_source", "_bucket", "_at"], "left").join(F.broadcast(mix.table()), "_source")
+    streams = staged(streamed(rows, ["doc_id", "size"], bucket_count(rows.count())), "mix-streams")
+    row = ["_source", "_bucket", "_at"]
+    taken = mix.pieces(streams, row).groupBy(*row).agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    out = streams.join(taken, row, "left").join(F.broadcast(mix.table()), "_source")
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
 
 
@@ -219,19 +237,26 @@ def mixed_documents(docs: DataFrame, seed: int = 42, **options) -> DataFrame:
     parts that do not touch separated by a line break.  A document taken whole
     keeps its text unchanged.  n_chars follows the text.  Documents without
     words take no part.
+
+    Narrow rows are placed in their streams and meet the blocks; the documents
+    themselves move once, to meet their pieces, and are not sorted for it.
     """
-    rows = mix_rows(docs, seed, F.struct("*").alias("_row"))
+    columns = docs.columns
+    docs, place = placed(docs)
+    row = ["_file", "_line"]
+    place = [F.col(p).alias(r) for p, r in zip(place, row)]
+    rows = staged(mix_rows(docs, seed, *place), "mix-rows")
     mix = Mix(rows, seed=seed, **options)
-    streams = streamed(rows, ["doc_id", "size"])
-    pieces = mix.pieces(streams).groupBy("_source", "_bucket", "_at").agg(
-        F.sort_array(F.collect_list(F.struct("first", "words", "times"))).alias("pieces"))
-    taken = streams.select("_source", "_bucket", "_at", "_row").join(pieces, ["_source", "_bucket", "_at"]).select("_row", "pieces")
+    streams = streamed(rows, ["doc_id", "size", *row], bucket_count(rows.count()))
+    pieces = mix.pieces(streams, row).groupBy(*row).agg(F.sort_array(F.collect_list(F.struct("first", "words", "times"))).alias("pieces"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), *place)
+    taken = whole.join(pieces.hint("shuffle_hash"), row).select("_row", "pieces")
     taken = taken.withColumn("copy", F.explode(F.expr("sequence(1, array_max(transform(pieces, p -> p.times)))")))
     taken = taken.select("_row", F.expr("transform(filter(pieces, p -> p.times >= copy), p -> struct(p.first, p.words))").alias("pieces"))
     text = cut_words(taken)
     size = F.col("text").isNotNull()
     replace = {"text": F.col("text"), "n_chars": F.when(size, F.char_length("text")).cast("bigint")}
-    return text.select(*[replace.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns])
+    return text.select(*[replace.get(c, F.col("_row").getField(c)).alias(c) for c in columns])
 
 
 def cut_words(taken: DataFrame) -> DataFrame:

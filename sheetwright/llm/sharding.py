@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sheetwright.llm.common import key_range, staged
+from sheetwright.llm.common import attached, bucket_count, key_range, placed, staged
 
 
 def source_key() -> Column:
@@ -47,17 +47,27 @@ def numbered(df: DataFrame, group: list[str], key: str, order: list[str], bucket
         "_bucket", "_at", "_before")
 
 
-def interleaved(rows: DataFrame, shards: int, order: list[str], seed: int = 42, buckets: int = 1024) -> DataFrame:
-    """``rows`` (with _source and a seeded bigint _key) with _shard and _slot."""
+def interleaved(rows: DataFrame, shards: int, order: list[str], seed: int = 42, buckets: int | None = None) -> DataFrame:
+    """``rows`` (staged and narrow, with _source and a seeded bigint _key) with _shard and _slot."""
+    n = rows.count()
+    buckets = buckets or bucket_count(n)
     totals = rows.groupBy("_source").agg(F.count("*").alias("_total"))
-    ranked = numbered(rows, ["_source"], "_key", order, buckets, "_rank").join(totals, "_source")
+    ranked = attached(numbered(rows, ["_source"], "_key", order, buckets, "_rank"), totals, "_source")
     start = F.xxhash64(F.lit(seed), F.lit("offset"), "_source") / F.lit(2.0**64) + F.lit(0.5)
     ranked = ranked.withColumn("_fraction", (F.col("_rank") + start) / F.col("_total"))
     ranked = ranked.withColumn("_place", ((F.least(F.col("_fraction"), F.lit(1 - 2.0**-52)) - 0.5) * F.lit(2.0**64)).cast("bigint"))
-    placed = numbered(ranked.withColumn("_all", F.lit(0)), ["_all"], "_place", ["_source", "_key", *order], buckets, "_position")
-    n = int(rows.agg(F.count("*")).first()[0])
-    placed = placed.withColumn("_shard", F.expr(f"cast(_position * {shards} div greatest({n}, 1) as int)"))
-    return placed.withColumn("_slot", F.expr(f"_position - (_shard * bigint({n}) + {shards - 1}) div {shards}"))
+    sequence = numbered(ranked.withColumn("_all", F.lit(0)), ["_all"], "_place", ["_source", "_key", *order], buckets, "_position")
+    sequence = sequence.withColumn("_shard", F.expr(f"cast(_position * {shards} div greatest({n}, 1) as int)"))
+    return sequence.withColumn("_slot", F.expr(f"_position - (_shard * bigint({n}) + {shards - 1}) div {shards}"))
+
+
+def shard_rows(docs: DataFrame, seed: int, *more: Column) -> DataFrame:
+    """The narrow columns by which a document is placed."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), (F.octet_length(text) + 1).cast("bigint").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), source_key().alias("_source"),
+        F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), text).alias("_key"), *more)
 
 
 def sharded(docs: DataFrame, shards: int = 8, seed: int = 42) -> DataFrame:
@@ -66,22 +76,21 @@ def sharded(docs: DataFrame, shards: int = 8, seed: int = 42) -> DataFrame:
     size is the UTF-8 bytes of the text plus 1; ``rows`` is the law that holds
     (row counts at most one apart); slot counts from 0 within the shard.
     """
-    text = F.coalesce("text", F.lit(""))
-    rows = staged(docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), (F.octet_length(text) + 1).cast("bigint").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), source_key().alias("_source"),
-        F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), text).alias("_key")), "shard-rows")
-    placed = interleaved(rows, shards, ["doc_id", "text_crc32", "size"], seed)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("_shard").alias("shard"),
-                         F.col("_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    rows = staged(shard_rows(docs, seed), "shard-rows")
+    found = interleaved(rows, shards, ["doc_id", "text_crc32", "size"], seed)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("_shard").alias("shard"),
+                        F.col("_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
 def sharded_documents(docs: DataFrame, shards: int = 8, seed: int = 42) -> DataFrame:
-    """``docs`` (all columns) with shard and slot; columns of these names in ``docs`` are replaced."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(
-        F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), source_key().alias("_source"),
-        F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), text).alias("_key"))
-    placed = interleaved(rows, shards, ["_id"], seed)
-    own = [F.col("_row").getField(c).alias(c) for c in docs.columns if c.lower() not in ("shard", "slot")]
-    return placed.select(*own, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+    """``docs`` (all columns) with shard and slot; columns of these names in ``docs`` are replaced.
+
+    Narrow rows are ranked; the documents themselves move once, to meet their
+    shard and slot, and are not sorted for it.
+    """
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("shard", "slot")]
+    docs, (file, line) = placed(docs)
+    rows = staged(shard_rows(docs, seed, F.col(file).alias("_file"), F.col(line).alias("_line")), "shard-rows")
+    found = interleaved(rows, shards, ["doc_id", "text_crc32", "size", "_file", "_line"], seed)
+    found = found.select(F.col("_file").alias(file), F.col("_line").alias(line), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+    return docs.select(*own, file, line).join(found.hint("shuffle_hash"), [file, line]).select(*own, "shard", "slot")

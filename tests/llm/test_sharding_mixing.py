@@ -108,3 +108,74 @@ def test_shards_of_the_mix_agree():
         assert (start == before).all() and counts.sum() in (1024, int(totals.sum()) - 3 * 1024)
         before = before + counts
     assert (before == totals).all()
+
+
+def test_groups_of_shards_share_the_totals_evenly():
+    """Beyond one group every group gets its share of each source, exactly; inside a group the draw is as before."""
+    totals = np.array([70_000, 250_000, 1, 0, 8_300])
+    n = int(totals.sum())
+    seen = np.zeros_like(totals)
+    shards = -(-n // 64)
+    for group in range(-(-shards // 100)):
+        before, own = mixing.group_counts(totals, group, 6400)
+        assert (before == seen).all() and (own >= 0).all() and own.sum() == min(6400, n - seen.sum())
+        assert (np.abs(own - totals * own.sum() / n) <= 1.01).all()
+        seen = seen + own
+    assert (seen == totals).all()
+    before = np.zeros_like(totals)
+    for shard in range(0, 250):  # across the border of two groups
+        start, counts = mixing.shard_counts(totals, shard, shards, 64, 7, group_shards=100)
+        assert (start == before).all() and (counts >= 0).all() and counts.sum() == 64
+        before = before + counts
+
+
+def test_a_mix_past_one_group_reaches_its_totals():
+    """Sizes that the sampler cannot take at once: ten thousand million slots, of which any shard is drawn alone."""
+    totals = np.array([6_000_000_000, 3_999_999_000, 1000])
+    for shard in (0, 524_287, 524_288, 5_000_000, 9_765_624):
+        start, counts = mixing.shard_counts(totals, shard, 9_765_625, 1024, 3)
+        assert counts.sum() == 1024 and (counts >= 0).all() and start.sum() == shard * 1024
+        assert abs(start[0] - 0.6 * shard * 1024) < 1e-5 * totals[0] + 1
+
+
+def test_ranking_moves_no_text(spark, make_docs, tmp_path):
+    """Of the stages' plans one exchange holds the text, and none of their sorts does."""
+    path = str(tmp_path / "docs")
+    make_docs([(i, f"some words of document {i} " * 9, f"s{i % 3}") for i in range(400)]).write.parquet(path)
+    docs = spark.read.parquet(path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for made in (sharding.sharded_documents(docs), mixing.mixed_documents(docs)):
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert "ShuffledHashJoin" in plan
+            for line in plan.split("\n"):
+                if "Sort [" in line or "Window" in line:
+                    assert "text#" not in line and "_row#" not in line
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sharding.sharded_documents(docs).count() == 400
+
+
+def test_a_key_of_a_small_side_can_be_salted(spark, monkeypatch):
+    from sheetwright.llm import common
+
+    df = spark.range(1000).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id AS string)) AS k", "1 AS _salt")
+    small = df.groupBy("k").count()
+    want = sorted(map(tuple, df.join(small, "k").collect()))
+    assert sorted(map(tuple, common.attached(df, small, "k").collect())) == want
+    monkeypatch.setattr(common, "MAX_BROADCAST_ROWS", 3)
+    out = common.attached(df, small, "k")
+    assert sorted(map(tuple, out.collect())) == want and out.columns == df.join(small, "k").columns
+
+
+def test_rows_are_named_by_their_place(spark, make_docs, tmp_path):
+    from sheetwright.llm import common
+
+    path = str(tmp_path / "docs")
+    make_docs([(i, "same") for i in range(50)]).repartition(4).write.parquet(path)
+    for df in (spark.read.parquet(path).selectExpr("doc_id", "text", "1 AS _FILE"), spark.read.parquet(path), make_docs([(1, "a"), (1, "a")]).selectExpr("*", "1 AS `a.b`", "2 AS _metadata")):
+        named, place = common.placed(df)
+        assert named.columns == [*df.columns, *place] and len(set(c.lower() for c in named.columns)) == len(named.columns)
+        first, again = (sorted(map(str, named.collect())) for _ in range(2))
+        assert first == again and named.select(*place).distinct().count() == df.count()
