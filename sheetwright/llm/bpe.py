@@ -15,10 +15,10 @@ the driver and broadcast as the file's own bytes (1.5 MB; a file over
 ``MAX_FILE`` bytes raises).  Ids, special tokens and decoded text equal that library's
 with add_special_tokens=False and skip_special_tokens=False.
 
-Scale: one pass over the texts, no shuffle.  A task keeps the ids of words it
-has met, up to ``MEMORY_WORDS`` short words, then starts afresh; a long text
-is encoded ``PIECE`` words at a time, so beside the text itself memory does
-not grow with it.
+Scale: one pass over the texts, no shuffle.  A task remembers the ids of the
+words it has met, and the bytes they decode to, for about ``MEMORY_WORDS``
+words that it met last; a long text is encoded ``PIECE`` words at a time, so
+beside the text itself memory does not grow with it.
 
 Defined results: a null text is empty; an empty text has no tokens and the
 hashes of the empty string; repeated rows each give a row; an empty table
@@ -44,7 +44,7 @@ from sheetwright.llm.common import each, fresh
 
 LONG = 96
 PIECE = 1 << 16
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 800_000
 MAX_FILE = 64 << 20
 NEVER = 1 << 60
 
@@ -98,68 +98,94 @@ class Vocabulary:
             return bytes(of[c] for c in token)
 
         self.ids = {raw(token): i for token, i in model["vocab"].items()}
-        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.ranks = {(raw(a), raw(b)): rank for rank, (a, b) in enumerate(pairs)}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.ranks = merge_ranks([(raw(a), raw(b)) for a, b in pairs])
         self.special = {t["content"]: t["id"] for t in found["added_tokens"]}
         self.bytes_of = {i: token for token, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
-        self.bytes_of_text = {str(i): token for i, token in self.bytes_of.items()}
         by_length = sorted(self.special, key=len, reverse=True)
         self.special_pattern = regex.compile("|".join(map(regex.escape, by_length))) if by_length else None
         self.plain = word_pattern()
         self.careful, self.later = (word_pattern(later), regex.compile(f"[{later}]")) if later else (self.plain, None)
-        self.memory: dict[str, str] = {}
+        self.memory = Memory(self)
 
     def word_ids(self, word: str) -> list[int]:
         """The ids of one word of the pattern."""
         raw = word.encode()
-        if raw in self.ids and len(raw) == 1:
-            return [self.ids[raw]]
         bounds = merged_short(raw, self.ranks) if len(raw) <= LONG else merged_long(raw, self.ranks)
         return [self.ids[raw[a:b]] for a, b in itertools.pairwise(bounds)]
 
-    def joined(self, words: Sequence[str]) -> str:
-        """The decimal ids of ``words``, joined by commas."""
-        memory = self.memory
-        if len(memory) > MEMORY_WORDS:
-            memory.clear()
-        out = []
-        for word in words:
-            text = memory.get(word)
-            if text is None:
-                text = ",".join(map(str, self.word_ids(word)))
-                if len(word) <= LONG:
-                    memory[word] = text
-            out.append(text)
-        return ",".join(out)
-
-    def pieces(self, text: str) -> Iterator[str]:
-        """The decimal ids of ``text``, some words at a time, each piece joined by commas; pieces are not empty."""
+    def decoded(self, ids: Sequence[int]) -> bytes:
+        """The bytes of ``ids``; ids that are not in the vocabulary have none."""
+        return b"".join([self.bytes_of.get(i, b"") for i in ids])
+
+    def pieces(self, text: str) -> Iterator[tuple[str, bytes]]:
+        """(decimal ids joined by commas, the bytes they decode to) of ``text``, some words at a time; pieces are not empty."""
         at = 0
         for special in self.special_pattern.finditer(text) if self.special_pattern else ():
             yield from self.plain_pieces(text, at, special.start())
-            yield str(self.special[special.group()])
+            own = self.special[special.group()]
+            yield str(own), self.decoded([own])
             at = special.end()
         yield from self.plain_pieces(text, at, len(text))
 
-    def plain_pieces(self, text: str, start: int, end: int) -> Iterator[str]:
+    def plain_pieces(self, text: str, start: int, end: int) -> Iterator[tuple[str, bytes]]:
         if start == end:
             return
         text = text[start:end]  # the pattern looks ahead, so it must end where the part ends
         pattern = self.careful if self.later and not text.isascii() and self.later.search(text) else self.plain
         if len(text) <= PIECE:
-            yield self.joined(pattern.findall(text))
+            yield self.memory.piece(pattern.findall(text))
             return
         words = (m.group() for m in pattern.finditer(text))
         while part := list(itertools.islice(words, PIECE)):
-            yield self.joined(part)
+            yield self.memory.piece(part)
 
     def encode(self, text: str) -> list[int]:
         """The ids of ``text``."""
-        return [int(i) for piece in self.pieces(text) for i in piece.split(",")]
+        return [int(i) for ids, _ in self.pieces(text) for i in ids.split(",")]
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ``ids``; bytes that are no UTF-8 give U+FFFD, ids that are not in the vocabulary nothing."""
-        return b"".join(self.bytes_of.get(i, b"") for i in ids).decode("utf-8", "replace")
+        return self.decoded(ids).decode("utf-8", "replace")
+
+
+class Memory(dict):
+    """The ids (decimal, joined by commas) of words met lately and the bytes these ids decode to, in two generations."""
+
+    def __init__(self, of: Vocabulary):
+        self.of, self.older = of, {}
+
+    def __missing__(self, word: str) -> tuple[str, bytes]:
+        found = self.older.get(word)
+        if found is None:
+            ids = self.of.word_ids(word)
+            found = ",".join(map(str, ids)), self.of.decoded(ids)
+        if len(word) <= LONG:
+            self[word] = found
+        return found
+
+    def piece(self, words: Sequence[str]) -> tuple[str, bytes]:
+        if len(self) > MEMORY_WORDS // 2:
+            self.older = dict(self)
+            self.clear()
+        found = [self[word] for word in words]
+        return ",".join([ids for ids, _ in found]), b"".join([raw for _, raw in found])
+
+
+def merge_ranks(pairs: list[tuple[bytes, bytes]]) -> dict[bytes, int]:
+    """Rank by what a pair merges to.
+
+    Two adjacent parts that together are a token are the pair the vocabulary
+    merges to it, if no two pairs give the same token and the token's own bytes
+    merge to that pair; both are checked.
+    """
+    ranks = {a + b: rank for rank, (a, b) in enumerate(pairs)}
+    if len(ranks) < len(pairs):
+        raise ValueError("not a plain byte-level BPE file: two merges give the same token")
+    for rank, (a, b) in enumerate(pairs):
+        if merged_short(a + b, ranks, rank) != [0, len(a), len(a) + len(b)]:
+            raise ValueError(f"not a plain byte-level BPE file: merge {rank} cannot be reached")
+    return ranks
 
 
 def check_supported(found: dict) -> None:
@@ -173,33 +199,36 @@ def check_supported(found: dict) -> None:
         raise ValueError(f"not a plain byte-level BPE file: {odd}")
 
 
-def merged_short(word: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[int]:
-    """Boundaries of the parts of ``word`` after all merges, by scans of a contiguous array of adjacent ranks."""
+def merged_short(word: bytes, ranks: dict[bytes, int], below: int = NEVER) -> list[int]:
+    """Boundaries of the parts of ``word`` after all merges ranked ``below``, by scans of a contiguous array of adjacent ranks."""
     bounds = list(range(len(word) + 1))
-    adjacent = [ranks.get((word[i : i + 1], word[i + 1 : i + 2]), NEVER) for i in range(len(word) - 1)]
-    while adjacent and (least := min(adjacent)) != NEVER:
+    rank_of = ranks.get
+    adjacent = [rank_of(word[i : i + 2], NEVER) for i in range(len(word) - 1)]
+    while adjacent:
+        least = min(adjacent)
+        if least >= below:
+            break
         i = adjacent.index(least)
         del bounds[i + 1], adjacent[i]
-        part = word[bounds[i] : bounds[i + 1]]
         if i < len(adjacent):
-            adjacent[i] = ranks.get((part, word[bounds[i + 1] : bounds[i + 2]]), NEVER)
+            adjacent[i] = rank_of(word[bounds[i] : bounds[i + 2]], NEVER)
         if i:
-            adjacent[i - 1] = ranks.get((word[bounds[i - 1] : bounds[i]], part), NEVER)
+            adjacent[i - 1] = rank_of(word[bounds[i - 1] : bounds[i + 1]], NEVER)
     return bounds
 
 
-def merged_long(word: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[int]:
+def merged_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """As ``merged_short``, with the ranks in a heap: entries that a merge has made stale are skipped when they come up."""
     n = len(word)
     after = list(range(1, n + 2))  # start of the next part, by start of a part
     before = list(range(-1, n))
     live = [True] * n
-    heap = [(rank, i, i + 1, i + 2) for i in range(n - 1) if (rank := ranks.get((word[i : i + 1], word[i + 1 : i + 2]))) is not None]
+    heap = [(rank, i, i + 1, i + 2) for i in range(n - 1) if (rank := ranks.get(word[i : i + 2])) is not None]
     heapq.heapify(heap)
 
     def offer(left: int, right: int) -> None:
         end = after[right]
-        rank = ranks.get((word[left:right], word[right:end]))
+        rank = ranks.get(word[left:end])
         if rank is not None:
             heapq.heappush(heap, (rank, left, right, end))
 
@@ -277,11 +306,10 @@ def report(docs: DataFrame, path: str) -> DataFrame:
 
     def digest(found: Vocabulary, text: str) -> tuple[int, str, str]:
         n, ids, whole, partial = 0, hashlib.sha256(), hashlib.sha256(), b""
-        for piece in found.pieces(text):
+        for piece, raw in found.pieces(text):
             ids.update(b"," * (n > 0) + piece.encode())
-            own = piece.split(",")
-            n += len(own)
-            partial += b"".join(map(found.bytes_of_text.__getitem__, own))
+            n += piece.count(",") + 1
+            partial += raw
             cut = whole_characters(partial)
             whole.update(partial[:cut].decode("utf-8", "replace").encode())
             partial = partial[cut:]

@@ -98,11 +98,20 @@ def test_short_and_long_words_merge_alike(vocabulary):
             assert bpe.merged_short(word, vocabulary.ranks) == bpe.merged_long(word, vocabulary.ranks)
 
 
-def test_memory_of_words_is_bounded(vocabulary, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMORY_WORDS", 10)
-    for i in range(300):
-        vocabulary.encode(f"w{i}")
-        assert len(vocabulary.memory) <= 10 + 3
+def test_memory_of_words_is_bounded(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMORY_WORDS", 20)
+    memory = bpe.Memory(vocabulary)
+    monkeypatch.setattr(vocabulary, "memory", memory)
+    for i in [*range(300), *range(290, 310)]:
+        assert vocabulary.encode(f"w{i} w") == library.encode(f"w{i} w", add_special_tokens=False).ids
+        assert len(memory) <= 14 and len(memory.older) <= 14
+
+
+def test_a_vocabulary_whose_merges_are_not_reached_is_refused():
+    with pytest.raises(ValueError, match="same token"):
+        bpe.merge_ranks([(b"a", b"b"), (b"b", b"c"), (b"ab", b"c"), (b"a", b"bc")])
+    with pytest.raises(ValueError, match="cannot be reached"):
+        bpe.merge_ranks([(b"a", b"b"), (b"b", b"c"), (b"a", b"bc")])
 
 
 def test_pieces_of_a_decoded_text_end_between_characters():
