@@ -18,7 +18,7 @@ from .plans.mapping import (build_views, catalogue, clean_mapping, export_named,
                             load_mappings, store_mapping, write_catalogue)
 from .sinks.files import dated_path, json_output_size, write_json, write_many, write_snapshot
 from .sinks.tables import save_sql_view, save_table, save_view
-from .sources.json_records import read_json_document_lines, read_json_records
+from .sources.json_records import read_json_document_lines, read_json_documents, read_json_records
 from .sources.sheets import read_sheet, read_sheets, read_with_row_index
 
 __version__ = "0.1.0"
@@ -28,7 +28,7 @@ __all__ = [
     "drop_incomplete", "drop_null_columns", "encode_list", "export_named", "export_records", "fill_text",
     "flatten_records", "hash_files", "hash_record", "hash_text", "join_list", "json_output_size", "load_mapping",
     "load_mappings", "object_rollup", "pk_catalogue", "pk_entries", "pk_view", "python_json", "read_json_document_lines",
-    "read_json_records", "read_sheet", "read_sheets", "read_with_row_index", "record_json", "run_sql",
+    "read_json_documents", "read_json_records", "read_sheet", "read_sheets", "read_with_row_index", "record_json", "run_sql",
     "save_sql_view", "save_table", "save_view", "select_from", "slugify", "sort_catalogue", "split_camel_case", "split_path", "store_mapping", "write_catalogue",
     "write_json", "write_many", "write_snapshot", "yes_no_flags",
 ]

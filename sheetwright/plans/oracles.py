@@ -191,6 +191,8 @@ WHERE event_id IS NOT NULL OR kind IS NOT NULL OR inner_ IS NOT NULL""",
     "drop_null_columns": f"SELECT * EXCLUDE (indexedColumn) FROM ({RAW})",
     "read_json_records": ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
                           + _ISO.format(c="o_orderdate") + " AS o_orderdate, o_orderpriority FROM orders"),
+    "read_json_documents": ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+                            + _ISO.format(c="o_orderdate") + " AS o_orderdate, o_orderpriority FROM orders"),
     "json_output_size": (f"SELECT count(*) AS records, CAST(sum(length(j)) AS BIGINT) AS chars, "
                          f"CAST(sum(length(j)) AS DOUBLE) / 1000000.0 AS size_mb, "
                          f"CAST(greatest(1, ceil(CAST(sum(length(j)) AS DOUBLE) / 100000000.0)) AS BIGINT) AS files "

@@ -28,7 +28,7 @@ from ..sinks.files import dated_path, json_output_size, write_json, write_many
 from ..sinks.tables import save_table
 from ..sources.fixtures import (SHEET_COLUMNS, SHEET_FLAGS, raw_mapping, table, write_mapping_csv,
                                 write_mapping_sheet, write_mapping_sheets)
-from ..sources.json_records import read_json_records
+from ..sources.json_records import read_json_documents, read_json_records
 from ..sources.sheets import (apply_header, discover_header, header_frame, open_sheet, read_with_row_index,
                               sheet_headers)
 from ..streaming.records import stream_record_export
@@ -259,6 +259,16 @@ def q_read_json_records(spark, sf_dir):
     return read_json_records(spark, path, schema=schema, document=True)
 
 
+def q_read_json_documents(spark, sf_dir):
+    """Pretty-printed documents, each read by as many tasks as it has file blocks."""
+    orders = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "orders-pretty")
+    write_json(orders, path, simplify=False, layout="document", pretty=True)
+    schema = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate STRING, o_orderpriority STRING")
+    return read_json_documents(spark, path, schema)
+
+
 def q_write_json(spark, sf_dir):
     path = scratch_path(spark, "events-json")
     export_records(_event_records(spark, sf_dir), path)
@@ -382,6 +392,7 @@ QUERIES: dict[str, Query] = {
     "flatten_records": q_flatten_records,
     "drop_null_columns": q_drop_null_columns,
     "read_json_records": q_read_json_records,
+    "read_json_documents": q_read_json_documents,
     "write_json": q_write_json,
     "stream_record_export": q_stream_record_export,
     "json_output_size": q_json_output_size,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.nulls import fill_text
+from .json_documents import document_records
 
 
 def _check_json_path(spark: SparkSession, path: str) -> None:
@@ -60,3 +61,19 @@ def read_json_document_lines(spark: SparkSession, paths: str | Sequence[str], sc
     records = (lines.select(body.alias("v")).filter(F.col("v") != "")
                .select(F.from_json("v", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*"))
     return fill_text(records) if fill else records
+
+
+def read_json_documents(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str, fill: bool = True) -> DataFrame:
+    """Records of JSON documents of any layout, each document read by as many tasks as it has file blocks.
+
+    The same rows as ``read_json_records(document=True)`` gives (in no fixed
+    order): a list of records, or one record, in each file, pretty-printed or
+    on one line.  Documents must be uncompressed UTF-8 and their list elements
+    records; malformed ones raise.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    for p in paths:
+        _check_json_path(spark, p)
+    parsed = document_records(spark, paths).select(F.from_json("_json", schema, {"mode": "FAILFAST"}).alias("r"))
+    records = parsed.select("r.*")
+    return fill_text(records) if fill else records
