@@ -121,6 +121,14 @@ EVENTS_FLAT = """SELECT nullif(event_id, 0) AS event_id,
   to_json([{'id': event_id, 'odd': nullif(user_id % 2, 0)}])::VARCHAR AS parts
 FROM events"""
 
+_KINDS = ("click", "error", "purchase", "signup", "view")
+EVENTS_KEYS = ("SELECT nullif(event_id, 0) AS event_id, "
+               + ", ".join(f"CASE WHEN event_type = '{k}' THEN nullif(value, 0) END AS metrics_{k}" for k in _KINDS) + ", "
+               + ", ".join(f"CASE WHEN user_id % 3 = {i} THEN nullif(CAST(user_id % 7 AS DOUBLE), 0) END AS metrics_user{i}" for i in range(3)) + ", "
+               + ", ".join(f"CASE WHEN event_type = '{k}' THEN nullif(json_extract(props, '$.k')::BIGINT, 0) END AS \"detail_byType_{k}_k\", "
+                           f"CAST(NULL AS VARCHAR) AS \"detail_byType_{k}_empty\"" for k in _KINDS) + ", "
+               + ", ".join(f"CASE WHEN user_id % 2 = {i} THEN event_type END AS nested_deep_{i}" for i in range(2)) + " FROM events")
+
 ORACLES: dict[str, str] = {
     "yes_no_flags": f"WITH raw AS ({RAW}) {_FLAGGED}",
     "drop_incomplete": (f"WITH raw AS ({RAW}), flagged AS ({_FLAGGED}) SELECT * FROM flagged "
@@ -186,6 +194,7 @@ FROM (SELECT *, CASE WHEN v IS NOT NULL OR items IS NOT NULL THEN {'value': v, '
       nullif(nullif(nullif(event_type, 'view'), ''), 'None') AS kind FROM events)))
 WHERE event_id IS NOT NULL OR kind IS NOT NULL OR inner_ IS NOT NULL""",
     "flatten_records": EVENTS_FLAT,
+    "flatten_dynamic_keys": EVENTS_KEYS,
     "write_json": EVENTS_FLAT,
     "stream_record_export": EVENTS_FLAT,
     "drop_null_columns": f"SELECT * EXCLUDE (indexedColumn) FROM ({RAW})",

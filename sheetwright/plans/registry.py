@@ -244,6 +244,22 @@ def q_flatten_records(spark, sf_dir):
     return flatten_records(_event_records(spark, sf_dir))
 
 
+def _event_dictionaries(spark, sf_dir):
+    """Events with dictionaries whose keys are data: values, records and dictionaries by event type."""
+    ev = table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    return ev.select(
+        "event_id",
+        F.create_map(kind, F.col("value"), F.concat(F.lit("user"), F.col("user_id") % 3), (F.col("user_id") % 7).cast("double")).alias("metrics"),
+        F.struct(F.create_map(kind, F.struct(F.from_json("props", "k BIGINT")["k"].alias("k"), F.lit("").alias("empty"))).alias("byType")).alias("detail"),
+        F.create_map(F.lit("deep"), F.create_map((F.col("user_id") % 2).cast("int"), F.array(kind))).alias("nested"),
+    )
+
+
+def q_flatten_dynamic_keys(spark, sf_dir):
+    return flatten_records(_event_dictionaries(spark, sf_dir), keys="discover")
+
+
 def q_drop_null_columns(spark, sf_dir):
     return drop_null_columns(raw_mapping(spark, sf_dir))
 
@@ -390,6 +406,7 @@ QUERIES: dict[str, Query] = {
     "clean_empties": q_clean_empties,
     "clean_nested": q_clean_nested,
     "flatten_records": q_flatten_records,
+    "flatten_dynamic_keys": q_flatten_dynamic_keys,
     "drop_null_columns": q_drop_null_columns,
     "read_json_records": q_read_json_records,
     "read_json_documents": q_read_json_documents,
