@@ -5,8 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..constants import (ATTRIBUTE, COL_CNT, COL_CNT_PK, COLUMN, LEVELS, MAPPINGS_TABLE, OBJECT_VIEW, PK_FLAG, PK_VIEW,
                          ROW_INDEX, TABLE, VIEW_OBJECT)
@@ -16,7 +19,7 @@ from ..operators.nulls import fill_text
 from ..operators.paths import split_path
 from ..sinks.files import dated_path, export_path, write_json
 from ..sinks.tables import save_sql_view, save_table
-from ..sources.sheets import read_sheet, read_sheets
+from ..sources.sheets import VARIANT, open_sheets, read_sheet, read_sheets
 
 
 @dataclass(frozen=True)
@@ -41,9 +44,7 @@ def load_mapping(spark: SparkSession, paths: str | Sequence[str], fmt: str = "pa
     Every column from the fifth on is a Yes/No flag.
     """
     raw, names = read_sheet(spark, paths, fmt, names, nrows)
-    flags = tuple(names[4:])
-    if PK_FLAG not in flags:
-        raise ValueError(f"'{PK_FLAG}' must be one of the flag columns (5th column on): {names}")
+    flags = _flags(names)
     return MappingLoad(clean_mapping(raw, flags), tuple(names), flags)
 
 
@@ -51,13 +52,35 @@ def load_mappings(spark: SparkSession, paths: str | Sequence[str], fmt: str = "p
                   names: Sequence[str] | None = None) -> MappingLoad:
     """P1 over many sheets at once, each file its own sheet with its own preamble and header.
 
-    Rows keep their per-sheet ``rowIndex`` and a ``sheet`` column.
+    Headers may differ: the four text columns in any order, then flags, among
+    them the primary-key flag, in any order and number.  A row is complete when
+    all flags of its own sheet are; flags that its sheet does not have are
+    null.  Rows keep their per-sheet ``rowIndex`` and a ``sheet`` column.
     """
-    raw, names = read_sheets(spark, paths, fmt, names)
+    if names is not None:
+        raw, names = read_sheets(spark, paths, fmt, names)
+        return MappingLoad(clean_mapping(raw, _flags(names)), tuple(names), _flags(names))
+    found = open_sheets(spark, paths, fmt)
+    if len(found.headers) == 1:
+        flags = _flags(found.names)
+        return MappingLoad(clean_mapping(found.rows.drop(VARIANT), flags), found.names, flags)
+    for header in found.headers:
+        _flags(header)
+        if set(header[:4]) != {VIEW_OBJECT, ATTRIBUTE, TABLE, COLUMN}:
+            raise ValueError(f"the first four columns must be {(VIEW_OBJECT, ATTRIBUTE, TABLE, COLUMN)}: {header}")
+    flags = tuple(n for n in found.names if n not in found.headers[0][:4])
+    flagged = yes_no_flags(found.rows, flags)
+    complete = reduce(and_, [F.col(f"`{f}`").isNotNull() | ~found.has(f) for f in flags])
+    kept = flagged.filter(complete).drop(VARIANT)
+    return MappingLoad(fill_text(split_path(kept, VIEW_OBJECT, LEVELS)), found.names, flags)
+
+
+def _flags(names: Sequence[str]) -> tuple[str, ...]:
+    """The flag columns: the fifth on; the primary-key flag must be among them."""
     flags = tuple(names[4:])
     if PK_FLAG not in flags:
         raise ValueError(f"'{PK_FLAG}' must be one of the flag columns (5th column on): {names}")
-    return MappingLoad(clean_mapping(raw, flags), tuple(names), flags)
+    return flags
 
 
 def store_mapping(load: MappingLoad, table: str = MAPPINGS_TABLE, path: str | None = None) -> DataFrame:

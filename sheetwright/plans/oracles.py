@@ -6,7 +6,7 @@ recomputes the query's result independently of Spark.
 
 from __future__ import annotations
 
-from ..sources.fixtures import HEADER_LINE, SHEET_HEADER, SHEET_PREAMBLE, SHEET_TITLE
+from ..sources.fixtures import HEADER_LINE, SHEET_HEADER, SHEET_PREAMBLE, SHEET_TITLE, VARIANT_COLUMNS
 
 _CELLS = """
   concat_ws('.', concat('Top', CAST(l_suppkey % 5 AS VARCHAR)),
@@ -129,6 +129,27 @@ EVENTS_KEYS = ("SELECT nullif(event_id, 0) AS event_id, "
                            f"CAST(NULL AS VARCHAR) AS \"detail_byType_{k}_empty\"" for k in _KINDS) + ", "
                + ", ".join(f"CASE WHEN user_id % 2 = {i} THEN event_type END AS nested_deep_{i}" for i in range(2)) + " FROM events")
 
+# a title line and a line for each status stand before the header
+_HEADER_LINES = "(SELECT l_suppkey % 4 AS k, count(DISTINCT concat(l_returnflag, l_linestatus)) + 1 AS headerLine FROM lineitem GROUP BY 1)"
+_VARIANT_NAMES = {"View Object": "viewObject", "View Object Attribute": "viewObjectAttribute", "Database Table": "databaseTable",
+                  "Database Column": "databaseColumn", "Primary Key Column": "primaryKeyColumn", "Indexed Column": "indexedColumn",
+                  "Unique Column": "uniqueColumn"}
+HEADER_VARIANTS = " UNION ALL ".join(
+    f"SELECT concat('TAB_', k) AS sheet, {i} AS position, {_q(t)} AS headerText, {_q(_VARIANT_NAMES[t])} AS columnName, "
+    f"CAST(headerLine AS INTEGER) AS headerLine FROM {_HEADER_LINES} WHERE k = {k}"
+    for k, header in enumerate(VARIANT_COLUMNS) for i, t in enumerate(header))
+MAPPING_VARIANTS = f"""WITH raw AS (SELECT {_CELLS}, l_suppkey % 4 AS k,
+  CASE WHEN l_linenumber % 3 = 0 THEN 1 WHEN l_linenumber % 7 <> 1 THEN 0 END AS uniqueColumn,
+  headerLine + row_number() OVER (PARTITION BY l_suppkey % 4 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    l_returnflag, l_linestatus, l_quantity) - 1 AS rowIndex FROM lineitem JOIN {_HEADER_LINES} h ON l_suppkey % 4 = h.k),
+ kept AS (SELECT * EXCLUDE (primaryKeyColumn, indexedColumn, uniqueColumn),
+    CASE primaryKeyColumn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS primaryKeyColumn,
+    CASE WHEN k <> 3 THEN CASE indexedColumn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END END AS indexedColumn,
+    CASE WHEN k = 2 THEN uniqueColumn END AS uniqueColumn FROM raw),
+ mappings AS ({_LEVELS})
+SELECT * EXCLUDE (k), databaseTable AS sheet FROM mappings WHERE primaryKeyColumn IS NOT NULL
+  AND (k = 3 OR indexedColumn IS NOT NULL) AND (k <> 2 OR uniqueColumn IS NOT NULL)"""
+
 ORACLES: dict[str, str] = {
     "yes_no_flags": f"WITH raw AS ({RAW}) {_FLAGGED}",
     "drop_incomplete": (f"WITH raw AS ({RAW}), flagged AS ({_FLAGGED}) SELECT * FROM flagged "
@@ -224,6 +245,8 @@ WHERE event_id IS NOT NULL OR kind IS NOT NULL OR inner_ IS NOT NULL""",
         f"FROM {_SHEETS}"
         for i, (t, n) in enumerate(zip(SHEET_HEADER, ["viewObject", "viewObjectAttribute", "databaseTable",
                                                       "databaseColumn", "primaryKeyColumn", "indexedColumn"]))),
+    "discover_header_variants": HEADER_VARIANTS,
+    "mapping_load_variants": MAPPING_VARIANTS,
     "mapping_load_sheets": _with_mappings(SHEETS_RAW) + "SELECT *, databaseTable AS sheet FROM mappings",
     "row_index": ("SELECT l_orderkey, l_partkey, l_linenumber, CAST(row_number() OVER () - 1 AS BIGINT) AS rowIndex "
                   "FROM lineitem"),

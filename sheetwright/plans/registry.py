@@ -27,7 +27,7 @@ from ..session import scratch_path
 from ..sinks.files import dated_path, json_output_size, write_json, write_many
 from ..sinks.tables import save_table
 from ..sources.fixtures import (SHEET_COLUMNS, SHEET_FLAGS, raw_mapping, table, write_mapping_csv,
-                                write_mapping_sheet, write_mapping_sheets)
+                                write_mapping_sheet, write_mapping_sheets, write_mapping_variants)
 from ..sources.json_records import read_json_documents, read_json_records
 from ..sources.sheets import (apply_header, discover_header, header_frame, open_sheet, read_with_row_index,
                               sheet_headers)
@@ -124,7 +124,20 @@ def _sheet_name(c):
 
 
 def q_discover_sheet_headers(spark, sf_dir):
-    heads = sheet_headers(spark, f"{write_mapping_sheets(spark, sf_dir)}/*")
+    return _header_cells(sheet_headers(spark, f"{write_mapping_sheets(spark, sf_dir)}/*"))
+
+
+def q_discover_header_variants(spark, sf_dir):
+    """The headers of sheets that differ in columns, in their order and in the line the header stands on."""
+    return _header_cells(sheet_headers(spark, f"{write_mapping_variants(spark, sf_dir)}/*"))
+
+
+def q_mapping_load_variants(spark, sf_dir):
+    load = load_mappings(spark, f"{write_mapping_variants(spark, sf_dir)}/*")
+    return load.mappings.withColumn("sheet", _sheet_name(F.col("sheet")))
+
+
+def _header_cells(heads):
     cells = heads.select(_sheet_name(F.col("sheet")).alias("sheet"), "headerLine",
                          F.posexplode(F.array("hdr.*")).alias("position", "headerText"))
     return cells.filter(F.col("headerText").isNotNull()).select(
@@ -392,6 +405,8 @@ QUERIES: dict[str, Query] = {
     "discover_header": q_discover_header,
     "discover_sheet_headers": q_discover_sheet_headers,
     "mapping_load_sheets": q_mapping_load_sheets,
+    "discover_header_variants": q_discover_header_variants,
+    "mapping_load_variants": q_mapping_load_variants,
     "camel_case": q_camel_case,
     "split_camel_case": q_split_camel_case,
     "slugify": q_slugify,

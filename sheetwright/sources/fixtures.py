@@ -143,3 +143,50 @@ def write_mapping_sheets(spark: SparkSession, sf_dir: str, path: str | None = No
     ordered = sheets.repartition("sheetName").sortWithinPartitions("sheetName", "_grp", "_ord", *SHEET_ORDER)
     ordered.select("sheetName", *[f"_c{i}" for i in range(len(SHEET_COLUMNS))]).write.mode("overwrite").partitionBy("sheetName").parquet(path)
     return path
+
+
+# --- fixed values -------------------------------------------------------------
+# Columns of the sheets whose headers differ, by the number of their table.
+VARIANT_COLUMNS = (
+    ("View Object", "View Object Attribute", "Database Table", "Database Column", "Primary Key Column", "Indexed Column"),
+    ("View Object", "View Object Attribute", "Database Table", "Database Column", "Indexed Column", "Primary Key Column"),
+    ("View Object", "View Object Attribute", "Database Table", "Database Column", "Primary Key Column", "Unique Column", "Indexed Column"),
+    ("Database Table", "Database Column", "View Object", "View Object Attribute", "Primary Key Column"),
+)
+# ------------------------------------------------------------------------------
+
+
+def write_mapping_variants(spark: SparkSession, sf_dir: str, path: str | None = None, reuse: bool = True) -> str:
+    """Write the fixture as single-file sheets, one per database table, with different headers and header lines.
+
+    A sheet's preamble has a line for each status of its rows, so where its
+    header stands follows from the data; column order and flags differ by
+    table (``VARIANT_COLUMNS``).  Returns the folder whose sub-folders are the sheets.
+    """
+    path = path or _export_folder(spark, sf_dir, "mapping-variants")
+    if reuse and path_exists(spark, f"{path}/_SUCCESS"):
+        return path
+    width = max(map(len, VARIANT_COLUMNS))
+    names = [f"_c{i}" for i in range(width)]
+    li = table(spark, sf_dir, "lineitem")
+    cells = dict(zip(SHEET_HEADER, _mapping_cells(li)))
+    cells["Unique Column"] = F.when(F.col("l_linenumber") % 3 == 0, "Yes").when(F.col("l_linenumber") % 7 != 1, "No")
+    number = F.col("l_suppkey") % 4
+    sheet = F.concat(F.lit("TAB_"), number.cast("string")).alias("sheetName")
+
+    def cell(i: int):
+        return F.coalesce(*[F.when(number == k, cells[header[i]]) for k, header in enumerate(VARIANT_COLUMNS) if i < len(header)])
+
+    data = li.select(sheet, F.lit(3).alias("_grp"), F.lit("").alias("_ord"), *[F.col(c) for c in SHEET_ORDER], *[cell(i).alias(n) for i, n in enumerate(names)])
+    blank = [F.lit(None).cast(t).alias(c) for c, t in li.select(*SHEET_ORDER).dtypes]
+    status = F.concat("l_returnflag", "l_linestatus").alias("_ord")
+    rest = [F.lit(None).cast("string").alias(n) for n in names[1:]]
+    statuses = li.select(sheet, status).distinct().select(
+        "sheetName", F.lit(1).alias("_grp"), "_ord", *blank, F.concat(F.lit("Status "), F.col("_ord")).alias("_c0"), *rest)
+    tops = [(f"TAB_{k}", 0, "", SHEET_TITLE, *[None] * (width - 1)) for k in range(len(VARIANT_COLUMNS))]
+    tops += [(f"TAB_{k}", 2, "", *header, *[None] * (width - len(header))) for k, header in enumerate(VARIANT_COLUMNS)]
+    top = spark.createDataFrame(tops, "sheetName string, _grp int, _ord string, " + ", ".join(f"{n} string" for n in names))
+    top = top.select("sheetName", "_grp", "_ord", *blank, *names).join(li.select(sheet).distinct(), "sheetName", "left_semi")
+    ordered = top.unionByName(statuses).unionByName(data).repartition("sheetName").sortWithinPartitions("sheetName", "_grp", "_ord", *SHEET_ORDER)
+    ordered.select("sheetName", *names).write.mode("overwrite").partitionBy("sheetName").parquet(path)
+    return path

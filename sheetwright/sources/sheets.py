@@ -33,6 +33,9 @@ LINE = "_line"
 #: Rows of an offsets or block table up to which it is broadcast (some tens of MB); beyond, a shuffle join places the lines.
 MAX_BROADCAST_ROWS = 200_000
 PART_GROUP = 1024
+#: Different headers that many sheets may have between them.
+MAX_VARIANTS = 1000
+VARIANT = "_variant"
 BLANK_CSV = {"quote": '"', "escape": '"'}
 
 
@@ -55,8 +58,8 @@ def _small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
 
 
-def _positioned_parquet(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    df = spark.read.parquet(*paths)
+def _positioned_parquet(spark: SparkSession, paths: Sequence[str], merge: bool = False) -> DataFrame:
+    df = spark.read.option("mergeSchema", str(merge).lower()).parquet(*paths)
     cells = []
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
@@ -143,9 +146,10 @@ def _records_over_lines(text: DataFrame) -> DataFrame:
     return pieces.where("_whole").select(FILE, POS, "_text").unionByName(across)
 
 
-def _positioned(spark: SparkSession, paths: Sequence[str], fmt: str) -> DataFrame:
+def _positioned(spark: SparkSession, paths: Sequence[str], fmt: str, merge: bool = False) -> DataFrame:
+    """Lines by file; ``merge`` where files may have different numbers of columns."""
     if fmt == "parquet":
-        return _positioned_parquet(spark, paths)
+        return _positioned_parquet(spark, paths, merge)
     if fmt == "csv":
         return _positioned_csv(spark, paths)
     raise ValueError(f"Invalid sheet format: {fmt}")
@@ -340,7 +344,10 @@ def sheet_headers(spark: SparkSession, paths: str | Sequence[str], fmt: str = "p
     cell is not blank, i.e. the file has no valid header).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = _positioned(spark, paths, fmt)
+    return _headers(_positioned(spark, paths, fmt, merge=True), search)
+
+
+def _headers(raw: DataFrame, search: int = HEADER_SEARCH_LINES) -> DataFrame:
     cells = _cells(raw)
     candidate = (F.col(POS) >= 1) & (F.col(POS) <= search) & _truthy("_c1")
     return raw.filter(F.col(POS) <= search).groupBy(FILE).agg(
@@ -350,34 +357,79 @@ def sheet_headers(spark: SparkSession, paths: str | Sequence[str], fmt: str = "p
     ).withColumnRenamed(FILE, SHEET)
 
 
+@dataclass(frozen=True)
+class SheetSet:
+    """Lines of many sheets under their names; ``variant`` tells which of the ``headers`` (names in sheet order) a row's sheet has."""
+
+    rows: DataFrame
+    names: tuple[str, ...]
+    headers: tuple[tuple[str, ...], ...]
+
+    def has(self, name: str) -> Column:
+        """Whether a row's sheet has a column of that name."""
+        return F.get(F.array(*[F.lit(name in h) for h in self.headers]), F.col(VARIANT))
+
+
+def _header_variants(heads: DataFrame, cells: Sequence[str]) -> list[dict]:
+    """Each different header once, with an example sheet, in the order of the examples; sheets without a header raise."""
+    valid = ~F.col("line0Named") & F.col("hdr").isNotNull()
+    found = (heads.groupBy(valid.alias("ok"), F.when(valid, F.col("hdr")).alias("hdr"), F.when(valid, F.col("_key")).alias("_key"))
+             .agg(F.min(SHEET).alias("example")).limit(MAX_VARIANTS + 1).collect())  # one row per different header
+    bad = [v["example"] for v in found if not v["ok"]]
+    if bad:
+        raise LookupError(f"no header line found in (e.g.): {bad}")
+    if len(found) > MAX_VARIANTS:
+        raise ValueError(f"more than {MAX_VARIANTS} different headers")
+    return sorted(({"key": v["_key"], "example": v["example"], "texts": tuple(v["hdr"][c] for c in cells)} for v in found), key=lambda v: v["example"])
+
+
+def open_sheets(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet") -> SheetSet:
+    """Many single-file sheets at once, whose headers may differ in order and in number of columns.
+
+    One pass finds the header of every sheet, and one row per different header
+    reaches the driver.  The lines are read once: a line's cells are placed
+    under the names of its own sheet's header (a staged row for each sheet
+    tells which), and a name that a sheet does not have is null there.  Names
+    stand in the order in which the headers (by sheet path) bring them.  A line
+    after its header with a cell past that header's names raises.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    raw = _positioned(spark, paths, fmt, merge=True)
+    cells = _cells(raw)
+    heads = _staged(_headers(raw).withColumn("_key", F.to_json("hdr")), "sheet-headers")
+    variants = _header_variants(heads, cells)
+    headers = tuple(_names(spark, v["texts"])[1] for v in variants)
+    names = tuple(dict.fromkeys(n for h in headers for n in h))
+    numbers = spark.createDataFrame([(v["key"], i) for i, v in enumerate(variants)], f"_key string, {VARIANT} int")
+    at = heads.join(F.broadcast(numbers), "_key").select(F.col(SHEET).alias(FILE), "headerLine", VARIANT)
+    lines = raw.join(_small_side(_staged(at, "sheet-variants")), on=FILE)
+
+    def of(values) -> Column:
+        return F.get(F.array(*[F.lit(v).cast("int") for v in values]), F.col(VARIANT))
+
+    row = F.array(*[F.col(c) for c in cells])
+    width = of(len(h) for h in headers)
+    extra = F.exists(F.slice(row, width + 1, F.lit(len(cells) + 1)), lambda c: c.isNotNull() & (c != ""))
+    wide = (F.col(POS) > F.col("headerLine")) & extra
+    error = F.raise_error(F.concat(F.lit("a line has more cells than the header's names: line "), F.col(POS), F.lit(" of "), F.col(FILE)))
+    placed = [F.when(wide, error.cast("string")).otherwise(F.get(row, of(h.index(n) if n in h else None for h in headers))).alias(n) for n in names]
+    rows = lines.filter(F.when(wide, error.cast("boolean")).otherwise(F.col(POS) >= 1)).select(
+        *placed, (F.col(POS) - 1).alias(ROW_INDEX), F.col(FILE).alias(SHEET), VARIANT)
+    return SheetSet(rows, names, headers)
+
+
 def read_sheets(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet",
                 names: Sequence[str] | None = None) -> tuple[DataFrame, tuple[str, ...]]:
-    """Read many single-file sheets at once: rows named by the common header, ``rowIndex`` per sheet.
+    """Read many single-file sheets at once: rows by name, ``rowIndex`` per sheet.
 
-    All files must carry the same header texts (one schema); only the
-    distinct headers reach the driver.  Adds the ``sheet`` column (file path).
+    Headers may differ from sheet to sheet (``open_sheets``); with ``names``
+    given, all sheets have these columns.  Adds the ``sheet`` column (file path).
     """
+    if names is None:
+        found = open_sheets(spark, paths, fmt)
+        return found.rows.drop(VARIANT), found.names
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = _positioned(spark, paths, fmt)
-    cells = _cells(raw)
-    given = names is not None
-    if not given:
-        # one job: each distinct header variant (normally one) with an example sheet
-        heads = sheet_headers(spark, paths, fmt)
-        valid = ~F.col("line0Named") & F.col("hdr").isNotNull()
-        variants = (heads.groupBy(valid.alias("ok"), F.when(valid, F.col("hdr")).alias("hdr"))
-                    .agg(F.min(SHEET).alias("example")).collect())  # one row per different header
-        bad = [v["example"] for v in variants if not v["ok"]]
-        if bad:
-            raise LookupError(f"no header line found in (e.g.): {bad}")
-        if len(variants) != 1:
-            raise ValueError(f"the sheets do not share one header (e.g.): {[v['example'] for v in variants]}")
-        _, names = _names(spark, tuple(variants[0]["hdr"][c] for c in cells))
-    if given or len(cells) <= len(names):
-        lines = _checked(raw, POS, F.lit(0), len(names))
-    else:  # each sheet has its own header line; one staged row a sheet
-        at = _staged(heads.select(F.col(SHEET).alias(FILE), "headerLine"), "sheet-header-lines")
-        lines = _checked(raw.join(_small_side(at), on=FILE), POS, F.col("headerLine"), len(names))
+    lines = _checked(_positioned(spark, paths, fmt, merge=True), POS, F.lit(0), len(names))
     out = lines.select(
         *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)],
         (F.col(POS) - 1).alias(ROW_INDEX),
