@@ -11,7 +11,10 @@ Plan shape (see README "Scale"):
   preserved side's partner.  The join is null-safe with a null-key flag
   from the aggregate, so both branches share one rollup exchange.
 * catalogue: one scan and one aggregate per (object, table) with its counts
-  and its PK entries; the object's totals are a window over that aggregate.
+  and its PK entries, shared by all branches.  The object's totals are an
+  aggregate of its counts; they join the narrow rows (object, table), and
+  these the lists, which stay where the aggregate put them: no list is
+  shuffled by object, so a hot object over many tables is spread by table.
   A list record is one value, so its list is as long as the group has PK
   rows; ``pk_entries`` has the same entries as rows, each with its exact
   position, for groups too large for one record.
@@ -85,15 +88,19 @@ def pk_lists(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK
     Lists are sorted by sheet, rowIndex, attribute and column, so ties in
     rowIndex cannot change the order; they are empty where no row is flagged.
     """
+    return _grouped_lists(mappings, [*levels, TABLE], flag)
+
+
+def _grouped_lists(mappings: DataFrame, group: Sequence[str], flag: str) -> DataFrame:
     is_pk = F.col(f"`{flag}`") == 1
     entry = F.struct(*_cols(_position(mappings)))
-    grouped = mappings.groupBy(*_cols([*levels, TABLE])).agg(
+    grouped = mappings.groupBy(*_cols(group)).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(F.col(f"`{flag}`")).cast("long").alias("_npk"),
         F.sort_array(F.collect_list(F.when(is_pk, entry))).alias("_l"),
     )
     return grouped.select(
-        *_cols([*levels, TABLE, "_n", "_npk"]),
+        *_cols([*group, "_n", "_npk"]),
         F.transform("_l", lambda e: e[ATTRIBUTE]).alias("cols"),
         F.transform("_l", lambda e: e[COLUMN]).alias("colsDB"),
     )
@@ -108,19 +115,28 @@ def pk_catalogue(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str
     are listed.
     """
     levels = list(levels)
-    per_object = Window.partitionBy(*_cols(levels))
-    listed = (F.size("cols") > 0) & ~_null_key(levels)
-    totals = pk_lists(mappings, levels, flag).select(
-        "*", listed.alias("_listed"),
-        F.sum("_n").over(per_object).alias(COL_CNT),
-        F.sum("_npk").over(per_object).alias(COL_CNT_PK),
-        F.max(listed).over(per_object).alias("_any"),
-        F.row_number().over(per_object.orderBy(F.col(f"`{TABLE}`"))).alias("_no"),
-    )
-    records = totals.filter(F.col("_listed") | (~F.col("_any") & (F.col("_no") == 1)))
-    has_pk = F.col("_listed") & (F.coalesce(F.col(COL_CNT_PK), F.lit(0)) != 0)
-    shown = {c: F.when(has_pk, F.col(f"`{c}`")).alias(c) for c in (TABLE, "cols", "colsDB")}
-    return records.select(*[shown.get(c, F.col(f"`{c}`")) for c in (*levels, *CATALOGUE_ORDER[len(LEVELS):])])
+    # keys as records are never null themselves: no filter is inferred for one branch only, and equal nulls are equal
+    keyed = mappings.select("*", F.struct(*_cols(levels)).alias("_key"), F.struct(F.col(f"`{TABLE}`").alias("t")).alias("_table"))
+    groups = _grouped_lists(keyed, ["_key", "_table"], flag)
+    # one expression over the list, so that no part of it moves below the aggregate in one branch only
+    listed = F.when(reduce(or_, [F.col("_key").getField(lv).isNull() for lv in levels]), 0).otherwise(F.size("cols")) > 0
+    # every branch reads all columns of a group, so that all share one aggregate and one scan
+    whole = (F.col("_n") >= F.size("cols")) & (F.size("cols") == F.size("colsDB")) & (F.col("_npk").isNotNull() | (F.size("cols") >= 0))
+    narrow = groups.where(whole).select("_key", "_table", "_n", "_npk", listed.alias("_listed"))
+    totals = narrow.groupBy("_key").agg(F.sum("_n").alias(COL_CNT), F.sum("_npk").alias(COL_CNT_PK), F.max("_listed").alias("_any"))
+    tables = narrow.where("_listed").select("_key", "_table").join(
+        totals.where("_any").select("_key", COL_CNT, COL_CNT_PK), "_key")
+    lists = groups.where(whole & listed).select("_key", "_table", "cols", "colsDB")
+    records = lists.join(tables.hint("shuffle_hash"), ["_key", "_table"])
+    has_pk = F.coalesce(F.col(COL_CNT_PK), F.lit(0)) != 0
+    shown = {TABLE: F.when(has_pk, F.col("_table.t")), "cols": F.when(has_pk, F.col("cols")), "colsDB": F.when(has_pk, F.col("colsDB"))}
+    none = {TABLE: F.lit(None).cast(dict(mappings.dtypes)[TABLE])} | {c: F.lit(None).cast(dict(groups.dtypes)[c]) for c in ("cols", "colsDB")}
+
+    def fields(own: dict) -> list[Column]:
+        out = {lv: F.col("_key").getField(lv) for lv in levels} | {COL_CNT: F.col(COL_CNT), COL_CNT_PK: F.col(COL_CNT_PK)} | own
+        return [out[c].alias(c) for c in (*levels, *CATALOGUE_ORDER[len(LEVELS):])]
+
+    return records.select(*fields(shown)).unionByName(totals.where("NOT _any").select(*fields(none)))
 
 
 def pk_entries(mappings: DataFrame, levels: Sequence[str] = LEVELS, flag: str = PK_FLAG,

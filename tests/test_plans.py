@@ -16,13 +16,13 @@ def test_rollup_is_partial_plus_final_and_pruned(spark):
 
 
 def test_python_and_window_nodes(spark):
-    """Python runs only in slugify's Unicode fold; every Window is partitioned by keys (none over all rows)."""
+    """Python runs only in slugify's Unicode fold and in the chunked hash of large files; every Window is partitioned by keys (none over all rows)."""
     import re
 
     for name, fn in R.QUERIES.items():
         plan = _plan(fn(spark, SF_SMALL))
         python_nodes = bool(re.search(r"EvalPython|MapInPandas|MapInArrow|InPandas", plan))
-        assert python_nodes == (name == "slugify"), name
+        assert python_nodes == (name in ("slugify", "hash_files")), name
         for line in plan.splitlines():
             if re.search(r"\bWindow \[", line):
                 assert not re.search(r"\bWindow \[.*?\], \[\]", line), (name, line)

@@ -86,7 +86,8 @@ def test_catalogue_reads_the_mappings_once_and_runs_no_job(spark):
     before = set(tracker.getJobIdsForGroup(None))
     cat = pk_catalogue(m, levels=["a"])
     assert set(tracker.getJobIdsForGroup(None)) == before
-    plan = cat._jdf.queryExecution().executedPlan().toString()
+    cat.collect()  # adaptive execution shares the branches' common part while it runs
+    plan = cat._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan") == 1
 
 
@@ -327,3 +328,54 @@ def test_flatten_records_matches_python_rule(spark, records):
     with_d = lambda r: {**r, "n": {**r["n"], "d": r["n"]["d"] if r["n"]["d"] is not None else {"y": None}}}
     want = sorted((c for c in (_py_clean(_py_flatten(with_d(full(r)))) for r in records) if c), key=canon)
     assert got == want
+
+
+def _hot_over_many_tables(spark):
+    """A third of all rows in one object, over many tables; objects with null levels, null tables and null flags."""
+    return spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.concat(F.lit("o"), F.col("id") % 70)).alias(LEVELS[0]),
+        *[F.lit("x").alias(lv) for lv in LEVELS[1:]],
+        F.when(F.col("id") % 41 != 0, F.concat(F.lit("T"), F.col("id") % 1200)).alias("databaseTable"),
+        F.when(F.col("id") % 13 != 0, (F.col("id") % 4 == 0).cast("int")).alias("primaryKeyColumn"),
+        F.col("id").alias("rowIndex"), F.concat(F.lit("a"), "id").alias("viewObjectAttribute"), F.concat(F.lit("c"), "id").alias("databaseColumn"))
+
+
+def test_hot_object_over_many_tables_equals_python(spark):
+    m = _hot_over_many_tables(spark)
+    objects, lists = {}, {}
+    for r in m.collect():
+        key = tuple(r[lv] for lv in LEVELS)
+        n, pk = objects.get(key, (0, None))
+        flag = r["primaryKeyColumn"]
+        objects[key] = (n + 1, pk if flag is None else (pk or 0) + flag)
+        if flag == 1 and None not in key:
+            lists.setdefault(key, {}).setdefault(r["databaseTable"], []).append((r["rowIndex"], r["viewObjectAttribute"], r["databaseColumn"]))
+    want = []
+    for key, (n, pk) in objects.items():
+        for t, entries in lists.get(key, {None: None}).items():
+            want.append((*key, t, n, pk, *([[e[i] for e in sorted(entries)] for i in (1, 2)] if entries else [None, None])))
+    got = [tuple(r) for r in pk_catalogue(m).collect()]
+    assert sum(r[0] == "HOT" for r in got) > 90
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_lists_move_once_and_never_by_object(spark, tmp_dir):
+    """With every join by shuffle: one exchange holds lists, keyed by object and table, and no window or sort does."""
+    _hot_over_many_tables(spark).write.parquet(f"{tmp_dir}/m")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cat = pk_catalogue(spark.read.parquet(f"{tmp_dir}/m"))
+        cat.collect()
+        plan = cat._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sum("FileScan" in line for line in plan) == 1
+    assert not any("Window" in line for line in plan)
+    holding = [line for line in plan if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert sum("hashpartitioning(_key#" in line and "_table#" in line.split("ENSURE")[0] for line in holding) >= 1
+    partial = [i for i, line in enumerate(plan) if "partial_collect_list" in line]
+    assert len(partial) == 1  # computed once, reused by all branches
+    joined = next(i for i, line in enumerate(plan) if "ShuffledHashJoin" in line)
+    below = next(i for i in range(joined, len(plan)) if "ObjectHashAggregate" in plan[i])
+    assert not any("Exchange" in line or "Sort [" in line for line in plan[joined:below])  # the lists stay where the aggregate put them
