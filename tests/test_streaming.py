@@ -1,0 +1,82 @@
+"""The record export over a stream loses no row."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from sheetwright.streaming.records import stream_record_export
+
+SCHEMA = "id bigint, name string, rec struct<a: bigint, b: string>"
+
+
+def _run(spark, folder, **options):
+    query = stream_record_export(spark, f"{folder}/in", SCHEMA, f"{folder}/out", f"{folder}/ckpt", **options)
+    query.awaitTermination()
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def _out(spark, folder):
+    return sorted((r["id"], r["name"], r["rec_a"]) for r in spark.read.schema("id bigint, name string, rec_a bigint, rec_b string").json(f"{folder}/out").collect())
+
+
+def test_a_broken_line_is_kept_apart_and_the_rest_goes_on(spark, tmp_dir):
+    lines = ['{"id": 1, "name": "x", "rec": {"a": 5}}', '{"id": 2, "name": "cut', "", "   ", '{"id": 3, "name": "y"}', "[1]", '{"id": "text"}', '{"id": 0}', "{}"]
+    _write(f"{tmp_dir}/in/a.json", "\n".join(lines))
+    _run(spark, tmp_dir, rejected=f"{tmp_dir}/out_rejected")
+    assert _out(spark, tmp_dir) == [(1, "x", 5), (3, "y", None)]  # a record of empties only is cleaned away
+    bad = spark.read.json(f"{tmp_dir}/out_rejected").collect()
+    assert sorted(r["line"] for r in bad) == sorted([lines[1], "[1]", '{"id": "text"}'])
+    assert all(r["file"].endswith("/in/a.json") for r in bad)
+
+
+def test_a_broken_line_stops_the_stream_unless_it_is_kept_apart(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/a.json", '{"id": 1, "name": "x"}\n{"id": 2, "name": "cut\n{"id": 3, "name": "y"}\n')
+    with pytest.raises(Exception, match="STREAM_FAILED.*while reading file"):
+        _run(spark, tmp_dir)
+    assert not os.path.exists(f"{tmp_dir}/out/_spark_metadata/0")
+    with pytest.raises(ValueError, match="as a whole"):
+        _run(spark, tmp_dir, document=True, rejected=f"{tmp_dir}/dead")
+
+
+def test_later_files_and_a_rejected_folder(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/a.json", '{"id": 1, "name": "a"}\n')
+    _run(spark, tmp_dir, rejected=f"{tmp_dir}/dead")
+    _write(f"{tmp_dir}/in/b.json", '{"id": 2, "name": "b"}\nnot json\n')
+    _run(spark, tmp_dir, rejected=f"{tmp_dir}/dead")
+    _run(spark, tmp_dir, rejected=f"{tmp_dir}/dead")
+    assert _out(spark, tmp_dir) == [(1, "a", None), (2, "b", None)]
+    assert [r["line"] for r in spark.read.schema("line string").json(f"{tmp_dir}/dead").collect()] == ["not json"]
+
+
+def test_a_malformed_document_stops_the_stream(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/good.json", json.dumps([{"id": 1, "name": "x"}], indent=1))
+    _run(spark, tmp_dir, document=True)
+    assert _out(spark, tmp_dir) == [(1, "x", None)]
+    _write(f"{tmp_dir}/in/bad.json", '[{"id": 2, "name": "y"}, {"id": 3, "na')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        _run(spark, tmp_dir, document=True)
+    assert _out(spark, tmp_dir) == [(1, "x", None)]
+
+
+def test_a_batch_that_is_run_again_replaces_its_output(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/a.json", '{"id": 1, "name": "a"}\n')
+    _run(spark, tmp_dir, rejected=f"{tmp_dir}/dead")
+    commits = f"{tmp_dir}/ckpt/commits"
+    for name in os.listdir(commits):  # as if the driver had stopped between writing the batch and committing it
+        os.remove(f"{commits}/{name}")
+    _run(spark, tmp_dir, rejected=f"{tmp_dir}/dead")
+    assert _out(spark, tmp_dir) == [(1, "a", None)]
+
+
+def test_a_field_named_like_the_marker(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/a.json", '{"_corrupt": "own"}\nbroken\n')
+    stream_record_export(spark, f"{tmp_dir}/in", "_corrupt string", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", rejected=f"{tmp_dir}/out_rejected").awaitTermination()
+    assert [r["_corrupt"] for r in spark.read.schema("_corrupt string").json(f"{tmp_dir}/out").collect()] == ["own"]
+    assert spark.read.json(f"{tmp_dir}/out_rejected").select(F.col("line")).first()[0] == "broken"
