@@ -97,8 +97,8 @@ def lowest(order: Column, rows: Column, wanted: int) -> Column:
 
 
 def bucket_count(rows: int) -> int:
-    """Buckets of a uniform key that hold about ``BUCKET_ROWS`` rows each."""
-    return max(1, -(-rows // BUCKET_ROWS))
+    """Buckets of a uniform key that hold about ``BUCKET_ROWS`` rows each, and 256 at least."""
+    return max(256, -(-rows // BUCKET_ROWS))
 
 
 def key_range(key: Column, buckets: int) -> Column:
