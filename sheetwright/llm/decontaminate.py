@@ -3,9 +3,12 @@
 The documents are read in shards of bounded size inside their scan tasks.  A
 shard's words become numbers, a suffix array of the shard is sorted, and every
 suffix of every benchmark item is looked up in it by binary search, word by
-word, which gives its longest verbatim match and where it stands.  Only
-suffixes that can begin a whole window (its words all occur in the benchmark)
-are sorted; no other suffix can hold a match.
+word, which gives the places of its window; from there the match is followed
+along both texts to its longest.  Only suffixes that can begin a whole window
+(its words all occur in the benchmark) are sorted; no other suffix can hold a
+match.  Of the suffixes of one match only the first is listed, so a text of
+ever the same words against such an item has as many matches as places where
+one can begin, not one for each pair of places.
 
 A window is 13 consecutive words of an item; an item of fewer words (but not
 none) is one window.  A document word inside any occurrence of a window is
@@ -95,13 +98,12 @@ def token_at(tokens: np.ndarray, stops: np.ndarray, positions: np.ndarray, shift
     return np.where(inside, tokens[np.minimum(at, len(tokens) - 1)], -1)
 
 
-def search(queries: Queries, tokens: np.ndarray, stops: np.ndarray, array: np.ndarray):
-    """For every query suffix: its interval in ``array`` at window depth, and its longest match and one place of it."""
+def search(queries: Queries, tokens: np.ndarray, stops: np.ndarray, array: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The interval of ``array`` whose suffixes begin with a query suffix's window, for every query suffix (empty where none does)."""
     n = len(queries.tokens)
-    low, high = np.zeros(n, np.int64), np.full(n, len(array), np.int64)
-    window = np.zeros((2, n), np.int64)
-    longest, place = np.zeros(n, np.int64), np.full(n, -1, np.int64)
-    active = np.arange(n)
+    low, high = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    active = np.flatnonzero(queries.window)
+    high[active] = len(array)
     depth = 0
     while len(active):
         wanted = queries.tokens[active + depth]
@@ -119,20 +121,48 @@ def search(queries: Queries, tokens: np.ndarray, stops: np.ndarray, array: np.nd
                 high[active] = a
         low[active] = new_low
         depth += 1
-        alive = low[active] < high[active]
-        hit = active[alive]
-        longest[hit], place[hit] = depth, array[low[hit]]
-        full = hit[queries.window[hit] == depth]
-        window[:, full] = low[full], high[full]
-        active = hit[hit + depth < queries.end[hit]]
-    return window[0], window[1], longest, place
+        active = active[(low[active] < high[active]) & (queries.window[active] > depth)]
+    return low, high
+
+
+def match_starts(queries: Queries, tokens: np.ndarray, begins: np.ndarray, array: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """(query suffix, position) where a longest match begins: their windows agree and the words before them do not.
+
+    Where the words before agree as well, the match has begun earlier, so such
+    pairs are never listed: the positions of an interval stand by the word
+    before them, and the run that agrees is left out.  Intervals of different
+    windows of one size are disjoint, so their positions are few however often
+    a window repeats in either text.
+    """
+    suffixes = np.flatnonzero(high > low)
+    bounds, own = np.unique(np.stack([low[suffixes], high[suffixes]]), axis=1, return_inverse=True)
+    own = own.ravel()
+    length = bounds[1] - bounds[0]
+    offsets = np.concatenate(([0], np.cumsum(length)))
+    interval = np.repeat(np.arange(len(length)), length)
+    position = array[np.arange(offsets[-1]) - np.repeat(offsets[:-1] - bounds[0], length)]
+    size = len(queries.vocabulary) + 3
+    # 0: the first word of a text, 1: a word that no item has
+    before = np.where(np.isin(position, begins), 0, tokens[np.maximum(position - 1, 0)] + 2)
+    key = interval * size + before
+    order = np.argsort(key, kind="stable")
+    key, position = key[order], position[order]
+    first = queries.begin[suffixes] == suffixes
+    same = own * size + np.where(first, size - 1, queries.tokens[np.maximum(suffixes - 1, 0)] + 2)
+    skip, resume = np.searchsorted(key, same, "left"), np.searchsorted(key, same, "right")
+    begin, end = offsets[own], offsets[own + 1]
+    runs = np.stack([np.concatenate((begin, resume)), np.concatenate((skip, end))])
+    of = np.tile(suffixes, 2)
+    count = runs[1] - runs[0]
+    where = np.arange(count.sum()) + np.repeat(runs[0] - np.concatenate(([0], np.cumsum(count)[:-1])), count)
+    return np.repeat(of, count), position[where]
 
 
 def shard_matches(queries: Queries, row: np.ndarray, hashes: np.ndarray, n_rows: int):
-    """Occurrences of windows in one shard: (row, document word, query suffix, words), by row, item and diagonal."""
+    """Longest matches that hold a window, in one shard: (row, item, document word, item word, words), by row, item and diagonal."""
     empty = np.empty(0, np.int64)
     if not queries.shortest or not len(hashes):
-        return empty, empty, empty, empty
+        return (empty,) * 5
     at = np.minimum(np.searchsorted(queries.vocabulary, hashes), len(queries.vocabulary) - 1)
     tokens = np.where(queries.vocabulary[at] == hashes, at, -1)
     counts = np.bincount(row, minlength=n_rows)
@@ -144,30 +174,22 @@ def shard_matches(queries: Queries, row: np.ndarray, hashes: np.ndarray, n_rows:
     fits[fits] = unknown[reach[fits]] == unknown[:-1][fits]
     positions = np.flatnonzero(fits)
     if not len(positions):
-        return empty, empty, empty, empty
-    array = suffix_array(tokens, stops, positions, queries.longest)
-    low, high, _, _ = search(queries, tokens, stops, array)
-    suffixes = np.flatnonzero((high > low) & (queries.window > 0))
-    length = (high - low)[suffixes]
-    suffix = np.repeat(suffixes, length)
-    where = np.repeat(low[suffixes] - np.concatenate(([0], np.cumsum(length)[:-1])), length) + np.arange(length.sum())
-    position = array[where]
-    return row[position], position - begins[row[position]], suffix, queries.window[suffix]
-
-
-def merged(queries: Queries, row, start, suffix, size):
-    """Windows that follow each other in both texts joined to longest verbatim matches."""
-    if not len(row):
-        return row, queries.item[:0], start, start, size
-    item = queries.item[suffix]
-    item_start = suffix - queries.begin[suffix]
-    order = np.lexsort((start, start - item_start, item, row))
-    row, item, start, item_start, size = (x[order] for x in (row, item, start, item_start, size))
-    diagonal = start - item_start
-    same = (row[1:] == row[:-1]) & (item[1:] == item[:-1]) & (diagonal[1:] == diagonal[:-1]) & (start[1:] == start[:-1] + 1)
-    first = np.flatnonzero(np.concatenate(([True], ~same)))
-    last = np.concatenate((first[1:], [len(row)])) - 1
-    return row[first], item[first], start[first], item_start[first], start[last] + size[last] - start[first]
+        return (empty,) * 5
+    array = suffix_array(tokens, stops, positions, int(queries.window.max()))
+    low, high = search(queries, tokens, stops, array)
+    suffix, position = match_starts(queries, tokens, begins, array, low, high)
+    size = queries.window[suffix]
+    open_ = np.arange(len(suffix))
+    while len(open_):  # word by word along both texts
+        i, d = suffix[open_] + size[open_], position[open_] + size[open_]
+        inside = (i < queries.end[suffix[open_]]) & (d < stops[position[open_]])
+        open_, i, d = open_[inside], i[inside], d[inside]
+        open_ = open_[queries.tokens[i] == tokens[d]]
+        size[open_] += 1
+    item, doc = queries.item[suffix], row[position]
+    start, item_start = position - begins[doc], suffix - queries.begin[suffix]
+    order = np.lexsort((start, start - item_start, item, doc))
+    return doc[order], item[order], start[order], item_start[order], size[order]
 
 
 def benchmark_blocks(benchmark: DataFrame, block_bytes: int, item="item_id", text="text") -> Iterator[tuple[list, list]]:
@@ -208,7 +230,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, b
                     own = offsets[a : b + 1] - offsets[a]
                     _, _, row, hashes = words(data[offsets[a] : offsets[b]], own, lut)
                     counts = np.bincount(row, minlength=b - a)
-                    row, item, start, item_start, size = merged(queries, *shard_matches(queries, row, hashes, b - a))
+                    row, item, start, item_start, size = shard_matches(queries, row, hashes, b - a)
                     ids = pa.array(queries.ids, pa.string()).take(pa.array(item))
                     new = pa.StructArray.from_arrays(
                         [ids, *(pa.array(x.astype(np.int32)) for x in (item_start, start, size))], fields=list(_MATCH.value_type))
