@@ -93,3 +93,40 @@ def test_derivation(pattern, query):
         assert got == query
     else:
         assert op.trigrams(got) == {"hel", "ell", "llo", "wor", "orl", "rlo"}
+
+
+def test_web_tokens_equal_their_pattern():
+    """The linear search and the pattern itself, on texts made of the signs that matter."""
+    import random
+
+    rng = random.Random(6)
+    rule = next(r for r in op.RULES if r.kind == "jwt")
+    seen = 0
+    for _ in range(20_000):
+        text = "".join(rng.choices(["eyJ", "eyJ", "e", "abcdefghij", "A9_-", ".", ".", ".", "abcdefghijk", rng.choice(" é")], k=rng.randint(1, 40)))
+        want = [m.span() for m in rule.regex.finditer(text)]
+        assert list(op.web_tokens(text)) == want, text
+        seen += len(want)
+    assert seen > 200
+
+
+@pytest.mark.parametrize("unit", ["eyJ", "eyJabcdefghijk.", "a1" * 8, "password", "AKIA", "xoxb-", "ghp_", "sk_live_", "a://", "-----BEGIN ", "eyJ.", "token=", "http+"])
+def test_repetitive_texts_of_a_megabyte(unit):
+    """Every rule takes a time that is linear in the text."""
+    import time
+
+    regexes = [r.regex for r in op.RULES]
+
+    def seconds(n):
+        text = unit * (n // len(unit))
+        best = []
+        for _ in range(2):
+            began = time.process_time()
+            for rule, regex in zip(op.RULES, regexes):
+                for _ in op.matches(rule, regex, text):
+                    pass
+            best.append(time.process_time() - began)
+        return min(best)
+
+    small, large = seconds(125_000), seconds(1_000_000)
+    assert large < 5 and large < 20 * small + 0.5
