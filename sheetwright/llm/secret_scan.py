@@ -53,7 +53,8 @@ class Rule:
         return re.compile(self.pattern, self.flags | re.ASCII)
 
 
-_DOTTED = re.compile(r"[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)+")
+#: Every run of dotted parts, also of one part, and nothing given back: else a long run without a dot is tried from each place.
+_DOTTED = re.compile(r"[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]++)*+")
 
 
 def web_tokens(text: str) -> Iterator[tuple[int, int]]:
