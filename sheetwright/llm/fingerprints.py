@@ -24,10 +24,16 @@ A text of fewer than ``K`` units has one hash, of all its units; one of fewer
 than ``W`` hashes is one window; one without units has no fingerprint.
 
 Scale: arrays stay inside a row, linear in the text.  Neighbours by doc_id are
-found in one shuffle: ids are cut into buckets at approximate quantiles, and
-the first row of each bucket is copied to the end of the bucket before it.  No
-task holds more than a bucket, and one value per bucket (at most
-``MAX_BUCKETS``) reaches the driver.
+found in one shuffle: ids are cut into buckets at every ``CUT_IDS``-th of the
+ids with a low hash, and the first row of each bucket is copied to the end of
+the bucket before it.  A task streams through its buckets; about ``CUT_IDS``
+ids for each of at most ``MAX_BUCKETS`` buckets reach the driver.
+
+The fingerprint returned is the list of selected hashes with their positions,
+each hash by the upper 32 bits that order it; the likeness of two fingerprints
+is that of their sets of hashes as written, so it can be had from them alone.
+It is written after the shuffle, which carries 4 bytes for each hash of the
+next document instead.
 
 Defined results: a null text is empty; equal doc_ids follow each other by a
 hash of the text; a row with a null doc_id has no next document (nothing
@@ -51,6 +57,7 @@ RUN, RUN_W = 8 * K, STEP * STEP
 TOP_HALF = -(1 << 32)
 LAST = (1 << 31) - 1
 BUCKET_ROWS, MAX_BUCKETS, FAN = 500, 65_536, 256
+CUT_IDS = 8
 
 
 def gram_hashes(text: Column, k: int = K) -> Column:
@@ -119,21 +126,35 @@ def rolling(text: Column) -> Column:
     return let(rolling_hashes(F.coalesce(text, F.lit(""))), lambda g: selected(g, RUN_W, run_minima))
 
 
-def fingerprint(text: Column) -> Column:
-    """Selected hashes of ``text`` by units, then by rolling grams."""
-    return F.concat(winnowed(text), rolling(text))
+def readings(text: Column) -> Column:
+    """Selected hashes of ``text`` by units and by rolling grams: struct<units, runs>."""
+    return F.struct(winnowed(text).alias("units"), rolling(text).alias("runs"))
+
 
+def both(prints: Column) -> Column:
+    """The selected hashes of both readings, by units, then by rolling grams."""
+    return F.concat(prints["units"], prints["runs"])
 
-def digest(prints: Column) -> Column:
-    """A fingerprint as one string: SHA-256 of its hashes and positions."""
-    return F.sha2(F.concat_ws(",", F.transform(prints, lambda p: F.concat(F.hex(p["hash"]), F.lit(":"), p["pos"].cast("string")))), 256)
+
+def fingerprint(text: Column) -> Column:
+    """Selected hashes of ``text`` with their positions, by units, then by rolling grams."""
+    return both(readings(text))
 
 
 def sketch(prints: Column) -> Column:
-    """The distinct selected hashes, shortened to 32 bits, for ``likeness``."""
+    """The distinct hashes of a fingerprint as it is written (their upper 32 bits, by which they are ordered), for ``likeness``."""
     return F.array_distinct(F.transform(prints, lambda p: F.shiftright(p["hash"], 32).cast("int")))
 
 
+def written(prints: Column) -> Column:
+    """A fingerprint as text: ``hash:position`` of every selected hash (8 hex digits), comma-joined; those of the rolling grams come last, after ``;``."""
+
+    def pairs(p: Column) -> Column:
+        return F.array_join(F.transform(p, lambda x: F.concat(F.lower(F.hex(F.shiftrightunsigned(x["hash"], 32))), F.lit(":"), x["pos"].cast("string"))), ",")
+
+    return F.concat(pairs(prints["units"]), F.when(F.size(prints["runs"]) > 0, F.concat(F.lit(";"), pairs(prints["runs"]))).otherwise(F.lit("")))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of hashes that two sketches have in common (0 to 1)."""
     whole = F.size(a) + F.size(b)
@@ -147,8 +168,11 @@ def id_buckets(docs: DataFrame) -> tuple[Column, Column, Column, int]:
     buckets = min(MAX_BUCKETS, max(1, -(-found["n"] // BUCKET_ROWS)))
     bounds = [found["least"] or 0]
     if buckets > 1:
-        cuts = docs.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 10 * buckets)).first()[0]
-        bounds = sorted({*bounds, *cuts})
+        # ids whose hash is low: about CUT_IDS for each bucket, drawn where the rows are
+        share = min(1.0, CUT_IDS * buckets / found["n"])
+        low = F.xxhash64(F.lit("cut"), "doc_id") / F.lit(2.0**64) + F.lit(0.5) <= share
+        ids = sorted(docs.where("doc_id IS NOT NULL").where(low).select("doc_id").distinct().toArrow().column(0).to_pylist())
+        bounds = sorted({*bounds, *ids[CUT_IDS::CUT_IDS]})
 
     def literal(values: list[int]) -> Column:
         return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
@@ -181,17 +205,16 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("_order"))
-    own = own.withColumn("prints", fingerprint(F.col("text")))
-    own = own.select("doc_id", "text", "_order", digest(F.col("prints")).alias("fingerprint"), sketch(F.col("prints")).alias("sketch"))
+    own = own.select("doc_id", "text", "_order", sketch(fingerprint(F.col("text"))).alias("sketch"))
     pairs = with_next(own, ["text", "sketch"])
     n = F.char_length("text")
     part = F.floor(n / 4).cast("int")
     pairs = pairs.select(
-        "doc_id", n.cast("bigint").alias("n_chars"), "fingerprint", "sketch", "next_sketch",
+        "doc_id", "text", n.cast("bigint").alias("n_chars"), "sketch", "next_sketch",
         F.concat(F.substring("text", F.lit(1), n - part), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), part)).alias("edited"))
-    pairs = pairs.withColumn("prints", fingerprint(F.col("edited")))
+    pairs = pairs.withColumns({"own": readings(F.col("text")), "prints": readings(F.col("edited"))})
     return pairs.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
-        digest(F.col("prints")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), sketch(F.col("prints"))).alias("near_edited"),
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), written(F.col("own")).alias("fingerprint"),
+        written(F.col("prints")).alias("edited_fingerprint"),
+        likeness(F.col("sketch"), sketch(both(F.col("prints")))).alias("near_edited"),
         F.when(F.col("next_sketch").isNull(), F.lit(0.0)).otherwise(likeness(F.col("sketch"), F.col("next_sketch"))).alias("near_next"))

@@ -59,14 +59,38 @@ def check(got, docs):
         assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
         for t, p in ((text or "", r["fingerprint"]), (changed, r["edited_fingerprint"])):
             assert prints.setdefault(t, p) == p
+        assert r["near_edited"] == likeness(r["fingerprint"], r["edited_fingerprint"])
         if changed == (text or ""):
             assert r["near_edited"] == 1
         if after == (text or ""):
             assert r["near_next"] == 1
         text_of[d] = text
+    for (d, _), (after, _) in zip(docs, [*docs[1:], docs[0]]):
+        assert got[d]["near_next"] == likeness(got[d]["fingerprint"], got[after]["fingerprint"])
     return got
 
 
+def pairs(written):
+    """(hash, position) pairs of a fingerprint as it is written, by reading."""
+    return [[(h, int(pos)) for h, _, pos in (x.partition(":") for x in part.split(",") if x)] for part in written.split(";")]
+
+
+def likeness(a, b):
+    """Share of hashes that two written fingerprints have in common."""
+    a, b = ({h for part in pairs(x) for h, _ in part} for x in (a, b))
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_the_written_fingerprint_has_every_hash_and_position(spark, make_docs, odd_rows):
+    docs = make_docs([*odd_rows, (70, "x" * 60 + " some plain words beside a long run " + "yz" * 40), (71, "one two three")])
+    rows = docs.select("text", op.winnowed(F.col("text")).alias("units"), op.rolling(F.col("text")).alias("runs"),
+                       op.written(op.readings(F.col("text"))).alias("w")).collect()
+    for r in rows:
+        want = [[(f"{(p['hash'] >> 32) & 0xffffffff:x}", p["pos"]) for p in r[c]] for c in ("units", "runs")]
+        assert pairs(r["w"]) == want[: 2 if want[1] else 1]
+    assert any(";" in r["w"] for r in rows) and any(r["w"] == "" for r in rows)
+
+
 @pytest.mark.parametrize("rows", [500, 7])
 def test_query_follows_the_definition(spark, documents, rows, monkeypatch):
     from sheetwright.llm.queries import QUERIES
