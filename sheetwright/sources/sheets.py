@@ -33,6 +33,7 @@ LINE = "_line"
 #: Rows of an offsets or block table up to which it is broadcast (some tens of MB); beyond, a shuffle join places the lines.
 MAX_BROADCAST_ROWS = 200_000
 PART_GROUP = 1024
+FEW_FILES = 1000
 #: Different headers that many sheets may have between them.
 MAX_VARIANTS = 1000
 VARIANT = "_variant"
@@ -156,15 +157,22 @@ def _positioned(spark: SparkSession, paths: Sequence[str], fmt: str, merge: bool
 
 
 def _file_offsets(raw: DataFrame) -> DataFrame:
-    """Staged rows (FILE, _n, _off): the lines of each file and of all files before it.
+    """Rows (FILE, _n, _off), staged where they are many: the lines of each file and of all files before it.
 
     Files are ordered by part number, then by name.  Running sums are taken
     within groups of consecutive part numbers; the groups' totals (a
-    thousandth of the files) travel as one row.
+    thousandth of the files) travel as one row.  Up to ``FEW_FILES`` files are
+    added up on the driver, which saves two staged tables.
     """
     name = F.element_at(F.split(FILE, "/"), -1)
     part = F.coalesce(F.nullif(F.regexp_extract(name, r"^part-(\d+)", 1), F.lit("")).cast("long"), F.lit(0))
     files = raw.groupBy(FILE).agg((F.max(POS) + 1).alias("_n")).select("*", part.alias("_part"), F.floor(part / PART_GROUP).alias("_group"))
+    if len(raw.inputFiles()) <= FEW_FILES:
+        rows, before = [], 0
+        for r in sorted(files.collect(), key=lambda r: (r["_part"], r[FILE])):
+            rows.append((r[FILE], r["_n"], before))
+            before += r["_n"]
+        return raw.sparkSession.createDataFrame(rows, f"{FILE} string, _n bigint, _off bigint")
     files = _staged(files, "sheet-files")
     totals = files.groupBy("_group").agg(F.sum("_n").alias("_sum")).agg(
         F.collect_list(F.struct(F.col("_group").alias("g"), F.col("_sum").alias("n"))).alias("_totals"))

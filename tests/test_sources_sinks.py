@@ -474,3 +474,16 @@ def test_parquet_sheet_nan_cells_are_null(spark, tmp_dir):
     data, names = read_sheet(spark, f"{tmp_dir}/typed", names=["name", "weight", "flag"])
     got = {r["name"]: (r["weight"], r["rowIndex"]) for r in data.collect()}
     assert got == {"x": (None, 0), "y": ("2.5", 1)}
+
+
+def test_offsets_of_few_and_of_many_files_agree(spark, tmp_dir, monkeypatch):
+    from sheetwright.sources import sheets
+
+    os.makedirs(f"{tmp_dir}/parts")
+    for i in range(12):
+        _write(f"{tmp_dir}/parts/part-{i:05d}.csv", "".join(f"a{i},{j}\n" for j in range(i % 4)))
+    few = {(r["_line"], r["_c0"], r["_c1"]) for r in sheets.positioned_lines(spark, f"{tmp_dir}/parts", "csv").collect()}
+    monkeypatch.setattr(sheets, "FEW_FILES", 3)
+    many = {(r["_line"], r["_c0"], r["_c1"]) for r in sheets.positioned_lines(spark, f"{tmp_dir}/parts", "csv").collect()}
+    want = [(f"a{i}", str(j)) for i in range(12) for j in range(i % 4)]
+    assert few == many == {(n, *cells) for n, cells in enumerate(want)}
