@@ -231,6 +231,12 @@ WHERE event_id IS NOT NULL OR kind IS NOT NULL OR inner_ IS NOT NULL""",
         f"SELECT 'Sheet {i} of 4' AS dataset, count(*) AS rows, CAST(sum({key}) AS BIGINT) AS keySum, "
         f"count(DISTINCT {key}) AS keys FROM {name}"
         for i, (name, key) in enumerate((("orders", "o_orderkey"), ("customer", "c_custkey"), ("supplier", "s_suppkey")), 1)),
+    "publish_many": " UNION ALL ".join(
+        f"SELECT '{label}' AS dataset, count(*) AS rows, CAST(sum({key}) AS BIGINT) AS keySum, count(DISTINCT {key}) AS keys FROM {name}"
+        for label, name, key in (("orders", "orders", "o_orderkey"), ("customers", "customer", "c_custkey"), ("suppliers", "supplier", "s_suppkey"))),
+    "catalogue_documents": _with_mappings() + (
+        f"SELECT *, row_number() OVER (ORDER BY {', '.join(f'{c} NULLS FIRST' for c in [*L.split(', '), 'databaseTable'])}) - 1 "
+        f"AS position, true AS withinLimit FROM ({CATALOGUE})"),
     "dated_snapshot": "SELECT *, 'V2026.01.05__orders' AS snapshot FROM orders",
     "save_table": _with_mappings() + "SELECT * FROM mappings",
     "object_view": _with_mappings() + ROLLUP,

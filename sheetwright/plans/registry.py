@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import LEVELS, MAPPINGS_TABLE, OBJECT_VIEW, PK_VIEW, ROW_INDEX, TABLE
 from ..functions.hashing import hash_files, hash_record, hash_text
@@ -24,7 +26,7 @@ from ..operators.nulls import drop_null_columns, fill_text
 from ..operators.records import clean_empties, flatten_records
 from ..operators.selection import non_flag_columns, pk_rows, run_sql, select_columns, select_from
 from ..session import scratch_path
-from ..sinks.files import dated_path, json_output_size, write_json, write_many
+from ..sinks.files import dated_path, json_output_size, publish_many, read_many, write_json, write_many
 from ..sinks.tables import save_table
 from ..sources.fixtures import (SHEET_COLUMNS, SHEET_FLAGS, raw_mapping, table, write_mapping_csv,
                                 write_mapping_sheet, write_mapping_sheets, write_mapping_variants)
@@ -338,6 +340,31 @@ def q_write_many(spark, sf_dir):
                                       F.countDistinct("key").alias("keys"))
 
 
+def q_publish_many(spark, sf_dir):
+    """A set published twice, the second time with one member replaced and one added, read by its manifest."""
+    target = scratch_path(spark, "dataset-set")
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    publish_many([orders.filter(F.col("o_orderkey") % 2 == 0), customers, orders.filter(F.col("o_totalprice") < 0)], target, ["orders", "customers", "none"])
+    publish_many([read_many(spark, target)["orders"].unionByName(orders.filter(F.col("o_orderkey") % 2 != 0)), table(spark, sf_dir, "supplier")],
+                 target, ["orders", "suppliers"], overwrite=False)
+    parts = [df.select(F.lit(name).alias("dataset"), F.col(df.columns[0]).alias("key")) for name, df in read_many(spark, target).items()]
+    return reduce(DataFrame.unionByName, parts).groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("key").alias("keySum"), F.countDistinct("key").alias("keys"))
+
+
+def q_catalogue_documents(spark, sf_dir):
+    """The catalogue as ordered documents of at most 50,000 bytes, read back: where each record stands, and whether its document keeps the limit."""
+    path = scratch_path(spark, "catalogue-documents")
+    cat = pk_catalogue(_mappings(spark, sf_dir))
+    write_json(sort_catalogue(cat), path, simplify=False, layout="document", keep_order=True, limit_mb=0.05)
+    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes"), "value")
+    records = docs.select("file", "bytes", F.posexplode(F.from_json("value", T.ArrayType(cat.schema), {"mode": "FAILFAST"})).alias("at", "r"))
+    sizes = records.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("one"))
+    before = Window.partitionBy("one").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row a document
+    starts = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return records.join(starts, "file").select("r.*", (F.col("start") + F.col("at")).alias("position"), (F.col("bytes") <= 50_000).alias("withinLimit"))
+
+
 def q_dated_snapshot(spark, sf_dir):
     base = scratch_path(spark, "snapshots")
     target = dated_path(f"{base}/orders", SNAPSHOT_DAY)
@@ -429,6 +456,8 @@ QUERIES: dict[str, Query] = {
     "stream_record_export": q_stream_record_export,
     "json_output_size": q_json_output_size,
     "write_many": q_write_many,
+    "publish_many": q_publish_many,
+    "catalogue_documents": q_catalogue_documents,
     "dated_snapshot": q_dated_snapshot,
     "save_table": q_save_table,
     "object_view": q_object_view,
