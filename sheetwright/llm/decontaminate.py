@@ -21,7 +21,9 @@ bounded too.
 
 Defined results: a null text (document or item) has no words; a null item_id
 is written as the empty string; repeated items count once in ``items`` when
-their ids are equal.
+their ids are equal; an empty benchmark hits nothing; an empty table gives no
+rows; long and repetitive texts have a match for each place one can begin;
+further columns of documents stay as they are.
 """
 
 from __future__ import annotations

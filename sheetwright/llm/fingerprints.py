@@ -38,7 +38,8 @@ next document instead.
 Defined results: a null text is empty; equal doc_ids follow each other by a
 hash of the text; a row with a null doc_id has no next document (nothing
 replaces its last quarter, near_next is 0); two empty fingerprints are alike
-(1), an empty and another one are not (0).
+(1), an empty and another one are not (0); an empty table gives no rows; texts
+of any length are read whole; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ Scale: the trained weights (a few kB) go to the tasks; texts are labelled
 where they are scanned, without a shuffle.
 
 Defined results: a null text, or one without a letter, is ``und`` with score
-0; without any labelled row every text is ``und``.
+0; without any labelled row every text is ``und``; an empty table gives no rows;
+every byte of a text of any length is read; repeated rows get a row each; for
+predictions, columns other than doc_id, text and lang are not read.
 
 ``known_language`` drops texts without a letter and those whose best pooled
 probability is below a threshold fitted to the labelled windows; without any
@@ -155,7 +157,7 @@ class ByteGRU:
 def cut_windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows (T, N) over each text, the row of each window and its number of real positions.
 
-    A text's last window reaches back to be full; a text shorter than a window is padded with line breaks.
+    A text's last window is padded with line breaks.
     """
     sizes = np.diff(offsets)
     per_row = -(-sizes // WINDOW)
@@ -188,7 +190,11 @@ def document_probabilities(model: ByteGRU, data: np.ndarray, offsets: np.ndarray
 
 
 def fit(docs: DataFrame, sample_docs: int = 400, windows_per_doc: int = 6, seed: int = 3) -> ByteGRU:
-    """The network, trained on at most ``sample_docs`` labelled rows of each language outside the held-out fold."""
+    """The network, trained on at most ``sample_docs`` labelled rows of each language outside the held-out fold.
+
+    Of each row it sees ``windows_per_doc`` windows of ``WINDOW`` bytes, spread
+    evenly over the whole text; predictions read every byte.
+    """
     labelled = docs.select("text", "lang", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "text").alias("_order"),
                            fold("doc_id").alias("_fold")).where("lang is not null and text is not null")
     labelled = labelled.where("_fold is null or _fold <> 2").where(F.regexp_like("text", F.lit(LETTER)))

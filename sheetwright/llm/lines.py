@@ -13,7 +13,8 @@ in a join by host, whose skew handling splits a hot host.
 
 Defined results: a null html has no lines; a page without a host in its url,
 or of a host with fewer than ``min_pages`` pages, keeps all its lines; repeated
-rows count as pages of their own.
+rows count as pages of their own; an empty table gives no rows; lines of any
+length count whole; columns other than page_id, url and html are not read.
 """
 
 from __future__ import annotations

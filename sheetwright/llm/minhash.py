@@ -22,7 +22,8 @@ forest of its confirmed links, at most one row per member, never all pairs.
 
 Defined results: a null or blank text has no shingles, size 0, and stands
 alone; equal texts with words are linked; rows with a null doc_id get the
-smallest non-null doc_id of their group (null if there is none).
+smallest non-null doc_id of their group (null if there is none); an empty table
+gives no rows; texts of any length have all their shingles.
 """
 
 from __future__ import annotations

@@ -15,13 +15,14 @@ Targets: sources by code point, null last, weigh ``weights`` in turn and share
 words and the excess goes to the others by weight until none is above.
 
 Scale: a document's place in its source's word stream is a running total over
-ranges of a uniform key, so no source is gathered in one task.  Only one row
-per source (name, words) reaches the driver.  Text moves once, when documents
-are cut to what the mix takes.
+ranges of a uniform key, whose number follows the row count, so no source is
+gathered in one task.  Only one row per source (name, words) reaches the driver.
+Narrow rows are placed and joined; a document moves once, to meet its pieces.
 
 Defined results: a null or blank text has size 0 and nothing taken; a null
 source is a source of its own; a source without words has target 0; equal rows
-count each.
+count each; an empty table gives no rows; a long text is as many blocks as it
+fills; further columns of documents stay as they are.
 """
 
 from __future__ import annotations

@@ -11,12 +11,15 @@ Scale: neither ranking gathers a source or the corpus in one task.  The
 shuffle key is uniform, so a range of it is a bucket of bounded size; rows are
 numbered inside buckets, and running totals over the (small) table of bucket
 counts give each bucket its offset.  The second ranking does the same over
-ranges of the fractional rank, which is uniform as well.  Text is read once
-and never shuffled.
+ranges of the fractional rank, which is uniform as well; the number of ranges
+follows the row count.  Only narrow rows are ranked; where documents are asked
+for, each moves once, to meet its shard and slot.
 
 Defined results: a null text has size 1 and the CRC of the empty text; a null
 source is a source of its own; a null doc_id is ordered like any other value;
-rows that are equal in every respect are interchangeable.
+rows that are equal in every respect are interchangeable; an empty table gives
+no rows; the length of a text does not matter; further columns of documents
+stay as they are, except that shard and slot replace columns of these names.
 """
 
 from __future__ import annotations

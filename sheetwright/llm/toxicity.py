@@ -19,14 +19,17 @@ The insult lexicon and the logistic weights are learned from a bounded sample
 of labelled rows: at most ``sample`` rows of each label, the first in a seeded
 order, equal texts once.  A word, or a stem of 4 to 6 letters, is an insult
 if it occurs in ``support`` or more toxic texts of the sample and nearly never
-in clean ones; at most ``lexicon`` entries.  The counting is a Spark job.
+in clean ones; at most ``lexicon`` entries, chosen among the 4 * ``lexicon``
+such terms that most toxic texts of the sample have.  The counting is a Spark job.
 
 Scale: the model (lexicon and seven weights) goes to the tasks; whole texts are
 scored where they are scanned, without a shuffle.  Candidate words are found
 on the bytes of a batch; only clauses with one are read by the grammar.
 
 Defined results: a null or blank text has no clause and gets the score of no
-match; without any labelled toxic row nothing matches.
+match; without any labelled toxic row nothing matches; an empty table gives no
+rows; repeated rows get a score each; texts of any length are read whole;
+columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
