@@ -204,11 +204,13 @@ def _slug(text, allow_unicode):
     parts = []
     for part in text.split("."):
         folded = unicodedata.normalize("NFKC" if allow_unicode else "NFKD", part)
+        if not allow_unicode:
+            folded = "".join(ch for ch in folded if ch.isascii())  # before anything else, so also a space that is not ASCII
         out = ""
         for ch in folded:
             if ch == "-" or ch.isspace():
                 out += "" if out.endswith("-") else "-"
-            elif (ch.isalnum() or ch == "_") and (allow_unicode or ch.isascii()):
+            elif ch.isalnum() or ch == "_":
                 out += ch
         parts.append(out.strip("-_"))
     return ".".join(parts)
