@@ -49,8 +49,8 @@ def load_mapping(spark: SparkSession, paths: str | Sequence[str], fmt: str = "pa
 
 
 def load_mappings(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet",
-                  names: Sequence[str] | None = None) -> MappingLoad:
-    """P1 over many sheets at once, each file its own sheet with its own preamble and header.
+                  names: Sequence[str] | None = None, folders: bool = False) -> MappingLoad:
+    """P1 over many sheets at once, each file (with ``folders`` each folder of part files) its own sheet with its own preamble and header.
 
     Headers may differ: the four text columns in any order, then flags, among
     them the primary-key flag, in any order and number.  A row is complete when
@@ -58,9 +58,9 @@ def load_mappings(spark: SparkSession, paths: str | Sequence[str], fmt: str = "p
     null.  Rows keep their per-sheet ``rowIndex`` and a ``sheet`` column.
     """
     if names is not None:
-        raw, names = read_sheets(spark, paths, fmt, names)
+        raw, names = read_sheets(spark, paths, fmt, names, folders)
         return MappingLoad(clean_mapping(raw, _flags(names)), tuple(names), _flags(names))
-    found = open_sheets(spark, paths, fmt)
+    found = open_sheets(spark, paths, fmt, folders)
     if len(found.headers) == 1:
         flags = _flags(found.names)
         return MappingLoad(clean_mapping(found.rows.drop(VARIANT), flags), found.names, flags)

@@ -121,21 +121,21 @@ def q_discover_header(spark, sf_dir):
 
 
 def _sheet_name(c):
-    """The sheet's folder name (the table it lists) from its file path."""
-    return F.regexp_extract(c, r"/(?:[^/=]*=)?([^/]+)/[^/]+$", 1)
+    """The sheet's folder name (the table it lists) from its path."""
+    return F.regexp_extract(c, r"/(?:[^/=]*=)?([^/]+)$", 1)
 
 
 def q_discover_sheet_headers(spark, sf_dir):
-    return _header_cells(sheet_headers(spark, f"{write_mapping_sheets(spark, sf_dir)}/*"))
+    return _header_cells(sheet_headers(spark, f"{write_mapping_sheets(spark, sf_dir)}/*", folders=True))
 
 
 def q_discover_header_variants(spark, sf_dir):
     """The headers of sheets that differ in columns, in their order and in the line the header stands on."""
-    return _header_cells(sheet_headers(spark, f"{write_mapping_variants(spark, sf_dir)}/*"))
+    return _header_cells(sheet_headers(spark, f"{write_mapping_variants(spark, sf_dir)}/*", folders=True))
 
 
 def q_mapping_load_variants(spark, sf_dir):
-    load = load_mappings(spark, f"{write_mapping_variants(spark, sf_dir)}/*")
+    load = load_mappings(spark, f"{write_mapping_variants(spark, sf_dir)}/*", folders=True)
     return load.mappings.withColumn("sheet", _sheet_name(F.col("sheet")))
 
 
@@ -148,7 +148,7 @@ def _header_cells(heads):
 
 
 def q_mapping_load_sheets(spark, sf_dir):
-    load = load_mappings(spark, f"{write_mapping_sheets(spark, sf_dir)}/*")
+    load = load_mappings(spark, f"{write_mapping_sheets(spark, sf_dir)}/*", folders=True)
     return load.mappings.withColumn("sheet", _sheet_name(F.col("sheet")))
 
 

@@ -9,7 +9,7 @@ are reproducible by an SQL oracle.  Both grow with ``lineitem``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import ROW_INDEX
@@ -25,6 +25,9 @@ SHEET_PREAMBLE = ("Exported from the mapping workbook, second sheet",)
 HEADER_LINE = 1 + len(SHEET_PREAMBLE) + 1
 # Total order of the data lines in the export (ties are identical rows).
 SHEET_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity")
+# An export has at least MIN_PARTS parts, each of about PART_LINES lines at most.
+PART_LINES = 250_000
+MIN_PARTS = 4
 # ------------------------------------------------------------------------------
 
 SHEET_COLUMNS = ("viewObject", "viewObjectAttribute", "databaseTable", "databaseColumn",
@@ -84,30 +87,40 @@ def _top_lines() -> list[list[str | None]]:
     return [*short, [None] * len(SHEET_COLUMNS), list(SHEET_HEADER)]
 
 
-def _sheet_lines(spark: SparkSession, li: DataFrame, cells: list) -> DataFrame:
-    """Top lines (_grp 0, by _ord) and data lines (_grp 1, by SHEET_ORDER) with cells _c0.._c5."""
-    names = [f"_c{i}" for i in range(len(SHEET_COLUMNS))]
-    data = li.select(F.lit(1).alias("_grp"), F.lit(0).alias("_ord"), *[F.col(c) for c in SHEET_ORDER],
-                     *[c.alias(n) for c, n in zip(cells, names)])
-    head = spark.createDataFrame([[i, *line] for i, line in enumerate(_top_lines())],
-                                 "_ord int, " + ", ".join(f"{c} string" for c in names))
-    head = head.select(F.lit(0).alias("_grp"), "_ord",
-                       *[F.lit(None).cast(t).alias(c) for c, t in li.select(*SHEET_ORDER).dtypes], *names)
-    return head.unionByName(data)
+def _sheet_lines(li: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Top lines (_grp 0, by _ord) and data lines (_grp 1, by SHEET_ORDER), narrow: cells are made once the lines are in order."""
+    data = li.select(F.lit(1).alias("_grp"), F.lit(0).alias("_ord"), *SHEET_ORDER)
+    blank = [F.lit(None).cast(t).alias(c) for c, t in li.select(*SHEET_ORDER).dtypes]
+    top = li.sparkSession.range(0, len(_top_lines()), 1, 1).select(F.lit(0).alias("_grp"), F.col("id").cast("int").alias("_ord"), *blank)
+    return top, data
+
+
+def _sheet_cells(cells: list) -> list:
+    """The cells _c0.. of the lines of ``_sheet_lines``; ``cells`` are those of the data lines."""
+    tops = zip(*_top_lines())
+    return [F.when(F.col("_grp") == 0, F.get(F.array(*[F.lit(t).cast("string") for t in top]), F.col("_ord"))).otherwise(c).alias(f"_c{i}")
+            for i, (c, top) in enumerate(zip(cells, tops))]
+
+
+def _in_order(lines: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``lines`` in the total order of ``keys``; the parts' number follows the ``rows``, so a task's share does not grow with them."""
+    return lines.repartitionByRange(max(MIN_PARTS, -(-rows // PART_LINES)), *keys).sortWithinPartitions(*keys)
 
 
 def write_mapping_sheet(spark: SparkSession, sf_dir: str, path: str | None = None, reuse: bool = True) -> str:
     """Write the fixture as a Parquet sheet export (all-text cells ``_c0.._c5``) and return its path.
 
-    The data lines are sorted by ``SHEET_ORDER``: a global sort (range
-    shuffle) orders the part files; with ``reuse`` an existing export is kept.
+    The data lines are sorted by ``SHEET_ORDER``: a range shuffle of the
+    narrow order columns orders the part files, and the cells are made after
+    it; with ``reuse`` an existing export is kept.
     """
     path = path or _export_folder(spark, sf_dir, "mapping-sheet")
     if reuse and path_exists(spark, f"{path}/_SUCCESS"):
         return path
     li = table(spark, sf_dir, "lineitem")
-    ordered = _sheet_lines(spark, li, _mapping_cells(li)).orderBy("_grp", "_ord", *SHEET_ORDER)
-    ordered.select([f"_c{i}" for i in range(len(SHEET_COLUMNS))]).write.mode("overwrite").parquet(path)
+    top, data = _sheet_lines(li)
+    ordered = top.unionByName(data).orderBy("_grp", "_ord", *SHEET_ORDER)
+    ordered.select(_sheet_cells(_mapping_cells(li))).write.mode("overwrite").parquet(path)
     return path
 
 
@@ -119,29 +132,33 @@ def write_mapping_csv(spark: SparkSession, sf_dir: str, path: str | None = None,
     li = table(spark, sf_dir, "lineitem")
     cells = _mapping_cells(li)
     cells[1] = F.format_string('Attr "%s", line\n%s', F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    ordered = _sheet_lines(spark, li, cells).repartitionByRange(4, "_grp", "_ord", *SHEET_ORDER).sortWithinPartitions("_grp", "_ord", *SHEET_ORDER)
-    ordered.select([f"_c{i}" for i in range(len(SHEET_COLUMNS))]).write.mode("overwrite").option("escape", '"').csv(path)
+    top, data = _sheet_lines(li)
+    ordered = top.unionByName(data).repartitionByRange(4, "_grp", "_ord", *SHEET_ORDER).sortWithinPartitions("_grp", "_ord", *SHEET_ORDER)
+    ordered.select(_sheet_cells(cells)).write.mode("overwrite").option("escape", '"').csv(path)
     return path
 
 
+def _sheet_of() -> Column:
+    """The sheet of a data line: its database table."""
+    return F.concat(F.lit("TAB_"), (F.col("l_suppkey") % 4).cast("string")).alias("sheetName")
+
+
 def write_mapping_sheets(spark: SparkSession, sf_dir: str, path: str | None = None, reuse: bool = True) -> str:
-    """Write the fixture as several single-file sheets, one per database table, under ``path/sheetName=<table>``.
+    """Write the fixture as several sheets, one per database table, under ``path/sheetName=<table>``.
 
-    Each sheet has its own title, preamble and header lines followed by its
-    data lines in ``SHEET_ORDER``; one pass writes all.  Returns the folder
-    whose sub-folders are the sheets.
+    Each sheet is a folder of part files in order: its own title, preamble and
+    header lines, then its data lines in ``SHEET_ORDER``; one pass writes all.
+    Returns the folder whose sub-folders are the sheets.
     """
-    path = path or _export_folder(spark, sf_dir, "mapping-sheets")
+    path = path or _export_folder(spark, sf_dir, "mapping-sheets-parts")
     if reuse and path_exists(spark, f"{path}/_SUCCESS"):
         return path
     li = table(spark, sf_dir, "lineitem")
-    lines = _sheet_lines(spark, li, _mapping_cells(li))
-    names = lines.filter("_grp = 1").select(F.col("_c2").alias("sheetName")).distinct()
-    head = lines.filter("_grp = 0").agg(F.collect_list(F.struct(*lines.columns)).alias("top"))  # one row of a few lines
-    heads = names.join(F.broadcast(head)).select("sheetName", F.explode("top").alias("line")).select("sheetName", "line.*")
-    sheets = heads.unionByName(lines.filter("_grp = 1").withColumn("sheetName", F.col("_c2")))
-    ordered = sheets.repartition("sheetName").sortWithinPartitions("sheetName", "_grp", "_ord", *SHEET_ORDER)
-    ordered.select("sheetName", *[f"_c{i}" for i in range(len(SHEET_COLUMNS))]).write.mode("overwrite").partitionBy("sheetName").parquet(path)
+    top, data = _sheet_lines(li)
+    data = data.withColumn("sheetName", _sheet_of())
+    top = data.select("sheetName").distinct().join(F.broadcast(top))  # a few lines for each sheet
+    ordered = top.unionByName(data).repartition("sheetName").sortWithinPartitions("sheetName", "_grp", "_ord", *SHEET_ORDER)
+    ordered.select("sheetName", *_sheet_cells(_mapping_cells(li))).write.mode("overwrite").partitionBy("sheetName").parquet(path)
     return path
 
 
@@ -157,36 +174,35 @@ VARIANT_COLUMNS = (
 
 
 def write_mapping_variants(spark: SparkSession, sf_dir: str, path: str | None = None, reuse: bool = True) -> str:
-    """Write the fixture as single-file sheets, one per database table, with different headers and header lines.
+    """Write the fixture as sheets, one folder of part files per database table, with different headers and header lines.
 
     A sheet's preamble has a line for each status of its rows, so where its
     header stands follows from the data; column order and flags differ by
     table (``VARIANT_COLUMNS``).  Returns the folder whose sub-folders are the sheets.
     """
-    path = path or _export_folder(spark, sf_dir, "mapping-variants")
+    path = path or _export_folder(spark, sf_dir, "mapping-variants-parts")
     if reuse and path_exists(spark, f"{path}/_SUCCESS"):
         return path
-    width = max(map(len, VARIANT_COLUMNS))
-    names = [f"_c{i}" for i in range(width)]
     li = table(spark, sf_dir, "lineitem")
     cells = dict(zip(SHEET_HEADER, _mapping_cells(li)))
     cells["Unique Column"] = F.when(F.col("l_linenumber") % 3 == 0, "Yes").when(F.col("l_linenumber") % 7 != 1, "No")
-    number = F.col("l_suppkey") % 4
-    sheet = F.concat(F.lit("TAB_"), number.cast("string")).alias("sheetName")
+    group = F.col("_grp")
 
-    def cell(i: int):
-        return F.coalesce(*[F.when(number == k, cells[header[i]]) for k, header in enumerate(VARIANT_COLUMNS) if i < len(header)])
+    def cell(i: int) -> Column:
+        """Cell ``i`` of a title (_grp 0), a status (1), a header (2) or a data line (3)."""
+        own = [(k, header[i]) for k, header in enumerate(VARIANT_COLUMNS) if i < len(header)]
+        top = F.when(group == 0, F.lit(SHEET_TITLE)).when(group == 1, F.concat(F.lit("Status "), F.col("_ord"))) if i == 0 else F.when(group < 2, F.lit(None))
+        named = F.coalesce(*[F.when(F.col("sheetName") == f"TAB_{k}", name) for k, name in own])
+        data = F.coalesce(*[F.when(F.col("l_suppkey") % 4 == k, cells[name]) for k, name in own])
+        return top.when(group == 2, named).otherwise(data).alias(f"_c{i}")
 
-    data = li.select(sheet, F.lit(3).alias("_grp"), F.lit("").alias("_ord"), *[F.col(c) for c in SHEET_ORDER], *[cell(i).alias(n) for i, n in enumerate(names)])
+    data = li.select(_sheet_of(), F.lit(3).alias("_grp"), F.lit("").alias("_ord"), *SHEET_ORDER)
     blank = [F.lit(None).cast(t).alias(c) for c, t in li.select(*SHEET_ORDER).dtypes]
-    status = F.concat("l_returnflag", "l_linestatus").alias("_ord")
-    rest = [F.lit(None).cast("string").alias(n) for n in names[1:]]
-    statuses = li.select(sheet, status).distinct().select(
-        "sheetName", F.lit(1).alias("_grp"), "_ord", *blank, F.concat(F.lit("Status "), F.col("_ord")).alias("_c0"), *rest)
-    tops = [(f"TAB_{k}", 0, "", SHEET_TITLE, *[None] * (width - 1)) for k in range(len(VARIANT_COLUMNS))]
-    tops += [(f"TAB_{k}", 2, "", *header, *[None] * (width - len(header))) for k, header in enumerate(VARIANT_COLUMNS)]
-    top = spark.createDataFrame(tops, "sheetName string, _grp int, _ord string, " + ", ".join(f"{n} string" for n in names))
-    top = top.select("sheetName", "_grp", "_ord", *blank, *names).join(li.select(sheet).distinct(), "sheetName", "left_semi")
-    ordered = top.unionByName(statuses).unionByName(data).repartition("sheetName").sortWithinPartitions("sheetName", "_grp", "_ord", *SHEET_ORDER)
-    ordered.select("sheetName", *names).write.mode("overwrite").partitionBy("sheetName").parquet(path)
+    statuses = li.select(_sheet_of(), F.concat("l_returnflag", "l_linestatus").alias("_ord")).distinct().select(
+        "sheetName", F.lit(1).alias("_grp"), "_ord", *blank)
+    tops = [(f"TAB_{k}", group, "") for group in (0, 2) for k in range(len(VARIANT_COLUMNS))]
+    top = spark.createDataFrame(tops, "sheetName string, _grp int, _ord string").select("*", *blank)
+    top = top.join(li.select(_sheet_of()).distinct(), "sheetName", "left_semi")
+    ordered = _in_order(top.unionByName(statuses).unionByName(data), li.count(), "sheetName", "_grp", "_ord", *SHEET_ORDER)
+    ordered.select("sheetName", *map(cell, range(max(map(len, VARIANT_COLUMNS))))).write.mode("overwrite").partitionBy("sheetName").parquet(path)
     return path

@@ -156,30 +156,33 @@ def _positioned(spark: SparkSession, paths: Sequence[str], fmt: str, merge: bool
     raise ValueError(f"Invalid sheet format: {fmt}")
 
 
-def _file_offsets(raw: DataFrame) -> DataFrame:
-    """Rows (FILE, _n, _off), staged where they are many: the lines of each file and of all files before it.
+def _file_offsets(raw: DataFrame, sheet: Column | None = None) -> DataFrame:
+    """Rows (FILE, _sheet, _n, _off), staged where they are many: the lines of each file and of all files of its sheet before it.
 
+    ``sheet`` names the sheet of a file; without it all files are one sheet.
     Files are ordered by part number, then by name.  Running sums are taken
-    within groups of consecutive part numbers; the groups' totals (a
-    thousandth of the files) travel as one row.  Up to ``FEW_FILES`` files are
-    added up on the driver, which saves two staged tables.
+    within groups of consecutive part numbers, then over the groups' totals (a
+    thousandth of the files).  Up to ``FEW_FILES`` files are added up on the
+    driver, which saves two staged tables.
     """
     name = F.element_at(F.split(FILE, "/"), -1)
     part = F.coalesce(F.nullif(F.regexp_extract(name, r"^part-(\d+)", 1), F.lit("")).cast("long"), F.lit(0))
-    files = raw.groupBy(FILE).agg((F.max(POS) + 1).alias("_n")).select("*", part.alias("_part"), F.floor(part / PART_GROUP).alias("_group"))
+    files = raw.groupBy(FILE).agg((F.max(POS) + 1).alias("_n")).select(
+        "*", (F.lit("") if sheet is None else sheet).alias("_sheet"), part.alias("_part"), F.floor(part / PART_GROUP).alias("_group"))
     if len(raw.inputFiles()) <= FEW_FILES:
-        rows, before = [], 0
+        rows, before = [], {}
         for r in sorted(files.collect(), key=lambda r: (r["_part"], r[FILE])):
-            rows.append((r[FILE], r["_n"], before))
-            before += r["_n"]
-        return raw.sparkSession.createDataFrame(rows, f"{FILE} string, _n bigint, _off bigint")
+            off = before.get(r["_sheet"], 0)
+            rows.append((r[FILE], r["_sheet"], r["_n"], off))
+            before[r["_sheet"]] = off + r["_n"]
+        return raw.sparkSession.createDataFrame(rows, f"{FILE} string, _sheet string, _n bigint, _off bigint")
     files = _staged(files, "sheet-files")
-    totals = files.groupBy("_group").agg(F.sum("_n").alias("_sum")).agg(
-        F.collect_list(F.struct(F.col("_group").alias("g"), F.col("_sum").alias("n"))).alias("_totals"))
-    earlier = Window.partitionBy("_group").orderBy("_part", FILE).rowsBetween(Window.unboundedPreceding, -1)
-    placed = files.select("*", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_in")).join(F.broadcast(totals))  # one row
-    before = F.aggregate(F.filter("_totals", lambda t: t["g"] < F.col("_group")), F.lit(0).cast("long"), lambda x, t: x + t["n"])
-    return _staged(placed.select(FILE, "_n", (F.col("_in") + before).alias("_off")), "sheet-offsets")
+    earlier = Window.partitionBy("_sheet").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    totals = files.groupBy("_sheet", "_group").agg(F.sum("_n").alias("_sum")).select(
+        "_sheet", "_group", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_sheet", "_group").orderBy("_part", FILE).rowsBetween(Window.unboundedPreceding, -1)
+    placed = files.select("*", F.coalesce(F.sum("_n").over(within), F.lit(0)).alias("_in")).join(totals, ["_sheet", "_group"])
+    return _staged(placed.select(FILE, "_sheet", "_n", (F.col("_in") + F.col("_before")).alias("_off")), "sheet-offsets")
 
 
 @dataclass(frozen=True)
@@ -343,16 +346,29 @@ def read_sheet(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parq
     return apply_header(lines, names, header_line), tuple(names)
 
 
+def _sheet_lines(spark: SparkSession, paths: Sequence[str], fmt: str, folders: bool) -> DataFrame:
+    """Lines of many sheets, FILE naming the sheet and POS the line in it.
+
+    Every file is a sheet; with ``folders`` every folder is one, whose files
+    are its parts in order (a sheet that one task could not write).
+    """
+    raw = _positioned(spark, paths, fmt, merge=True)
+    if not folders:
+        return raw
+    parts = _small_side(_file_offsets(raw, F.regexp_extract(FILE, "^(.*)/[^/]*$", 1)).select(FILE, "_sheet", "_off"))
+    return raw.join(parts, on=FILE).select(F.col("_sheet").alias(FILE), (F.col("_off") + F.col(POS)).alias(POS), *_cells(raw))
+
+
 def sheet_headers(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet",
-                  search: int = HEADER_SEARCH_LINES) -> DataFrame:
-    """Every file is its own sheet: the header of each, found by one distributed aggregate (S3, many files).
+                  search: int = HEADER_SEARCH_LINES, folders: bool = False) -> DataFrame:
+    """Every file (or folder, ``_sheet_lines``) is its own sheet: the header of each, found by one distributed aggregate (S3, many files).
 
-    One row per file: ``sheet`` (file path), ``headerLine``, the raw header
+    One row per sheet: ``sheet`` (its path), ``headerLine``, the raw header
     cells ``hdr`` (a struct), and ``line0Named`` (true when line 0's 2nd
-    cell is not blank, i.e. the file has no valid header).
+    cell is not blank, i.e. the sheet has no valid header).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return _headers(_positioned(spark, paths, fmt, merge=True), search)
+    return _headers(_sheet_lines(spark, paths, fmt, folders), search)
 
 
 def _headers(raw: DataFrame, search: int = HEADER_SEARCH_LINES) -> DataFrame:
@@ -391,8 +407,8 @@ def _header_variants(heads: DataFrame, cells: Sequence[str]) -> list[dict]:
     return sorted(({"key": v["_key"], "example": v["example"], "texts": tuple(v["hdr"][c] for c in cells)} for v in found), key=lambda v: v["example"])
 
 
-def open_sheets(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet") -> SheetSet:
-    """Many single-file sheets at once, whose headers may differ in order and in number of columns.
+def open_sheets(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet", folders: bool = False) -> SheetSet:
+    """Many sheets at once, each a file (or a folder, ``_sheet_lines``), whose headers may differ in order and in number of columns.
 
     One pass finds the header of every sheet, and one row per different header
     reaches the driver.  The lines are read once: a line's cells are placed
@@ -402,7 +418,7 @@ def open_sheets(spark: SparkSession, paths: str | Sequence[str], fmt: str = "par
     after its header with a cell past that header's names raises.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = _positioned(spark, paths, fmt, merge=True)
+    raw = _sheet_lines(spark, paths, fmt, folders)
     cells = _cells(raw)
     heads = _staged(_headers(raw).withColumn("_key", F.to_json("hdr")), "sheet-headers")
     variants = _header_variants(heads, cells)
@@ -427,17 +443,17 @@ def open_sheets(spark: SparkSession, paths: str | Sequence[str], fmt: str = "par
 
 
 def read_sheets(spark: SparkSession, paths: str | Sequence[str], fmt: str = "parquet",
-                names: Sequence[str] | None = None) -> tuple[DataFrame, tuple[str, ...]]:
-    """Read many single-file sheets at once: rows by name, ``rowIndex`` per sheet.
+                names: Sequence[str] | None = None, folders: bool = False) -> tuple[DataFrame, tuple[str, ...]]:
+    """Read many sheets, each a file (or a folder, ``_sheet_lines``), at once: rows by name, ``rowIndex`` per sheet.
 
     Headers may differ from sheet to sheet (``open_sheets``); with ``names``
-    given, all sheets have these columns.  Adds the ``sheet`` column (file path).
+    given, all sheets have these columns.  Adds the ``sheet`` column (its path).
     """
     if names is None:
-        found = open_sheets(spark, paths, fmt)
+        found = open_sheets(spark, paths, fmt, folders)
         return found.rows.drop(VARIANT), found.names
     paths = [paths] if isinstance(paths, str) else list(paths)
-    lines = _checked(_positioned(spark, paths, fmt, merge=True), POS, F.lit(0), len(names))
+    lines = _checked(_sheet_lines(spark, paths, fmt, folders), POS, F.lit(0), len(names))
     out = lines.select(
         *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)],
         (F.col(POS) - 1).alias(ROW_INDEX),
