@@ -157,7 +157,7 @@ def write_mapping_sheets(spark: SparkSession, sf_dir: str, path: str | None = No
     top, data = _sheet_lines(li)
     data = data.withColumn("sheetName", _sheet_of())
     top = data.select("sheetName").distinct().join(F.broadcast(top))  # a few lines for each sheet
-    ordered = top.unionByName(data).repartition("sheetName").sortWithinPartitions("sheetName", "_grp", "_ord", *SHEET_ORDER)
+    ordered = _in_order(top.unionByName(data), li.count(), "sheetName", "_grp", "_ord", *SHEET_ORDER)
     ordered.select("sheetName", *_sheet_cells(_mapping_cells(li))).write.mode("overwrite").partitionBy("sheetName").parquet(path)
     return path
 
