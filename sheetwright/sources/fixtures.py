@@ -133,7 +133,7 @@ def write_mapping_csv(spark: SparkSession, sf_dir: str, path: str | None = None,
     cells = _mapping_cells(li)
     cells[1] = F.format_string('Attr "%s", line\n%s', F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     top, data = _sheet_lines(li)
-    ordered = top.unionByName(data).repartitionByRange(4, "_grp", "_ord", *SHEET_ORDER).sortWithinPartitions("_grp", "_ord", *SHEET_ORDER)
+    ordered = _in_order(top.unionByName(data), li.count(), "_grp", "_ord", *SHEET_ORDER)
     ordered.select(_sheet_cells(cells)).write.mode("overwrite").option("escape", '"').csv(path)
     return path
 
