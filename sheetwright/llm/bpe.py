@@ -264,6 +264,7 @@ def shipped(spark: SparkSession, path: str):
         file = f.read(MAX_FILE + 1)
     if len(file) > MAX_FILE:
         raise ValueError(f"{path} is larger than {MAX_FILE} characters")
+    check_supported(json.loads(file))  # here, so that the caller gets the error itself and not a failed task's
     return spark.sparkContext.broadcast((file, later_characters(file)))
 
 
