@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -64,12 +65,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Gives back what the C library keeps of freed memory; None where it is another library.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches that have rows; memory that Arrow has freed goes back to the system after each."""
+    """The batches that have rows; memory that Arrow and NumPy have freed goes back to the system after each.
+
+    An idle worker lives on beside the next stages' executors, so what it keeps counts against them.
+    """
     for batch in batches:
         if batch.num_rows:
             yield batch
+        del batch
         pa.default_memory_pool().release_unused()
+        if _TRIM:
+            _TRIM(0)
 
 
 def fresh(name: str, df: DataFrame) -> str:

@@ -244,15 +244,12 @@ def labelled(docs: DataFrame, model: ByteGRU) -> DataFrame:
         for batch in each(batches):
             data, offsets = text_bytes(pc.struct_field(batch.column("row"), "text"))
             letters = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool) & known
-            best, score = np.zeros(len(letters), np.int64), np.zeros(len(letters))
             for a, b in slices(offsets, 1 << 20):
                 p = document_probabilities(model, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                best[a:b] = p.argmax(1)
-                score[a:b] = p.max(1)
-            lang = np.where(letters, names[best], "und")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(lang, pa.string()), pa.array(np.clip(np.where(letters, score, 0.0), 0, 1))],
-                names=["row", "lang_pred", "score"])
+                lang = np.where(letters[a:b], names[p.argmax(1)], "und")
+                score = np.clip(np.where(letters[a:b], p.max(1), 0.0), 0, 1)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("row").slice(a, b - a), pa.array(lang, pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
 
     return rows.mapInArrow(run, schema)
 

@@ -188,8 +188,10 @@ class Mix:
 
     def table(self) -> DataFrame:
         """Rows (_source, source_no, source_size, target)."""
-        rows = [(s, i, self.size[s], self.target[s]) for i, s in enumerate(self.sources)]
-        return self.spark.createDataFrame(rows, "_source string, source_no bigint, source_size bigint, target double")
+        columns = [self.sources, range(len(self.sources)), [self.size[s] for s in self.sources], [self.target[s] for s in self.sources]]
+        kinds = [("_source", pa.string()), ("source_no", pa.int64()), ("source_size", pa.int64()), ("target", pa.float64())]
+        # as an Arrow table: rows of Python would start further Python workers beside those of the mix
+        return self.spark.createDataFrame(pa.table([pa.array(c, kind) for c, (_, kind) in zip(columns, kinds)], schema=pa.schema(kinds)))
 
     def slots(self) -> DataFrame:
         """Rows (shard, slot, source_no, draw, block): the mix itself."""

@@ -2,11 +2,12 @@ from collections import Counter, defaultdict
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import PLAIN_WORD, mixing_targets
 from odd import SF
 
-from sheetwright.llm import mixing, sharding
+from sheetwright.llm import common, mixing, sharding
 
 
 def check_shards(got, docs, shards=8):
@@ -179,3 +180,19 @@ def test_rows_are_named_by_their_place(spark, make_docs, tmp_path):
         assert named.columns == [*df.columns, *place] and len(set(c.lower() for c in named.columns)) == len(named.columns)
         first, again = (sorted(map(str, named.collect())) for _ in range(2))
         assert first == again and named.select(*place).distinct().count() == df.count()
+
+
+def test_the_sources_of_a_mix_start_no_python_workers(spark, make_docs):
+    """Rows of Python went through workers of their own, which stayed beside those of the mix."""
+    rows = mixing.mix_rows(make_docs([(1, "a b c"), (2, "d")]), 42)
+    table = mixing.Mix(rows).table()
+    assert "PythonRDD" not in table._jdf.queryExecution().toRdd().toDebugString()
+    assert [(r["source_no"], r["source_size"], r["target"]) for r in table.collect()] == [(0, 4, 6.0)]
+
+
+def test_workers_give_memory_back_after_each_batch(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "_TRIM", calls.append, raising=False)
+    batch = pa.RecordBatch.from_pylist([{"a": 1}])
+    assert list(common.each(iter([batch, batch.slice(0, 0), batch]))) == [batch, batch]
+    assert calls == [0, 0, 0]
